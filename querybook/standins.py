@@ -150,7 +150,7 @@ SQL: dict[str, str] = {
             ('plant', 'heat', 1), ('plant', 'water', 1), ('plant', 'wind', 1), ('plant', 'storm', 1)) w(asset_type, family, weight)""",
     # layer registry rows, one per part: status, review flag, direction
     "layer_registry": """
-        SELECT p_partkey AS layer_key, p_name AS layer_id,
+        SELECT p_partkey AS layer_key, concat(p_name, '-', CAST(p_partkey AS VARCHAR(12))) AS layer_id,
                CASE p_size % 5 WHEN 0 THEN 'preferred' WHEN 1 THEN 'alternate' WHEN 2 THEN 'blocked'
                     WHEN 3 THEN 'development' ELSE 'superseded' END AS status,
                CASE WHEN p_retailprice > 1000 THEN '2026-01-01' END AS reviewed_on, p_brand AS brand, p_type AS kind
