@@ -153,7 +153,7 @@ SQL: dict[str, str] = {
         SELECT p_partkey AS layer_key, concat(p_name, '-', CAST(p_partkey AS VARCHAR(12))) AS layer_id,
                CASE p_size % 5 WHEN 0 THEN 'preferred' WHEN 1 THEN 'alternate' WHEN 2 THEN 'blocked'
                     WHEN 3 THEN 'development' ELSE 'superseded' END AS status,
-               CASE WHEN p_retailprice > 1000 THEN '2026-01-01' END AS reviewed_on, p_brand AS brand, p_type AS kind
+               CASE WHEN p_retailprice > 930 THEN '2026-01-01' END AS reviewed_on, p_brand AS brand, p_type AS kind
         FROM {part}""",
 }
 
