@@ -105,6 +105,17 @@ def extract_polygons(shares: DataFrame, panel: DataFrame, metrics: Sequence[str]
     return met.groupBy("box_id", *by).agg(*[_weighted(m) for m in metrics])
 
 
+def extract_regions(names: DataFrame, dictionary: DataFrame, boxes: DataFrame, panel: DataFrame, metrics: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Fuzzy-match region names (entry, box_id), then extract each matched region once."""
+    from cellcast.operators.delivery import fuzzy_match
+
+    matched = fuzzy_match(names, dictionary.select("entry")).where("entry IS NOT NULL")
+    found = matched.join(dictionary, "entry")
+    wanted = boxes.join(found.select("box_id").distinct(), "box_id", "left_semi")
+    values = extract_polygons(box_shares(wanted), panel, metrics, by)
+    return found.select("query", "entry", "box_id").join(values, "box_id").drop("box_id")
+
+
 def points_in_polygons(points: DataFrame, edges: DataFrame, size: float = 0.5) -> DataFrame:
     """(point_id, polygon_id) by ray crossing.
 

@@ -241,7 +241,7 @@ def p17(spark, sf):
 
 
 @query("p18_recode_tier", """
-    SELECT asset_id, CASE scenario WHEN 'ssp126' THEN 'low' WHEN 'ssp370' THEN 'medium' WHEN 'ssp585' THEN 'high' END AS tier,
+    SELECT asset_id, CASE scenario WHEN 'ssp126' THEN 'low' WHEN 'ssp370' THEN 'medium' WHEN 'ssp245' THEN 'medium' WHEN 'ssp585' THEN 'high' END AS tier,
            scenario <> 'observed' AS forcing, count(*) AS n FROM layer_values GROUP BY 1, 2, 3""")
 def p18(spark, sf):
     from cellcast.functions.scalar import is_forcing, tier_of

@@ -51,7 +51,7 @@ SQL: dict[str, str] = {
                    CASE WHEN sum(CASE WHEN value > 44 THEN 1 ELSE 0 END) > 4 THEN avg(value_zero) ELSE 0e0 END AS zeroed
             FROM annual GROUP BY cell_id) a ON a.cell_id = g.cell_id""",
     "sites": f"""
-        SELECT site_id, lat, CASE WHEN rawlon > 180 THEN rawlon - 360 ELSE rawlon END AS lon, rawlon, asset_type,
+        SELECT site_id, lat, round(CASE WHEN rawlon > 180 THEN rawlon - 360 WHEN rawlon < -180 THEN rawlon + 360 ELSE rawlon END, 6) AS lon, rawlon, asset_type,
                asset_value, country, home_region
         FROM (SELECT c_custkey AS site_id, c_mktsegment AS asset_type, c_acctbal AS asset_value,
                      n_name AS country, r_name AS home_region,
@@ -121,14 +121,15 @@ SQL: dict[str, str] = {
     # delivered values: one row per (asset, layer, scenario, decade); layer L4 is observed
     "layer_values": """
         SELECT asset_id, layer_id, scenario, decade,
-               CASE WHEN n >= 5 THEN mean_q END AS value, mean_q - 5 AS lower_ci, mean_q + 5 AS upper_ci,
-               CASE WHEN n >= 5 THEN CASE WHEN 4 * mean_q - 50 > 100 THEN 100e0 WHEN 4 * mean_q - 50 < 1 THEN 1e0
+               CASE WHEN n >= 5 OR decade = 1997 THEN mean_q END AS value, mean_q - 5 AS lower_ci, mean_q + 5 AS upper_ci,
+               CASE WHEN n >= 5 OR decade = 1997 THEN CASE WHEN 4 * mean_q - 50 > 100 THEN 100e0 WHEN 4 * mean_q - 50 < 1 THEN 1e0
                     ELSE 4 * mean_q - 50 END END AS percentile,
                CASE WHEN decade > 1995 AND n >= 5 THEN CASE WHEN n % 5 = 0 THEN 0e0 ELSE mean_q - 25 END END AS ols_slope,
                CASE WHEN decade > 1995 AND n >= 5 THEN CASE WHEN n % 4 = 0 THEN 0e0 ELSE 24 - low_q * 4 + n END END AS sen_slope,
                n_members, n_models
         FROM (SELECT l_suppkey AS asset_id, concat('L', CAST(l_partkey % 5 AS VARCHAR(2))) AS layer_id,
-                     CASE WHEN l_partkey % 5 = 4 THEN 'observed' WHEN l_linenumber % 3 = 0 THEN 'ssp126'
+                     CASE WHEN l_partkey % 5 = 4 THEN 'observed' WHEN l_partkey % 5 = 1 AND l_linenumber % 3 = 0 THEN 'ssp245'
+                          WHEN l_linenumber % 3 = 0 THEN 'ssp126'
                           WHEN l_linenumber % 3 = 1 THEN 'ssp370' ELSE 'ssp585' END AS scenario,
                      CASE WHEN l_partkey % 5 = 4 THEN 1995
                           ELSE 1995 + 2 * CAST(floor((year(l_shipdate) - 1995) / 2e0) AS INT) END AS decade,
