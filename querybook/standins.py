@@ -105,7 +105,7 @@ SQL: dict[str, str] = {
         FROM {lineitem} WHERE l_linestatus = 'O' GROUP BY 1, 2""",
     # fine elevation pixels: 'elevation' in steps of 0.05 around sea level
     "pixels": f"""
-        SELECT CAST(l_suppkey % {GRID_CELLS} AS BIGINT) AS cell_id, 10e0 * (l_quantity - 25) / 25 + l_tax AS elevation,
+        SELECT CAST(l_suppkey % {GRID_CELLS} AS BIGINT) AS cell_id, 40e0 * (l_quantity - 25) / 25 + l_tax AS elevation,
                l_discount >= 0.035 AS wide, l_discount >= 0.065 AS near, l_quantity AS hazard
         FROM {{lineitem}}""",
     "files": """
