@@ -72,8 +72,9 @@ def choose_central(panel_pool: DataFrame, value: str = "value", cell: str = "cel
 
 
 def shared_baseline(
-    annual: DataFrame, baseline: int, mode: str, window: int = 10, central: str = "median", value: str = "value"
-) -> DataFrame:
+    annual: DataFrame, baseline: int, mode: str, window: int = 10, central: str = "median", value: str = "value",
+    by: Sequence[str] = (),
+) -> DataFrame:
     """One baseline panel for every scenario.
 
     `pool_all` pools the members of all scenarios; `member_mean_first` averages each member across
@@ -81,17 +82,21 @@ def shared_baseline(
     """
     rows = annual.where(F.col("year").between(baseline, baseline + window - 1))
     if mode == "member_mean_first":
-        rows = rows.groupBy("member", "cell_id", "year").agg(F.avg(value).alias(value))
+        rows = rows.groupBy(*by, "member", "cell_id", "year").agg(F.avg(value).alias(value))
     elif mode != "pool_all":
         raise ValueError(f"mode must be 'pool_all' or 'member_mean_first', not {mode!r}")
     stats = [c.alias(n) for n, c in central_columns(value, central).items()]
-    return rows.groupBy("cell_id").agg(*stats).withColumn("decade", F.lit(int(baseline)))
+    return rows.groupBy(*by, "cell_id").agg(*stats).withColumn("decade", F.lit(int(baseline)))
 
 
-def spread_to_scenarios(baseline_panel: DataFrame, scenarios: DataFrame) -> DataFrame:
-    """Copy the baseline panel to each scenario present (a handful of rows, collected as one array)."""
-    names = scenarios.select(F.collect_set("scenario")).scalar()
-    return baseline_panel.withColumn("scenario", F.explode(names))
+def spread_to_scenarios(baseline_panel: DataFrame, scenarios: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Copy the baseline panel to each scenario present (a handful of names, carried as one array)."""
+    by = list(by)
+    if not by:
+        names = scenarios.select(F.collect_set("scenario")).scalar()
+        return baseline_panel.withColumn("scenario", F.explode(names))
+    names = scenarios.groupBy(*by).agg(F.collect_set("scenario").alias("_s"))
+    return baseline_panel.join(names, by).withColumn("scenario", F.explode("_s")).drop("_s")
 
 
 def expanding_stack(annual: DataFrame, decades: Sequence[int], baseline: int, window: int = 10) -> DataFrame:

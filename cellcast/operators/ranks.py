@@ -1,4 +1,9 @@
-"""Percentile ranks against a baseline panel. Each family keeps its own tie side and scale."""
+"""Percentile ranks against a baseline panel. Each family keeps its own tie side and scale.
+
+`by` names columns (such as the layer) within which values are ranked, so one job serves many
+layers. Every form needs one counted table: a value's position among all baseline cells and among
+the positive ones follow from the same cumulative counts.
+"""
 
 from __future__ import annotations
 
@@ -12,16 +17,6 @@ from cellcast.operators.ranking import average_ranks, counts_at, salted_lookup
 TWO_TIER_ZERO_SHARE = 0.02
 
 
-def _ranked(values: DataFrame, reference: DataFrame, value: str, spread: Sequence[str]) -> DataFrame:
-    table = counts_at(values, reference, value).select(value, "n_below", "n_upto", "n_total")
-    return salted_lookup(values, table, [value], spread)
-
-
-def _share(side: str) -> Column:
-    hits = F.col("n_upto") if side == "right" else F.col("n_below")
-    return hits / F.nullif(F.col("n_total"), F.lit(0))
-
-
 def _clip(c: Column, lo: float, hi: float) -> Column:
     return F.when(c.isNotNull(), F.greatest(F.lit(lo), F.least(F.lit(hi), c)))
 
@@ -31,79 +26,85 @@ def invert_percentile(p: Column) -> Column:
     return _clip(101.0 - p, 1.0, 100.0)
 
 
+def zero_counts(baseline: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
+    """(by..., _zero, _upto0): baseline cells exactly 0, and cells at or below 0."""
+    v = F.col(value)
+    return baseline.where(v.isNotNull()).groupBy(*by).agg(F.count_if(v == 0).alias("_zero"), F.count_if(v <= 0).alias("_upto0"))
+
+
+def _positions(values: DataFrame, baseline: DataFrame, value: str, by: Sequence[str], spread: Sequence[str]) -> DataFrame:
+    """Adds n_below, n_upto, n_total, and the zero counts of the value's group."""
+    by = list(by)
+    table = counts_at(values, baseline, value, by).select(*by, value, "n_below", "n_upto", "n_total")
+    zeros = zero_counts(baseline, value, by)
+    if by:
+        table = table.join(zeros, by, "left")
+    else:
+        row = zeros.select(F.struct("_zero", "_upto0")).scalar()
+        table = table.withColumn("_z", row).select(*table.columns, "_z._zero", "_z._upto0")
+    return salted_lookup(values, table, [*by, value], spread)
+
+
+_HELPERS = ("n_below", "n_upto", "n_total", "_zero", "_upto0")
+
+
+def _over(a: Column, b: Column) -> Column:
+    return a / F.nullif(b, F.lit(0))
+
+
 def percentile_of_score(
     values: DataFrame, baseline: DataFrame, value: str = "median", side: str = "right", higher_is_better: bool = False,
-    spread: Sequence[str] = ("cell_id",),
+    by: Sequence[str] = (), spread: Sequence[str] = ("cell_id",),
 ) -> DataFrame:
     """Adds `percentile` = 100 x share of baseline cells at or below the value, kept in [1, 100]."""
-    out = _clip(100.0 * _share(side), 1.0, 100.0)
-    ranked = _ranked(values, baseline, value, spread)
-    return ranked.withColumn("percentile", invert_percentile(out) if higher_is_better else out).drop(
-        "n_below", "n_upto", "n_total"
-    )
-
-
-def zero_share(baseline: DataFrame, value: str = "median") -> Column:
-    """Share of exact zeros among the baseline cells, as a scalar."""
-    return baseline.select(F.avg((F.col(value) == 0).cast("double"))).scalar()
+    ranked = _positions(values, baseline, value, by, spread)
+    hits = F.col("n_upto") if side == "right" else F.col("n_below")
+    out = _clip(100.0 * _over(hits, F.col("n_total")), 1.0, 100.0)
+    return ranked.withColumn("percentile", invert_percentile(out) if higher_is_better else out).drop(*_HELPERS)
 
 
 def two_tier_percentile(
     values: DataFrame, baseline: DataFrame, value: str = "median", side: str = "right", higher_is_better: bool = False,
-    spread: Sequence[str] = ("cell_id",), force: bool = False,
+    by: Sequence[str] = (), spread: Sequence[str] = ("cell_id",), force: bool = False,
 ) -> DataFrame:
     """As `percentile_of_score`, unless at least 2 % of the baseline is exactly 0.
 
     Then 0 maps to 1 and positive values to 2..100 by their share of the positive baseline. The
     single-tier form always counts from the right; `side` applies to the positive tier.
     """
-    zeros = zero_share(baseline, value)
-    positive = baseline.where(F.col(value) > 0)
-    single = counts_at(values, baseline, value).select(value, F.col("n_upto").alias("_su"), F.col("n_total").alias("_st"))
-    tiered = counts_at(values.where(F.col(value) > 0), positive, value).select(value, "n_below", "n_upto", "n_total")
-    table = single.join(tiered, value, "left")
-    ranked = salted_lookup(values, table, [value], spread).withColumn("_zeros", zeros)
-    one = _clip(100.0 * F.col("_su") / F.nullif(F.col("_st"), F.lit(0)), 1.0, 100.0)
-    two = F.when(F.col(value) > 0, F.coalesce(_clip(2.0 + 98.0 * _share(side), 2.0, 100.0), F.lit(1.0))).when(
-        F.col(value).isNotNull(), 1.0
-    )
-    use_two = F.lit(True) if force else F.col("_zeros") >= TWO_TIER_ZERO_SHARE
+    ranked = _positions(values, baseline, value, by, spread)
+    one = _clip(100.0 * _over(F.col("n_upto"), F.col("n_total")), 1.0, 100.0)
+    hits = F.col("n_upto") if side == "right" else F.col("n_below")
+    share = _over(hits - F.col("_upto0"), F.col("n_total") - F.col("_upto0"))
+    two = F.when(F.col(value) > 0, F.coalesce(_clip(2.0 + 98.0 * share, 2.0, 100.0), F.lit(1.0))).when(F.col(value).isNotNull(), 1.0)
+    use_two = F.lit(True) if force else _over(F.col("_zero"), F.col("n_total")) >= TWO_TIER_ZERO_SHARE
     raw = F.when(use_two, two).otherwise(one)
-    return ranked.withColumn("percentile", invert_percentile(raw) if higher_is_better else raw).drop(
-        "n_below", "n_upto", "n_total", "_su", "_st", "_zeros"
-    )
+    return ranked.withColumn("percentile", invert_percentile(raw) if higher_is_better else raw).drop(*_HELPERS)
 
 
 def stress_percentile(
-    values: DataFrame, baseline: DataFrame, value: str = "median", spread: Sequence[str] = ("cell_id",)
+    values: DataFrame, baseline: DataFrame, value: str = "median", by: Sequence[str] = (), spread: Sequence[str] = ("cell_id",)
 ) -> DataFrame:
     """Water-stress form: left side, no clipping; 1 + 99 F over the positive part when zeros exceed 2 %."""
-    zeros = zero_share(baseline, value)
-    single = counts_at(values, baseline, value).select(value, F.col("n_below").alias("_sb"), F.col("n_total").alias("_st"))
-    tiered = counts_at(values.where(F.col(value) > 0), baseline.where(F.col(value) > 0), value).select(
-        value, "n_below", "n_total"
-    )
-    ranked = salted_lookup(values, single.join(tiered, value, "left"), [value], spread).withColumn("_zeros", zeros)
-    two = F.when(F.col(value) == 0, 1.0).when(
-        F.col(value) > 0, 1.0 + 99.0 * F.col("n_below") / F.nullif(F.col("n_total"), F.lit(0))
-    )
-    one = 100.0 * F.col("_sb") / F.nullif(F.col("_st"), F.lit(0))
-    return ranked.withColumn("percentile", F.when(F.col("_zeros") > TWO_TIER_ZERO_SHARE, two).otherwise(one)).drop(
-        "n_below", "n_total", "_sb", "_st", "_zeros"
-    )
+    ranked = _positions(values, baseline, value, by, spread)
+    share = _over(F.col("n_below") - F.col("_upto0"), F.col("n_total") - F.col("_upto0"))
+    two = F.when(F.col(value) == 0, 1.0).when(F.col(value) > 0, 1.0 + 99.0 * share)
+    one = 100.0 * _over(F.col("n_below"), F.col("n_total"))
+    use_two = _over(F.col("_zero"), F.col("n_total")) > TWO_TIER_ZERO_SHARE
+    return ranked.withColumn("percentile", F.when(use_two, two).otherwise(one)).drop(*_HELPERS)
 
 
 def observed_rate_rank(
     rates: DataFrame, rate: str = "rate", count: str = "n_events", form: str = "ends", alone: float = 100.0,
-    spread: Sequence[str] = ("cell_id",),
+    by: Sequence[str] = (), spread: Sequence[str] = ("cell_id",),
 ) -> DataFrame:
     """Cells with no event -> 1; the others by average rank onto 2..100.
 
     `ends`: 2 + 98 (rank - 1) / (n - 1), with `alone` for a single cell; `mid`: 2 + 98 (rank - 1/2) / n.
     """
     occupied = rates.where(F.col(count) > 0)
-    table = average_ranks(occupied, rate).select(rate, "avg_rank", "n_total")
-    ranked = salted_lookup(rates, table, [rate], spread)
+    table = average_ranks(occupied, rate, by).select(*by, rate, "avg_rank", "n_total")
+    ranked = salted_lookup(rates, table, [*by, rate], spread)
     n, r = F.col("n_total"), F.col("avg_rank")
     if form == "ends":
         score = F.when(n == 1, alone).otherwise(2.0 + 98.0 * (r - 1) / F.nullif(n - 1, F.lit(0)))

@@ -151,10 +151,14 @@ def nearest_cell(sites: DataFrame, size: float = 0.5) -> DataFrame:
 
 
 def nearest_valid(
-    targets: DataFrame, sources: DataFrame, max_km: float = 250.0, block: float = 2.5, key: str = "target_id"
-) -> DataFrame:
+    targets: DataFrame, sources: DataFrame, max_km: float = 250.0, block: float = 2.5, key: str = "target_id",
+    by: Sequence[str] = (),
+) -> DataFrame:
     """Great-circle nearest source within `max_km` of each target, with its distance.
 
+    With `by` (columns of the sources, such as the member) one nearest source is found per group,
+    and targets without any are left out.
+
     Targets are exploded to the latitude-longitude blocks their circle can reach; the longitude
     reach widens with 1/cos(lat) so no candidate is missed near a pole.
     """
@@ -169,13 +173,15 @@ def nearest_valid(
         F.sequence(bx - wide, bx + wide), lambda b: F.pmod(b, F.lit(n_blocks))
     ))))
     stock = sources.select(
-        F.col("source_id"), F.col("lat").alias("_la"), F.col("lon").alias("_lo"),
+        F.col("source_id"), *by, F.col("lat").alias("_la"), F.col("lon").alias("_lo"),
         F.floor(F.col("lat") / block).cast("int").alias("_by"),
         F.pmod(F.floor((F.col("lon") + 180) / block).cast("int"), F.lit(n_blocks)).alias("_bx"),
     )
     km = haversine_km("lat", "lon", "_la", "_lo")
     near = reach.join(stock, ["_by", "_bx"]).withColumn("km", km).where(F.col("km") <= max_km)
-    best = near.groupBy(key).agg(F.min(F.struct("km", "source_id")).alias("_b"))
+    best = near.groupBy(key, *by).agg(F.min(F.struct("km", "source_id")).alias("_b"))
+    if by:
+        return best.select(key, *by, F.col("_b.source_id").alias("source_id"), F.col("_b.km").alias("km"))
     return targets.select(key).join(best, key, "left").select(key, F.col("_b.source_id").alias("source_id"), F.col("_b.km").alias("km"))
 
 

@@ -29,6 +29,7 @@ class LayerSpec:
     mask_zeros: bool = False
     slope_scale: float = 10.0
     value: str = "value"
+    by: Sequence[str] = ()  # e.g. ('layer',): build many layers in one job
 
 
 PANEL_COLUMNS = [
@@ -54,36 +55,37 @@ def build_layer(annual: DataFrame, spec: LayerSpec, mask: DataFrame | None = Non
 
     Central values and depth come from one shuffle on (scenario, decade, cell); slopes from another
     over the expanding stack; the baseline panel is one row per cell and is shared by all scenarios.
+    With `spec.by`, all of it happens within each layer.
     """
+    by = list(spec.by)
     rows = prepare(annual, spec, mask)
     later = [d for d in spec.decades if d != spec.baseline]
-    keys = ["scenario", "decade", "cell_id"]
+    keys = [*by, "scenario", "decade", "cell_id"]
+    stack_keys = [*by, "scenario", "cell_id"]
 
     stats = [c.alias(n) for n, c in decadal.central_columns(spec.value, spec.central).items()]
-    pools = decadal.assign_decades(rows, spec.decades, spec.window).groupBy(*keys)
-    depth = pools.agg(*decadal.depth_columns(spec.value))
-    panels = (
-        decadal.assign_decades(rows, later, spec.window)
-        .groupBy(*keys)
-        .agg(*stats)
-        .select(*keys, "median", "lower_ci", "upper_ci")
+    pooled = decadal.assign_decades(rows, spec.decades, spec.window).groupBy(*keys).agg(
+        *stats, *decadal.depth_columns(spec.value)
     )
-    base = decadal.shared_baseline(rows, spec.baseline, spec.baseline_mode, spec.window, spec.central, spec.value)
-    spread = decadal.spread_to_scenarios(base, rows.select("scenario").distinct())
-    panels = panels.unionByName(spread.select(panels.columns))
+    # depth is each scenario's own; central values of the baseline are replaced by the shared panel
+    depth = pooled.select(*keys, "n_members", "n_models")
+    own = pooled.where(F.col("decade").isin(later)).select(*keys, "median", "lower_ci", "upper_ci")
+    base = decadal.shared_baseline(rows, spec.baseline, spec.baseline_mode, spec.window, spec.central, spec.value, by)
+    spread = decadal.spread_to_scenarios(base, rows.select(*by, "scenario").distinct(), by)
+    panels = own.unionByName(spread.select(own.columns))
 
     if spec.rank == "single":
-        ranked = ranks.percentile_of_score(panels, base, "median", spec.rank_side, spec.higher_is_better)
+        ranked = ranks.percentile_of_score(panels, base, "median", spec.rank_side, spec.higher_is_better, by)
     elif spec.rank == "stress":
-        ranked = ranks.stress_percentile(panels, base, "median")
+        ranked = ranks.stress_percentile(panels, base, "median", by)
     else:
-        ranked = ranks.two_tier_percentile(panels, base, "median", spec.rank_side, spec.higher_is_better)
+        ranked = ranks.two_tier_percentile(panels, base, "median", spec.rank_side, spec.higher_is_better, by)
 
-    trend = decadal.slopes(rows, spec.decades, spec.baseline, spec.window, spec.value)
+    trend = decadal.slopes(rows, spec.decades, spec.baseline, spec.window, spec.value, stack_keys)
     trend = trend.withColumns({s: F.col(s) * spec.slope_scale for s in ("ols_slope", "sen_slope")})
     joined = ranked.join(trend, keys, "left").join(depth, keys, "left")
     published = filters.clip_ci(filters.mask_slopes_to_panel(joined), spec.ci_floor, spec.ci_cap)
-    return published.select(*PANEL_COLUMNS)
+    return published.select(*by, *PANEL_COLUMNS)
 
 
 def member_baselines(annual: DataFrame, baseline: int, window: int = 10, value: str = "value") -> DataFrame:

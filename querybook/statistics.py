@@ -79,7 +79,7 @@ def a21(spark, sf):
     return hist.join(totals, "cell_id")
 
 
-SQL["sea_levels"] = "SELECT cell_id, member, year, floor((avg(value) - 25) * 20) / 100 AS level FROM annual GROUP BY 1, 2, 3"
+SQL["sea_levels"] = "SELECT cell_id, member, year, floor((avg(value) - 25) * 20 + 0.1234567e0) / 100 AS level FROM annual GROUP BY 1, 2, 3"
 SQL["exposure"] = """
     WITH c AS (SELECT bin, -30e0 + (bin + 0.5e0) * 0.05e0 AS x, sum(n) AS n FROM elev_hist GROUP BY 1),
     k AS (SELECT x, 99e0 - 97e0 * sum(n) OVER (ORDER BY bin) / sum(n) OVER () AS p FROM c WHERE x > 0 AND x < 10),
@@ -94,7 +94,7 @@ SQL["exposure"] = """
 
 
 def sea_levels(spark, sf):
-    return table(spark, sf, "annual").groupBy("cell_id", "member", "year").agg((F.floor((F.avg("value") - 25) * 20) / 100).alias("level"))
+    return table(spark, sf, "annual").groupBy("cell_id", "member", "year").agg((F.floor((F.avg("value") - 25) * 20 + 0.1234567) / 100).alias("level"))
 
 
 def exposure(spark, sf):
@@ -297,9 +297,9 @@ WY = """SELECT cell_id, CAST(year(day + INTERVAL 3 MONTH) AS INT) AS water_year,
     sum(CASE WHEN month(day) >= 10 OR month(day) <= 3 THEN obs END) AS obs_oct_mar, sum(CASE WHEN month(day) >= 10 OR month(day) <= 3 THEN sim END) AS sim_oct_mar FROM flows GROUP BY 1, 2"""
 
 
-@query("a36_water_year_sums", f"SELECT cell_id, water_year, obs_annual, obs_apr_jul, obs_oct_mar, round(sim_annual, 4) AS sim_annual, round(sim_apr_jul, 4) AS sim_apr_jul, round(sim_oct_mar, 4) AS sim_oct_mar FROM ({WY}) w")
+@query("a36_water_year_sums", f"SELECT cell_id, water_year, obs_annual, obs_apr_jul, obs_oct_mar, round(sim_annual, 2) AS sim_annual, round(sim_apr_jul, 2) AS sim_apr_jul, round(sim_oct_mar, 2) AS sim_oct_mar FROM ({WY}) w")
 def a36(spark, sf):
-    return rounded(hydrology.water_year_sums(table(spark, sf, "flows"), ["cell_id"]), "sim_annual", "sim_apr_jul", "sim_oct_mar", n=4)
+    return rounded(hydrology.water_year_sums(table(spark, sf, "flows"), ["cell_id"]), "sim_annual", "sim_apr_jul", "sim_oct_mar", n=2)
 
 
 @query("a36_water_year_r2", f"""
