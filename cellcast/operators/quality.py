@@ -43,10 +43,10 @@ def verify_panel(panel: DataFrame, grid: DataFrame, baseline: int, step: float =
         F.corr(F.when(F.col("decade") == baseline, F.col("median")), F.col("percentile")).alias("orient"),
     )
     # the baseline must be the same in every scenario: one distinct row per cell
-    same = panel.where(F.col("decade") == baseline).groupBy("cell_id").agg(
-        *[(F.count_distinct(F.coalesce(F.col(c), F.lit(float("-inf"))))).alias(c) for c in ("median", "lower_ci", "upper_ci", "percentile")]
-    )
-    shared = same.agg(F.count_if(F.greatest("median", "lower_ci", "upper_ci", "percentile") > 1).alias("shared"))
+    varies = lambda c: (F.min(c) != F.max(c)) | ((F.count(c) > 0) & (F.count(c) < F.count("*")))
+    unlike = [F.coalesce(varies(c), F.lit(False)).alias(c) for c in ("median", "lower_ci", "upper_ci", "percentile")]
+    same = panel.where(F.col("decade") == baseline).groupBy("cell_id").agg(*unlike)
+    shared = same.agg(F.count_if(F.col("median") | F.col("lower_ci") | F.col("upper_ci") | F.col("percentile")).alias("shared"))
     last = panel.select(F.max("decade")).scalar()
     finals = panel.where(F.col("decade") == last).groupBy("cell_id").agg(F.count_distinct("median").alias("_n"))
     differs = finals.agg((1 - F.max((F.col("_n") > 1).cast("int"))).alias("differs"))

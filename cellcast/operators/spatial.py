@@ -167,10 +167,10 @@ def nearest_valid(
     n_blocks = int(round(360 / block))
     edge = F.least(F.lit(89.0), F.abs(F.col("lat")) + dlat)
     wide = F.least(F.lit(n_blocks // 2), F.ceil(F.lit(dlat) / F.cos(F.radians(edge)) / block).cast("int"))
-    by, bx = F.floor(F.col("lat") / block).cast("int"), F.floor((F.col("lon") + 180) / block).cast("int")
-    reach = targets.select(key, "lat", "lon").withColumn("_by", F.explode(F.sequence(by - span, by + span)))
+    row, column = F.floor(F.col("lat") / block).cast("int"), F.floor((F.col("lon") + 180) / block).cast("int")
+    reach = targets.select(key, "lat", "lon").withColumn("_by", F.explode(F.sequence(row - span, row + span)))
     reach = reach.withColumn("_bx", F.explode(F.array_distinct(F.transform(
-        F.sequence(bx - wide, bx + wide), lambda b: F.pmod(b, F.lit(n_blocks))
+        F.sequence(column - wide, column + wide), lambda b: F.pmod(b, F.lit(n_blocks))
     ))))
     stock = sources.select(
         F.col("source_id"), *by, F.col("lat").alias("_la"), F.col("lon").alias("_lo"),

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellcast.operators import decadal, filters, ranks
+from cellcast.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -56,22 +57,28 @@ def build_layer(annual: DataFrame, spec: LayerSpec, mask: DataFrame | None = Non
     Central values and depth come from one shuffle on (scenario, decade, cell); slopes from another
     over the expanding stack; the baseline panel is one row per cell and is shared by all scenarios.
     With `spec.by`, all of it happens within each layer.
+
+    The prepared series feeds four branches and the small panels feed the ranks several times, so
+    each is written once to the checkpoint folder instead of being recomputed per branch.
     """
     by = list(spec.by)
-    rows = prepare(annual, spec, mask)
+    columns = [*by, "scenario", "model", "member", "cell_id", "year", spec.value]
+    rows = cut_lineage(prepare(annual, spec, mask).select(*columns))
     later = [d for d in spec.decades if d != spec.baseline]
     keys = [*by, "scenario", "decade", "cell_id"]
     stack_keys = [*by, "scenario", "cell_id"]
 
     stats = [c.alias(n) for n, c in decadal.central_columns(spec.value, spec.central).items()]
-    pooled = decadal.assign_decades(rows, spec.decades, spec.window).groupBy(*keys).agg(
-        *stats, *decadal.depth_columns(spec.value)
+    pooled = cut_lineage(
+        decadal.assign_decades(rows, spec.decades, spec.window).groupBy(*keys).agg(*stats, *decadal.depth_columns(spec.value))
     )
     # depth is each scenario's own; central values of the baseline are replaced by the shared panel
     depth = pooled.select(*keys, "n_members", "n_models")
     own = pooled.where(F.col("decade").isin(later)).select(*keys, "median", "lower_ci", "upper_ci")
-    base = decadal.shared_baseline(rows, spec.baseline, spec.baseline_mode, spec.window, spec.central, spec.value, by)
-    spread = decadal.spread_to_scenarios(base, rows.select(*by, "scenario").distinct(), by)
+    base = cut_lineage(
+        decadal.shared_baseline(rows, spec.baseline, spec.baseline_mode, spec.window, spec.central, spec.value, by)
+    )
+    spread = decadal.spread_to_scenarios(base, pooled.select(*by, "scenario").distinct(), by)
     panels = own.unionByName(spread.select(own.columns))
 
     if spec.rank == "single":

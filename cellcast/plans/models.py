@@ -7,12 +7,13 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from cellcast.functions.vectorized import pearson3_exceedance
+from cellcast.session import cut_lineage
 
 
 def _swaps(values: np.ndarray) -> int:
@@ -79,7 +80,7 @@ def best_lag(df: DataFrame, keys: Sequence[str], order: str, feature: str, targe
 
 
 def price_model(
-    features: DataFrame, inputs: Sequence[str], target: str, train, holdout, trees: int = 20, folds: int = 3, seed: int = 7
+    features: DataFrame, inputs: Sequence[str], target: str, train: Column, holdout: Column, trees: int = 20, folds: int = 3, seed: int = 7
 ) -> DataFrame:
     """Random forest tuned by cross-validation; one row with the holdout R2 and row counts."""
     from pyspark.ml import Pipeline
@@ -88,7 +89,7 @@ def price_model(
     from pyspark.ml.regression import RandomForestRegressor
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 
-    known = features.dropna(subset=[*inputs, target])
+    known = cut_lineage(features.select(*inputs, target, train.alias("_train"), holdout.alias("_hold")).dropna(subset=[*inputs, target]))
     assembler = VectorAssembler(inputCols=list(inputs), outputCol="features")
     forest = RandomForestRegressor(labelCol=target, featuresCol="features", numTrees=trees, seed=seed)
     grid = ParamGridBuilder().addGrid(forest.maxDepth, [4, 7]).build()
@@ -96,8 +97,8 @@ def price_model(
     search = CrossValidator(
         estimator=Pipeline(stages=[assembler, forest]), estimatorParamMaps=grid, evaluator=r2, numFolds=folds, seed=seed, parallelism=2
     )
-    model = search.fit(known.where(train))
-    scored = model.transform(known.where(holdout))
+    model = search.fit(known.where("_train"))
+    scored = model.transform(known.where("_hold"))
     return scored.agg(F.regr_r2(target, "prediction").alias("holdout_r2"), F.count("*").alias("n_holdout"))
 
 

@@ -447,7 +447,7 @@ def w1_quantiles(spark, sf):
 
 SPEC = layer.LayerSpec(decades=DECADES, baseline=BASELINE, window=WINDOW, ci_floor=0.0, ci_cap=50.0)
 
-SQL["layer"] = """
+SQL["built_layer"] = """
     SELECT p.scenario, p.decade, p.cell_id, p.median, greatest(p.lower_ci, 0) AS lower_ci, least(p.upper_ci, 50) AS upper_ci,
            greatest(1, least(100, 100.0 * (SELECT count(*) FROM base_median b WHERE b.median <= p.median) / (SELECT count(*) FROM base_median))) AS percentile,
            10 * s.ols_slope AS ols_slope, 10 * s.sen_slope AS sen_slope, d.n_members, d.n_models
@@ -462,7 +462,7 @@ def built_layer(spark, sf):
     return layer.build_layer(table(spark, sf, "annual"), SPEC)
 
 
-@query("h1_build_layer", f"SELECT {LAYER_ROUNDED}, n_members, n_models FROM layer")
+@query("h1_build_layer", f"SELECT {LAYER_ROUNDED}, n_members, n_models FROM built_layer")
 def h1(spark, sf):
     return rounded(built_layer(spark, sf), *LAYER_FLOATS)
 

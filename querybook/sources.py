@@ -140,7 +140,7 @@ def s10(spark, sf):
     return readers.list_scenarios(spark.read.parquet(folder))
 
 
-@query("s11_write_panel", f"SELECT {LAYER_ROUNDED}, n_members, n_models FROM layer WHERE scenario = 'ssp585'")
+@query("s11_write_panel", f"SELECT {LAYER_ROUNDED}, n_members, n_models FROM built_layer WHERE scenario = 'ssp585'")
 def s11(spark, sf):
     folder = scratch_folder(spark, "layer")
     sinks.write_panel(built_layer(spark, sf).withColumn("layer", F.lit("yield")), folder, {"units": "t", "window_years": "2"})
