@@ -160,7 +160,8 @@ def nearest_valid(
     and targets without any are left out.
 
     Targets are exploded to the latitude-longitude blocks their circle can reach; the longitude
-    reach widens with 1/cos(lat) so no candidate is missed near a pole.
+    reach widens with 1/cos(lat) so no candidate is missed near a pole. Equal distances (to the
+    millimetre) go to the smaller id.
     """
     dlat = max_km / 111.0
     span = F.ceil(F.lit(dlat) / block).cast("int")
@@ -178,7 +179,7 @@ def nearest_valid(
         F.pmod(F.floor((F.col("lon") + 180) / block).cast("int"), F.lit(n_blocks)).alias("_bx"),
     )
     km = haversine_km("lat", "lon", "_la", "_lo")
-    near = reach.join(stock, ["_by", "_bx"]).withColumn("km", km).where(F.col("km") <= max_km)
+    near = reach.join(stock, ["_by", "_bx"]).withColumn("km", F.round(km, 6)).where(F.col("km") <= max_km)
     best = near.groupBy(key, *by).agg(F.min(F.struct("km", "source_id")).alias("_b"))
     if by:
         return best.select(key, *by, F.col("_b.source_id").alias("source_id"), F.col("_b.km").alias("km"))
@@ -223,7 +224,7 @@ def snap_to_river(
     )
     measured = open_blocks.select("site_id", "lat", "lon", "basin_id", "_br", "_bc").join(stock, ["basin_id", "_br", "_bc"])
     km = haversine_km("lat", "lon", "_la", "_lo")
-    best = measured.withColumn("km", km).groupBy("site_id").agg(F.min(F.struct("km", "river_id", "upstream")).alias("_b"))
+    best = measured.withColumn("km", F.round(km, 6)).groupBy("site_id").agg(F.min(F.struct("km", "river_id", "upstream")).alias("_b"))
     joined = placed.join(best, "site_id", "left")
     status = (
         F.when(~F.col("inside"), "OUTSIDE_ROUTING_DOMAIN")

@@ -214,14 +214,14 @@ def h10(spark, sf):
 KM = """2 * 6371.0088e0 * asin(sqrt(greatest(0, least(1, pow(sin(radians(s.lat - d.lat) / 2), 2) + cos(radians(d.lat)) * cos(radians(s.lat)) * pow(sin(radians((((s.lon - d.lon) + 540) % 360) - 180) / 2), 2)))))"""
 
 
-@query("h10_sea_level_delta", CONSENSUS.format(limit=0.25).replace("abs(v - m) > 0.5", "abs(v - m) > 1.5") + f""",
+@query("h10_sea_level_delta", CONSENSUS.format(limit=0.25).replace("abs(v - m) > 0.5", "abs(v - m) > 1.4567") + f""",
     so AS (SELECT us.member, q.cell_id, q.lat, q.lon FROM us JOIN (SELECT DISTINCT cell_id, grow, gcol, lat, lon FROM sealevel) q USING (grow, gcol) WHERE judged AND keep),
-    nn AS (SELECT d.cell_id, s.member, s.cell_id AS src, {KM} AS km FROM drydland d, so s), pk AS (SELECT *, row_number() OVER (PARTITION BY cell_id, member ORDER BY km, src) AS rn FROM nn WHERE km <= 150)
-    SELECT x.scenario, x.member, x.year, pk.cell_id, round(x.delta, 6) AS value, round(pk.km, 5) AS km FROM pk JOIN deltas x ON x.member = pk.member AND x.cell_id = pk.src WHERE rn = 1""")
+    nn AS (SELECT d.cell_id, s.member, s.cell_id AS src, {KM} AS km FROM drydland d, so s), pk AS (SELECT *, row_number() OVER (PARTITION BY cell_id, member ORDER BY round(km, 6), src) AS rn FROM nn WHERE km <= 150)
+    SELECT x.scenario, x.member, x.year, pk.cell_id, round(x.delta, 6) AS value, round(round(pk.km, 6), 5) AS km FROM pk JOIN deltas x ON x.member = pk.member AND x.cell_id = pk.src WHERE rn = 1""")
 def h10_delta(spark, sf):
     levels = table(spark, sf, "sealevel")
     ocean = levels.select("grow", "gcol").distinct()
-    out = hazards.sea_level_delta(levels, ocean, table(spark, sf, "drydland"), 1995, 2, [1995, 1997, 1999], 1.5, 150.0)
+    out = hazards.sea_level_delta(levels, ocean, table(spark, sf, "drydland"), 1995, 2, [1995, 1997, 1999], 1.4567, 150.0)
     return rounded(rounded(out, "value"), "km", n=5)
 
 
@@ -351,11 +351,11 @@ def h17(spark, sf):
 
 
 @query("h17_member_deviation_summary", """
-    SELECT scenario, member, round(100 * avg(CASE WHEN abs(deviation) > 0.5 THEN 1e0 ELSE 0e0 END), 6) AS pct_over_0_5, round(100 * avg(CASE WHEN abs(deviation) > 1 THEN 1e0 ELSE 0e0 END), 6) AS pct_over_1_0,
-           round(100 * avg(CASE WHEN abs(deviation) > 2 THEN 1e0 ELSE 0e0 END), 6) AS pct_over_2_0, round(quantile_cont(deviation, 0.5), 6) AS median_deviation FROM loo GROUP BY 1, 2""")
+    SELECT scenario, member, round(100 * avg(CASE WHEN abs(deviation) > 0.47 THEN 1e0 ELSE 0e0 END), 6) AS pct_over_0_47, round(100 * avg(CASE WHEN abs(deviation) > 1.03 THEN 1e0 ELSE 0e0 END), 6) AS pct_over_1_03,
+           round(100 * avg(CASE WHEN abs(deviation) > 2.07 THEN 1e0 ELSE 0e0 END), 6) AS pct_over_2_07, round(quantile_cont(deviation, 0.5), 6) AS median_deviation FROM loo GROUP BY 1, 2""")
 def h17_summary(spark, sf):
-    out = hazards.member_deviation_summary(hazards.leave_one_out(_ensemble(spark, sf)))
-    return rounded(out, "pct_over_0_5", "pct_over_1_0", "pct_over_2_0", "median_deviation")
+    out = hazards.member_deviation_summary(hazards.leave_one_out(_ensemble(spark, sf)), [0.47, 1.03, 2.07])
+    return rounded(out, "pct_over_0_47", "pct_over_1_03", "pct_over_2_07", "median_deviation")
 
 
 @query("h18_extraction_sensitivity", """
