@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from cellcast.session import cut_lineage
+
 
 def _range_count(df: DataFrame) -> int:
     return max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
@@ -42,7 +44,8 @@ def cumulative_counts(
     ranges = ranges or _range_count(df)
     by = list(by)
     count = F.count("*") if weight is None else F.sum(weight)
-    distinct = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(count.cast("long").alias("n"))
+    # read three times below (cuts, range totals, running counts), so it is written once
+    distinct = cut_lineage(df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(count.cast("long").alias("n")))
     cuts = distinct.agg(
         F.percentile_approx(value, [i / ranges for i in range(1, ranges)], 10_000).alias("cuts")
     ).scalar()

@@ -217,12 +217,12 @@ KM = """2 * 6371.0088e0 * asin(sqrt(greatest(0, least(1, pow(sin(radians(s.lat -
 @query("h10_sea_level_delta", CONSENSUS.format(limit=0.25).replace("abs(v - m) > 0.5", "abs(v - m) > 1.4567") + f""",
     so AS (SELECT us.member, q.cell_id, q.lat, q.lon FROM us JOIN (SELECT DISTINCT cell_id, grow, gcol, lat, lon FROM sealevel) q USING (grow, gcol) WHERE judged AND keep),
     nn AS (SELECT d.cell_id, s.member, s.cell_id AS src, {KM} AS km FROM drydland d, so s), pk AS (SELECT *, row_number() OVER (PARTITION BY cell_id, member ORDER BY round(km, 6), src) AS rn FROM nn WHERE km <= 150)
-    SELECT x.scenario, x.member, x.year, pk.cell_id, round(x.delta, 6) AS value, round(round(pk.km, 6), 5) AS km FROM pk JOIN deltas x ON x.member = pk.member AND x.cell_id = pk.src WHERE rn = 1""")
+    SELECT x.scenario, x.member, x.year, pk.cell_id, round(x.delta, 6) AS value, round(pk.km, 6) AS km FROM pk JOIN deltas x ON x.member = pk.member AND x.cell_id = pk.src WHERE rn = 1""")
 def h10_delta(spark, sf):
     levels = table(spark, sf, "sealevel")
     ocean = levels.select("grow", "gcol").distinct()
     out = hazards.sea_level_delta(levels, ocean, table(spark, sf, "drydland"), 1995, 2, [1995, 1997, 1999], 1.4567, 150.0)
-    return rounded(rounded(out, "value"), "km", n=5)
+    return rounded(out, "value")
 
 
 @query("h11_coastal_panels", """

@@ -88,11 +88,11 @@ def j5(spark, sf):
     WITH v AS (SELECT cell_id, lat, lon FROM surface WHERE gappy IS NOT NULL),
     d AS (SELECT s.site_id, v.cell_id, """ + HAVERSINE.format(a="s.lat", b="v.lat", c="s.lon", d="v.lon") + """ AS km FROM sites s, v),
     k AS (SELECT *, row_number() OVER (PARTITION BY site_id ORDER BY round(km, 6), cell_id) AS rn FROM d WHERE km <= 120)
-    SELECT s.site_id AS target_id, k.cell_id AS source_id, round(round(k.km, 6), 5) AS km FROM sites s LEFT JOIN k ON s.site_id = k.site_id AND k.rn = 1""")
+    SELECT s.site_id AS target_id, k.cell_id AS source_id, round(k.km, 6) AS km FROM sites s LEFT JOIN k ON s.site_id = k.site_id AND k.rn = 1""")
 def j6(spark, sf):
     targets = table(spark, sf, "sites").select(F.col("site_id").alias("target_id"), "lat", "lon")
     sources = table(spark, sf, "surface").where("gappy IS NOT NULL").select(F.col("cell_id").alias("source_id"), "lat", "lon")
-    return rounded(spatial.nearest_valid(targets, sources, 120.0), "km", n=5)
+    return spatial.nearest_valid(targets, sources, 120.0)
 
 
 SQL["rivers"] = """
@@ -108,12 +108,12 @@ SQL["rivers"] = """
           FROM here h JOIN rivers r ON h.basin_id = r.basin_id WHERE r.is_river AND h.inside),
     k AS (SELECT *, row_number() OVER (PARTITION BY site_id ORDER BY round(km, 6), cell_id) AS rn FROM d)
     SELECT h.site_id, CASE WHEN NOT inside THEN 'OUTSIDE_ROUTING_DOMAIN' WHEN h.basin_id IS NULL THEN 'NO_BASIN' WHEN k.km IS NULL THEN 'NO_RIVER_IN_BASIN'
-             WHEN k.km > 50 THEN 'SNAP_TOO_FAR' ELSE 'OK' END AS status, CASE WHEN inside THEN h.basin_id END AS basin_id, round(round(k.km, 6), 5) AS snap_km,
+             WHEN k.km > 50 THEN 'SNAP_TOO_FAR' ELSE 'OK' END AS status, CASE WHEN inside THEN h.basin_id END AS basin_id, round(k.km, 6) AS snap_km,
            CASE WHEN k.km <= 50 THEN k.cell_id END AS river_id, CASE WHEN k.km <= 50 THEN k.upstream END AS upstream
     FROM here h LEFT JOIN k ON h.site_id = k.site_id AND k.rn = 1""")
 def j7(spark, sf):
     r = table(spark, sf, "rivers")
-    return rounded(spatial.snap_to_river(table(spark, sf, "sites"), r, r.where("is_river")), "snap_km", n=5)
+    return spatial.snap_to_river(table(spark, sf, "sites"), r, r.where("is_river"))
 
 
 @query("j8_exact_regrid", "SELECT l.cell_id, round(s.value, 6) AS value FROM land l JOIN surface s ON l.cell_id = s.cell_id")
