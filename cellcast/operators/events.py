@@ -136,28 +136,38 @@ def hypsometry(pixels: DataFrame, cell: str = "cell_id") -> tuple[DataFrame, Dat
     return hist, totals
 
 
+FIRST_BAND, N_BAND = round(-FLOOR_M / BIN_M), round(LECZ_M / BIN_M)
+
+
 def calibration_curve(hist: DataFrame) -> DataFrame:
     """(bin, p): percentile of an elevation above sea level, from the pooled baseline distribution.
 
-    Fixed once: at most one row per bin, so the running sum is over a table of bounded size.
+    Fixed once, one row for each of the 200 bins between sea level and 10 m, empty ones included.
     """
-    band = hist.where((bin_centre(F.col("bin")) > 0) & (bin_centre(F.col("bin")) < LECZ_M)).groupBy("bin").agg(F.sum("n").alias("_n"))
-    w = W.partitionBy(F.lit(0)).orderBy("bin")
-    total = F.sum("_n").over(W.partitionBy(F.lit(0)))
-    return band.select("bin", (P_HI - (P_HI - P_LO) * F.sum("_n").over(w) / total).alias("p"))
+    axis = hist.sparkSession.range(FIRST_BAND, FIRST_BAND + N_BAND).select(F.col("id").cast("int").alias("bin"))
+    pooled = hist.groupBy("bin").agg(F.sum("n").alias("_n"))
+    band = axis.join(pooled, "bin", "left").select("bin", F.coalesce("_n", F.lit(0)).alias("_n"))
+    whole = W.partitionBy(F.lit(0))
+    share = F.sum("_n").over(whole.orderBy("bin")) / F.sum("_n").over(whole)
+    return band.select("bin", (P_HI - (P_HI - P_LO) * share).alias("p"))
 
 
-def relative_percentile(relative: Column, knots: Column) -> Column:
+def relative_percentile(relative: Column, curve: Column) -> Column:
     """Percentile of an elevation relative to the water: the curve inside the band, fixed outside.
 
-    `knots` is the curve as one ordered array of (x, p), bounded by the number of bins.
+    `curve` is the array of the 200 bin values; bins are uniform, so the knot is found by arithmetic.
     """
-    before = F.element_at(F.filter(knots, lambda k: k["x"] <= relative), -1)
-    after = F.get(F.filter(knots, lambda k: k["x"] > relative), F.lit(0))
-    inside = before["p"] + (after["p"] - before["p"]) * (relative - before["x"]) / (after["x"] - before["x"])
-    curve = F.when(relative < knots[0]["x"], P_HI).when(relative >= F.element_at(knots, -1)["x"], F.when(
-        relative == F.element_at(knots, -1)["x"], F.element_at(knots, -1)["p"]).otherwise(P_LO)).otherwise(inside)
-    return F.when(relative <= 0, P_AT_SEA).when(relative >= LECZ_M, P_AT_BOUND).otherwise(curve)
+    position = (relative - BIN_M / 2) / BIN_M
+    knot = F.greatest(F.lit(0), F.least(F.lit(N_BAND - 2), F.floor(position))).cast("int")
+    low, high = F.get(curve, knot), F.get(curve, knot + 1)
+    inside = low + (high - low) * (position - knot)
+    return (
+        F.when(relative <= 0, P_AT_SEA)
+        .when(relative >= LECZ_M, P_AT_BOUND)
+        .when(position < 0, P_HI)
+        .when(position > N_BAND - 1, P_LO)
+        .otherwise(inside)
+    )
 
 
 def coastal_exposure(hist: DataFrame, totals: DataFrame, curve: DataFrame, levels: DataFrame, cell: str = "cell_id") -> DataFrame:
@@ -166,7 +176,8 @@ def coastal_exposure(hist: DataFrame, totals: DataFrame, curve: DataFrame, level
     `levels` has rows (cell, level_id..., level); bins at or below the level are exposed. The join is
     on the cell, and a cell has at most as many bins as the histogram.
     """
-    knots = curve.select(F.array_sort(F.collect_list(F.struct(bin_centre(F.col("bin")).alias("x"), "p")))).scalar()
+    ordered = F.array_sort(F.collect_list(F.struct("bin", "p")))
+    knots = curve.select(F.transform(ordered, lambda k: k["p"])).scalar()
     ids = [c for c in levels.columns if c != cell]
     distinct = levels.select(cell, "level").distinct()
     met = distinct.join(hist, cell, "left").withColumn("_k", knots)

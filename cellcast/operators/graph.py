@@ -1,7 +1,7 @@
 """River networks and connected regions.
 
 Each round is a join and a grouped sum on cell keys; rounds grow with the logarithm of the depth.
-Lineage is cut by a reliable checkpoint after each round, so a lost executor costs one round.
+Each round ends in a stage table in the shared folder, so a lost executor costs one round at most.
 Pointers of many cells end on the same cell; the lookup of that cell is salted.
 """
 

@@ -59,7 +59,7 @@ def build_layer(annual: DataFrame, spec: LayerSpec, mask: DataFrame | None = Non
     With `spec.by`, all of it happens within each layer.
 
     The prepared series feeds four branches and the small panels feed the ranks several times, so
-    each is written once to the checkpoint folder instead of being recomputed per branch.
+    each is written once as a stage table instead of being recomputed per branch.
     """
     by = list(spec.by)
     columns = [*by, "scenario", "model", "member", "cell_id", "year", spec.value]

@@ -1,4 +1,4 @@
-"""Session defaults and the shared-folder checkpoint used to cut lineage in iterative operators."""
+"""Session defaults, and stage tables in the shared folder that cut lineage."""
 
 from __future__ import annotations
 
@@ -24,26 +24,20 @@ def local_session(cores: int | str = "*", partitions: int = 8, name: str = "cell
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write `df` to the reliable checkpoint folder and read it back.
+    """Write `df` as a stage table in the shared folder and read it back.
 
-    The folder is the cluster's ``spark.checkpoint.dir``; only a local master, which has no other
-    machine to share with, may fall back to a folder of its own.
+    Upstream work runs once however often the result is used, a lost executor re-reads files instead
+    of recomputing, and the optimizer sees the table's true size. Plan constraints do not pile up
+    over the rounds of an iteration, as they do when a checkpointed plan is extended again and again.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-            folder = tempfile.mkdtemp(prefix="cellcast-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = scratch_folder(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder for intermediate tables, on the storage the cluster shares for checkpoints."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root is None:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")

@@ -81,7 +81,7 @@ def a21(spark, sf):
 
 SQL["sea_levels"] = "SELECT cell_id, member, year, floor((avg(value) - 25) * 20 + 0.1234567e0) / 100 AS level FROM annual GROUP BY 1, 2, 3"
 SQL["exposure"] = """
-    WITH c AS (SELECT bin, -30e0 + (bin + 0.5e0) * 0.05e0 AS x, sum(n) AS n FROM elev_hist GROUP BY 1),
+    WITH c AS (SELECT g.b AS bin, round(-30e0 + (g.b + 0.5e0) * 0.05e0, 9) AS x, coalesce(sum(h.n), 0) AS n FROM generate_series(600, 799) g(b) LEFT JOIN elev_hist h ON h.bin = g.b GROUP BY 1),
     k AS (SELECT x, 99e0 - 97e0 * sum(n) OVER (ORDER BY bin) / sum(n) OVER () AS p FROM c WHERE x > 0 AND x < 10),
     s AS (SELECT x, p, lead(x) OVER (ORDER BY x) AS nx, lead(p) OVER (ORDER BY x) AS np FROM k),
     l AS (SELECT DISTINCT cell_id, level FROM sea_levels),
