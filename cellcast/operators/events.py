@@ -143,12 +143,13 @@ def calibration_curve(hist: DataFrame) -> DataFrame:
     """(bin, p): percentile of an elevation above sea level, from the pooled baseline distribution.
 
     Fixed once, one row for each of the 200 bins between sea level and 10 m, empty ones included.
+    Without any land in that band there is no curve and `p` is NULL.
     """
     axis = hist.sparkSession.range(FIRST_BAND, FIRST_BAND + N_BAND).select(F.col("id").cast("int").alias("bin"))
     pooled = hist.groupBy("bin").agg(F.sum("n").alias("_n"))
     band = axis.join(pooled, "bin", "left").select("bin", F.coalesce("_n", F.lit(0)).alias("_n"))
     whole = W.partitionBy(F.lit(0))
-    share = F.sum("_n").over(whole.orderBy("bin")) / F.sum("_n").over(whole)
+    share = F.sum("_n").over(whole.orderBy("bin")) / F.nullif(F.sum("_n").over(whole), F.lit(0))
     return band.select("bin", (P_HI - (P_HI - P_LO) * share).alias("p"))
 
 
