@@ -174,19 +174,19 @@ def relative_percentile(relative: Column, curve: Column) -> Column:
 def coastal_exposure(hist: DataFrame, totals: DataFrame, curve: DataFrame, levels: DataFrame, cell: str = "cell_id") -> DataFrame:
     """Exposed share and area-weighted percentile per cell and water level.
 
-    `levels` has rows (cell, level_id..., level); bins at or below the level are exposed. The join is
-    on the cell, and a cell has at most as many bins as the histogram.
+    `levels` has rows (cell, level_id..., level); bins at or below the level are exposed. A cell's
+    histogram is one array of at most 800 bins, so a level meets its cell as one row.
     """
     ordered = F.array_sort(F.collect_list(F.struct("bin", "p")))
     knots = curve.select(F.transform(ordered, lambda k: k["p"])).scalar()
     ids = [c for c in levels.columns if c != cell]
-    distinct = levels.select(cell, "level").distinct()
-    met = distinct.join(hist, cell, "left").withColumn("_k", knots)
-    centre = bin_centre(F.col("bin"))
-    p = relative_percentile(F.round(centre - F.col("level"), 9), F.col("_k"))
-    sums = met.groupBy(cell, "level").agg(
-        F.coalesce(F.sum(F.when(F.round(centre - F.col("level"), 9) <= 0, F.col("n_expo"))), F.lit(0)).alias("_expo"),
-        F.coalesce(F.sum(F.col("n") * p), F.lit(0.0)).alias("_num"),
+    bins = hist.groupBy(cell).agg(F.array_sort(F.collect_list(F.struct("bin", "n", "n_expo"))).alias("_h"))
+    met = levels.select(cell, "level").distinct().join(bins, cell, "left").withColumn("_k", knots)
+    relative = lambda h: F.round(bin_centre(h["bin"]) - F.col("level"), 9)
+    flooded = F.aggregate("_h", F.lit(0).cast("long"), lambda a, h: a + F.when(relative(h) <= 0, h["n_expo"]).otherwise(0))
+    weighted = F.aggregate("_h", F.lit(0.0), lambda a, h: a + h["n"] * relative_percentile(relative(h), F.col("_k")))
+    sums = met.select(
+        cell, "level", F.coalesce(flooded, F.lit(0)).alias("_expo"), F.when(F.col("_h").isNull(), 0.0).otherwise(weighted).alias("_num")
     )
     land = F.nullif(F.col("n_land"), F.lit(0))
     out = sums.join(totals, cell).select(

@@ -8,6 +8,7 @@ table of `ranges` rows per key). Any number of rows on one key or one value stay
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -48,10 +49,15 @@ def cumulative_counts(
     distinct = cut_lineage(df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(count.cast("long").alias("n")))
     cuts = distinct.agg(
         F.percentile_approx(value, [i / ranges for i in range(1, ranges)], 10_000).alias("cuts")
-    ).scalar()
-    split = distinct.withColumn("_cuts", cuts).withColumn(
-        "_range", F.size(F.filter("_cuts", lambda c: c < F.col(value)))
-    ).drop("_cuts")
+    )
+    # two-level search: every step-th cut first, then the step cuts after the last one passed
+    step = math.isqrt(ranges - 1) + 1
+    coarse = F.filter("cuts", lambda _, i: (i + 1) % step == 0)
+    below = lambda cut: cut < F.col(value)
+    split = distinct.withColumn("_cuts", cuts.select(F.struct("cuts", coarse.alias("coarse"))).scalar())
+    split = split.withColumn("_at", F.size(F.filter("_cuts.coarse", below)) * step)
+    within = F.size(F.filter(F.slice("_cuts.cuts", F.col("_at") + 1, F.lit(step)), below))
+    split = split.withColumn("_range", F.col("_at") + within).drop("_cuts", "_at")
     totals = split.groupBy(*by, "_range").agg(F.sum("n").alias("_in_range"))
     over_ranges = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
     totals = totals.select(
@@ -81,13 +87,15 @@ def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], by: Sequence
     """(by..., q, quantile) with linear interpolation; safe for one key holding most rows."""
     by = list(by)
     counts = cumulative_counts(df, value, by)
-    probes = counts.withColumn("q", F.explode(F.array(*[F.lit(float(q)) for q in qs])))
-    position = F.col("q") * (F.col("n_total") - 1)
+    rank = lambda q: q * (F.col("n_total") - 1)
+    hit = lambda r: (F.col("n_below") <= r) & (r < F.col("n_upto"))
+    # only the levels that fall on a row are expanded, so rows are not multiplied by the levels
+    levels = F.filter(F.array(*[F.lit(float(q)) for q in qs]), lambda q: hit(F.floor(rank(q))) | hit(F.ceil(rank(q))))
+    probes = counts.withColumn("q", F.explode(levels))
+    position = rank(F.col("q"))
     lower, upper = F.floor(position), F.ceil(position)
-    hit = lambda rank: (F.col("n_below") <= rank) & (rank < F.col("n_upto"))
     picked = (
-        probes.where(hit(lower) | hit(upper))
-        .groupBy(*by, "q")
+        probes.groupBy(*by, "q")
         .agg(
             F.max(F.when(hit(lower), F.col(value))).alias("_lo"),
             F.max(F.when(hit(upper), F.col(value))).alias("_hi"),
