@@ -102,10 +102,10 @@ def q3(spark, sf):
 
 
 @query("q3_recomputed_values", """
-    SELECT asset_id, layer_id, scenario, decade FROM layer_values WHERE value IS NOT NULL AND asset_id % 17 = 5 AND n_members > 4""")
+    SELECT asset_id, layer_id, scenario, decade FROM layer_values WHERE value > 28.123 AND n_members > 4""")
 def q3_recompute(spark, sf):
     v = table(spark, sf, "layer_values")
-    wrong = F.when((F.col("asset_id") % 17 == 5) & (F.col("n_members") > 4), F.col("value") + 1e-6).otherwise(F.col("value"))
+    wrong = F.when((F.col("value") > 28.123) & (F.col("n_members") > 4), F.col("value") + 1e-6).otherwise(F.col("value"))
     keys = ["asset_id", "layer_id", "scenario", "decade"]
     return quality.mismatches(v.withColumn("value", wrong), v, keys, ["value", "percentile"])
 
@@ -185,21 +185,22 @@ def q10(spark, sf):
 
 
 @query("q11_scenario_symmetry", """
-    WITH m AS (SELECT DISTINCT CAST(l_partkey AS VARCHAR) AS member, CASE l_linenumber % 3 WHEN 0 THEN 'ssp126' WHEN 1 THEN 'ssp370' ELSE 'ssp585' END AS scenario FROM {lineitem} WHERE l_quantity > 40)
+    WITH m AS (SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS member, CASE l_linenumber % 3 WHEN 0 THEN 'ssp126' WHEN 1 THEN 'ssp370' ELSE 'ssp585' END AS scenario FROM {lineitem})
     SELECT member, string_agg(scenario, ';' ORDER BY scenario) AS scenarios FROM m GROUP BY 1 HAVING count(*) < 3""")
 def q11(spark, sf):
-    li = base(spark, sf, "lineitem").where("l_quantity > 40")
+    li = base(spark, sf, "lineitem")
     scen = F.when(F.col("l_linenumber") % 3 == 0, "ssp126").when(F.col("l_linenumber") % 3 == 1, "ssp370").otherwise("ssp585")
-    return quality.scenario_symmetry(li.select(F.col("l_partkey").cast("string").alias("member"), scen.alias("scenario")))
+    return quality.scenario_symmetry(li.select(F.col("l_orderkey").cast("string").alias("member"), scen.alias("scenario")))
 
 
 @query("q11_attributes_must_match", """
-    SELECT p_brand AS layer_id, 'units' AS attribute, count(DISTINCT p_type) AS n_values FROM {part} WHERE p_size > 48 GROUP BY 1 HAVING count(DISTINCT p_type) > 1
-    UNION ALL SELECT p_brand, 'direction', count(DISTINCT p_size % 2) FROM {part} WHERE p_size > 48 GROUP BY 1 HAVING count(DISTINCT p_size % 2) > 1""")
+    SELECT concat(p_brand, '-', CAST(p_size AS VARCHAR)) AS layer_id, 'units' AS attribute, count(DISTINCT p_type) AS n_values FROM {part} GROUP BY 1 HAVING count(DISTINCT p_type) > 1
+    UNION ALL SELECT concat(p_brand, '-', CAST(p_size AS VARCHAR)), 'direction', count(DISTINCT p_retailprice > 930) FROM {part} GROUP BY 1 HAVING count(DISTINCT p_retailprice > 930) > 1""")
 def q11_attributes(spark, sf):
-    p = base(spark, sf, "part").where("p_size > 48")
-    attrs = p.select("p_brand", F.explode(F.create_map(F.lit("units"), "p_type", F.lit("direction"), (F.col("p_size") % 2).cast("string"))).alias("attribute", "value"))
-    return quality.attributes_must_match(attrs.withColumnRenamed("p_brand", "layer_id"))
+    layer_id = F.concat_ws("-", "p_brand", F.col("p_size").cast("string")).alias("layer_id")
+    declared = F.create_map(F.lit("units"), F.col("p_type"), F.lit("direction"), (F.col("p_retailprice") > 930).cast("string"))
+    attrs = base(spark, sf, "part").select(layer_id, F.explode(declared).alias("attribute", "value"))
+    return quality.attributes_must_match(attrs)
 
 
 @query("q12_reference_site_table", """

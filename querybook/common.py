@@ -10,6 +10,3 @@ def rounded(df: DataFrame, *columns: str, n: int = 6) -> DataFrame:
     """Round float columns so both engines print the same value."""
     return df.withColumns({c: F.round(c, n) for c in columns})
 
-
-def longs(df: DataFrame, *columns: str) -> DataFrame:
-    return df.withColumns({c: F.col(c).cast("long") for c in columns})

@@ -159,11 +159,11 @@ def r11(spark, sf):
 
 
 @query("r12_coverage_summary", """
-    WITH t AS (SELECT DISTINCT p_brand AS family, concat('L', CAST(p_size % 9 AS VARCHAR)) AS layer_id FROM {part} WHERE p_size > 44)
+    WITH t AS (SELECT DISTINCT concat(p_brand, '-', CAST(p_size AS VARCHAR)) AS family, concat('L', CAST(p_size % 9 AS VARCHAR)) AS layer_id FROM {part})
     SELECT t.family, bool_or(v.layer_id IS NOT NULL) AS covered, coalesce(string_agg(v.layer_id, ';' ORDER BY v.layer_id), '') AS layers
     FROM t LEFT JOIN (SELECT DISTINCT layer_id FROM layer_values) v ON v.layer_id = t.layer_id GROUP BY 1""")
 def r12(spark, sf):
-    tax = base(spark, sf, "part").where("p_size > 44").groupBy(F.col("p_brand").alias("family")).agg(
+    tax = base(spark, sf, "part").groupBy(F.concat_ws("-", "p_brand", F.col("p_size").cast("string")).alias("family")).agg(
         F.collect_set(F.concat(F.lit("L"), (F.col("p_size") % 9).cast("string"))).alias("covered_by")
     )
     return portfolio.coverage_summary(tax, table(spark, sf, "layer_values"))
@@ -401,7 +401,7 @@ def _profiles(spark, sf):
     n = base(spark, sf, "nation").join(base(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     states = F.when(F.first("r_regionkey") > 2, F.array().cast("array<string>")).otherwise(F.array(F.lit("Building "), F.lit("furniture")))
     profiles = n.groupBy(F.col("r_name").alias("profile_id")).agg(F.collect_list("n_name").alias("countries"), states.alias("states"))
-    anywhere = profiles.limit(1).select(
+    anywhere = spark.range(1).select(
         F.lit("OFFSHORE").alias("profile_id"), F.array().cast("array<string>").alias("countries"), F.array(F.lit("household")).alias("states")
     )
     state = F.when(F.col("site_id") % 4 == 0, F.lit(None)).otherwise(F.col("asset_type"))

@@ -11,7 +11,7 @@ from cellcast.sources import missing, naming, readers, sinks
 from querybook.common import rounded
 from querybook.layers import LAYER_FLOATS, LAYER_ROUNDED, built_layer
 from querybook.registry import query
-from querybook.standins import SQL, base, daily, table
+from querybook.standins import SQL, base, table
 
 
 @query("s1_read_annual", """
@@ -222,16 +222,16 @@ def p19(spark, sf):
 
 @query("p20_common_variant", """
     WITH p AS (SELECT DISTINCT model, gcm, scenario AS level, CASE WHEN d > 0.035 AND scenario <> 'ssp126' THEN 'a' ELSE 'b' END AS soc FROM (
-        SELECT l_returnflag AS model, CAST(l_suppkey AS VARCHAR) AS gcm, CASE l_linenumber % 3 WHEN 0 THEN 'ssp126' WHEN 1 THEN 'ssp370' ELSE 'ssp585' END AS scenario, l_discount AS d FROM {lineitem} WHERE l_quantity > 48) t),
+        SELECT l_returnflag AS model, CAST(l_orderkey AS VARCHAR) AS gcm, CASE l_linenumber % 3 WHEN 0 THEN 'ssp126' WHEN 1 THEN 'ssp370' ELSE 'ssp585' END AS scenario, l_discount AS d FROM {lineitem}) t),
     lv AS (SELECT model, gcm, count(DISTINCT level) AS n FROM p GROUP BY 1, 2),
     sp AS (SELECT model, gcm, soc, count(DISTINCT level) AS n FROM p GROUP BY 1, 2, 3),
     sh AS (SELECT s.model, s.gcm, min(s.soc) AS soc FROM sp s JOIN lv ON s.model = lv.model AND s.gcm = lv.gcm AND s.n = lv.n GROUP BY 1, 2),
     b AS (SELECT model, gcm, level, min(soc) AS soc FROM p GROUP BY 1, 2, 3)
     SELECT b.model, b.gcm, b.level, coalesce(sh.soc, b.soc) AS soc, sh.soc IS NOT NULL AS shared FROM b LEFT JOIN sh ON b.model = sh.model AND b.gcm = sh.gcm""")
 def p20(spark, sf):
-    li = base(spark, sf, "lineitem").where("l_quantity > 48")
+    li = base(spark, sf, "lineitem")
     scen = F.when(F.col("l_linenumber") % 3 == 0, "ssp126").when(F.col("l_linenumber") % 3 == 1, "ssp370").otherwise("ssp585")
-    f = li.select(F.col("l_returnflag").alias("model"), F.col("l_suppkey").cast("string").alias("gcm"), scen.alias("level"), "l_discount")
+    f = li.select(F.col("l_returnflag").alias("model"), F.col("l_orderkey").cast("string").alias("gcm"), scen.alias("level"), "l_discount")
     f = f.withColumn("soc", F.when((F.col("l_discount") > 0.035) & (F.col("level") != "ssp126"), "a").otherwise("b"))
     return filters.common_variant(f, "level", ["a", "b"])
 

@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from cellcast.functions.scalar import cell_area_km2
 from cellcast.operators import grids, spatial
-from querybook.common import longs, rounded
+from querybook.common import rounded
 from querybook.layers import annual_panel
 from querybook.registry import query
 from querybook.sources import HAVERSINE
-from querybook.standins import SQL, base, table
+from querybook.standins import SQL, table
 
 SQL["dlonsites"] = "SELECT s.site_id, s.lat, s.lon FROM sites s"
 SQL["site_cells"] = """
