@@ -33,11 +33,11 @@ def legacy_quantile_index(panel: DataFrame, baseline: DataFrame, value: str = "m
     """Step index 1..99 against the baseline's 99 quantiles, for more-is-bad and less-is-bad layers."""
     levels = [i / 100 for i in range(1, 100)]
     cuts = exact_quantiles(baseline, value, levels).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("q", "quantile"))), lambda s: s["quantile"])
+        F.transform(F.array_sort(F.collect_list(F.struct("q", "quantile"))), lambda s: F.round(s["quantile"], 9))
     )
     with_cuts = panel.withColumn("_q", cuts.scalar())
-    above = F.size(F.filter(F.slice("_q", 2, 98), lambda q: F.col(value) > q))
-    below = F.size(F.filter("_q", lambda q: F.col(value) < q))
+    above = F.size(F.filter(F.slice("_q", 2, 98), lambda q: F.round(value, 9) > q))
+    below = F.size(F.filter("_q", lambda q: F.round(value, 9) < q))
     have = F.col(value).isNotNull()
     return with_cuts.withColumns(
         {

@@ -177,9 +177,9 @@ LEVELS = ", ".join(str(i / 100) for i in range(1, 100))
 
 
 @query("w17_legacy_quantile_index", """
-    WITH a AS (SELECT quantile_cont(median, [""" + LEVELS + """]) AS v FROM base_median), q AS (SELECT unnest(v) AS v, generate_subscripts(v, 1) AS i FROM a)
-    SELECT p.scenario, p.decade, p.cell_id, (SELECT greatest(1, 1 + count(*)) FROM q WHERE i >= 2 AND p.median > v) AS more_is_bad,
-           (SELECT greatest(1, count(*)) FROM q WHERE p.median < v) AS less_is_bad FROM panel p""")
+    WITH a AS (SELECT quantile_cont(median, [""" + LEVELS + """]) AS v FROM base_median), q AS (SELECT round(unnest(v), 9) AS v, generate_subscripts(v, 1) AS i FROM a)
+    SELECT p.scenario, p.decade, p.cell_id, (SELECT greatest(1, 1 + count(*)) FROM q WHERE i >= 2 AND round(p.median, 9) > v) AS more_is_bad,
+           (SELECT greatest(1, count(*)) FROM q WHERE round(p.median, 9) < v) AS less_is_bad FROM panel p""")
 def w17(spark, sf):
     from cellcast.operators.compare import legacy_quantile_index
 

@@ -26,7 +26,7 @@ def layer_sql(src, central="median", mode="pool_all", rank="two_tier", side="<="
     base_src = "lp WHERE decade = 1995"
     if mode == "member_mean_first":
         base_src = f"(SELECT {b}member, cell_id, year, avg(v) AS v FROM lp WHERE decade = 1995 GROUP BY ALL) mm"
-    n_all, n_pos = "t.n", "(t.n - t.z)"
+    n_all, n_pos = "nullif(t.n, 0)", "(t.n - t.z)"
     hits_r = f"(SELECT count(*) FROM lb x WHERE x.median <= p.median{on('x', 'p')})"
     hits_l = f"(SELECT count(*) FROM lb x WHERE x.median < p.median{on('x', 'p')})"
     pos = f"(SELECT count(*) FROM lb x WHERE x.median > 0 AND x.median {side} p.median{on('x', 'p')})"
@@ -37,7 +37,7 @@ def layer_sql(src, central="median", mode="pool_all", rank="two_tier", side="<="
         pct = f"CASE WHEN t.zero / t.n > 0.02 THEN {two} ELSE 100.0 * {hits_l} / {n_all} END"
     else:
         pct = f"CASE WHEN t.zero / t.n >= 0.02 THEN {two} ELSE {one} END"
-    pct = f"CASE WHEN p.median IS NOT NULL THEN {pct} END"
+    pct = f"CASE WHEN p.median IS NOT NULL AND t.n > 0 THEN {pct} END"
     if higher:
         pct = f"greatest(1, least(100, 101 - ({pct})))"
     return f"""
@@ -313,7 +313,7 @@ def h14(spark, sf):
 @query("h15_compare_indices", """
     WITH p AS (SELECT a.month AS value_type, a.year AS decade, a.v AS o, b.v AS n FROM (SELECT cell_id, year, month, round(avg(value), 9) AS v FROM monthly WHERE scenario = 'ssp126' GROUP BY 1, 2, 3) a JOIN (SELECT cell_id, year, month, round(avg(value), 9) AS v FROM monthly WHERE scenario = 'ssp585' GROUP BY 1, 2, 3) b USING (cell_id, year, month)),
     r AS (SELECT *, rank() OVER (PARTITION BY value_type, decade ORDER BY o) + (count(*) OVER (PARTITION BY value_type, decade, o) - 1) / 2e0 AS ra, rank() OVER (PARTITION BY value_type, decade ORDER BY n) + (count(*) OVER (PARTITION BY value_type, decade, n) - 1) / 2e0 AS rb FROM p)
-    SELECT 'ssp126' AS old_scenario, 'ssp585' AS new_scenario, value_type, decade, round(corr(o, n), 6) AS pearson_r, round(sqrt(avg(pow(n - o, 2))), 6) AS rmsd, round(avg(n - o), 6) AS bias, count(*) AS n_valid, round(corr(ra, rb), 6) AS spearman_r FROM r GROUP BY value_type, decade""")
+    SELECT 'ssp126' AS old_scenario, 'ssp585' AS new_scenario, value_type, decade, CASE WHEN count(*) > 1 THEN round(corr(o, n), 6) END AS pearson_r, round(sqrt(avg(pow(n - o, 2))), 6) AS rmsd, round(avg(n - o), 6) AS bias, count(*) AS n_valid, CASE WHEN count(*) > 1 THEN round(corr(ra, rb), 6) END AS spearman_r FROM r GROUP BY value_type, decade""")
 def h15(spark, sf):
     from cellcast.operators.delivery import paired_layers
 

@@ -59,7 +59,12 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
             raise ValueError(f"duplicate query {name}")
         QUERIES[name] = fn
         if sql is not None:
-            ORACLES[name] = for_duckdb(expand(sql))
+            ORACLES[name] = sql
         return fn
 
     return register
+
+
+def oracles() -> dict[str, str]:
+    """DuckDB text of every query that has one; expanded once all stand-ins are known."""
+    return {name: for_duckdb(expand(sql)) for name, sql in ORACLES.items()}

@@ -279,9 +279,10 @@ SQL["fits"] = """
     SELECT cell_id, run_id, n, 1 - sqrt(pow(r - 1, 2) + pow(a - 1, 2) + pow(b - 1, 2)) AS kge, nse, mae, 1 - (1 - r * r) * (n - 1) / nullif(n - 2, 0) AS adj_r2 FROM g"""
 
 
-@query("a32_goodness_of_fit", "SELECT cell_id, run_id, n, round(kge, 6) AS kge, round(nse, 6) AS nse, round(mae, 6) AS mae, round(adj_r2, 6) AS adj_r2 FROM fits")
+@query("a32_goodness_of_fit", "SELECT cell_id, run_id, n, round(kge, 6) AS kge, round(nse, 6) AS nse, round(mae, 4) AS mae, round(adj_r2, 6) AS adj_r2 FROM fits")
 def a32(spark, sf):
-    return rounded(hydrology.goodness_of_fit(table(spark, sf, "runs"), ["cell_id", "run_id"]), "kge", "nse", "mae", "adj_r2")
+    out = hydrology.goodness_of_fit(table(spark, sf, "runs"), ["cell_id", "run_id"])
+    return rounded(rounded(out, "kge", "nse", "adj_r2"), "mae", n=4)
 
 
 @query("t5_best_parameters", """
