@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellcast.llm import snapshots, target_ratio, url_trees
+from cellcast.llm import packing, range_coder, snapshots, target_ratio, url_trees
+from cellcast.session import scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,6 +29,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def word_bpe() -> str:
+    """The tokenizer file on this machine; the same package is installed on every executor."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op2_range_coder")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_folder(spark, "ids")
+    range_coder.write_ids(table(spark, sf_dir, "documents"), folder, word_bpe(), end_id=2)
+    return range_coder.read_ids(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 URL_RULES = [
     url_trees.Rule("allow", "com", "/"),
     url_trees.Rule("block", "example.com", "/en/"),
@@ -42,6 +57,12 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_trees.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+@query("op7_vector_packing")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack_documents(table(spark, sf_dir, "documents"), word_bpe(), end_id=1)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 @query("op8_snapshot_collapse", """
     WITH c AS (SELECT conv_id, count(*) AS n_turns,
                       list(struct_pack(r := coalesce(role, ''), t := coalesce(text, '')) ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
