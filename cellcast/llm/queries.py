@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellcast.llm import packing, range_coder, snapshots, target_ratio, url_trees
+from cellcast.llm import packing, range_coder, snapshots, target_ratio, toxicity, url_trees
+from cellcast.llm.rows import fold
 from cellcast.session import scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +58,16 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_trees.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+@query("op6_counterfactual_toxicity")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(fold("doc_id", 5) != 0)
+    scored = toxicity.score_toxicity(docs, toxicity.fit_toxicity(docs, labels))
+    held_out = F.coalesce(fold("doc_id", 5) == 0, F.lit(False))
+    score = F.col("toxicity_score")
+    return scored.select("doc_id", held_out.alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))
+
+
 @query("op7_vector_packing")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack_documents(table(spark, sf_dir, "documents"), word_bpe(), end_id=1)
