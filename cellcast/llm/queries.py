@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellcast.llm import packing, range_coder, snapshots, target_ratio, toxicity, url_trees
-from cellcast.llm.rows import fold
+from cellcast.llm import lattice, packing, range_coder, snapshots, target_ratio, toxicity, url_trees
+from cellcast.llm.rows import documents, fold
 from cellcast.session import scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,17 @@ def word_bpe() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@query("op1_subword_lattice")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    held_out = F.coalesce(fold("doc_id", 10) == 0, F.lit(False))
+    docs = documents(table(spark, sf_dir, "documents"))
+    model = lattice.fit_lattice(docs.select("text", (~held_out).alias("train")), public_tokenizers.path("piece_bpe_32k.model"))
+    scored = lattice.score_lattice(docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query("op2_range_coder")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_folder(spark, "ids")
