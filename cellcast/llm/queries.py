@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellcast.llm import lattice, packing, range_coder, snapshots, target_ratio, toxicity, url_trees
+from cellcast.llm import edit_walk, lattice, packing, range_coder, snapshots, target_ratio, toxicity, url_trees
 from cellcast.llm.rows import documents, fold
 from cellcast.session import scratch_folder
 
@@ -99,6 +99,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshots.collapse_snapshots(table(spark, sf_dir, "conversations"))
 
 
+@query("op9_edit_walk_leaks")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_walk.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op10_target_ratio")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
