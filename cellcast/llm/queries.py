@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellcast.llm import edit_walk, lattice, packing, range_coder, set_join, snapshots, target_ratio, toxicity, url_trees
+from cellcast.llm import edit_walk, lattice, packing, range_coder, set_join, snapshots, suffixes, target_ratio, toxicity, url_trees
 from cellcast.llm.rows import documents, fold
 from cellcast.session import scratch_folder
 
@@ -69,6 +69,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_trees.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+@query("op4_sparse_suffixes")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.repeated_spans(table(spark, sf_dir, "documents")).select("doc_id", "copy", "start_word", "end_word")
+
+
 @query("op5_set_relation_join")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = set_join.join_sets(table(spark, sf_dir, "documents"), set_join.Similarity(words=3, share=90))
