@@ -92,7 +92,7 @@ def _frequent(words: int):
     return run
 
 
-_SETS = "key long, doc_id long, f1 long, f2 long, size int, prefix array<long>"
+_SETS = "key long, doc_id long, f long, f1 long, f2 long, size int, prefix array<long>"
 
 
 def _sets(sim: Similarity, shared):
@@ -121,8 +121,8 @@ def _sets(sim: Similarity, shared):
                     np.cumsum(mix(h + _U(salt)), out=total[1:])
                     prints.append(pa.array((total[at[1:]] - total[at[:-1]]).view(np.int64)))
                 lists = pa.ListArray.from_arrays(pa.array(borders), pa.array(prefix.view(np.int64)))
-                columns = [pa.array(key + np.arange(j - i)), b.column("doc_id").slice(i, j - i), *prints, pa.array(size.astype(np.int32)), lists]
-                yield pa.RecordBatch.from_arrays(columns, names=["key", "doc_id", "f1", "f2", "size", "prefix"])
+                columns = [pa.array(key + np.arange(j - i)), b.column("doc_id").slice(i, j - i), b.column("f").slice(i, j - i), *prints, pa.array(size.astype(np.int32)), lists]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "doc_id", "f", "f1", "f2", "size", "prefix"])
                 key += j - i
 
     return run
@@ -216,7 +216,9 @@ def _remaining_pairs(postings: DataFrame, sets: DataFrame, sim: Similarity) -> D
 
 
 def join_sets(docs: DataFrame, sim: Similarity = Similarity(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, n_shingles, class (rows with equal sets share it), component_id.
+    """One row per input row: doc_id, f, n_shingles, class, component, component_id.
+
+    Rows with equal sets share `class`, linked ones `component` (null without words); `f` is the text's hash.
 
     component_id is the smallest doc_id that a document reaches by links, itself included. A text without
     words, or null, has no shingles and links with nothing. Repeated rows are documents of their own and
@@ -224,7 +226,7 @@ def join_sets(docs: DataFrame, sim: Similarity = Similarity(), id_col: str = "do
     table gives none. No link between different components of a round is ever skipped.
     """
     spark = docs.sparkSession
-    rows = documents(docs, id_col, text_col)
+    rows = documents(docs, id_col, text_col).withColumn("f", F.xxhash64("text"))
     counts = rows.select("text").mapInArrow(_frequent(sim.words), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
     top = counts.orderBy(F.desc("n"), "h").limit(MAX_FREQUENT).toPandas()  # MAX_FREQUENT rows at most
     h, n = top["h"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)
@@ -251,7 +253,26 @@ def join_sets(docs: DataFrame, sim: Similarity = Similarity(), id_col: str = "do
         postings = cut_lineage(_still_open(relabel(postings, "label", merged)))
     named = relabel(classes.withColumn("label", F.col("c")), "label", labels)
     smallest = named.groupBy("label").agg(F.min("least_id").alias("component_id"))
-    of_class = named.join(smallest, "label").select("f1", "f2", F.col("c").alias("class"), "component_id")
+    of_class = named.join(smallest, "label").select("f1", "f2", F.col("c").alias("class"), F.col("label").alias("component"), "component_id")
     joined = sets.drop("prefix").join(of_class, ["f1", "f2"], "left")
     own = F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return joined.select("doc_id", F.col("size").cast("long").alias("n_shingles"), "class", own.alias("component_id"))
+    return joined.select("doc_id", "f", F.col("size").cast("long").alias("n_shingles"), "class", "component", own.alias("component_id"))
+
+
+def keep_representatives(docs: DataFrame, sim: Similarity = Similarity(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of `docs`, all columns, that stand for their component: the smallest doc_id of each (null ids last).
+
+    Texts without words link with nothing and stay. Of rows equal in id and text one stays.
+    """
+    joined = join_sets(docs, sim, id_col, text_col)
+    # no null in a join key: null ids are told apart from the smallest id by the text's hash
+    key = lambda c: F.coalesce(c, F.lit(-(1 << 63)))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "f")
+    lead = joined.where("component IS NOT NULL").groupBy("component").agg(F.min(order).alias("r")).select("r.doc_id", "r.f")
+    kept = lead.unionByName(joined.where("component IS NULL").select("doc_id", "f")).select(key(F.col("doc_id")).alias("_k"), F.col("f").alias("_f")).distinct()
+    own = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    work = docs.select(*own, key(F.col(id_col).cast("long")).alias("_k"), F.xxhash64(text).alias("_f"))
+    one = W.partitionBy("_k", "_f").orderBy("_f")
+    found = work.join(kept, ["_k", "_f"], "left_semi").withColumn("_n", F.row_number().over(one)).where("_n = 1")
+    return found.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
