@@ -162,11 +162,12 @@ def sigfig(x: Column | str, n: int = 4) -> Column:
 
 
 def percentile_direction(declared: Column | str, variable: Column | str) -> Column:
-    """The declared direction, else that of the name's prefix, else 'unknown'."""
-    prefix = F.split_part(_col(variable), F.lit("-"), F.lit(1))
-    known = F.when(prefix.isin(HIGHER_IS_BETTER), "higher_is_better").when(
-        prefix.isin(HIGHER_IS_WORSE), "higher_is_worse"
-    )
+    """The declared direction, else that of the longest known prefix of the name's parts, else 'unknown'."""
+    name = F.concat(_col(variable), F.lit("-"))
+    known = F.lit(None).cast("string")
+    directions = {**dict.fromkeys(HIGHER_IS_BETTER, "higher_is_better"), **dict.fromkeys(HIGHER_IS_WORSE, "higher_is_worse")}
+    for prefix in sorted(directions, key=len):  # the longest is asked first
+        known = F.when(name.startswith(prefix + "-"), directions[prefix]).otherwise(known)
     return F.coalesce(_col(declared), known, F.lit("unknown"))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -14,6 +15,11 @@ def _gammln(a: np.ndarray) -> np.ndarray:
     return np.array([math.lgamma(x) for x in a])
 
 
+def _terms(a: np.ndarray) -> int:
+    """Terms that both expansions need at most near x = a, where they are slowest: some multiples of sqrt(a)."""
+    return int(500 + 40 * math.sqrt(float(np.max(a))))
+
+
 def regularized_gamma(a: np.ndarray, x: np.ndarray) -> np.ndarray:
     """P(a, x) by its power series below a+1 and by the continued fraction above."""
     a, x = np.broadcast_arrays(np.asarray(a, float), np.asarray(x, float))
@@ -24,12 +30,14 @@ def regularized_gamma(a: np.ndarray, x: np.ndarray) -> np.ndarray:
         aa, xx = a[small], x[small]
         term = total = 1.0 / aa
         k = aa.copy()
-        for _ in range(2000):
+        for _ in range(_terms(aa)):
             k = k + 1
             term = term * xx / k
             total = total + term
             if np.all(np.abs(term) < np.abs(total) * 1e-16):
                 break
+        else:
+            raise ArithmeticError("the incomplete gamma series has not converged")
         out[small] = front[small] * total
     big = x >= a + 1
     if big.any():
@@ -39,7 +47,7 @@ def regularized_gamma(a: np.ndarray, x: np.ndarray) -> np.ndarray:
         c = np.full_like(xx, 1 / tiny)
         d = 1 / b
         h = d.copy()
-        for i in range(1, 2000):
+        for i in range(1, _terms(aa)):
             an = -i * (i - aa)
             b = b + 2
             d = an * d + b
@@ -51,19 +59,28 @@ def regularized_gamma(a: np.ndarray, x: np.ndarray) -> np.ndarray:
             h = h * step
             if np.all(np.abs(step - 1) < 1e-15):
                 break
+        else:
+            raise ArithmeticError("the incomplete gamma fraction has not converged")
         out[big] = 1 - front[big] * h
     return out
 
 
 def gamma_ppf(q: float, a: np.ndarray) -> np.ndarray:
-    """Quantile of Gamma(shape a, rate 1) by bisection on a bracket that surely holds it."""
+    """Quantile of Gamma(shape a, rate 1): Newton steps, kept in a bracket that surely holds it."""
     a = np.asarray(a, float)
     lo, hi = np.zeros_like(a), a + 20 * np.sqrt(a) + 50
+    x, log_norm = np.clip(a, 1e-3, None), _gammln(a.ravel()).reshape(a.shape)
     for _ in range(200):
-        mid = 0.5 * (lo + hi)
-        below = regularized_gamma(a, mid) < q
-        lo, hi = np.where(below, mid, lo), np.where(below, hi, mid)
-    return 0.5 * (lo + hi)
+        over = regularized_gamma(a, x) - q
+        lo, hi = np.where(over < 0, x, lo), np.where(over < 0, hi, x)
+        density = np.exp((a - 1) * np.log(x) - x - log_norm)
+        with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
+            step = x - over / density
+        new = np.where((step > lo) & (step < hi), step, 0.5 * (lo + hi))
+        if np.all(np.abs(new - x) <= 1e-14 * np.maximum(x, 1e-300)):
+            return new
+        x = new
+    return x
 
 
 def gamma_quantile(q: float):
@@ -82,63 +99,27 @@ def lgamma(x: pd.Series) -> pd.Series:
     return x.map(math.lgamma)
 
 
-def _median_pair_slope(x: np.ndarray, y: np.ndarray) -> float | None:
-    """Exact median of all pairwise slopes between different years."""
-    order = np.argsort(x, kind="stable")
-    x, y = x[order], y[order]
-    years, starts = np.unique(x, return_index=True)
-    if len(years) < 2:
-        return None
-    groups = [np.sort(g) for g in np.split(y, starts[1:])]
-    if len(x) <= 2000:
-        i, j = np.triu_indices(len(x), k=1)
-        gap = x[j] - x[i]
-        keep = gap > 0
-        return float(np.median((y[j][keep] - y[i][keep]) / gap[keep]))
-    return _select_pair_slope(years, groups)
+@lru_cache(maxsize=8)
+def _pair_layout(years: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, gap) of all pairs of different years; most cells share one layout."""
+    x = np.frombuffer(years)
+    i, j = np.triu_indices(len(x), k=1)
+    gap = x[j] - x[i]
+    keep = gap > 0
+    return i[keep].astype(np.int32), j[keep].astype(np.int32), gap[keep]
 
 
-def _select_pair_slope(years: np.ndarray, groups: list[np.ndarray]) -> float:
-    """The same median in memory linear in the number of points.
+def _median_pair_slope(x: np.ndarray, y: np.ndarray) -> float | None:
+    """Exact median of all pairwise slopes between different years.
 
-    Pairs are counted, not built: for a trial slope, each later year's sorted values are searched
-    for the value every earlier point would reach. Bisection closes in on the two middle slopes.
+    All pairs are built: a stack holds members x years points by contract, some thousands at most.
     """
-    pairs = [(a, b) for a in range(len(years)) for b in range(a + 1, len(years))]
-    total = sum(len(groups[a]) * len(groups[b]) for a, b in pairs)
-
-    def upto(slope: float) -> int:
-        return sum(
-            int(np.searchsorted(groups[b], groups[a] + slope * (years[b] - years[a]), side="right").sum())
-            for a, b in pairs
-        )
-
-    def next_slope(slope: float) -> float:
-        best = math.inf
-        for a, b in pairs:
-            gap = years[b] - years[a]
-            k = np.searchsorted(groups[b], groups[a] + slope * gap, side="right")
-            ok = k < len(groups[b])
-            if ok.any():
-                best = min(best, float(((groups[b][k[ok]] - groups[a][ok]) / gap).min()))
-        return best
-
-    spread = max(g[-1] for g in groups) - min(g[0] for g in groups)
-
-    def kth(k: int) -> float:  # smallest slope with at least k pairs at or below it
-        lo, hi = -spread - 1.0, spread + 1.0
-        for _ in range(100):
-            mid = 0.5 * (lo + hi)
-            if mid in (lo, hi):
-                break
-            if upto(mid) >= k:
-                hi = mid
-            else:
-                lo = mid
-        return next_slope(lo)
-
-    half = total // 2
-    return kth(half + 1) if total % 2 else 0.5 * (kth(half) + kth(half + 1))
+    order = np.argsort(x, kind="stable")
+    i, j, gap = _pair_layout(x[order].tobytes())
+    if not len(gap):
+        return None
+    y = y[order]
+    return float(np.median((y[j] - y[i]) / gap, overwrite_input=True))
 
 
 @F.pandas_udf(DoubleType())

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellcast.functions.vectorized import theil_sen
-from cellcast.operators.ranking import average_ranks, counts_at, exact_quantiles, salted_lookup
+from cellcast.operators.ranking import average_ranks, counts_at, exact_quantiles, key_lookup
 
 
 def standardized_anomaly(panel: DataFrame, baseline: int, value: str = "median") -> DataFrame:
@@ -56,7 +56,7 @@ def spearman(pairs: DataFrame, a: str, b: str, keys: Sequence[str] = ()) -> Data
     both = _both(pairs, a, b).select(*keys, a, b)
     ra = average_ranks(both, a, keys).select(*keys, a, F.col("avg_rank").alias("_ra"))
     rb = average_ranks(both, b, keys).select(*keys, b, F.col("avg_rank").alias("_rb"))
-    ranked = salted_lookup(salted_lookup(both, ra, [*keys, a], [b]), rb, [*keys, b], [a])
+    ranked = key_lookup(key_lookup(both, ra, [*keys, a]), rb, [*keys, b])
     return ranked.groupBy(*keys).agg(F.corr("_ra", "_rb").alias("spearman_r"))
 
 
@@ -97,19 +97,21 @@ def anomalous_differences(pairs: DataFrame, n_sigma: float = 3.0, a: str = "old_
     far = F.abs(F.col("d") - stats.select("m").scalar()) > n_sigma * stats.select("s").scalar()
     out = diff.agg(F.avg("d").alias("diff_mean"), F.stddev_pop("d").alias("diff_std"), F.count("*").alias("n_valid"), F.count_if(far).alias("n_outliers"))
     usable = (F.col("n_valid") >= 10) & (F.col("diff_std") > 0)
+    enough = F.col("n_valid") >= 10
     return out.select(
-        "diff_mean", "diff_std", F.when(usable, F.col("n_outliers")).otherwise(0).alias("n_outliers"),
+        F.when(enough, F.col("diff_mean")).alias("diff_mean"), F.when(enough, F.col("diff_std")).alias("diff_std"), F.when(usable, F.col("n_outliers")).otherwise(0).alias("n_outliers"),
         F.when(usable, 100.0 * F.col("n_outliers") / F.col("n_valid")).otherwise(0.0).alias("outlier_pct"),
     )
 
 
 def ks_statistic(pairs: DataFrame, a: str = "old_value", b: str = "new_value") -> DataFrame:
-    """Largest distance between the two empirical distributions, over all values of both sides."""
+    """Largest distance between the two empirical distributions, over all values of both sides; NULL below ten values on a side."""
     x, y = pairs.select(F.col(a).alias("v")), pairs.select(F.col(b).alias("v"))
     every = x.unionByName(y)
-    fx = counts_at(every, x, "v").select("v", (F.col("n_upto") / F.col("n_total")).alias("_x"))
-    fy = counts_at(every, y, "v").select("v", (F.col("n_upto") / F.col("n_total")).alias("_y"))
-    return fx.join(fy, "v").agg(F.max(F.abs(F.col("_x") - F.col("_y"))).alias("ks_statistic"))
+    fx = counts_at(every, x, "v").select("v", (F.col("n_upto") / F.col("n_total")).alias("_x"), F.col("n_total").alias("_nx"))
+    fy = counts_at(every, y, "v").select("v", (F.col("n_upto") / F.col("n_total")).alias("_y"), F.col("n_total").alias("_ny"))
+    enough = (F.max("_nx") >= 10) & (F.max("_ny") >= 10)
+    return fx.join(fy, "v").agg(F.when(enough, F.max(F.abs(F.col("_x") - F.col("_y")))).alias("ks_statistic"))
 
 
 SUMMARY_LEVELS = [0.05, 0.25, 0.5, 0.75, 0.95]

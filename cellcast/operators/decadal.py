@@ -150,19 +150,15 @@ def theil_sen_from(pairs: str = "_pairs", flat: str = "_flat") -> Column:
 
 def sen_slope(
     annual: DataFrame, decades: Sequence[int], baseline: int, window: int = 10, value: str = "value",
-    keys: Sequence[str] = ("scenario", "cell_id"), max_points: int | None = None,
+    keys: Sequence[str] = ("scenario", "cell_id"),
 ) -> DataFrame:
     """Exact median pairwise slope per year over the expanding stack.
 
     Cells are handed to the vectorized function as array rows in Arrow batches, so one Python call
-    serves thousands of cells; a constant cell never leaves the JVM. `max_points` thins each stack
-    to a hash-chosen subset for quick looks and is off by default.
+    serves thousands of cells; a constant cell never leaves the JVM.
     """
     stack = _with_window_years(expanding_stack(annual, decades, baseline, window), keys)
     grouped = stack.groupBy(*keys, "decade").agg(*sen_columns(value))
-    if max_points is not None:
-        chosen = F.slice(F.array_sort(F.transform("_pairs", lambda p: F.struct(F.xxhash64(p["y"], p["v"]).alias("h"), p.alias("p")))), 1, max_points)
-        grouped = grouped.withColumn("_pairs", F.transform(chosen, lambda s: s["p"]))
     return grouped.select(*keys, "decade", theil_sen_from().alias("sen_slope"))
 
 

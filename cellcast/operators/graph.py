@@ -2,7 +2,7 @@
 
 Each round is a join and a grouped sum on cell keys; rounds grow with the logarithm of the depth.
 Each round ends in a stage table in the shared folder, so a lost executor costs one round at most.
-Pointers of many cells end on the same cell; the lookup of that cell is salted.
+Pointers of many cells end on the same cell; adaptive execution splits such joins.
 """
 
 from __future__ import annotations
@@ -11,16 +11,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellcast.operators.grids import neighbour_offsets, offset_table, wrapped
-from cellcast.operators.ranking import salted_lookup
+from cellcast.operators.ranking import key_lookup
 from cellcast.session import cut_lineage
 
 # Row and column step of each flow code, for rows counted northwards.
 D8_STEPS = {1: (0, 1), 2: (-1, 1), 3: (-1, 0), 4: (-1, -1), 5: (0, -1), 6: (1, -1), 7: (1, 0), 8: (1, 1)}
 
 
-def d8_edges(cells: DataFrame, n_cols: int, code: str = "flow", row: str = "grow", col: str = "gcol") -> DataFrame:
-    """(cell_id, next_id): the land cell each flow code points to; off-land is a sink (NULL)."""
-    step = F.create_map(*[x for k, (i, j) in D8_STEPS.items() for x in (F.lit(k), F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")))])[F.col(code).cast("int")]
+def d8_edges(cells: DataFrame, n_cols: int, northward: bool, code: str = "flow", row: str = "grow", col: str = "gcol") -> DataFrame:
+    """(cell_id, next_id): the land cell each flow code points to; off-land is a sink (NULL).
+
+    `northward` says whether row numbers grow to the north; the grids of this library count southwards.
+    """
+    sense = 1 if northward else -1
+    step = F.create_map(*[x for k, (i, j) in D8_STEPS.items() for x in (F.lit(k), F.struct(F.lit(sense * i).alias("i"), F.lit(j).alias("j")))])[F.col(code).cast("int")]
     aimed = cells.select(
         "cell_id", (F.col(row) + step["i"]).cast("int").alias("_r"), wrapped(F.col(col) + step["j"], n_cols).cast("int").alias("_c")
     )
@@ -44,7 +48,7 @@ def pointer_closure(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
             raise ValueError("the network is not acyclic")
         ahead = state.select(F.col("cell_id").alias("_p"), F.col("_p").alias("_pp"), F.col("depth").alias("_d"))
         moving = state.where("_p IS NOT NULL")
-        jumped = salted_lookup(moving, ahead, ["_p"], ["cell_id"]).select(
+        jumped = key_lookup(moving, ahead, ["_p"]).select(
             "cell_id", F.col("_pp").alias("_p"), (F.col("depth") + F.coalesce("_d", F.lit(0))).alias("depth")
         )
         state = cut_lineage(state.where("_p IS NULL").unionByName(jumped))
@@ -92,14 +96,18 @@ def accumulate_downstream(edges: DataFrame, payload: DataFrame, value: str = "pa
     by = list(by)
     pointers = cut_lineage(edges.select("cell_id", F.col("next_id").alias("_p")))
     sums = payload.select("cell_id", *by, value)
+    n, reach = pointers.count(), 1
     while True:
         moving = pointers.where("_p IS NOT NULL")
         if moving.isEmpty():
             return sums
+        if reach > n:
+            raise ValueError("the network is not acyclic")
+        reach *= 2
         shifted = sums.join(moving, "cell_id").select(F.col("_p").alias("cell_id"), *by, value)
         sums = cut_lineage(sums.unionByName(shifted).groupBy("cell_id", *by).agg(F.sum(value).alias(value)))
         ahead = pointers.select(F.col("cell_id").alias("_p"), F.col("_p").alias("_pp"))
-        jumped = salted_lookup(moving, ahead, ["_p"], ["cell_id"]).select("cell_id", F.col("_pp").alias("_p"))
+        jumped = key_lookup(moving, ahead, ["_p"]).select("cell_id", F.col("_pp").alias("_p"))
         pointers = cut_lineage(jumped.where("_p IS NOT NULL"))
 
 
@@ -118,7 +126,7 @@ def upstream_set(edges: DataFrame, outlets: DataFrame) -> DataFrame:
         if moving.isEmpty():
             return state.select("cell_id", F.col("_p").alias("outlet"))
         ahead = state.select(F.col("cell_id").alias("_p"), F.col("_p").alias("_pp"), F.col("_rest").alias("_r"))
-        jumped = salted_lookup(moving.select("cell_id", "_p"), ahead, ["_p"], ["cell_id"], how="inner").select(
+        jumped = key_lookup(moving.select("cell_id", "_p"), ahead, ["_p"], how="inner").select(
             "cell_id", F.col("_pp").alias("_p"), F.col("_r").alias("_rest")
         )
         state = cut_lineage(state.where("_rest").unionByName(jumped))
@@ -146,8 +154,8 @@ def connected_components(mask: DataFrame, n_cols: int = 720, eight: bool = True,
         # the best offer any member of a region received, per old label; then one jump along the hooks
         hooks = offered.groupBy("label").agg(F.min("_new").alias("_to"))
         onward = hooks.select(F.col("label").alias("_to"), F.col("_to").alias("_next"))
-        jumped = salted_lookup(hooks, onward, ["_to"], ["label"]).select("label", F.coalesce("_next", "_to").alias("_to"))
-        moved = salted_lookup(offered, jumped, ["label"], ["cell_id"])
+        jumped = key_lookup(hooks, onward, ["_to"]).select("label", F.coalesce("_next", "_to").alias("_to"))
+        moved = key_lookup(offered, jumped, ["label"])
         labels = cut_lineage(moved.select("cell_id", F.least("_new", "_to").alias("label")))
 
 

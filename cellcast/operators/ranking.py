@@ -22,16 +22,13 @@ def _range_count(df: DataFrame) -> int:
     return max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
-def salted_lookup(
-    df: DataFrame, lookup: DataFrame, keys: Sequence[str], spread: Sequence[str], salts: int = 16, how: str = "left"
-) -> DataFrame:
+def key_lookup(df: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Join a one-row-per-key lookup onto a table where a few keys may hold most rows.
 
-    Rows of `df` are spread over `salts` copies of each key by a hash of `spread`.
+    Left to adaptive execution, which splits the rows of a hot key and copies only that key's lookup
+    row; a lookup copied for every key would multiply the shuffle of long ones.
     """
-    left = df.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
-    right = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [*keys, "_salt"], how).drop("_salt")
+    return df.join(lookup, list(keys), how)
 
 
 def cumulative_counts(

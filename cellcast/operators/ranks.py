@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellcast.operators.ranking import average_ranks, counts_at, salted_lookup
+from cellcast.operators.ranking import average_ranks, counts_at, key_lookup
 
 TWO_TIER_ZERO_SHARE = 0.02
 
@@ -32,7 +32,7 @@ def zero_counts(baseline: DataFrame, value: str, by: Sequence[str]) -> DataFrame
     return baseline.where(v.isNotNull()).groupBy(*by).agg(F.count_if(v == 0).alias("_zero"), F.count_if(v <= 0).alias("_upto0"))
 
 
-def _positions(values: DataFrame, baseline: DataFrame, value: str, by: Sequence[str], spread: Sequence[str]) -> DataFrame:
+def _positions(values: DataFrame, baseline: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
     """Adds n_below, n_upto, n_total, and the zero counts of the value's group."""
     by = list(by)
     table = counts_at(values, baseline, value, by).select(*by, value, "n_below", "n_upto", "n_total")
@@ -42,7 +42,7 @@ def _positions(values: DataFrame, baseline: DataFrame, value: str, by: Sequence[
     else:
         row = zeros.select(F.struct("_zero", "_upto0")).scalar()
         table = table.withColumn("_z", row).select(*table.columns, "_z._zero", "_z._upto0")
-    return salted_lookup(values, table, [*by, value], spread)
+    return key_lookup(values, table, [*by, value])
 
 
 _HELPERS = ("n_below", "n_upto", "n_total", "_zero", "_upto0")
@@ -54,10 +54,10 @@ def _over(a: Column, b: Column) -> Column:
 
 def percentile_of_score(
     values: DataFrame, baseline: DataFrame, value: str = "median", side: str = "right", higher_is_better: bool = False,
-    by: Sequence[str] = (), spread: Sequence[str] = ("cell_id",),
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """Adds `percentile` = 100 x share of baseline cells at or below the value, kept in [1, 100]."""
-    ranked = _positions(values, baseline, value, by, spread)
+    ranked = _positions(values, baseline, value, by)
     hits = F.col("n_upto") if side == "right" else F.col("n_below")
     out = _clip(100.0 * _over(hits, F.col("n_total")), 1.0, 100.0)
     return ranked.withColumn("percentile", invert_percentile(out) if higher_is_better else out).drop(*_HELPERS)
@@ -65,14 +65,14 @@ def percentile_of_score(
 
 def two_tier_percentile(
     values: DataFrame, baseline: DataFrame, value: str = "median", side: str = "right", higher_is_better: bool = False,
-    by: Sequence[str] = (), spread: Sequence[str] = ("cell_id",), force: bool = False,
+    by: Sequence[str] = (), force: bool = False,
 ) -> DataFrame:
     """As `percentile_of_score`, unless at least 2 % of the baseline is exactly 0.
 
     Then 0 maps to 1 and positive values to 2..100 by their share of the positive baseline. The
     single-tier form always counts from the right; `side` applies to the positive tier.
     """
-    ranked = _positions(values, baseline, value, by, spread)
+    ranked = _positions(values, baseline, value, by)
     one = _clip(100.0 * _over(F.col("n_upto"), F.col("n_total")), 1.0, 100.0)
     hits = F.col("n_upto") if side == "right" else F.col("n_below")
     share = _over(hits - F.col("_upto0"), F.col("n_total") - F.col("_upto0"))
@@ -83,10 +83,10 @@ def two_tier_percentile(
 
 
 def stress_percentile(
-    values: DataFrame, baseline: DataFrame, value: str = "median", by: Sequence[str] = (), spread: Sequence[str] = ("cell_id",)
+    values: DataFrame, baseline: DataFrame, value: str = "median", by: Sequence[str] = ()
 ) -> DataFrame:
     """Water-stress form: left side, no clipping; 1 + 99 F over the positive part when zeros exceed 2 %."""
-    ranked = _positions(values, baseline, value, by, spread)
+    ranked = _positions(values, baseline, value, by)
     share = _over(F.col("n_below") - F.col("_upto0"), F.col("n_total") - F.col("_upto0"))
     two = F.when(F.col(value) == 0, 1.0).when(F.col(value) > 0, 1.0 + 99.0 * share)
     one = 100.0 * _over(F.col("n_below"), F.col("n_total"))
@@ -96,7 +96,7 @@ def stress_percentile(
 
 def observed_rate_rank(
     rates: DataFrame, rate: str = "rate", count: str = "n_events", form: str = "ends", alone: float = 100.0,
-    by: Sequence[str] = (), spread: Sequence[str] = ("cell_id",),
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """Cells with no event -> 1; the others by average rank onto 2..100.
 
@@ -104,7 +104,7 @@ def observed_rate_rank(
     """
     occupied = rates.where(F.col(count) > 0)
     table = average_ranks(occupied, rate, by).select(*by, rate, "avg_rank", "n_total")
-    ranked = salted_lookup(rates, table, [*by, rate], spread)
+    ranked = key_lookup(rates, table, [*by, rate])
     n, r = F.col("n_total"), F.col("avg_rank")
     if form == "ends":
         score = F.when(n == 1, alone).otherwise(2.0 + 98.0 * (r - 1) / F.nullif(n - 1, F.lit(0)))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cellcast.functions.scalar import haversine_km, lon_gap, normalize_lon
 from cellcast.functions.vectorized import ring_share_of_cell
-from cellcast.operators.ranking import salted_lookup
+from cellcast.operators.ranking import key_lookup
 
 
 def grid_row(lat: Column, size: float = 0.5, lat0: float = 89.75) -> Column:
@@ -81,11 +81,19 @@ def box_shares(boxes: DataFrame, size: float = 0.5) -> DataFrame:
     high = F.least(F.col("north"), lat + size / 2) - F.greatest(F.col("south"), lat - size / 2)
     wide = F.least(F.col("east"), lon + size / 2) - F.greatest(F.col("west"), lon - size / 2)
     share = F.greatest(high, F.lit(0.0)) * F.greatest(wide, F.lit(0.0)) / (size * size)
-    return cells.select("box_id", "grow", "gcol", share.alias("w")).where("w > 0")
+    return cells.select("box_id", "grow", _wrapped_col(size), share.alias("w")).where("w > 0")
+
+
+def _wrapped_col(size: float) -> Column:
+    """Columns past the antimeridian, as the panels count them."""
+    return F.pmod(F.col("gcol"), F.lit(int(round(360 / size)))).alias("gcol")
 
 
 def ring_shares(polygons: DataFrame, size: float = 0.5) -> DataFrame:
-    """(box_id, grow, gcol, w) for polygon rings given as arrays xs, ys: planar area shares."""
+    """(box_id, grow, gcol, w) for polygon rings given as arrays xs, ys: planar area shares.
+
+    A polygon may have several rings (rows of one box_id); those with `hole` true are taken off.
+    """
     lat0, lon0 = 90 - size / 2, -180 + size / 2
     rows = polygons.withColumn("grow", F.explode(F.sequence(
         F.floor((90 - F.array_max("ys")) / size).cast("int"), F.floor((90 - F.array_min("ys")) / size).cast("int")
@@ -96,7 +104,10 @@ def ring_shares(polygons: DataFrame, size: float = 0.5) -> DataFrame:
     share = ring_share_of_cell(
         "xs", "ys", (lon0 + size * F.col("gcol")).cast("double"), (lat0 - size * F.col("grow")).cast("double"), F.lit(float(size))
     )
-    return cells.select("box_id", "grow", "gcol", share.alias("w")).where("w > 0")
+    if "hole" in polygons.columns:
+        share = F.when(F.coalesce("hole", F.lit(False)), -share).otherwise(share)
+    parts = cells.select("box_id", "grow", _wrapped_col(size), share.alias("w"))
+    return parts.groupBy("box_id", "grow", "gcol").agg(F.sum("w").alias("w")).where("w > 1e-12")
 
 
 def extract_polygons(shares: DataFrame, panel: DataFrame, metrics: Sequence[str], by: Sequence[str]) -> DataFrame:
@@ -128,10 +139,14 @@ def points_in_polygons(points: DataFrame, edges: DataFrame, size: float = 0.5) -
         F.min(F.least("y0", "y1")).alias("_s"), F.max(F.greatest("y0", "y1")).alias("_n"),
     )
     covered = boxes.withColumn("_row", F.explode(F.sequence(block(F.col("_s")), block(F.col("_n")))))
-    covered = covered.withColumn("_col", F.explode(F.sequence(block(F.col("_w")), block(F.col("_e")))))
-    placed = points.withColumns({"_row": block(F.col("lat")), "_col": block(F.col("lon"))})
+    covered = covered.withColumn("_over", F.explode(F.sequence(block(F.col("_w")), block(F.col("_e")))))
+    # polygons may run past the antimeridian: blocks meet modulo 360 degrees, the point moves to the polygon's side
+    round_earth = F.lit(int(round(360 / size)))
+    covered = covered.withColumn("_col", F.pmod(F.col("_over"), round_earth))
+    placed = points.withColumns({"_row": block(F.col("lat")), "_at": block(F.col("lon"))}).withColumn("_col", F.pmod(F.col("_at"), round_earth))
     in_box = F.col("lat").between(F.col("_s"), F.col("_n")) & F.col("lon").between(F.col("_w"), F.col("_e"))
-    candidates = placed.join(covered, ["_row", "_col"]).where(in_box).select("point_id", "lat", "lon", "_row", "polygon_id")
+    met = placed.join(covered, ["_row", "_col"]).withColumn("lon", F.col("lon") + (F.col("_over") - F.col("_at")) * size)
+    candidates = met.where(in_box).select("point_id", "lat", "lon", "_row", "polygon_id")
     top, low = F.greatest("y0", "y1"), F.least("y0", "y1")
     spans = edges.withColumn("_row", F.explode(F.sequence(block(low), block(top))))
     y = F.col("lat")
@@ -166,8 +181,10 @@ def nearest_valid(
     dlat = max_km / 111.0
     span = F.ceil(F.lit(dlat) / block).cast("int")
     n_blocks = int(round(360 / block))
-    edge = F.least(F.lit(89.0), F.abs(F.col("lat")) + dlat)
-    wide = F.least(F.lit(n_blocks // 2), F.ceil(F.lit(dlat) / F.cos(F.radians(edge)) / block).cast("int"))
+    edge = F.abs(F.col("lat")) + dlat
+    # a circle that holds a pole meets every longitude
+    across = F.ceil(F.lit(dlat) / F.cos(F.radians(edge)) / block).cast("int")
+    wide = F.when(edge >= 89.9, n_blocks // 2).otherwise(F.least(F.lit(n_blocks // 2), across))
     row, column = F.floor(F.col("lat") / block).cast("int"), F.floor((F.col("lon") + 180) / block).cast("int")
     reach = targets.select(key, "lat", "lon").withColumn("_by", F.explode(F.sequence(row - span, row + span)))
     reach = reach.withColumn("_bx", F.explode(F.array_distinct(F.transform(
@@ -264,4 +281,4 @@ def domain_status(
     known = window.join(finite_cells.select("grow", "gcol").distinct(), ["grow", "gcol"], "left_semi")
     inside = known.select("site_id").distinct().withColumn("_in", F.lit(True))
     status = F.when(F.col(value).isNotNull(), "OK").when(F.col("_in"), "OFF_LAYER_MASK").otherwise("OUTSIDE_DOMAIN")
-    return salted_lookup(values, inside, ["site_id"], [c for c in values.columns if c != value]).withColumn("data_status", status).drop("_in")
+    return key_lookup(values, inside, ["site_id"]).withColumn("data_status", status).drop("_in")

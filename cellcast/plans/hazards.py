@@ -198,7 +198,7 @@ def tornado_layer(tracks: DataFrame, n_years: int, res: float, south: float, wes
         {"n_events": F.coalesce("n_events", F.lit(0)), "exposure": cell_area_km2(lat, res) / 1e4 * n_years}
     )
     rates = events.poisson_rate_interval(cells, "n_events", "exposure", estimator)
-    return ranks.observed_rate_rank(rates, "median", "n_events", "ends", 100.0, spread=("grow", "gcol"))
+    return ranks.observed_rate_rank(rates, "median", "n_events", "ends", 100.0)
 
 
 def hail_layer(points: DataFrame, n_years: int, size: float, estimator: str = "mle") -> DataFrame:
@@ -208,13 +208,13 @@ def hail_layer(points: DataFrame, n_years: int, size: float, estimator: str = "m
         "exposure", cell_area_km2(lat, size) / 1e4 * n_years
     )
     rates = events.poisson_rate_interval(cells, "n_events", "exposure", estimator)
-    return ranks.observed_rate_rank(rates, "median", "n_events", "ends", 2.0, spread=("grow", "gcol"))
+    return ranks.observed_rate_rank(rates, "median", "n_events", "ends", 2.0)
 
 
 def landslide_layer(pixels: DataFrame, k: int, value: str) -> DataFrame:
     """Block quartiles of hazard pixels, ranked on the areal mean over occupied cells."""
     blocks = grids.block_summary(pixels, k, value)
-    return ranks.observed_rate_rank(blocks, "areal_mean", "n_hazard", "mid", spread=("block_row", "block_col"))
+    return ranks.observed_rate_rank(blocks, "areal_mean", "n_hazard", "mid")
 
 
 def hail_severity(hist: DataFrame, fut: DataFrame, cell: Column, quantities: Sequence[str]) -> DataFrame:

@@ -47,10 +47,28 @@ def latest(spark: SparkSession, output: str, keys: Sequence[str]) -> DataFrame:
     return newest.select(*keys, "_r.*")
 
 
-def once_per_chunk(stream: DataFrame, delay: str = "400 days") -> DataFrame:
-    """Drop rows of a chunk that arrives again; the remembered keys expire with the watermark."""
-    timed = stream.withColumn("_t", F.col("day").cast("timestamp")).withWatermark("_t", delay)
-    return timed.dropDuplicatesWithinWatermark(["chunk_id", "member", "cell_id", "day"])
+def ingest_once(stream: DataFrame, output: str, checkpoint: str, keys: Sequence[str] = ("member", "cell_id", "day")) -> None:
+    """Append the rows of arriving chunks, each (chunk_id, *keys) once, however late a chunk is or often it comes.
+
+    The output is its own ledger, partitioned by chunk: a micro-batch is compared with the rows that
+    earlier batches wrote for its chunks, and with nothing else. Every batch has a folder of its own,
+    which a retried batch overwrites and does not read.
+    """
+    spark, schema = stream.sparkSession, stream.schema.add("batch", "long")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.dropDuplicates(["chunk_id", *keys])
+        if batch_id > 0:
+            before = spark.read.schema(schema).parquet(output).where(F.col("batch") < batch_id)
+            rows = rows.join(before.select("chunk_id", *keys), ["chunk_id", *keys], "left_anti")
+        rows.write.mode("overwrite").partitionBy("chunk_id").parquet(f"{output}/batch={batch_id}")
+
+    stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def ingested(spark: SparkSession, output: str, schema: str = CHUNK_SCHEMA) -> DataFrame:
+    """All rows that `ingest_once` has kept."""
+    return spark.read.schema(schema).parquet(output)
 
 
 def stream_threshold_counts(stream: DataFrame, ladder: Sequence[tuple[str, str, float]], keys: Sequence[str] = KEYS) -> DataFrame:
@@ -63,47 +81,55 @@ def stream_histogram(stream: DataFrame, key: Sequence[str] = ("cell_id",)) -> Da
     return stream.where(F.col("value") >= WET_DAY_MM).groupBy(*key, log_bin().alias("bin")).agg(F.count("*").alias("n"))
 
 
-def _five_day_state(keep_days: int):
-    def fold(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        days: dict[int, float] = {}
-        if state.exists:
-            held_days, held_values = state.get
-            days = dict(zip(held_days, held_values))
-        fresh: set[int] = set()
-        for frame in frames:
-            for d, v in zip(frame["day_number"].to_numpy(), frame["value"].to_numpy()):
-                if int(d) not in days:
-                    days[int(d)] = float(v)
-                    fresh.add(int(d))
-        ends = sorted({d + k for d in fresh for k in range(5)})
-        rows = [(e, sum(days[e - k] for k in range(5))) for e in ends if all((e - k) in days for k in range(5))]
-        if days:
-            newest = max(days)
-            kept = sorted(d for d in days if d > newest - keep_days)
-            state.update((kept, [days[d] for d in kept]))
-        yield pd.DataFrame(
-            {
-                "member": np.full(len(rows), key[0], dtype=object),
-                "cell_id": np.full(len(rows), key[1], dtype="int64"),
-                "day_number": np.array([r[0] for r in rows], dtype="int64"),
-                "sum5": np.array([r[1] for r in rows], dtype="float64"),
-            }
-        )
-
-    return fold
-
-
-def stream_five_day_sums(stream: DataFrame, late_days: int = 0) -> DataFrame:
-    """Five-day sums across chunk borders; the last days of each series are the carried state.
-
-    A sum is emitted once, when the last of its five days arrives. The state keeps four days, plus
-    `late_days` when chunks may arrive out of order by that much.
+def _five_day_sums(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """Sums completed by the new days. State: borders of the stretches seen so far, and the days within four of a border."""
+    starts, ends, kept, held = (np.array(x, t) for x, t in zip(state.get if state.exists else ([],) * 4, ("int64",) * 3 + ("float64",)))
+    new = pd.concat([f[["day_number", "value"]] for f in frames]).drop_duplicates("day_number").sort_values("day_number")
+    day, value = new["day_number"].to_numpy("int64"), new["value"].to_numpy("float64")
+    if len(starts):
+        at = np.searchsorted(starts, day, side="right") - 1
+        unseen = (at < 0) | (day > ends[np.maximum(at, 0)])
+        day, value = day[unseen], value[unseen]
+    days, fresh = np.concatenate([kept, day]), np.concatenate([np.zeros(len(kept), bool), np.ones(len(day), bool)])
+    order = np.argsort(days)
+    days, values, fresh = days[order], np.concatenate([held, value])[order], fresh[order]
+    i = np.arange(4, len(days))
+    full = i[(days[i] - days[i - 4] == 4) & np.logical_or.reduce([fresh[i - k] for k in range(5)])] if len(i) else i
+    sums = sum(values[full - k] for k in range(5)) if len(full) else np.zeros(0)
+    # the stretches seen, merged where they touch
+    edges = sorted([*zip(starts.tolist(), ends.tolist()), *((d, d) for d in day.tolist())])
+    merged: list[list[int]] = []
+    for a, z in edges:
+        if merged and a <= merged[-1][1] + 1:
+            merged[-1][1] = max(merged[-1][1], z)
+        else:
+            merged.append([a, z])
+    if merged:
+        starts, ends = np.array(merged, "int64").T
+        at = np.searchsorted(starts, days, side="right") - 1
+        near = (days < starts[at] + 4) | (days > ends[at] - 4)
+        state.update((starts.tolist(), ends.tolist(), days[near].tolist(), values[near].tolist()))
+    yield pd.DataFrame(
+        {
+            "member": np.full(len(full), key[0], dtype=object),
+            "cell_id": np.full(len(full), key[1], dtype="int64"),
+            "day_number": days[full],
+            "sum5": sums,
+        }
+    )
+
+
+def stream_five_day_sums(stream: DataFrame) -> DataFrame:
+    """Five-day sums across chunk borders, for chunks of any size in any order.
+
+    A sum is emitted once, when the last of its five days arrives. The state keeps the four days on
+    either side of every border of the stretches seen, so it is small while the series has few gaps.
     """
     keyed = stream.select("member", "cell_id", F.unix_date("day").cast("long").alias("day_number"), "value")
     return keyed.groupBy("member", "cell_id").applyInPandasWithState(
-        _five_day_state(4 + late_days),
+        _five_day_sums,
         "member STRING, cell_id BIGINT, day_number BIGINT, sum5 DOUBLE",
-        "days ARRAY<BIGINT>, day_values ARRAY<DOUBLE>",
+        "starts ARRAY<BIGINT>, ends ARRAY<BIGINT>, days ARRAY<BIGINT>, day_values ARRAY<DOUBLE>",
         "append",
         GroupStateTimeout.NoTimeout,
     )

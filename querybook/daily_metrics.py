@@ -235,15 +235,15 @@ def st1(spark, sf):
 
 @query("st2_stream_rx5day", "SELECT member, cell_id, CAST(year(day) AS INT) AS year, round(max(sum5), 6) AS rx5day FROM sum5 GROUP BY 1, 2, 3")
 def st2(spark, sf):
-    out = _run(spark, incremental.stream_five_day_sums(_chunks(spark, sf), late_days=12), "append")
+    out = _run(spark, incremental.stream_five_day_sums(_chunks(spark, sf)), "append")
     return rounded(incremental.rx5day_from_sums(spark.read.parquet(out)), "rx5day")
 
 
 @query("st3_idempotent_ingest", f"SELECT member, cell_id, CAST(year(day) AS INT) AS year, {LADDER_SQL} FROM daily GROUP BY 1, 2, 3")
 def st3(spark, sf):
-    once = incremental.once_per_chunk(_chunks(spark, sf, repeated=True))
-    out = _run(spark, once.select("chunk_id", "member", "cell_id", "day", "value"), "append")
-    return D.threshold_counts(spark.read.parquet(out), LADDER)
+    out = scratch_folder(spark, "ingest")
+    incremental.ingest_once(_chunks(spark, sf, repeated=True), f"{out}/rows", f"{out}/checkpoint")
+    return D.threshold_counts(incremental.ingested(spark, f"{out}/rows"), LADDER)
 
 
 @query("st4_stream_histogram", "SELECT cell_id, bin, n FROM wethist")

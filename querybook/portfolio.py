@@ -276,11 +276,11 @@ def t8(spark, sf):
 
 
 @query("u1_union_layers", """
-    SELECT cell_id, scenario, value, CAST(NULL AS DOUBLE) AS value_zero FROM annual WHERE year = 1995 UNION ALL SELECT cell_id, 'observed', NULL, value_zero FROM annual WHERE year = 1996""")
+    SELECT cell_id, scenario, value, CAST(NULL AS DOUBLE) AS value_zero FROM annual UNION ALL SELECT cell_id, 'observed', NULL, value_zero FROM annual""")
 def u1(spark, sf):
     a = table(spark, sf, "annual")
-    one = a.where("year = 1995").select("cell_id", "scenario", "value")
-    two = a.where("year = 1996").select("cell_id", F.lit("observed").alias("scenario"), "value_zero")
+    one = a.select("cell_id", "scenario", "value")
+    two = a.select("cell_id", F.lit("observed").alias("scenario"), "value_zero")
     return one.unionByName(two, allowMissingColumns=True)
 
 

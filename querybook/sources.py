@@ -10,6 +10,7 @@ from cellcast.session import scratch_folder
 from cellcast.sources import missing, naming, readers, sinks
 from querybook.common import rounded
 from querybook.layers import LAYER_FLOATS, LAYER_ROUNDED, built_layer
+from querybook.portfolio import scores
 from querybook.registry import query
 from querybook.standins import SQL, base, table
 
@@ -175,11 +176,10 @@ def s14(spark, sf):
 
 @query("s15_manifest", """
     SELECT 'values' AS table_name, data_status AS item, count(*) AS n FROM status_values GROUP BY 2
-    UNION ALL SELECT 'climate_score', CASE WHEN n_members >= 4 THEN 'complete' ELSE 'incomplete' END, count(*) FROM layer_values GROUP BY 2""")
+    UNION ALL SELECT 'climate_score', CASE WHEN n_hazards >= n_hazards_expected THEN 'complete' ELSE 'incomplete' END, count(*) FROM scores GROUP BY 2""")
 def s15(spark, sf):
     v = status_values(spark, sf)
-    scores = v.withColumns({"n_hazards": F.col("n_members"), "n_hazards_expected": F.lit(4)})
-    return sinks.manifest(v, scores)
+    return sinks.manifest(v, scores(spark, sf))
 
 
 @query("s16_payload_json", """

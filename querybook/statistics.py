@@ -111,8 +111,8 @@ def a22(spark, sf):
 
 SQL["index_pair"] = """
     SELECT coalesce(o.cell_id, n.cell_id) AS cell_id, coalesce(o.year, n.year) AS year, o.value AS old_value, n.value AS new_value
-    FROM (SELECT cell_id, year, avg(value_null) AS value FROM annual WHERE scenario = 'ssp126' AND member <> 'A_F' GROUP BY 1, 2) o
-    FULL JOIN (SELECT cell_id, year, avg(CASE WHEN value_zero > 8 THEN value_null END) AS value FROM annual WHERE scenario = 'ssp585' AND member = 'A_F' GROUP BY 1, 2) n ON o.cell_id = n.cell_id AND o.year = n.year"""
+    FROM (SELECT cell_id, year, round(avg(value_null), 9) AS value FROM annual WHERE scenario = 'ssp126' GROUP BY 1, 2) o
+    FULL JOIN (SELECT cell_id, year, round(avg(CASE WHEN value_zero > 8 THEN value_null END), 9) AS value FROM annual WHERE scenario = 'ssp585' GROUP BY 1, 2) n ON o.cell_id = n.cell_id AND o.year = n.year"""
 
 
 def pair(spark, sf):
@@ -191,7 +191,7 @@ def a25(spark, sf):
 
 
 PIXEL = """
-    WITH y AS (SELECT cell_id, year AS decade, avg(CASE WHEN value_zero > 2 THEN value END) AS v FROM annual WHERE scenario = '{s}' AND model = 'A' GROUP BY 1, 2), h AS (SELECT * FROM y WHERE v IS NOT NULL),
+    WITH y AS (SELECT cell_id, year AS decade, avg(CASE WHEN value_zero > 2 THEN value END) AS v FROM annual WHERE scenario = '{s}' GROUP BY 1, 2), h AS (SELECT * FROM y WHERE v IS NOT NULL),
     r AS (SELECT *, row_number() OVER (PARTITION BY cell_id ORDER BY decade) AS t, rank() OVER (PARTITION BY cell_id ORDER BY v) + (count(*) OVER (PARTITION BY cell_id, v) - 1) / 2e0 AS rk FROM h),
     c AS (SELECT cell_id, count(*) AS n_valid, corr(t, rk) AS rho FROM r GROUP BY 1),
     s AS (SELECT a.cell_id, quantile_cont((b.v - a.v) / (b.decade - a.decade), 0.5) * 10 AS slope FROM h a JOIN h b ON a.cell_id = b.cell_id AND a.decade < b.decade GROUP BY 1)
@@ -201,7 +201,7 @@ SQL["new_trends"] = PIXEL.format(s="ssp585")
 
 
 def trends(spark, sf, scenario):
-    a = table(spark, sf, "annual").where((F.col("scenario") == scenario) & (F.col("model") == "A"))
+    a = table(spark, sf, "annual").where(F.col("scenario") == scenario)
     y = a.groupBy("cell_id", F.col("year").alias("decade")).agg(F.avg(F.when(F.col("value_zero") > 2, F.col("value"))).alias("value"))
     return compare.pixel_trends(y, ["cell_id"])
 
@@ -293,7 +293,7 @@ def t5(spark, sf):
 
 
 SQL["flows"] = """
-    SELECT l_suppkey AS cell_id, CAST(l_shipdate AS DATE) AS day, sum(l_quantity) AS obs, sum(l_extendedprice) / 1024 AS sim FROM {lineitem} GROUP BY 1, 2"""
+    SELECT l_suppkey AS cell_id, CAST(l_shipdate AS DATE) AS day, sum(l_quantity) AS obs, sum(CAST(round(l_extendedprice * 100) AS BIGINT)) / 1024e0 AS sim FROM {lineitem} GROUP BY 1, 2"""
 WY = """SELECT cell_id, CAST(year(day + INTERVAL 3 MONTH) AS INT) AS water_year, sum(obs) AS obs_annual, sum(sim) AS sim_annual, sum(CASE WHEN month(day) BETWEEN 4 AND 7 THEN obs END) AS obs_apr_jul, sum(CASE WHEN month(day) BETWEEN 4 AND 7 THEN sim END) AS sim_apr_jul,
     sum(CASE WHEN month(day) >= 10 OR month(day) <= 3 THEN obs END) AS obs_oct_mar, sum(CASE WHEN month(day) >= 10 OR month(day) <= 3 THEN sim END) AS sim_oct_mar FROM flows GROUP BY 1, 2"""
 
@@ -371,14 +371,14 @@ def a42(spark, sf):
 
 # Graphs -------------------------------------------------------------------------------------
 
-SQL["flowgrid"] = "SELECT cell_id, grow, gcol, CAST(CASE WHEN cell_id % 10 = 0 THEN 3 ELSE 5 END AS INT) AS flow FROM grid WHERE acctbal > -500"
+SQL["flowgrid"] = "SELECT cell_id, grow, gcol, lat, CAST(CASE WHEN cell_id % 10 = 0 THEN 3 ELSE 5 END AS INT) AS flow FROM grid WHERE acctbal > -500"
 SQL["d8"] = """
-    SELECT a.cell_id, b.cell_id AS next_id FROM flowgrid a LEFT JOIN flowgrid b ON (a.flow = 3 AND b.grow = a.grow - 1 AND b.gcol = a.gcol) OR (a.flow = 5 AND b.grow = a.grow AND b.gcol = (a.gcol + 719) % 720)"""
+    SELECT a.cell_id, b.cell_id AS next_id FROM flowgrid a LEFT JOIN flowgrid b ON (a.flow = 3 AND b.lat = a.lat - 5e-1 AND b.gcol = a.gcol) OR (a.flow = 5 AND b.grow = a.grow AND b.gcol = (a.gcol + 719) % 720)"""
 
 
 @query("g1_d8_edges", "SELECT cell_id, next_id FROM d8")
 def g1(spark, sf):
-    return graph.d8_edges(table(spark, sf, "flowgrid"), 720)
+    return graph.d8_edges(table(spark, sf, "flowgrid"), 720, northward=False)
 
 
 @query("g2_assert_acyclic", """

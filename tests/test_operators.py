@@ -11,11 +11,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from cellcast.functions import scalar
-from cellcast.functions.vectorized import _median_pair_slope, _select_pair_slope, clip_area, gamma_ppf, regularized_gamma
-from cellcast.operators import decadal, delivery, events, filters, graph, portfolio, ranks
+from cellcast.functions.vectorized import _median_pair_slope, clip_area, gamma_ppf, regularized_gamma
+from cellcast.operators import decadal, delivery, events, filters, graph, portfolio, ranks, spatial
 from cellcast.operators.ranking import cumulative_counts, exact_quantiles
 from cellcast.plans.layer import LayerSpec, build_layer
 from cellcast.plans.models import kendall_p, pearson3_parameters
+from cellcast.streaming import incremental
 
 ANNUAL = "scenario STRING, model STRING, member STRING, cell_id BIGINT, year INT, value DOUBLE"
 
@@ -86,8 +87,6 @@ def test_pair_slope_selection_equals_brute_force():
         y = np.round(rng.normal(size=n), 1)
         brute = np.median([(y[j] - y[i]) / (x[j] - x[i]) for i, j in itertools.combinations(range(n), 2) if x[i] != x[j]])
         assert _median_pair_slope(x, y) == pytest.approx(brute, abs=1e-12)
-        years = np.unique(x)
-        assert _select_pair_slope(years, [np.sort(y[x == v]) for v in years]) == pytest.approx(brute, abs=1e-9)
 
 
 def test_baseline_modes_differ(spark):
@@ -213,6 +212,8 @@ def test_chain_accumulates_and_cycles_are_refused(spark):
         graph.assert_acyclic(ring)
     with pytest.raises(ValueError):
         graph.peel_rounds(ring)
+    with pytest.raises(ValueError):
+        graph.accumulate_downstream(ring, ring.select("cell_id", F.lit(1).alias("payload")))
 
 
 def test_components_join_across_the_antimeridian(spark):
@@ -276,3 +277,55 @@ def test_kendall_p_counts_pairs_like_brute_force():
 def test_pearson3_of_symmetric_moments_is_normal():
     m, s, g = pearson3_parameters(3.0, 1.0, 0.0)
     assert (m, g) == (3.0, 0.0) and s == pytest.approx(math.sqrt(math.pi))
+
+
+def test_gamma_quartiles_of_large_shapes():
+    for shape, quartile in ((1e6, 999325.3), (1e7, 9997866.9)):
+        assert gamma_ppf(0.25, np.array([shape]))[0] == pytest.approx(quartile, abs=0.2)
+
+
+def test_nearest_source_across_the_pole(spark):
+    target = spark.createDataFrame([(1, 89.75, 0.0)], "target_id BIGINT, lat DOUBLE, lon DOUBLE")
+    source = spark.createDataFrame([(7, 89.25, 179.75)], "source_id BIGINT, lat DOUBLE, lon DOUBLE")
+    assert spatial.nearest_valid(target, source, 250.0).first()["source_id"] == 7
+
+
+def test_boxes_rings_and_polygons_past_the_antimeridian(spark):
+    box = spark.createDataFrame([(1, 0.0, 0.5, 179.5, 181.0)], "box_id BIGINT, south DOUBLE, north DOUBLE, west DOUBLE, east DOUBLE")
+    assert {r["gcol"] for r in spatial.box_shares(box).collect()} == {719, 0, 1}
+    edges = [(1, 170.0, -5.0, 190.0, -5.0), (1, 190.0, -5.0, 190.0, 5.0), (1, 190.0, 5.0, 170.0, 5.0), (1, 170.0, 5.0, 170.0, -5.0)]
+    polygon = spark.createDataFrame(edges, "polygon_id BIGINT, x0 DOUBLE, y0 DOUBLE, x1 DOUBLE, y1 DOUBLE")
+    points = spark.createDataFrame([(1, 0.2, 175.0), (2, 0.2, -175.0), (3, 0.2, -165.0)], "point_id BIGINT, lat DOUBLE, lon DOUBLE")
+    assert {r["point_id"] for r in spatial.points_in_polygons(points, polygon).collect()} == {1, 2}
+
+
+def test_a_hole_is_taken_off(spark):
+    square = lambda a, b: ([a, b, b, a], [a, a, b, b])
+    rings = [(1, *square(0.0, 2.0), False), (1, *square(0.5, 1.0), True)]
+    shares = spatial.ring_shares(spark.createDataFrame(rings, "box_id BIGINT, xs ARRAY<DOUBLE>, ys ARRAY<DOUBLE>, hole BOOLEAN"))
+    assert sum(r["w"] for r in shares.collect()) * 0.25 == pytest.approx(4 - 0.25)
+
+
+def _chunk_files(spark, folder, chunks):
+    for i, (name, first, last) in enumerate(chunks):
+        rows = spark.range(first, last).select(
+            F.lit(name).alias("chunk_id"), F.lit("m").alias("member"), F.lit(1).cast("bigint").alias("cell_id"),
+            F.date_from_unix_date(F.col("id").cast("int")).alias("day"), (F.col("id") % 7).cast("double").alias("value"),
+        )
+        rows.coalesce(1).write.mode("append").parquet(f"{folder}/{i}")
+    return f"{folder}/*"
+
+
+def test_ingest_keeps_old_days_and_drops_repeated_chunks(spark, tmp_path):
+    path = _chunk_files(spark, tmp_path / "in", [("c", 12000, 12400), ("b", 11000, 11366), ("a", 10957, 11000), ("c", 12000, 12400)])
+    stream = incremental.read_chunks(spark, path)
+    incremental.ingest_once(stream, f"{tmp_path}/out", f"{tmp_path}/cp")
+    assert incremental.ingested(spark, f"{tmp_path}/out").count() == 400 + 366 + 43
+
+
+def test_five_day_sums_of_chunks_in_any_order(spark, tmp_path):
+    path = _chunk_files(spark, tmp_path / "in", [("b", 105, 121), ("a", 101, 105), ("a", 101, 105), ("d", 125, 140), ("c", 121, 125)])
+    incremental.run_to_end(incremental.stream_five_day_sums(incremental.read_chunks(spark, path)), f"{tmp_path}/out", f"{tmp_path}/cp", "append")
+    got = {r["day_number"]: r["sum5"] for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    assert got == {d: float(sum((d - k) % 7 for k in range(5))) for d in range(105, 140)}
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 35
