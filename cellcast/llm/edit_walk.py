@@ -48,23 +48,31 @@ def edit_words(texts: list[str]) -> list[np.ndarray]:
     return out
 
 
-def _bits(step: int, repetition: int, words: np.ndarray) -> np.ndarray:
-    return ((mix(words + _U((repetition * 0x9E3779B97F4A7C15 + step * 0xD1B54A32D192ED03) & ((1 << 64) - 1))) >> _U(63)) & _U(1)).astype(np.int64)
+_SHARES = np.random.Generator(np.random.PCG64(1)).random((SAMPLES, REPETITIONS, 1))
+_SALTS = np.random.Generator(np.random.PCG64(2)).integers(0, 1 << 63, (REPETITIONS, 1), dtype=np.uint64)
 
 
-def walk_signatures(words: np.ndarray, size: np.ndarray, repetition: int) -> np.ndarray:
-    """Per row of `words` (padded with zeros beyond `size`): hash of the words written at the sampled steps."""
+def walk_signatures(words: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Per repetition and row of `words` (zeros beyond the text): hash of the words written at the sampled steps.
+
+    `size` is the size of the item that a row is compared with: rows of one size sample the same steps.
+    """
     n, width = words.shape
-    share = np.random.Generator(np.random.PCG64(repetition)).random(SAMPLES)
-    picked = (share[:, None] * 3 * size).astype(np.int64)  # the same steps for every window of an item's size
-    at, out = np.zeros(n, np.int64), np.full(n, repetition, np.uint64)
-    rows = np.arange(n)
-    padded = np.concatenate([words, np.zeros((n, 1), np.uint64)], axis=1)
-    for step in range(int(picked.max()) + 1):
-        word = padded[rows, np.minimum(at, width)]
+    # of the 3 n steps a walk may take it uses about 2 n; later ones write nothing and would tell no texts apart
+    picked = (_SHARES * 1.8 * size).astype(np.int64)  # sample, repetition, row
+    at, out = np.zeros((REPETITIONS, n), np.int64), np.broadcast_to(_SALTS, (REPETITIONS, n)).copy()
+    padded = np.concatenate([words, np.zeros((n, 1), np.uint64)], axis=1).ravel()
+    base = np.arange(n) * (width + 1)
+    for step in range(int(picked.max(initial=-1)) + 1):
+        word = padded[base + np.minimum(at, width)]
         for p in picked:
-            out = np.where(p == step, mix(out * _U(3) + word + _U(1)), out)
-        at += np.where(at < size, _bits(step, repetition, word), 0)
+            r, i = np.nonzero(p == step)
+            out[r, i] = mix(out[r, i] * _U(3) + word[r, i] + _U(1))
+        # the random bit of this step and word
+        bit = ((word ^ _SALTS) + _U(step * 0xD1B54A32D192ED03 & ((1 << 64) - 1))) * _U(0x9E3779B97F4A7C15)
+        bit ^= bit >> _U(29)
+        bit *= _U(0xBF58476D1CE4E5B9)
+        at += ((bit >> _U(63)).astype(np.int64)) & (at < size)
     return out
 
 
@@ -119,11 +127,7 @@ class Items:
         order = np.argsort(gram, kind="stable")
         maybe = np.zeros(1 << _FILTER, bool)
         maybe[(gram & _U((1 << _FILTER) - 1)).astype(np.int64)] = True
-        signatures = []
-        for r in range(REPETITIONS):
-            s = walk_signatures(words, size, r)
-            by = np.argsort(s, kind="stable")
-            signatures.append((s[by], by))
+        signatures = [(s[by], by) for s in walk_signatures(words, size) for by in [np.argsort(s, kind="stable")]]
         return Items(np.array([i for i, _ in pieces], np.int64), words, size, gram[order], piece[order], at[order], maybe, signatures)
 
 
@@ -170,36 +174,73 @@ def _rows_of(hashes: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndar
     return np.where(np.arange(width) < size[:, None], hashes[np.minimum(at, len(hashes) - 1)], _U(0))
 
 
-def chunk_leaks(words: Words, items: Items) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(row, piece, first word in the row, distance) of the best match of each row and piece."""
+@dataclass
+class _Candidates:
+    """Windows of many chunks, so that short walks are made for many windows at once."""
+
+    row: np.ndarray  # row of the batch
+    start: np.ndarray  # first word of the window in its row
+    piece: np.ndarray
+    window: np.ndarray  # words of the window, zeros beyond its end
+    around: np.ndarray  # words that a match of any piece from here may reach, and their number
+    size: np.ndarray
+
+
+def _candidates(words: Words, items: Items, first_row: int) -> _Candidates | None:
     piece, start = _windows(words, items)
-    row = words.row[start] if len(start) else start
-    end_of_row = words.first[1:][row]
-    size = np.minimum(items.size[piece], end_of_row - start)
-    found: list[np.ndarray] = []
-    for lot in range(0, len(start), 20_000):
-        part = slice(lot, lot + 20_000)
-        text = _rows_of(words.hash, start[part], size[part])
-        for r, (sorted_hash, by) in enumerate(items.signatures):
-            s = walk_signatures(text, items.size[piece[part]], r)
+    if not len(start):
+        return None
+    row = words.row[start]
+    allowed = edits_allowed(int(items.size.max()))
+    width = items.words.shape[1]
+    low = np.maximum(start - allowed, words.first[row])
+    m = np.minimum(start + width + allowed, words.first[row + 1]) - low
+    n = np.minimum(items.size[piece], words.first[row + 1] - start)
+    fit = lambda x, w: np.pad(x, ((0, 0), (0, w - x.shape[1])))
+    return _Candidates(
+        row + first_row, start - words.first[row], piece, fit(_rows_of(words.hash, start, n), width),
+        fit(_rows_of(words.hash, low, m), width + 2 * allowed), m,
+    )
+
+
+def _best_matches(lots: list[_Candidates], items: Items) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, piece, first word, distance) of the best match of each row and piece: buckets first, then exact distances."""
+    if not lots:
+        return (np.zeros(0, np.int64),) * 4
+    c = _Candidates(*(np.concatenate([getattr(x, f) for x in lots]) for f in ("row", "start", "piece", "window", "around", "size")))
+    found = []
+    for lot in range(0, len(c.row), 4000):
+        part = slice(lot, lot + 4000)
+        for s, (sorted_hash, by) in zip(walk_signatures(c.window[part], items.size[c.piece[part]]), items.signatures):
             owner, value = _expand(np.searchsorted(sorted_hash, s, "left"), np.searchsorted(sorted_hash, s, "right"))
             found.append(np.unique((owner + lot) * len(items.ids) + by[value]))
-    pair = np.unique(np.concatenate([*found, np.zeros(0, np.int64)])).astype(np.int64)
+    pair = np.unique(np.concatenate(found)).astype(np.int64)
     window, piece = pair // len(items.ids), pair % len(items.ids)
-    start, row = start[window], row[window]
     n = items.size[piece]
     allowed = (SHARE * n).astype(np.int64)
-    low = np.maximum(start - allowed, words.first[row])
-    m = np.minimum(start + n + allowed, words.first[row + 1]) - low
     distance = np.zeros(len(pair), np.int64)
     for lot in range(0, len(pair), 2000):
         p = slice(lot, lot + 2000)
-        item = items.words[piece[p], : int(n[p].max())]
-        distance[p] = edit_distances(item, n[p], _rows_of(words.hash, low[p], m[p]), m[p])
+        m = c.size[window[p]]
+        distance[p] = edit_distances(items.words[piece[p], : int(n[p].max())], n[p], c.around[window[p], : int(m.max())], m)
+    row, start = c.row[window], c.start[window]
     ok = np.flatnonzero(distance <= allowed)
     order = ok[np.lexsort((start[ok], distance[ok], piece[ok], row[ok]))]
     best = order[np.append(True, (np.diff(row[order]) != 0) | (np.diff(piece[order]) != 0))[: len(order)]]
-    return row[best], piece[best], start[best] - words.first[row[best]], distance[best]
+    return row[best], piece[best], start[best], distance[best]
+
+
+def batch_leaks(column: pa.Array, items: Items, most: int = 20_000) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Best matches of each row of a text column and each piece, in groups of rows."""
+    lots, n = [], 0
+    for i, _, raw, border in text_chunks(column):
+        if (c := _candidates(find_words(raw, border, LOWER, PARTS), items, i)) is not None:
+            lots.append(c)
+            n += len(c.row)
+        if n > most:
+            yield _best_matches(lots, items)
+            lots, n = [], 0
+    yield _best_matches(lots, items)
 
 
 def item_blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[Items]:
@@ -217,9 +258,8 @@ def _find(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = shared.value
         for b in batches:
-            for i, j, raw, border in text_chunks(b.column("text")):
-                row, piece, start, distance = chunk_leaks(find_words(raw, border, LOWER, PARTS), items)
-                doc = b.column("doc_id").slice(i, j - i).take(pa.array(row))
+            for row, piece, start, distance in batch_leaks(b.column("text"), items):
+                doc = b.column("doc_id").take(pa.array(row))
                 columns = [doc, *(pa.array(x.astype(np.int64)) for x in (items.ids[piece], start, items.size[piece], distance))]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "item_id", "start_word", "n_words", "distance"])
 
@@ -250,8 +290,8 @@ def _mark(shared):
         items = shared.value
         for b in batches:
             leaked = np.zeros(b.num_rows, bool)
-            for i, _, raw, border in text_chunks(b.column("text")):
-                leaked[i + chunk_leaks(find_words(raw, border, LOWER, PARTS), items)[0]] = True
+            for row, *_ in batch_leaks(b.column("text"), items):
+                leaked[row] = True
             yield b.filter(pa.array(~leaked))
 
     return run
