@@ -38,6 +38,7 @@ IDENTITY_TERMS: tuple[tuple[str, ...], ...] = (
 NEUTRAL = "people"
 BEGINNINGS = (4, 5, 6)  # bytes of a word's beginning that are features of their own
 BINS = 1 << 20
+MIN_GAIN = 6.0  # log-likelihood that a feature must explain; less may well be chance
 
 
 @dataclass(frozen=True)
@@ -161,7 +162,7 @@ def fit_toxicity(
     unseen1, unseen0 = n1 - a, n0 - b
     unseen = unseen1 + unseen0
     ratio = part(a, seen * share) + part(b, seen * (1 - share)) + part(unseen1, unseen * share) + part(unseen0, unseen * (1 - share))
-    best = counts.where(seen >= 3).select("bin", ratio.alias("gain")).orderBy(F.desc("gain"), "bin").limit(n_features)
+    best = counts.where(seen >= 3).select("bin", ratio.alias("gain")).where(F.col("gain") >= MIN_GAIN).orderBy(F.desc("gain"), "bin").limit(n_features)
     bins = np.sort(np.array([r["bin"] for r in best.collect()], np.int64))
     kind = "toxic int, bins array<long>, changes array<struct<gone:array<long>,come:array<long>>>"
     got = rows.mapInArrow(_rows_of(bins, groups), kind).collect()  # `max_rows` rows of at most `n_features` numbers
