@@ -18,7 +18,7 @@ _CONTROLS = re.compile("[\x1c-\x1f]")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: Letters below this stay single letters in lower case and under NFC.
 _LAST_LETTER = "İ"
-MAX_CACHED_WORDS = 500_000
+MAX_CACHED_WORDS = 1_000_000
 _encoders: dict[str, WordEncoder] = {}
 
 
@@ -79,6 +79,8 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, number of ids of each text)."""
+        # the tokenizer lowers letters, too; in ASCII both do it alike, and "<|" may begin a special token
+        texts = [t.lower() if t.isascii() and "<|" not in t else t for t in texts]
         split = [_WORD.findall(t) if _CONTROLS.search(t) else t.split() for t in texts]
         words = [w for s in split for w in s]
         if len(self.index) > self.max_words:
