@@ -32,7 +32,27 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     path = scratch_folder(df.sparkSession, "stage")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _stages[id(out)] = (out, path)
+    return out
+
+
+#: Stage tables of this driver that have not been dropped, with the DataFrame that reads each.
+_stages: dict[int, tuple[DataFrame, str]] = {}
+
+
+def drop_stages(*frames: DataFrame | None) -> None:
+    """Delete the files of stage tables that nothing will read again; other frames are left alone."""
+    for df in frames:
+        if df is not None and id(df) in _stages:
+            _, path = _stages.pop(id(df))
+            target = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def current_stages() -> list[DataFrame]:
+    """The stage tables not yet dropped, oldest first. A job that ends drops those that it has added."""
+    return [df for df, _ in _stages.values()]
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
