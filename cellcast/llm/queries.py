@@ -98,14 +98,13 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_snapshot_collapse", """
     WITH c AS (SELECT conv_id, count(*) AS n_turns,
-                      list(struct_pack(r := coalesce(role, ''), t := coalesce(text, '')) ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+                      list(struct_pack(r := coalesce(role, ''), t := coalesce(text, '')) ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns,
+                      string_agg('<|' || coalesce(role, '') || '|>' || chr(10) || coalesce(text, '') || chr(10), '' ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS rendered
                FROM conversations GROUP BY conv_id),
-    whole AS (SELECT turns, n_turns, min(conv_id) AS conv_id, count(*) AS n_equal FROM c GROUP BY turns, n_turns),
+    whole AS (SELECT turns, n_turns, min(rendered) AS rendered, min(conv_id) AS conv_id, count(*) AS n_equal FROM c GROUP BY turns, n_turns),
     inner_prefix AS (SELECT DISTINCT turns[1:k] AS turns FROM (SELECT turns, unnest(range(1, n_turns)) AS k FROM whole) p),
     kept AS (SELECT w.* FROM whole w LEFT JOIN inner_prefix i ON w.turns = i.turns WHERE i.turns IS NULL)
-    SELECT conv_id, CAST(0 AS INT) AS part, n_turns, n_equal,
-           array_to_string(list_transform(turns, x -> '<|' || x.r || '|>' || chr(10) || x.t || chr(10)), '') AS rendered
-    FROM kept""")
+    SELECT conv_id, CAST(0 AS INT) AS part, n_turns, n_equal, rendered FROM kept""")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshots.collapse_snapshots(table(spark, sf_dir, "conversations"))
 
