@@ -111,8 +111,8 @@ def q3_recompute(spark, sf):
 
 
 SQL["waterindex"] = """
-    SELECT scenario, cell_id, decade, month - 1 AS value_type, v AS value FROM (SELECT scenario, cell_id, CASE WHEN year <= 1996 THEN 1995 ELSE 1997 END AS decade, month, avg(value) AS v FROM monthly WHERE year <= 1999 GROUP BY 1, 2, 3, 4) x
-    UNION ALL SELECT scenario, cell_id, decade, 12, avg(v) + CASE WHEN cell_id % 7 = 3 THEN 0.5 ELSE 0 END FROM (SELECT scenario, cell_id, CASE WHEN year <= 1996 THEN 1995 ELSE 1997 END AS decade, month, avg(value) AS v FROM monthly WHERE year <= 1999 GROUP BY 1, 2, 3, 4) y GROUP BY 1, 2, 3"""
+    SELECT scenario, cell_id, decade, month - 1 AS value_type, v AS value FROM (SELECT scenario, cell_id, CASE WHEN year <= 1996 THEN 1995 ELSE 1997 END AS decade, month, avg(value) AS v FROM monthly GROUP BY 1, 2, 3, 4) x
+    UNION ALL SELECT scenario, cell_id, decade, 12, avg(v) + CASE WHEN cell_id % 7 = 3 THEN 0.5 ELSE 0 END FROM (SELECT scenario, cell_id, CASE WHEN year <= 1996 THEN 1995 ELSE 1997 END AS decade, month, avg(value) AS v FROM monthly GROUP BY 1, 2, 3, 4) y GROUP BY 1, 2, 3"""
 
 
 @query("q4_verify_water_index", """

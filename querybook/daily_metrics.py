@@ -34,7 +34,7 @@ def a7(spark, sf):
 
 
 @query("a8_water_value_types", """
-    WITH m AS (SELECT *, CASE WHEN year BETWEEN 1995 AND 1995 THEN 1990 WHEN year BETWEEN 1996 AND 1999 THEN 1996 END AS decade FROM monthly),
+    WITH m AS (SELECT *, CASE WHEN year BETWEEN 1995 AND 1995 THEN 1990 WHEN year BETWEEN 1996 AND 2001 THEN 1996 END AS decade FROM monthly),
     mm AS (SELECT scenario, cell_id, decade, month, avg(value) AS v FROM m WHERE decade IS NOT NULL GROUP BY 1, 2, 3, 4),
     ma AS (SELECT scenario, cell_id, decade, member, year, avg(value) AS v FROM m WHERE decade IS NOT NULL GROUP BY 1, 2, 3, 4, 5),
     q AS (SELECT scenario, cell_id, decade, quantile_cont(v, [0.05, 0.15, 0.25, 0.5, 0.75, 0.85, 0.95]) AS q FROM ma GROUP BY 1, 2, 3)
@@ -42,11 +42,11 @@ def a7(spark, sf):
     UNION ALL SELECT scenario, cell_id, decade, 12, round(avg(v), 6) FROM mm GROUP BY 1, 2, 3
     UNION ALL SELECT scenario, cell_id, decade, i + 12, round(q[i], 6) FROM q, (VALUES (1), (2), (3), (4), (5), (6), (7)) i(i)""")
 def a8(spark, sf):
-    return rounded(D.water_value_types(table(spark, sf, "monthly"), {1990: (1995, 1995), 1996: (1996, 1999)}), "value")
+    return rounded(D.water_value_types(table(spark, sf, "monthly"), {1990: (1995, 1995), 1996: (1996, 2001)}), "value")
 
 
 SQL["modelstats"] = """
-    WITH a AS (SELECT scenario, member, model, cell_id, year, avg(value) AS v FROM monthly WHERE year BETWEEN 1996 AND 1999 GROUP BY 1, 2, 3, 4, 5)
+    WITH a AS (SELECT scenario, member, model, cell_id, year, avg(value) AS v FROM monthly WHERE year BETWEEN 1996 AND 2001 GROUP BY 1, 2, 3, 4, 5)
     SELECT model, quantile_cont(v, 0.5) AS median, quantile_cont(v, 0.75) - quantile_cont(v, 0.25) AS iqr FROM a GROUP BY 1"""
 
 
@@ -55,7 +55,7 @@ SQL["modelstats"] = """
     FROM monthly m JOIN modelstats s ON m.model = s.model GROUP BY s.model, s.median, s.iqr""")
 def a9(spark, sf):
     m = table(spark, sf, "monthly")
-    stats = D.robust_model_stats(m, (1996, 1999))
+    stats = D.robust_model_stats(m, (1996, 2001))
     scaled = D.robust_normalize(m, stats, 100.0, 15.0).groupBy("model").agg(F.avg("value").alias("mean_scaled"), F.max("value").alias("max_scaled"))
     return rounded(stats.join(scaled, "model"), "median", "iqr", "mean_scaled", "max_scaled")
 

@@ -300,14 +300,14 @@ def h13(spark, sf):
 
 
 @query("h14_water_index", """
-    WITH z AS (SELECT m.scenario, m.cell_id, m.member, m.year, m.month, CASE WHEN m.model = 'R' THEN 25 + (m.value - s.median) / s.iqr * 8 ELSE m.value END AS value, CASE WHEN year BETWEEN 1995 AND 1995 THEN 1990 WHEN year BETWEEN 1996 AND 1999 THEN 1996 END AS decade
+    WITH z AS (SELECT m.scenario, m.cell_id, m.member, m.year, m.month, CASE WHEN m.model = 'R' THEN 25 + (m.value - s.median) / s.iqr * 8 ELSE m.value END AS value, CASE WHEN year BETWEEN 1995 AND 1995 THEN 1990 WHEN year BETWEEN 1996 AND 2001 THEN 1996 END AS decade
       FROM monthly m JOIN modelstats s ON s.model = m.model),
     mm AS (SELECT scenario, cell_id, decade, month, avg(value) AS v FROM z WHERE decade IS NOT NULL GROUP BY 1, 2, 3, 4), ma AS (SELECT scenario, cell_id, decade, member, year, avg(value) AS v FROM z WHERE decade IS NOT NULL GROUP BY 1, 2, 3, 4, 5),
     q AS (SELECT scenario, cell_id, decade, quantile_cont(v, [0.05, 0.15, 0.25, 0.5, 0.75, 0.85, 0.95]) AS q FROM ma GROUP BY 1, 2, 3)
-    SELECT scenario, cell_id, decade, month - 1 AS value_type, round(v, 6) AS value FROM mm UNION ALL SELECT scenario, cell_id, decade, 12, round(avg(v), 6) FROM mm GROUP BY 1, 2, 3
-    UNION ALL SELECT scenario, cell_id, decade, i + 12, round(q[i], 6) FROM q, (VALUES (1), (2), (3), (4), (5), (6), (7)) i(i)""")
+    SELECT scenario, cell_id, decade, month - 1 AS value_type, round(v, 9) AS value FROM mm UNION ALL SELECT scenario, cell_id, decade, 12, round(avg(v), 9) FROM mm GROUP BY 1, 2, 3
+    UNION ALL SELECT scenario, cell_id, decade, i + 12, round(q[i], 9) FROM q, (VALUES (1), (2), (3), (4), (5), (6), (7)) i(i)""")
 def h14(spark, sf):
-    return rounded(hazards.water_index(table(spark, sf, "monthly"), {1990: (1995, 1995), 1996: (1996, 1999)}, (1996, 1999), 25.0, 8.0, ["R"]), "value")
+    return rounded(hazards.water_index(table(spark, sf, "monthly"), {1990: (1995, 1995), 1996: (1996, 2001)}, (1996, 2001), 25.0, 8.0, ["R"]), "value", n=9)
 
 
 @query("h15_compare_indices", """
@@ -368,7 +368,10 @@ def h18(spark, sf):
     return rounded(rounded(out, "base"), "worst_pct", n=5).drop("move")
 
 
-@query("h18_blend_counts")
+@query("h18_blend_counts", """
+    WITH r AS (SELECT site_id, count(*) AS n FROM sites JOIN (SELECT unnest(range(0, 360)) AS g) a ON abs(8975e-2 - 5e-1 * g - lat) <= 5e-1 GROUP BY 1),
+    c AS (SELECT site_id, count(*) AS n FROM sites JOIN (SELECT unnest(range(0, 720)) AS g) b ON least(abs(-17975e-2 + 5e-1 * g - lon), 360 - abs(-17975e-2 + 5e-1 * g - lon)) <= 5e-1 GROUP BY 1)
+    SELECT r.n * c.n AS n_cells, count(*) AS n_sites FROM r JOIN c ON r.site_id = c.site_id GROUP BY 1""")
 def h18_blend(spark, sf):
     return hazards.blend_counts(table(spark, sf, "sites"))
 
