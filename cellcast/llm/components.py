@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellcast.session import cut_lineage
+from cellcast.session import cut_lineage, drop_stages
 
 
 def relabel(df: DataFrame, column: str, labels: DataFrame) -> DataFrame:
@@ -27,14 +27,13 @@ def components(links: DataFrame) -> DataFrame:
     labels = None
     while not edges.isEmpty():
         hook = edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label"))
-        hook = cut_lineage(hook.select("node", F.least("node", "label").alias("label")))
+        near = cut_lineage(hook.select("node", F.least("node", "label").alias("label")))
+        hook = near
         for _ in range(2):
             hook = relabel(hook, "label", hook)
-        hook = cut_lineage(hook)
-        if labels is None:
-            labels = hook
-        else:
-            # a label that was a node of this round moves on; nodes keep their first name
-            labels = cut_lineage(relabel(labels, "label", hook))
-        edges = cut_lineage(relabel(relabel(edges, "a", hook), "b", hook).where("a <> b").distinct())
+        hook, before, old = cut_lineage(hook), labels, edges
+        # a label that was a node of this round moves on; nodes keep their first name
+        labels = hook if before is None else cut_lineage(relabel(before, "label", hook))
+        edges = cut_lineage(relabel(relabel(old, "a", hook), "b", hook).where("a <> b").distinct())
+        drop_stages(near, before, old, hook if before is not None else None)
     return labels if labels is not None else edges.select(F.col("a").alias("node"), F.col("b").alias("label"))

@@ -29,13 +29,15 @@ from pyspark.sql import functions as F
 from cellcast.llm.components import components, relabel
 from cellcast.llm.rows import documents, text_chunks
 from cellcast.llm.words import LOWER, find_words, gram_starts, grams, mix
-from cellcast.session import cut_lineage
+from cellcast.session import cut_lineage, drop_stages
 
 _U = np.uint64
 #: Shingles whose counts travel to the tasks. They only order a set's elements: any order gives the same links.
 MAX_FREQUENT = 1 << 19
 SUBLIST = 4096  # rows of a list that are looked at together in a round
-ROUNDS, REACH = 2, 3
+#: Rounds of probing: how many random orders the lists share, and how many next rows each row meets. The first
+#: round meets the same few pairs in every list; in the later ones, a row still alone meets others in each list.
+PROBES = ((4, 2), (1 << 20, 8), (1 << 20, 16), (1 << 20, 16))
 
 
 @dataclass(frozen=True)
@@ -175,21 +177,35 @@ def _still_open(postings: DataFrame) -> DataFrame:
     return postings.join(mixed, "token", "left_semi")
 
 
-def _probe_pairs(postings: DataFrame, sim: Similarity, turn: int) -> DataFrame:
+def _probe_pairs(postings: DataFrame, sim: Similarity, turn: int, orders: int, reach: int) -> DataFrame:
     """A few pairs of each list: every row with the next ones in a random order, in sublists of bounded size."""
     n = F.count(F.lit(1)).alias("_n")
     sizes = postings.groupBy("token").agg(n)
     cut = postings.join(sizes, "token").withColumn("_sub", F.pmod(F.xxhash64(F.lit(turn), "c"), F.ceil(F.col("_n") / SUBLIST)))
-    order = W.partitionBy("token", "_sub").orderBy(F.xxhash64(F.lit(turn), "token", "c"), "c")
+    order = W.partitionBy("token", "_sub").orderBy(F.xxhash64(F.lit(turn), F.pmod("token", F.lit(orders)), "c"), "c")
     me = F.struct("c", "size", "pos", "label")
-    seen = cut.select("token", me.alias("x"), *[F.lead(me, k).over(order).alias(f"y{k}") for k in range(1, REACH + 1)])
+    seen = cut.select("token", me.alias("x"), *[F.lead(me, k).over(order).alias(f"y{k}") for k in range(1, reach + 1)])
     parts = []
-    for k in range(1, REACH + 1):
+    for k in range(1, reach + 1):
         y = f"y{k}"
         pair = F.struct(F.least("x.c", f"{y}.c").alias("a"), F.greatest("x.c", f"{y}.c").alias("b"))
         parts.append(F.when((F.col("x.label") != F.col(f"{y}.label")) & _possible(sim, "x", y), pair))
     found = seen.select(F.explode(F.filter(F.array(*parts), lambda p: p.isNotNull())).alias("p"))
-    return found.select("p.a", "p.b").distinct()
+    return cut_lineage(found.select("p.a", "p.b").distinct())
+
+
+def _with_partners(postings: DataFrame, sim: Similarity) -> DataFrame:
+    """Without rows that can link with no other row of their list, by size and position.
+
+    A row links with no set larger than `_most`, so in order of size it needs an earlier row that may
+    be as large as itself, or a next one that is not too large. Lists beyond SUBLIST rows stay whole.
+    """
+    rows = postings.withColumn("_most", (F.col("size") - F.col("pos")) * (100 + sim.share) / F.lit(sim.share) - F.col("size") + 1e-6)
+    order = W.partitionBy("token").orderBy("size", "c")
+    earlier = F.max("_most").over(order.rowsBetween(W.unboundedPreceding, -1)) >= F.col("size")
+    later = F.lead("size").over(order) <= F.col("_most")
+    short = rows.where(F.col("n") <= SUBLIST).withColumn("_any", F.coalesce(earlier, F.lit(False)) | F.coalesce(later, F.lit(False)))
+    return short.where("_any").drop("_any", "_most", "n").unionByName(rows.where(F.col("n") > SUBLIST).drop("_most", "n"))
 
 
 def _remaining_pairs(postings: DataFrame, sets: DataFrame, sim: Similarity) -> DataFrame:
@@ -204,15 +220,17 @@ def _remaining_pairs(postings: DataFrame, sets: DataFrame, sim: Similarity) -> D
     x = rows.select("token", "block", F.struct("c", "size", "pos", "label", "extra").alias("x"))
     y = rows.select("token", F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1)).alias("block"), F.struct("c", "size", "pos", "label", "extra").alias("y"))
     meet = x.join(y, ["token", "block"]).where((F.col("x.label") < F.col("y.label")) & _possible(sim, "x", "y"))
-    pairs = cut_lineage(
+    meet = cut_lineage(
         meet.select(
             F.col("x.c").alias("c"), F.col("y.c").alias("d"), F.col("x.label").alias("a"), F.col("y.label").alias("b"),
             (_needed(sim, F.col("x.size"), F.col("y.size")) - F.col("x.extra") - F.col("y.extra")).alias("least"),
         ).distinct()
     )
-    leaders = _overlaps(pairs.select("a", "b").distinct(), sets).select("a", "b", "o")
-    open_pairs = pairs.join(leaders, ["a", "b"]).where("o >= least")
-    return open_pairs.select(F.col("c").alias("a"), F.col("d").alias("b"))
+    leaders = _overlaps(meet.select("a", "b").distinct(), sets).select("a", "b", "o")
+    open_pairs = meet.join(leaders, ["a", "b"]).where("o >= least")
+    out = cut_lineage(open_pairs.select(F.col("c").alias("a"), F.col("d").alias("b")))
+    drop_stages(rows, meet)
+    return out
 
 
 def join_sets(docs: DataFrame, sim: Similarity = Similarity(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -228,29 +246,35 @@ def join_sets(docs: DataFrame, sim: Similarity = Similarity(), id_col: str = "do
     spark = docs.sparkSession
     rows = documents(docs, id_col, text_col).withColumn("f", F.xxhash64("text"))
     counts = rows.select("text").mapInArrow(_frequent(sim.words), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "h").limit(MAX_FREQUENT).toPandas()  # MAX_FREQUENT rows at most
-    h, n = top["h"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)
+    top = counts.orderBy(F.desc("n"), "h").limit(MAX_FREQUENT).toArrow()  # MAX_FREQUENT rows at most
+    h, n = top["h"].to_numpy().view(np.uint64), top["n"].to_numpy()
     order = np.argsort(h)
     shared = spark.sparkContext.broadcast((h[order], n[order]))
     sets = cut_lineage(rows.mapInArrow(_sets(sim, shared), _SETS))
     classes = cut_lineage(sets.where("size > 0").groupBy("f1", "f2").agg(F.min("key").alias("c"), F.min("doc_id").alias("least_id")))
     first = sets.where("size > 0").join(classes.select(F.col("c").alias("key")), "key", "left_semi")
     postings = first.select(F.col("key").alias("c"), "doc_id", "f1", "size", F.posexplode("prefix").alias("pos", "token"))
-    shared_tokens = postings.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("token")
-    postings = cut_lineage(postings.join(shared_tokens, "token", "left_semi").withColumn("label", F.col("c")))
+    shared_tokens = postings.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    postings = cut_lineage(postings.join(shared_tokens, "token").withColumn("label", F.col("c")))
+    whole, postings = postings, cut_lineage(_with_partners(postings, sim))
+    drop_stages(whole)
     # texts of the classes that meet another in a list, found by id and told apart by fingerprint
-    wanted = postings.groupBy("c").agg(F.first("doc_id").alias("_id"), F.first("f1").alias("f1"))
+    wanted = cut_lineage(postings.groupBy("c").agg(F.first("doc_id").alias("_id"), F.first("f1").alias("f1")))
     found = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id"))).select("c", "f1", "text")
     full = cut_lineage(found.mapInArrow(_full_sets(sim.words), "c long, s array<long>").dropDuplicates(["c"]))
-    postings, labels = postings.drop("doc_id", "f1"), None
-    for turn in range(ROUNDS + 1):
-        pairs = _probe_pairs(postings, sim, turn) if turn < ROUNDS else _remaining_pairs(postings, full, sim)
+    drop_stages(wanted)
+    labels = None
+    for turn, probe in enumerate([*PROBES, None]):
+        pairs = _probe_pairs(postings, sim, turn, *probe) if probe else _remaining_pairs(postings, full, sim)
         links = _verified(pairs, full, sim)
         if labels is not None:
             links = relabel(relabel(links, "a", labels), "b", labels)
-        merged = components(links)
-        labels = merged if labels is None else cut_lineage(relabel(labels, "label", merged).unionByName(merged.join(labels, "node", "left_anti")))
-        postings = cut_lineage(_still_open(relabel(postings, "label", merged)))
+        merged, before, lists = components(links), labels, postings
+        labels = merged if before is None else cut_lineage(relabel(before, "label", merged).unionByName(merged.join(before, "node", "left_anti")))
+        if probe:
+            postings = cut_lineage(_still_open(relabel(lists, "label", merged)))
+        drop_stages(pairs, before, lists, merged if before is not None else None)
+    drop_stages(full)
     named = relabel(classes.withColumn("label", F.col("c")), "label", labels)
     smallest = named.groupBy("label").agg(F.min("least_id").alias("component_id"))
     of_class = named.join(smallest, "label").select("f1", "f2", F.col("c").alias("class"), F.col("label").alias("component"), "component_id")
