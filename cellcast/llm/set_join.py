@@ -34,6 +34,7 @@ from cellcast.session import cut_lineage, drop_stages
 _U = np.uint64
 #: Shingles whose counts travel to the tasks. They only order a set's elements: any order gives the same links.
 MAX_FREQUENT = 1 << 19
+BITS = 1024  # parity bits of a set that travel for a pair before the set itself does
 SUBLIST = 4096  # rows of a list that are looked at together in a round
 #: Rounds of probing: how many random orders the lists share, and how many next rows each row meets. The first
 #: round meets the same few pairs in every list; in the later ones, a row still alone meets others in each list.
@@ -130,9 +131,18 @@ def _sets(sim: Similarity, shared):
     return run
 
 
+def parity_words(h: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Per set BITS parity bits as longs: bit k says whether an odd number of elements hash to k."""
+    rows = len(at) - 1
+    row = np.repeat(np.arange(rows), np.diff(at))
+    place = (mix(h + _U(3)) % _U(BITS)).astype(np.int64)
+    odd = np.bincount(row * BITS + place, minlength=rows * BITS).astype(np.uint8) & 1
+    return np.packbits(odd.reshape(rows, BITS), axis=1).view(np.int64)
+
+
 def _full_sets(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(c, all shingles) of the rows whose set is that of their class."""
+        """(c, all shingles, their parity bits) of the rows whose set is that of their class."""
         for b in batches:
             wanted = b.column("f1").to_numpy()
             for i, j, raw, border in text_chunks(b.column("text")):
@@ -141,7 +151,8 @@ def _full_sets(words: int):
                 np.cumsum(mix(h + _U(1)), out=total[1:])
                 same = (total[at[1:]] - total[at[:-1]]).view(np.int64) == wanted[i:j]
                 lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(h.view(np.int64)))
-                out = pa.RecordBatch.from_arrays([b.column("c").slice(i, j - i), lists], names=["c", "s"])
+                bits = pa.ListArray.from_arrays(pa.array(np.arange(j - i + 1, dtype=np.int32) * (BITS // 64)), pa.array(parity_words(h, at).ravel()))
+                out = pa.RecordBatch.from_arrays([b.column("c").slice(i, j - i), lists, bits], names=["c", "s", "bits"])
                 yield out.filter(pa.array(same))
 
     return run
@@ -167,7 +178,15 @@ def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, sim: Similarity) -> DataFrame:
-    o = _overlaps(pairs, sets)
+    """The linked pairs. Parity bits differ at no more places than the sets do: that bounds the overlap from
+    above, and only pairs that pass it are compared by their elements."""
+    left = sets.select(F.col("c").alias("a"), F.col("bits").alias("_x"), F.size("s").alias("_sa"))
+    right = sets.select(F.col("c").alias("b"), F.col("bits").alias("_y"), F.size("s").alias("_sb"))
+    apart = F.aggregate(F.zip_with("_x", "_y", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, k: n + k)
+    most = (F.col("_sa") + F.col("_sb") - apart) / 2
+    near = pairs.join(left, "a").join(right, "b").where(100 * most >= sim.share * (F.col("_sa") + F.col("_sb") - most))
+    near = cut_lineage(near.select("a", "b"))
+    o = _overlaps(near, sets)
     return o.where(100 * F.col("o") >= sim.share * (F.col("sa") + F.col("sb") - F.col("o"))).select("a", "b")
 
 
@@ -261,7 +280,7 @@ def join_sets(docs: DataFrame, sim: Similarity = Similarity(), id_col: str = "do
     # texts of the classes that meet another in a list, found by id and told apart by fingerprint
     wanted = cut_lineage(postings.groupBy("c").agg(F.first("doc_id").alias("_id"), F.first("f1").alias("f1")))
     found = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id"))).select("c", "f1", "text")
-    full = cut_lineage(found.mapInArrow(_full_sets(sim.words), "c long, s array<long>").dropDuplicates(["c"]))
+    full = cut_lineage(found.mapInArrow(_full_sets(sim.words), "c long, s array<long>, bits array<long>").dropDuplicates(["c"]))
     drop_stages(wanted)
     labels = None
     for turn, probe in enumerate([*PROBES, None]):
