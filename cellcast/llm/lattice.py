@@ -32,6 +32,7 @@ from cellcast.session import cut_lineage
 _U = np.uint64
 _TABLE = 20  # bits of a hash table slot
 WORD_MARK = "▁".encode()
+MAX_STEM = 16  # bytes of a word that joins the pieces
 
 
 @dataclass(frozen=True)
@@ -69,7 +70,8 @@ def with_words(pieces: Pieces, words: list[bytes], share: float = 1e-6) -> Piece
     """Common words without the punctuation at their end become pieces, too, so that a new word may be a known one and more."""
     weight = dict(zip(pieces.texts, np.exp(pieces.log_p)))
     for w in words:
-        if stem := w.rstrip(b".,!?;:|"):
+        stem = w.rstrip(b".,!?;:|")
+        if 0 < len(stem) < MAX_STEM:
             weight.setdefault(b" " + stem, share)
     texts = tuple(sorted(weight))
     p = np.array([weight[t] for t in texts])
@@ -120,7 +122,8 @@ class Lattice:
         for row, k in enumerate(lengths):
             at = np.flatnonzero(left >= k)
             arcs[row, at] = self._find(mix((total[at + k] - total[at]) * down[at]))
-        return lengths, arcs
+        used = np.flatnonzero((arcs >= 0).any(axis=1))
+        return [lengths[r] for r in used], arcs[used]
 
     def run(self, words: list[bytes], expect: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
         """(log probability of each word, expected number of each piece over all words if asked)."""
@@ -301,13 +304,13 @@ def fit_lattice(docs: DataFrame, vocabulary: str, max_hot: int = 200_000, max_wo
     discount = min(max(discount, 0.1), 0.9)
     pieces = vocabulary_pieces(vocabulary)
     if n_tokens:
-        common = words.where("n > 0").orderBy(F.desc("n"), "word").limit(max_word_pieces).collect()  # at most so many words
-        pieces = with_words(pieces, [r["word"] for r in common])
+        common = words.where("n > 0").orderBy(F.desc("n"), "word").limit(max_word_pieces).toArrow()  # at most so many words
+        pieces = with_words(pieces, common["word"].to_pylist())
         pieces = fit_pieces(words.where("n > 0"), pieces, rounds)
     scorer = _word_scores(pieces, discount, max(n_tokens, 1), max(n_types, 1), base_add)
     table = cut_lineage(words.mapInArrow(scorer, "hash long, n long, base double, score double"))
-    common = table.orderBy(F.desc("n"), "hash").limit(max_hot).toPandas().sort_values("hash")  # `max_hot` rows at most
-    hot = (common["hash"].to_numpy(np.int64), common["n"].to_numpy(np.int64), common["base"].to_numpy(float), common["score"].to_numpy(float))
+    common = table.orderBy(F.desc("n"), "hash").limit(max_hot).toArrow().sort_by("hash")  # `max_hot` rows at most
+    hot = tuple(common[c].to_numpy() for c in ("hash", "n", "base", "score"))
     end_base = float(np.log10((ends + base_add) / (max(n_tokens, 1) + base_add * (n_types + 1)))) if n_tokens else 0.0
     end_score = float(np.log10(max(ends - discount, 0.1) / n_tokens)) if n_tokens else 0.0
     return LatticeModel(table, hot, n_tokens, end_base, end_score)
