@@ -158,6 +158,15 @@ def _full_sets(words: int):
     return run
 
 
+def _texts_of(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(c, f1, text) of the classes that meet another in a list, found by id and text hash.
+
+    Classes have different texts, so a row is that of one class at most, however many rows share its id.
+    """
+    ids = [F.coalesce("doc_id", F.lit(-(1 << 63))).alias("_k"), "f"]  # no null in a join key; the hash tells texts apart
+    return rows.select(*ids, "text").join(wanted.select(*ids, "c", "f1"), ["_k", "f"]).select("c", "f1", "text")
+
+
 def _needed(sim: Similarity, a: Column, b: Column) -> Column:
     """Least overlap of a linked pair of sets of these sizes."""
     return F.ceil(sim.share * (a + b) / F.lit(100 + sim.share) - 1e-9)
@@ -272,14 +281,13 @@ def join_sets(docs: DataFrame, sim: Similarity = Similarity(), id_col: str = "do
     sets = cut_lineage(rows.mapInArrow(_sets(sim, shared), _SETS))
     classes = cut_lineage(sets.where("size > 0").groupBy("f1", "f2").agg(F.min("key").alias("c"), F.min("doc_id").alias("least_id")))
     first = sets.where("size > 0").join(classes.select(F.col("c").alias("key")), "key", "left_semi")
-    postings = first.select(F.col("key").alias("c"), "doc_id", "f1", "size", F.posexplode("prefix").alias("pos", "token"))
+    postings = first.select(F.col("key").alias("c"), "doc_id", "f", "f1", "size", F.posexplode("prefix").alias("pos", "token"))
     shared_tokens = postings.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     postings = cut_lineage(postings.join(shared_tokens, "token").withColumn("label", F.col("c")))
     whole, postings = postings, cut_lineage(_with_partners(postings, sim))
     drop_stages(whole)
-    # texts of the classes that meet another in a list, found by id and told apart by fingerprint
-    wanted = cut_lineage(postings.groupBy("c").agg(F.first("doc_id").alias("_id"), F.first("f1").alias("f1")))
-    found = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id"))).select("c", "f1", "text")
+    wanted = cut_lineage(postings.groupBy("c").agg(F.first("doc_id").alias("doc_id"), F.first("f").alias("f"), F.first("f1").alias("f1")))
+    found = _texts_of(rows, wanted)
     full = cut_lineage(found.mapInArrow(_full_sets(sim.words), "c long, s array<long>, bits array<long>").dropDuplicates(["c"]))
     drop_stages(wanted)
     labels = None

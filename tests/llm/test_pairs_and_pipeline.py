@@ -107,6 +107,14 @@ def test_one_of_each_component_stays(spark, near_copies):
     assert set_join.keep_representatives(df.where("false"), sim).count() == 0
 
 
+def test_texts_of_rows_that_share_an_id_meet_their_own_class_only(spark):
+    texts = [(None if k % 2 else 7, f"text {k // 2}") for k in range(400)] + [(None, "text 1")]
+    rows = spark.createDataFrame(texts, "doc_id BIGINT, text STRING").withColumn("f", F.xxhash64("text"))
+    wanted = rows.distinct().select("doc_id", "f", F.xxhash64("doc_id", "text").alias("c"), F.lit(0).cast("long").alias("f1"))
+    got = set_join._texts_of(rows, wanted).groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("text").alias("d")).collect()
+    assert len(got) == 400 and all(r["d"] == 1 for r in got) and sum(r["n"] for r in got) == 401
+
+
 # Repeated passages --------------------------------------------------------------------------
 
 
