@@ -108,6 +108,21 @@ def test_snapshots_collapse_to_maximal_conversations(spark):
     assert snapshots.collapse_snapshots(df.where("false")).count() == 0
 
 
+def test_no_group_of_a_hot_conversation_has_more_than_a_segment_of_rows(spark):
+    # no conv_id, no turn; one turn number; one repeated row; and the whole of it as an inner prefix of another
+    rows = [(None, None, "user", f"t{t:04d}") for t in range(2600)] + [(1, 5, "user", f"t{t:04d}") for t in range(2600)]
+    rows += [(2, 3, "user", "same")] * 2100 + [(3, t, "user", "same") for t in range(2101)] + [(4, t % 2, None, None) for t in range(1500)]
+    df = spark.createDataFrame(rows, "conv_id BIGINT, turn BIGINT, role STRING, text STRING").repartition(7)
+    sizes = snapshots.prefix_hashes(df).groupBy("conv_id", "segment").count().collect()
+    assert max(r["count"] for r in sizes) == snapshots.SEGMENT and len(sizes) == 3 + 3 + 3 + 3 + 2
+    got = collections.defaultdict(list)
+    for r in snapshots.collapse_snapshots(df).collect():
+        got[r["conv_id"]].append((r["part"], r["n_turns"], r["n_equal"], r["rendered"]))
+    joined = {c: (sorted(v)[0][1], v[0][2], "".join(x for *_, x in sorted(v))) for c, v in got.items()}
+    assert joined == plain_maximal(rows) and 2 not in joined
+    assert all([p for p, *_ in sorted(v)] == list(range(-(-v[0][1] // snapshots.SEGMENT))) for v in got.values())
+
+
 # Quality ------------------------------------------------------------------------------------
 
 
