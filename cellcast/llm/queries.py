@@ -77,7 +77,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_set_relation_join")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = set_join.join_sets(table(spark, sf_dir, "documents"), set_join.Similarity(words=3, share=90))
-    return joined.select("doc_id", "n_shingles", "component_id")
+    return joined.select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 @query("op6_counterfactual_toxicity")

@@ -12,6 +12,12 @@ is looked at again, however large a group of near copies is. Each component has
 every member's difference from it is known. For two components that still meet in a list the leaders'
 overlap is computed once; the overlap of any two members is then at most that plus what the members add to
 their leaders, and only pairs that pass this bound are verified, all of them.
+
+The number of links of each document is exact, within components too: there answers are derived from the
+component's centre (the elements of more than half of its members). Two members' overlap is what the
+centre's size less both members' losses gives, plus the elements in which both differ from it. Members that
+differ in no common element are counted by ranks, without their pairs; pairs whose answer a common
+difference can change meet in lists of these differences, by the same prefix filter, and are verified.
 """
 
 from __future__ import annotations
@@ -261,16 +267,78 @@ def _remaining_pairs(postings: DataFrame, sets: DataFrame, sim: Similarity) -> D
     return out
 
 
+def _derived_links(members: DataFrame, sim: Similarity) -> tuple[DataFrame, DataFrame]:
+    """(c, n) and (a, b) of `members` (label, c, s, w): documents in other classes that link with c by the
+    centre's answer, and the pairs of a component that the centre leaves open.
+
+    With v = (100 + share) * lost + share * size, and t = (100 + share) * centre size, a pair links if its
+    v together exceed t by no more than 100 + share for each element in which both differ from the centre.
+    """
+    one = 100 + sim.share
+    held = members.select("label", F.explode("s").alias("e")).groupBy("label", "e").agg(F.count(F.lit(1)).alias("n"))
+    most = held.join(members.groupBy("label").agg(F.count(F.lit(1)).alias("k")), "label").where("2 * n > k")
+    centre = most.groupBy("label").agg(F.collect_list("e").alias("centre"))
+    d = members.join(centre, "label", "left").withColumn("centre", F.coalesce("centre", F.array().cast("array<long>")))
+    lost = F.array_except("centre", "s")
+    v, t = one * F.size("lost").cast("long") + sim.share * F.size("s"), one * F.size("centre").cast("long")
+    d = d.withColumn("lost", lost).select("label", "c", "w", v.alias("v"), t.alias("t"), F.concat(F.array_except("s", "centre"), "lost").alias("d"))
+    d = cut_lineage(d)
+    # documents whose v is at most t - v: sums over the distinct values of a component
+    values = d.groupBy("label", "v").agg(F.sum("w").alias("w")).withColumn("ask", F.lit(0))
+    asks = d.select("label", (F.col("t") - F.col("v")).alias("v")).distinct().withColumns({"w": F.lit(0).cast("long"), "ask": F.lit(1)})
+    up_to = F.sum("w").over(W.partitionBy("label").orderBy("v", "ask").rowsBetween(W.unboundedPreceding, 0))
+    answers = values.unionByName(asks).withColumn("n", up_to).where("ask = 1").select("label", F.col("v").alias("q"), "n")
+    own = F.when(2 * F.col("v") <= F.col("t"), F.col("w")).otherwise(0)
+    derived = cut_lineage(d.withColumn("q", F.col("t") - F.col("v")).join(answers, ["label", "q"]).select("c", (F.col("n") - own).alias("n")))
+    ends = d.groupBy("label").agg(F.min("v").alias("least"), F.max("v").alias("most"))
+    some = d.join(ends, "label").where("v + most > t")
+    common = F.greatest(F.lit(1), F.ceil((F.col("v") + F.col("least") - F.col("t")) / F.lit(one) - 1e-9))
+    rows = some.select("label", "c", "v", "t", F.size("d").alias("size"), common.alias("common"), F.explode("d").alias("e"))
+    shared = rows.groupBy("label", "e").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    me = W.partitionBy("label", "c")
+    left = F.count(F.lit(1)).over(me) - F.row_number().over(me.orderBy("n", "e")) + 1  # elements from this one on, rarest first
+    rows = cut_lineage(rows.join(shared, ["label", "e"]).withColumn("left", left).where("left >= common").select("label", "e", "t", F.struct("c", "v", "left").alias("x")))
+    other = rows.select("label", "e", F.col("x").alias("y"))
+    over = F.col("x.v") + F.col("y.v") - F.col("t")
+    meet = rows.join(other, ["label", "e"]).where((F.col("x.c") < F.col("y.c")) & (over > 0) & (one * F.least("x.left", "y.left") >= over))
+    pairs = cut_lineage(meet.select(F.col("x.c").alias("a"), F.col("y.c").alias("b")).distinct())
+    drop_stages(d, rows)
+    return derived, pairs
+
+
+def _link_counts(classes: DataFrame, full: DataFrame, labels: DataFrame, across: DataFrame, sim: Similarity) -> DataFrame:
+    """(c, n_links) of every class: links of one of its documents, those to equal sets included.
+
+    `labels` are the components before the links `across` (a, b) them, which are all that there are.
+    """
+    weight = classes.select("c", "w")
+    members = cut_lineage(labels.select(F.col("node").alias("c"), "label").join(full.select("c", "s"), "c").join(weight, "c"))
+    derived, pairs = _derived_links(members, sim)
+    drop_stages(members)
+    links = cut_lineage(across.unionByName(_verified(pairs, full, sim)))
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    counts = both.join(weight.withColumnRenamed("c", "b"), "b").select(F.col("a").alias("c"), F.col("w").alias("n"))
+    every = counts.unionByName(derived).unionByName(weight.select("c", (F.col("w") - 1).alias("n")))
+    out = cut_lineage(every.groupBy("c").agg(F.sum("n").alias("n_links")))
+    drop_stages(derived, pairs, links)
+    return out
+
+
 def join_sets(docs: DataFrame, sim: Similarity = Similarity(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, f, n_shingles, class, component, component_id.
+    """One row per input row: doc_id, f, n_shingles, class, component, component_id, n_links.
 
-    Rows with equal sets share `class`, linked ones `component` (null without words); `f` is the text's hash.
+    n_links is the number of other rows that the row links with, rows with an equal set included. Rows with equal sets share `class`, linked ones `component` (null without words); `f` is the text's hash.
 
     component_id is the smallest doc_id that a document reaches by links, itself included. A text without
     words, or null, has no shingles and links with nothing. Repeated rows are documents of their own and
     equal; a null doc_id counts in no minimum, and a component of null ids alone has a null id. An empty
-    table gives none. No link between different components of a round is ever skipped.
+    table gives none. No link is skipped.
     """
+    return _joined(docs, sim, id_col, text_col, True)
+
+
+def _joined(docs: DataFrame, sim: Similarity, id_col: str, text_col: str, counted: bool) -> DataFrame:
+    """join_sets; n_links is left out unless `counted`."""
     spark = docs.sparkSession
     rows = documents(docs, id_col, text_col).withColumn("f", F.xxhash64("text"))
     counts = rows.select("text").mapInArrow(_frequent(sim.words), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
@@ -279,7 +347,7 @@ def join_sets(docs: DataFrame, sim: Similarity = Similarity(), id_col: str = "do
     order = np.argsort(h)
     shared = spark.sparkContext.broadcast((h[order], n[order]))
     sets = cut_lineage(rows.mapInArrow(_sets(sim, shared), _SETS))
-    classes = cut_lineage(sets.where("size > 0").groupBy("f1", "f2").agg(F.min("key").alias("c"), F.min("doc_id").alias("least_id")))
+    classes = cut_lineage(sets.where("size > 0").groupBy("f1", "f2").agg(F.min("key").alias("c"), F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("w")))
     first = sets.where("size > 0").join(classes.select(F.col("c").alias("key")), "key", "left_semi")
     postings = first.select(F.col("key").alias("c"), "doc_id", "f", "f1", "size", F.posexplode("prefix").alias("pos", "token"))
     shared_tokens = postings.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -294,6 +362,9 @@ def join_sets(docs: DataFrame, sim: Similarity = Similarity(), id_col: str = "do
     for turn, probe in enumerate([*PROBES, None]):
         pairs = _probe_pairs(postings, sim, turn, *probe) if probe else _remaining_pairs(postings, full, sim)
         links = _verified(pairs, full, sim)
+        if counted and not probe:
+            links = cut_lineage(links)
+            n_links = _link_counts(classes, full, labels, links, sim)
         if labels is not None:
             links = relabel(relabel(links, "a", labels), "b", labels)
         merged, before, lists = components(links), labels, postings
@@ -305,9 +376,12 @@ def join_sets(docs: DataFrame, sim: Similarity = Similarity(), id_col: str = "do
     named = relabel(classes.withColumn("label", F.col("c")), "label", labels)
     smallest = named.groupBy("label").agg(F.min("least_id").alias("component_id"))
     of_class = named.join(smallest, "label").select("f1", "f2", F.col("c").alias("class"), F.col("label").alias("component"), "component_id")
+    if counted:
+        of_class = of_class.join(n_links.withColumnRenamed("c", "class"), "class")
     joined = sets.drop("prefix").join(of_class, ["f1", "f2"], "left")
     own = F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return joined.select("doc_id", "f", F.col("size").cast("long").alias("n_shingles"), "class", "component", own.alias("component_id"))
+    more = [F.coalesce("n_links", F.lit(0)).alias("n_links")] if counted else []
+    return joined.select("doc_id", "f", F.col("size").cast("long").alias("n_shingles"), "class", "component", own.alias("component_id"), *more)
 
 
 def keep_representatives(docs: DataFrame, sim: Similarity = Similarity(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -315,7 +389,7 @@ def keep_representatives(docs: DataFrame, sim: Similarity = Similarity(), id_col
 
     Texts without words link with nothing and stay. Of rows equal in id and text one stays.
     """
-    joined = join_sets(docs, sim, id_col, text_col)
+    joined = _joined(docs, sim, id_col, text_col, False)
     # no null in a join key: null ids are told apart from the smallest id by the text's hash
     key = lambda c: F.coalesce(c, F.lit(-(1 << 63)))
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "f")

@@ -107,6 +107,24 @@ def test_one_of_each_component_stays(spark, near_copies):
     assert set_join.keep_representatives(df.where("false"), sim).count() == 0
 
 
+def test_links_of_each_document_are_counted_inside_components_too(spark):
+    rng = np.random.default_rng(4)
+    base = random_text(rng, 150, 10_000)
+    other = edited(rng, base, 3)  # differences that a second family shares
+    rows = [(k, edited(rng, base if k % 3 else other, int(rng.integers(0, 5)))) for k in range(60)]
+    words = [f"c{k}" for k in range(140)]
+    rows += [(100 + k, " ".join(words[4 * k : 100 + 4 * k])) for k in range(10)]  # a chain: only near ones link
+    rows += [(200 + k, random_text(rng, 30, 10_000)) for k in range(10)] + [(None, rows[0][1]), (300, rows[61][1]), (301, ""), (302, None)]
+    sets = plain_sets(rows, 5)
+    want = []
+    for k, (i, _) in enumerate(rows):
+        both = [(len(sets[k] & x), len(sets[k] | x)) for j, x in enumerate(sets) if j != k]
+        want.append((i, len(sets[k]), sum(1 for o, u in both if o and 100 * o >= 80 * u)))
+    got = [(r["doc_id"], r["n_shingles"], r["n_links"]) for r in set_join.join_sets(frame(spark, rows), set_join.Similarity(5, 80)).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert len({n for i, _, n in want if i in range(100, 110)}) > 1 and len({n for i, _, n in want if i in range(60)}) > 3
+
+
 def test_texts_of_rows_that_share_an_id_meet_their_own_class_only(spark):
     texts = [(None if k % 2 else 7, f"text {k // 2}") for k in range(400)] + [(None, "text 1")]
     rows = spark.createDataFrame(texts, "doc_id BIGINT, text STRING").withColumn("f", F.xxhash64("text"))
