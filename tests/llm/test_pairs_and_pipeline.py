@@ -7,6 +7,7 @@ import itertools
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -227,6 +228,24 @@ def test_leaks_are_found_up_to_the_edit_bound_and_clean_texts_left_alone(spark):
     assert edit_walk.find_leaks(docs, benchmark.where("false")).count() == 0 and edit_walk.find_leaks(docs.where("false"), benchmark).count() == 0
 
 
+def test_long_items_with_all_allowed_edits_reach_the_target_recall():
+    rng = np.random.default_rng(17)
+    for low, high, count in ((100, 129, 60), (129, 200, 60), (200, 257, 60), (300, 701, 30)):
+        texts = [random_text(rng, int(n), 50_000) for n in rng.integers(low, high, count)]
+        items = edit_walk.Items.of(list(range(count)), texts)
+        docs = [f"{random_text(rng, 60, 50_000)} {edited(rng, t, len(t.split()) // 5)} {random_text(rng, 60, 50_000)}" for t in texts]
+        truth = set()
+        for i, words in enumerate(edit_walk.edit_words(docs)):
+            for piece in np.flatnonzero(items.ids == i):
+                n = items.size[piece : piece + 1]
+                d = edit_walk.edit_distances(items.words[piece, : n[0]][None], n, words[None], np.array([len(words)]))[0]
+                if d <= edit_walk.edits_allowed(int(n[0])):
+                    truth.add(i)
+        got = {(int(r), int(items.ids[p])) for row, piece, *_ in edit_walk.batch_leaks(pa.array(docs), items) for r, p in zip(row, piece)}
+        assert all(i == j for i, j in got) and {i for i, _ in got} <= truth
+        assert len(got) >= edit_walk.TARGET_RECALL * len(truth) and len(truth) >= count / 2, (low, len(got), len(truth))
+
+
 def test_edit_distance_by_brute_force():
     rng = np.random.default_rng(1)
 
