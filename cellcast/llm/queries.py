@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellcast.llm import edit_walk, lattice, packing, range_coder, set_join, snapshots, suffixes, target_ratio, toxicity, url_trees
+from cellcast.llm import alignment, edit_walk, lattice, packing, part_codes, prefix_forest, range_coder, set_join, snapshots, suffixes, target_ratio, toxicity, url_trees
 from cellcast.llm.rows import documents, fold
-from cellcast.session import scratch_folder
+from cellcast.session import cut_lineage, scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -124,3 +124,53 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"), (~failed & F.col("in_target")).alias("kept"), "score",
     )
+
+
+@query("op11_galloping_alignment")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    aligned = alignment.align_tokens(table(spark, sf_dir, "documents"), *paths)
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    written = cut_lineage(aligned.select("doc_id", "n_a", "n_b", "n_groups", digest.alias("groups_sha256"), "codes", "times"))
+    scored = alignment.score_links(written, *paths)
+    return scored.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def _book_sql() -> str:
+    """Codebooks of 16 parts of 4 components, assigned and moved twice, and assigned again."""
+    parts = ", ".join(f"v[4 * p + {j + 1}] AS x{j}" for j in range(4))
+    far = " + ".join(f"(q.x{j} - c.x{j}) * (q.x{j} - c.x{j})" for j in range(4))
+    steps = []
+    for r in range(3):
+        steps.append(f"a{r} AS (SELECT q.vec_id, q.p, min(({far}) * 64 + c.e) AS m FROM parts q JOIN c{r} c ON c.p = q.p GROUP BY q.vec_id, q.p)")
+        if r < 2:
+            means = ", ".join(f"CAST(floor(CAST(sum(q.x{j}) AS DOUBLE) / count(*)) AS BIGINT) AS x{j}" for j in range(4))
+            steps.append(f"s{r} AS (SELECT a.p, a.m % 64 AS e, {means} FROM a{r} a JOIN parts q ON q.vec_id = a.vec_id AND q.p = a.p GROUP BY a.p, a.m % 64)")
+            moved = ", ".join(f"coalesce(s.x{j}, c.x{j}) AS x{j}" for j in range(4))
+            steps.append(f"c{r + 1} AS (SELECT c.p, c.e, {moved} FROM c{r} c LEFT JOIN s{r} s ON s.p = c.p AND s.e = c.e)")
+    return f"""
+    WITH kept AS (SELECT vec_id, label, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+                  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+    parts AS (SELECT vec_id, p, {parts} FROM kept, (SELECT unnest(range(16)) AS p) r),
+    c0 AS (SELECT q.p, f.e, q.x0, q.x1, q.x2, q.x3
+           FROM (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept QUALIFY e < 64) f JOIN parts q ON q.vec_id = f.vec_id),
+    {", ".join(steps)},
+    coded AS (SELECT vec_id, string_agg(format('{{:02x}}', m % 64), '' ORDER BY p) AS code, CAST(sum(m // 64) AS BIGINT) AS error FROM a2 GROUP BY vec_id),
+    book AS (SELECT sha256(string_agg(concat_ws(',', x0, x1, x2, x3), ',' ORDER BY p, e)) AS codebooks_sha256 FROM c2)
+    SELECT k.vec_id, c.code, c.error, CAST(sum(c.error) OVER (PARTITION BY k.label) AS BIGINT) AS label_error, codebooks_sha256
+    FROM kept k JOIN coded c ON c.vec_id = k.vec_id, book"""
+
+
+@query("op12_sliced_part_codes", _book_sql())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = part_codes.compress_vectors(table(spark, sf_dir, "embeddings"))
+    digest = F.lit(part_codes.books_digest(books)).alias("codebooks_sha256")
+    return part_codes.with_label_error(coded).select("vec_id", "code", "error", "label_error", digest)
+
+
+@query("op13_prefix_forest")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return prefix_forest.search_forest(prefix_forest.plant_forest(vectors), vectors.where("vec_id % 50 = 0"), 5)
