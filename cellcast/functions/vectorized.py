@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import math
-from functools import lru_cache
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -99,39 +101,102 @@ def lgamma(x: pd.Series) -> pd.Series:
     return x.map(math.lgamma)
 
 
-@lru_cache(maxsize=8)
-def _pair_layout(years: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(i, j, gap) of all pairs of different years; most cells share one layout."""
-    x = np.frombuffer(years)
-    i, j = np.triu_indices(len(x), k=1)
-    gap = x[j] - x[i]
-    keep = gap > 0
-    return i[keep].astype(np.int32), j[keep].astype(np.int32), gap[keep]
+#: Pair slopes held at once by the kernel: cells whose years are the same are worked on together up to this size.
+_PAIRS_AT_ONCE = 1 << 21
 
 
-def _median_pair_slope(x: np.ndarray, y: np.ndarray) -> float | None:
-    """Exact median of all pairwise slopes between different years.
+def _medians_of_heads(slopes: np.ndarray, heads: list[int]) -> np.ndarray:
+    """Median of the first `n` columns of each row, for each n of `heads`; NaN where n is 0. Exact.
 
-    All pairs are built: a stack holds members x years points by contract, some thousands at most.
+    Of long rows a sample brackets the median, so that only what lies in the bracket is put in order.
     """
-    order = np.argsort(x, kind="stable")
-    i, j, gap = _pair_layout(x[order].tobytes())
-    if not len(gap):
-        return None
-    y = y[order]
-    return float(np.median((y[j] - y[i]) / gap, overwrite_input=True))
+    out = np.full((len(slopes), len(heads)), np.nan)
+    for k, n in enumerate(heads):
+        if n and n < 20_000:
+            out[:, k] = np.median(slopes[:, :n], axis=1)
+        elif n:
+            for row, all_slopes in enumerate(slopes):
+                out[row, k] = _bracketed_median(all_slopes[:n])
+    return out
 
 
-@F.pandas_udf(DoubleType())
-def theil_sen(years: pd.Series, values: pd.Series) -> pd.Series:
-    """(array of years, array of values) -> exact median pairwise slope; NULL arrays give NULL."""
-    out: list[float | None] = []
-    for x, y in zip(years, values):
-        if x is None or len(x) < 2:
-            out.append(None)
-        else:
-            out.append(_median_pair_slope(np.asarray(x, float), np.asarray(y, float)))
-    return pd.Series(out, dtype="object").astype("float64").where(lambda s: s.notna(), None)
+def _bracketed_median(x: np.ndarray) -> float:
+    n = len(x)
+    sample = np.sort(x[:: n // 2000])
+    low, high = sample[[int(0.45 * len(sample)), int(0.55 * len(sample))]]
+    below = int(np.count_nonzero(x < low))
+    inside = x[(x >= low) & (x <= high)]
+    ranks = [(n - 1) // 2 - below, n // 2 - below]
+    if ranks[0] < 0 or ranks[1] >= len(inside):
+        return float(np.median(x))
+    inside.partition(ranks)
+    return float(0.5 * (inside[ranks[0]] + inside[ranks[1]]))
+
+
+def pair_slope_medians(x: np.ndarray, y: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """(cells, ends): median slope of all pairs of points of different years up to each end.
+
+    `x` holds the years of the points in rising order, `y` a row of values per cell. Each later year meets
+    the points before it once; an end that takes in more years only adds their pairs.
+    """
+    years, first = np.unique(x, return_index=True)
+    past = np.append(first[1:], len(x))
+    count = np.cumsum((past - first) * first)  # pairs up to each year
+    heads = [int(count[k - 1]) if k else 0 for k in np.searchsorted(years, ends, "right")]
+    out = np.full((len(y), len(ends)), np.nan)
+    moving = np.flatnonzero(y.min(axis=1) < y.max(axis=1)) if y.size else np.zeros(0, int)
+    out[:, [n > 0 for n in heads]] = 0.0  # what a constant cell gets
+    step = max(1, _PAIRS_AT_ONCE // max(1, heads[-1]))
+    for i in range(0, len(moving), step):
+        rows = y[moving[i : i + step]]
+        slopes = np.empty((len(rows), heads[-1]))
+        at = 0
+        for year, a, b in zip(years, first, past):
+            if a and at < heads[-1]:
+                block = (rows[:, a:b, None] - rows[:, None, :a]) / (year - x[:a])
+                slopes[:, at : at + (b - a) * a] = block.reshape(len(rows), -1)
+                at += (b - a) * a
+        out[moving[i : i + step]] = _medians_of_heads(slopes, heads)
+    return out
+
+
+def _stacks(points: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of each point, year, value) of arrays of (y, v), by row and year."""
+    flat = points.flatten()
+    year, value = (flat.field(c).to_numpy(zero_copy_only=False).astype(float) for c in ("y", "v"))
+    row = np.repeat(np.arange(len(points)), points.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+    order = np.lexsort((year, row))
+    return row[order], year[order], value[order]
+
+
+def theil_sen_at(ends: Sequence[int]):
+    """Column function: array of (y year, v value) -> per end the exact median slope of all pairs of points of
+    different years up to it. NULL where there is no such pair; a NULL array gives NULL."""
+    stops = np.asarray(ends, float)
+    if not len(stops) or (np.diff(stops) <= 0).any():
+        raise ValueError("ends must rise")
+
+    @F.arrow_udf("array<double>")
+    def medians(points: pa.Array) -> pa.Array:
+        row, year, value = _stacks(points)
+        border = np.searchsorted(row, np.arange(len(points) + 1))
+        same: dict[bytes, list[int]] = {}
+        for k in range(len(points)):
+            same.setdefault(year[border[k] : border[k + 1]].tobytes(), []).append(k)
+        out = np.full((len(points), len(stops)), np.nan)
+        for layout, cells in same.items():
+            x = np.frombuffer(layout)
+            if len(x):
+                out[cells] = pair_slope_medians(x, value[border[cells][:, None] + np.arange(len(x))], stops)
+        flat = pa.array(out.ravel(), from_pandas=True)
+        return pa.ListArray.from_arrays(np.arange(0, out.size + 1, len(stops), dtype=np.int32), flat, mask=points.is_null())
+
+    return medians
+
+
+def theil_sen(points: str | Column) -> Column:
+    """Median slope of all pairs of an array of (y, v)."""
+    return theil_sen_at([1_000_000])(points)[0]
 
 
 def clip_area(ring: np.ndarray, west: float, south: float, east: float, north: float) -> float:

@@ -197,10 +197,10 @@ def pixel_trends(panel: DataFrame, keys: Sequence[str], value: str = "value", mi
     A pixel's decades are few, so they travel as one array row.
     """
     have = panel.where(F.col(value).isNotNull())
-    point = F.struct(F.col("decade").cast("double").alias("t"), F.col(value).alias("v"))
+    point = F.struct(F.col("decade").cast("double").alias("y"), F.col(value).alias("v"))
     series = have.groupBy(*keys).agg(F.array_sort(F.collect_list(point)).alias("_s"), F.count("*").alias("n_valid"))
     enough = F.when(F.col("n_valid") >= min_values, F.col("_s"))
-    slope = theil_sen(F.transform(enough, lambda p: p["t"]), F.transform(enough, lambda p: p["v"])) * 10.0
+    slope = theil_sen(enough) * 10.0
     ranks = F.transform(enough, lambda p: (
         F.size(F.filter("_s", lambda o: o["v"] < p["v"])) + F.size(F.filter("_s", lambda o: o["v"] <= p["v"])) + 1
     ) / 2.0)

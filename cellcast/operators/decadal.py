@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellcast.functions.vectorized import theil_sen
+from cellcast.functions.vectorized import theil_sen, theil_sen_at
 
 MIN_SLOPE_OBS = 3
 
@@ -99,79 +99,120 @@ def spread_to_scenarios(baseline_panel: DataFrame, scenarios: DataFrame, by: Seq
     return baseline_panel.join(names, by).withColumn("scenario", F.explode("_s")).drop("_s")
 
 
-def expanding_stack(annual: DataFrame, decades: Sequence[int], baseline: int, window: int = 10) -> DataFrame:
-    """Each observation once per decade whose expanding window holds it; the baseline has no trend."""
-    later = [d for d in decades if d != baseline]
-    ends = F.array(*[F.lit(int(d)) for d in later])
-    inside = F.filter(ends, lambda d: F.col("year") <= d + window - 1)
-    rows = annual.where(F.col("year").between(baseline, max(later) + window - 1))
-    return rows.withColumn("decade", F.explode(inside))
+def trend_ends(decades: Sequence[int], baseline: int, window: int) -> dict[int, int]:
+    """Last year of the expanding window of every decade that has a trend; the baseline has none."""
+    return {int(d): int(d) + window - 1 for d in sorted(decades) if d != baseline}
 
 
-def _with_window_years(stack: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Years the window spans on the shared axis, per decade (a few rows)."""
-    axis = stack.groupBy("decade").agg(F.count_distinct("year").alias("_axis_years"))
-    return stack.join(axis, "decade")
+def trend_axis(rows: DataFrame) -> Column:
+    """The distinct years of a table, as a scalar: what the windows span on the shared axis."""
+    return rows.select(F.collect_set("year")).scalar()
 
 
-def slope_guard(value: str = "value") -> Column:
-    """At least three observations, two distinct years among them, and three years on the axis."""
-    seen = F.when(F.col(value).isNotNull(), F.col("year"))
-    enough = (F.count(value) >= MIN_SLOPE_OBS) & (F.min(seen) < F.max(seen))
-    return enough & (F.max("_axis_years") >= 3)
+def _trend_rows(annual: DataFrame, baseline: int, ends: dict[int, int]) -> DataFrame:
+    return annual.where(F.col("year").between(baseline, max(ends.values())))
+
+
+def _by_decade(wide: DataFrame, keys: Sequence[str], ends: dict[int, int], axis: Column, slopes: Sequence[str]) -> DataFrame:
+    """From one array per slope, an element a decade, to one row per decade that has begun for the cell.
+
+    A trend needs three years on the shared axis besides what the cell itself needs.
+    """
+    axis_years = lambda end: F.size(F.filter("_axis", lambda y: y <= end))
+    per = {
+        str(d): F.when(F.col("_first") <= end, F.struct(*[F.when(axis_years(end) >= 3, F.get(s, k)).alias(s) for s in slopes]))
+        for k, (d, end) in enumerate(ends.items())
+    }
+    # spaces cannot occur in a decade, so the columns clash with no key
+    spread = wide.withColumn("_axis", axis).select(*keys, *[c.alias(f" {d}") for d, c in per.items()])
+    long = spread.unpivot(list(keys), [f" {d}" for d in per], "decade", "_t")
+    return long.where(F.col("_t").isNotNull()).select(*keys, F.trim("decade").cast("int").alias("decade"), *[F.col("_t")[s].alias(s) for s in slopes])
+
+
+def _ols_columns(ends: dict[int, int], baseline: int, value: str) -> list[Column]:
+    """Count and four sums, least and largest value of the years that each decade adds; they merge."""
+    x = (F.col("year") - baseline).cast("double")
+    y = F.when(F.col(value).isNotNull(), F.col(value)).cast("double")
+    out, begin = [], baseline
+    for k, end in enumerate(ends.values()):
+        here = F.when(F.col("year").between(begin, end) & y.isNotNull(), F.lit(True))
+        only = lambda c: F.when(here, c)  # noqa: B023, E731
+        out += [
+            F.count(here).alias(f"_n{k}"), F.sum(only(x)).alias(f"_x{k}"), F.sum(only(x * x)).alias(f"_xx{k}"),
+            F.sum(only(y)).alias(f"_y{k}"), F.sum(only(x * y)).alias(f"_xy{k}"), F.min(only(y)).alias(f"_lo{k}"), F.max(only(y)).alias(f"_hi{k}"),
+        ]
+        begin = end + 1
+    return out
+
+
+def _ols_array(n_ends: int) -> Column:
+    """Slopes from the running totals of the decades' sums; exactly 0 for a constant stack."""
+    slopes = []
+    for k in range(n_ends):
+        total = lambda c: sum((F.coalesce(F.col(f"_{c}{i}"), F.lit(0.0)) for i in range(k + 1)), F.lit(0.0))  # noqa: B023, E731
+        least = lambda f, c: f(*[F.col(f"_{c}{i}") for i in range(k + 1)], F.lit(None).cast("double"), F.lit(None).cast("double"))  # noqa: B023, E731
+        n, x, xx, y, xy = map(total, ("n", "x", "xx", "y", "xy"))
+        spread = n * xx - x * x  # whole numbers: 0 if all points are of one year
+        flat = least(F.least, "lo") == least(F.greatest, "hi")
+        slopes.append(F.when((n >= MIN_SLOPE_OBS) & (spread > 0), F.when(flat, F.lit(0.0)).otherwise((n * xy - x * y) / spread)))
+    return F.array(*slopes)
 
 
 def ols_slope(
     annual: DataFrame, decades: Sequence[int], baseline: int, window: int = 10, value: str = "value",
-    keys: Sequence[str] = ("scenario", "cell_id"),
+    keys: Sequence[str] = ("scenario", "cell_id"), axis: Column | None = None,
 ) -> DataFrame:
-    """Least-squares slope per year over the expanding stack, from mergeable sums."""
-    stack = _with_window_years(expanding_stack(annual, decades, baseline, window), keys)
-    return stack.groupBy(*keys, "decade").agg(
-        F.when(slope_guard(value), F.regr_slope(value, "year")).alias("ols_slope")
-    )
+    """Least-squares slope per year over the expanding window of each later decade.
 
+    An observation enters the sums of the one decade that first holds it, before the shuffle; the decades'
+    running totals give all slopes of a cell. `axis` is `trend_axis` of a table that holds the same years
+    and is cheaper to read; else `annual` is read for it once more.
+    """
+    ends = trend_ends(decades, baseline, window)
+    rows = _trend_rows(annual, baseline, ends)
+    sums = rows.groupBy(*keys).agg(F.min("year").alias("_first"), *_ols_columns(ends, baseline, value))
+    wide = sums.select(*keys, "_first", _ols_array(len(ends)).alias("ols_slope"))
+    return _by_decade(wide, keys, ends, trend_axis(rows) if axis is None else axis, ["ols_slope"])
 
-def sen_columns(value: str = "value") -> list[Column]:
-    """Aggregates `theil_sen_from` needs: the stack as two arrays, and the flat-cell shortcut."""
-    pair = F.when(F.col(value).isNotNull(), F.struct(F.col("year").alias("y"), F.col(value).alias("v")))
-    moving = F.min(value) < F.max(value)
-    return [
-        F.when(slope_guard(value) & moving, F.collect_list(pair)).alias("_pairs"),
-        F.when(slope_guard(value) & ~moving, F.lit(0.0)).alias("_flat"),
-    ]
 
+def _guarded_sen(ends: dict[int, int]) -> Column:
+    """Slopes of the ends at which the cell has at least three observations."""
+    n = lambda end: F.size(F.filter("_points", lambda p: p["y"] <= end))
+    return F.array(*[F.when(n(end) >= MIN_SLOPE_OBS, F.get("_sen", F.lit(k))) for k, end in enumerate(ends.values())])
 
-def theil_sen_from(pairs: str = "_pairs", flat: str = "_flat") -> Column:
-    years = F.transform(pairs, lambda p: p["y"].cast("double"))
-    values = F.transform(pairs, lambda p: p["v"])
-    return F.coalesce(F.col(flat), theil_sen(years, values))
+
+def _points(value: str) -> Column:
+    return F.collect_list(F.when(F.col(value).isNotNull(), F.struct(F.col("year").alias("y"), F.col(value).cast("double").alias("v"))))
 
 
 def sen_slope(
     annual: DataFrame, decades: Sequence[int], baseline: int, window: int = 10, value: str = "value",
-    keys: Sequence[str] = ("scenario", "cell_id"),
+    keys: Sequence[str] = ("scenario", "cell_id"), axis: Column | None = None,
 ) -> DataFrame:
-    """Exact median pairwise slope per year over the expanding stack.
+    """Exact median pairwise slope per year over the expanding window of each later decade.
 
-    Cells are handed to the vectorized function as array rows in Arrow batches, so one Python call
-    serves thousands of cells; a constant cell never leaves the JVM.
+    A cell's series is shuffled once, as one array, and one call returns the slopes of all decades;
+    each decade adds its new pairs to those before it.
     """
-    stack = _with_window_years(expanding_stack(annual, decades, baseline, window), keys)
-    grouped = stack.groupBy(*keys, "decade").agg(*sen_columns(value))
-    return grouped.select(*keys, "decade", theil_sen_from().alias("sen_slope"))
+    ends = trend_ends(decades, baseline, window)
+    rows = _trend_rows(annual, baseline, ends)
+    series = rows.groupBy(*keys).agg(F.min("year").alias("_first"), _points(value).alias("_points"))
+    wide = series.withColumn("_sen", theil_sen_at(list(ends.values()))("_points")).select(*keys, "_first", _guarded_sen(ends).alias("sen_slope"))
+    return _by_decade(wide, keys, ends, trend_axis(rows) if axis is None else axis, ["sen_slope"])
 
 
 def slopes(
     annual: DataFrame, decades: Sequence[int], baseline: int, window: int = 10, value: str = "value",
-    keys: Sequence[str] = ("scenario", "cell_id"),
+    keys: Sequence[str] = ("scenario", "cell_id"), axis: Column | None = None,
 ) -> DataFrame:
-    """Both slopes from one shuffle of the stack."""
-    stack = _with_window_years(expanding_stack(annual, decades, baseline, window), keys)
-    grouped = stack.groupBy(*keys, "decade").agg(
-        F.when(slope_guard(value), F.regr_slope(value, "year")).alias("ols_slope"), *sen_columns(value)
+    """Both slopes from one shuffle of the series."""
+    ends = trend_ends(decades, baseline, window)
+    rows = _trend_rows(annual, baseline, ends)
+    series = rows.groupBy(*keys).agg(F.min("year").alias("_first"), _points(value).alias("_points"), *_ols_columns(ends, baseline, value))
+    wide = series.withColumn("_sen", theil_sen_at(list(ends.values()))("_points")).select(
+        *keys, "_first", _ols_array(len(ends)).alias("ols_slope"), _guarded_sen(ends).alias("sen_slope")
     )
-    return grouped.select(*keys, "decade", "ols_slope", theil_sen_from().alias("sen_slope"))
+    return _by_decade(wide, keys, ends, trend_axis(rows) if axis is None else axis, ["ols_slope", "sen_slope"])
 
 
 def depth_columns(value: str = "value") -> list[Column]:
@@ -229,8 +270,7 @@ def per_member_trend(annual: DataFrame, value: str = "value") -> DataFrame:
     upto = lambda s, x: F.size(F.filter(s, lambda o: o["v"] <= x))
     ranks = F.transform("_s", lambda p: (below(F.col("_s"), p["v"]) + upto(F.col("_s"), p["v"]) + 1) / 2)
     ranked = series.withColumn("_r", ranks)
-    sen = theil_sen(F.transform("_s", lambda p: p["y"].cast("double")), F.transform("_s", lambda p: p["v"]))
-    per = ranked.select("cell_id", "member", sen.alias("slope"), F.posexplode("_r").alias("_t", "_rank"))
+    per = ranked.select("cell_id", "member", theil_sen("_s").alias("slope"), F.posexplode("_r").alias("_t", "_rank"))
     stats = per.groupBy("cell_id", "member").agg(
         F.first("slope").alias("slope"), F.count("*").alias("_n"), F.corr("_t", "_rank").alias("rho")
     )

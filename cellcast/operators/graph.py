@@ -7,11 +7,17 @@ Pointers of many cells end on the same cell; adaptive execution splits such join
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellcast.operators.grids import neighbour_offsets, offset_table, wrapped
 from cellcast.operators.ranking import key_lookup
+from cellcast.operators.tiles import label_tiles, least_labels
 from cellcast.session import cut_lineage
 
 # Row and column step of each flow code, for rows counted northwards.
@@ -62,28 +68,29 @@ def assert_acyclic(edges: DataFrame) -> DataFrame:
 
 
 def peel_rounds(edges: DataFrame) -> DataFrame:
-    """(cell_id, peel): length of the longest path from a headwater, 0 for headwaters.
+    """(cell_id, peel): length of the longest path from a headwater, 0 for headwaters; raises on a cycle.
 
-    Kahn's order by rounds; raises when a round removes no cell. Each round touches only the front.
+    Contraction by doubling: in round k a cell tells the cell 2^k steps below how long its longest path
+    from above is by then, and its pointer passes that cell. A cell whose pointer has left the network has
+    told all it will tell and leaves the state; what was told is kept aside and reduced once at the end.
+    Rounds grow with the logarithm of the depth.
     """
-    degree = edges.where("next_id IS NOT NULL").groupBy(F.col("next_id").alias("cell_id")).agg(F.count("*").alias("_in"))
-    state = cut_lineage(edges.join(degree, "cell_id", "left").select("cell_id", "next_id", F.coalesce("_in", F.lit(0)).alias("_in"), F.lit(None).cast("int").alias("peel")))
-    k = 0
-    while True:
-        left = state.where("peel IS NULL")
-        if left.isEmpty():
-            return state.select("cell_id", "peel")
-        front = left.where("_in = 0")
-        if front.isEmpty():
+    own = cut_lineage(edges.select("cell_id", F.lit(0).cast("int").alias("peel")))
+    state = cut_lineage(edges.where("next_id IS NOT NULL").select("cell_id", F.col("next_id").alias("_p"), F.lit(0).cast("int").alias("peel")))
+    n, reach = own.count(), 1
+    told = [own]
+    while not state.isEmpty():
+        if reach > n:
             raise ValueError("the network is not acyclic")
-        fed = front.where("next_id IS NOT NULL").groupBy(F.col("next_id").alias("cell_id")).agg(F.count("*").alias("_f"))
-        here = F.col("peel").isNull() & (F.col("_in") == 0)
-        state = cut_lineage(
-            state.join(fed, "cell_id", "left").select(
-                "cell_id", "next_id", (F.col("_in") - F.coalesce("_f", F.lit(0))).alias("_in2"), F.when(here, F.lit(k)).otherwise(F.col("peel")).alias("peel")
-            ).withColumnRenamed("_in2", "_in")
-        )
-        k += 1
+        news = cut_lineage(state.groupBy(F.col("_p").alias("cell_id")).agg((F.max("peel") + reach).alias("peel")))
+        told.append(news)
+        # what moving cells are told in this round counts in the next one; cells that have left need not know
+        heard = key_lookup(state, news.withColumnRenamed("peel", "_n"), ["cell_id"]).select("cell_id", "_p", F.greatest("peel", F.coalesce("_n", "peel")).alias("peel"))
+        ahead = state.select(F.col("cell_id").alias("_p"), F.col("_p").alias("_pp"))
+        state = cut_lineage(key_lookup(heard, ahead, ["_p"], how="inner").select("cell_id", F.col("_pp").alias("_p"), "peel"))
+        reach *= 2
+    every = functools.reduce(DataFrame.unionByName, told)
+    return every.groupBy("cell_id").agg(F.max("peel").alias("peel"))
 
 
 def accumulate_downstream(edges: DataFrame, payload: DataFrame, value: str = "payload", by: tuple[str, ...] = ()) -> DataFrame:
@@ -133,30 +140,62 @@ def upstream_set(edges: DataFrame, outlets: DataFrame) -> DataFrame:
     raise ValueError("the network is not acyclic")
 
 
+#: Cells along a side of the tiles in which regions are labelled, and how many tiles along a side merge at a time.
+TILE, TILES_MERGED = 64, 8
+
+
 def connected_components(mask: DataFrame, n_cols: int = 720, eight: bool = True, row: str = "grow", col: str = "gcol") -> DataFrame:
     """(row, col, component): regions of touching cells, joined across the antimeridian.
 
-    A label is the smallest cell number in the region. Each round takes the least label among the
-    neighbours, hooks the old label to it, and jumps to the label's own label, so labels travel in
-    doubling steps instead of cell by cell.
+    Regions are labelled inside tiles first, in one pass over the cells. What then remains is the graph of
+    labels that meet across tile borders. It is contracted level by level: blocks of 8 x 8 tiles, of 64 x 64,
+    and so on, each in a task of its own, until no border is left open; a block's open borders grow with its
+    side, not its area. A label is the smallest cell number in the region.
     """
-    number = F.col(row).cast("long") * n_cols + F.col(col)
-    cells = cut_lineage(mask.select(F.col(row), F.col(col), number.alias("cell_id")).distinct())
-    step = cells.withColumn("_o", F.explode(offset_table(neighbour_offsets(eight))))
-    aimed = step.select("cell_id", ((F.col(row) + F.col("_o.di")).cast("long") * n_cols + wrapped(F.col(col) + F.col("_o.dj"), n_cols)).alias("_n"))
-    edges = cut_lineage(aimed.join(cells.select(F.col("cell_id").alias("_n")), "_n", "left_semi"))
-    labels = cells.select("cell_id", F.col("cell_id").alias("label"))
-    while True:
-        near = edges.join(labels.select(F.col("cell_id").alias("_n"), "label"), "_n").groupBy("cell_id").agg(F.min("label").alias("_m"))
-        offered = cut_lineage(labels.join(near, "cell_id", "left").select("cell_id", "label", F.least("label", F.coalesce("_m", "label")).alias("_new")))
-        if offered.where("_new < label").isEmpty():
-            return cells.join(labels, "cell_id").select(row, col, F.col("label").alias("component"))
-        # the best offer any member of a region received, per old label; then one jump along the hooks
-        hooks = offered.groupBy("label").agg(F.min("_new").alias("_to"))
-        onward = hooks.select(F.col("label").alias("_to"), F.col("_to").alias("_next"))
-        jumped = key_lookup(hooks, onward, ["_to"]).select("label", F.coalesce("_next", "_to").alias("_to"))
-        moved = key_lookup(offered, jumped, ["label"])
-        labels = cut_lineage(moved.select("cell_id", F.least("_new", "_to").alias("label")))
+    cells = cut_lineage(label_tiles(mask.select(row, col).distinct(), n_cols, eight, row, col, TILE))
+    at_border = F.pmod(F.col(row), F.lit(TILE)).isin(0, TILE - 1) | F.pmod(F.col(col), F.lit(TILE)).isin(0, TILE - 1) | F.col(col).isin(0, n_cols - 1)
+    rim = cells.where(at_border).select(F.col(row).cast("long").alias("r"), F.col(col).cast("long").alias("c"), "cell_id", "label")
+    aimed = rim.withColumn("_o", F.explode(offset_table(neighbour_offsets(eight)))).select(
+        F.col("label").alias("a"), F.col("r").alias("ra"), F.col("c").alias("ca"),
+        ((F.col("r") + F.col("_o.di")) * n_cols + wrapped(F.col("c") + F.col("_o.dj"), n_cols)).alias("cell_id"),
+    )
+    # every border edge is met from both ends; one is enough
+    met = aimed.join(rim.select("cell_id", F.col("label").alias("b"), F.col("r").alias("rb"), F.col("c").alias("cb")), "cell_id").where("a < b")
+    merged = _merge_blocks(met.drop("cell_id"), TILE * TILES_MERGED)
+    whole = key_lookup(cells, merged, ["label"])
+    return whole.select(row, col, F.coalesce("component", "label").alias("component"))
+
+
+def _merge_blocks(edges: DataFrame, side: int) -> DataFrame:
+    """(label, component) of the labels that an edge (a, b) at the cells (ra, ca), (rb, cb) makes lower."""
+    place = lambda v: F.struct("ra", "ca", "rb", "cb").alias(v)
+    once = lambda df: df.groupBy("a", "b").agg(F.min(place("_at")).alias("_at")).select("a", "b", "_at.*")
+    edges, merged = cut_lineage(once(edges)), None
+    while not edges.isEmpty():
+        block = lambda c: F.floor(F.col(c) / side)  # noqa: B023, E731
+        inside = (block("ra") == block("rb")) & (block("ca") == block("cb"))
+        grouped = edges.where(inside).groupBy(block("ra").alias("_r"), block("ca").alias("_c")).agg(F.collect_list("a").alias("a"), F.collect_list("b").alias("b"))
+        step = cut_lineage(grouped.mapInArrow(_least_of_blocks, "label BIGINT, component BIGINT"))
+        to = lambda end: step.select(F.col("label").alias(end), F.col("component").alias(f"_{end}"))  # noqa: B023, E731
+        open_ = edges.where(~inside).join(to("a"), "a", "left").join(to("b"), "b", "left")
+        now = open_.select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b"), "ra", "ca", "rb", "cb").where("a <> b")
+        edges = cut_lineage(once(now))
+        if merged is not None:  # labels merged before follow their component
+            onward = step.select(F.col("label").alias("component"), F.col("component").alias("_to"))
+            followed = merged.join(onward, "component", "left").select("label", F.coalesce("_to", "component").alias("component"))
+            step = followed.unionByName(step)
+        merged, side = step, side * TILES_MERGED
+    return merged if merged is not None else edges.select(F.col("a").alias("label"), F.col("b").alias("component"))
+
+
+def _least_of_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A block's labels occur in no other block, so a batch of blocks is contracted at once."""
+    for batch in batches:
+        ends = [batch.column(c).flatten().to_numpy() for c in ("a", "b")]
+        labels, at = np.unique(np.concatenate(ends), return_inverse=True)
+        least = labels[least_labels(len(labels), *np.split(at, 2))]
+        lower = least < labels
+        yield pa.RecordBatch.from_arrays([pa.array(labels[lower]), pa.array(least[lower])], names=["label", "component"])
 
 
 def component_sizes(components: DataFrame) -> DataFrame:

@@ -1,18 +1,22 @@
 """Grid geometry, neighbourhood kernels and block statistics.
 
-Cells carry integer row and column keys, so every neighbourhood is a scatter: each cell is
-exploded to the targets it contributes to and the weights are summed per target. One shuffle, no
-self join, and the fan-out is the fixed kernel size.
+Cells carry integer row and column keys. Smoothing kernels run over tiles with a halo (`tiles`); the
+neighbourhoods of one cell's width are a scatter: each cell is exploded to the targets it contributes to
+and summed per target. One shuffle, no self join.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cellcast.operators import tiles
+from cellcast.operators.tiles import Tiling
+
 
 def offsets(radius_rows: int, radius_cols: int, weight=None) -> list[tuple[int, int, float]]:
     out = []
@@ -39,19 +43,15 @@ def _scatter(df: DataFrame, items, n_cols: int | None, row: str, col: str) -> Da
     )
 
 
-def _smooth(df, items, weight, keys, value, n_cols, normalise_by_mask, row, col):
-    """sum(w v) / sum(w) per target, kept only where the target itself is on the mask."""
-    moved = _scatter(df, items, n_cols, row, col)
-    w = weight(F.col("_o.di"), F.col("_o.dj"), F.col("_o.w"))
-    v = F.col(value)
-    norm = w if normalise_by_mask else F.when(v.isNotNull(), w)
-    own = (F.col("_o.di") == 0) & (F.col("_o.dj") == 0)
-    grouped = moved.groupBy(*keys, F.col("_row").alias(row), F.col("_col").alias(col)).agg(
-        F.sum(w * F.coalesce(v, F.lit(0.0))).alias("_wv"),
-        F.sum(norm).alias("_w"),
-        F.bool_or(own & (F.lit(True) if normalise_by_mask else v.isNotNull())).alias("_here"),
-    )
-    return grouped.where("_here").select(*keys, row, col, (F.col("_wv") / F.nullif(F.col("_w"), F.lit(0.0))).alias(value))
+def _weighted(tiling: Tiling, items, weight, sums, rows, norm):
+    """Weighted sum of the values and sum of the weights on the tiles' own cells."""
+    total, weights = np.zeros(tiles.own(sums, tiling).shape), np.zeros(tiles.own(sums, tiling).shape)
+    for di, dj, fixed in items:
+        w = weight(rows, di, dj) if weight else fixed
+        total += w * tiles.own(sums, tiling, di, dj)
+        weights += w * tiles.own(norm, tiling, di, dj)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        return np.where(weights != 0, total / weights, np.nan)
 
 
 def smooth_exp(
@@ -63,14 +63,19 @@ def smooth_exp(
     Rows of `df` are the member's fixed mask: a NULL value counts 0 in the sum and still weighs in
     the normaliser, so every year is normalised alike. Longitude wraps; rows off the edge do not exist.
     """
+    tiling = Tiling.around(radius, radius, n_cols)
     items = offsets(radius, radius)
 
-    def weight(di: Column, dj: Column, _w: Column) -> Column:
-        coslat = F.cos(F.radians(lat0 - step * F.col("_row")))
-        east = dj * coslat
-        return F.exp(-F.sqrt(di * di + east * east) / length)
+    def weight(rows, di, dj):
+        lat = lat0 - step * (rows[:, None] * tiling.height + np.arange(tiling.height))
+        east = dj * np.cos(np.radians(lat))
+        return np.exp(-np.sqrt(di * di + east * east) / length)[:, :, None]
+
+    def kernel(rows, sums, there, _):
+        smooth = _weighted(tiling, items, weight, sums, rows, there)
+        return [np.where(tiles.own(there, tiling) > 0, smooth, np.nan)]
 
-    return _smooth(df, items, weight, keys, value, n_cols, True, row, col)
+    return tiles.convolve(df, keys, value, tiling, kernel, [value], row, col)
 
 
 def smooth_exp_index(
@@ -79,7 +84,30 @@ def smooth_exp_index(
 ) -> DataFrame:
     """Exponential kernel on index distance, normalised over the neighbours that have a value."""
     items = offsets(radius, radius, lambda i, j: math.exp(-math.sqrt(i * i + j * j) / length))
-    return _smooth(df, items, lambda di, dj, w: w, keys, value, n_cols, False, row, col)
+    return _smooth_present(df, keys, value, Tiling.around(radius, radius, n_cols), {value: items}, row, col)
+
+
+def _smooth_present(df, keys, value, tiling, kernels, row, col):
+    """One column per kernel: sum(w v) / sum(w) over the values present, on the cells that have one."""
+
+    def kernel(rows, sums, _, have):
+        here = tiles.own(have, tiling) > 0
+        return [np.where(here, _weighted(tiling, items, None, sums, rows, have), np.nan) for items in kernels.values()]
+
+    return tiles.convolve(df, keys, value, tiling, kernel, list(kernels), row, col)
+
+
+def gaussian_radii(sigma_y: float, sigma_x: float, truncate: float) -> tuple[int, int]:
+    return int(truncate * sigma_y + 0.5), int(truncate * sigma_x + 0.5)
+
+
+def _gaussian(sigma_y: float, sigma_x: float, truncate: float) -> list[tuple[int, int, float]]:
+    def weight(i: int, j: int) -> float:
+        a = i * i / (2 * sigma_y**2) if sigma_y > 0 else 0.0
+        b = j * j / (2 * sigma_x**2) if sigma_x > 0 else 0.0
+        return math.exp(-a - b)
+
+    return offsets(*gaussian_radii(sigma_y, sigma_x, truncate), weight)
 
 
 def nan_aware_gaussian(
@@ -87,14 +115,17 @@ def nan_aware_gaussian(
     row: str = "grow", col: str = "gcol",
 ) -> DataFrame:
     """Normalised Gaussian convolution cut at `truncate` sigmas, without wrapping."""
-    ry, rx = int(truncate * sigma_y + 0.5), int(truncate * sigma_x + 0.5)
+    return nan_aware_gaussians(df, keys, {value: (sigma_y, sigma_x)}, value, truncate, row, col)
 
-    def weight(i: int, j: int) -> float:
-        a = i * i / (2 * sigma_y**2) if sigma_y > 0 else 0.0
-        b = j * j / (2 * sigma_x**2) if sigma_x > 0 else 0.0
-        return math.exp(-a - b)
 
-    return _smooth(df, offsets(ry, rx, weight), lambda di, dj, w: w, keys, value, None, False, row, col)
+def nan_aware_gaussians(
+    df: DataFrame, keys: Sequence[str], sigmas: Mapping[str, tuple[float, float]], value: str = "value", truncate: float = 4.0,
+    row: str = "grow", col: str = "gcol",
+) -> DataFrame:
+    """A column per (sigma_y, sigma_x), all from one pass over the tiles; width 0 leaves a value as it is."""
+    radii = [gaussian_radii(y, x, truncate) for y, x in sigmas.values()]
+    tiling = Tiling.around(max(r for r, _ in radii), max(c for _, c in radii), None)
+    return _smooth_present(df, keys, value, tiling, {n: _gaussian(y, x, truncate) for n, (y, x) in sigmas.items()}, row, col)
 
 
 def neighbour_offsets(eight: bool = True) -> list[tuple[int, int, float]]:

@@ -271,18 +271,14 @@ def split_half_smoothing(crossings: DataFrame, domain: DataFrame, exposure: Colu
     train = cells.select("grow", "gcol", halves.alias("h")).select("grow", "gcol", "h.*").withColumn("rate", F.col("k") / F.col("t"))
     floor = train.where("p = 1").select(F.avg("rate") / 1000.0).scalar()
     held = train.select("grow", "gcol", "p", "ko", "to")
-    parts = []
-    for s in sigmas:
-        smooth = {}
-        for c in ("k", "t", "rate"):
-            one = train.select("grow", "gcol", "p", F.col(c).alias("value"))
-            done = grids.nan_aware_gaussian(one, ["p"], s, s) if s > 0 else one
-            smooth[c] = done.withColumnRenamed("value", f"_{c}")
-        met = held.join(smooth["k"], ["p", "grow", "gcol"]).join(smooth["t"], ["p", "grow", "gcol"]).join(smooth["rate"], ["p", "grow", "gcol"])
-        parts.append(met.withColumn("sigma", F.lit(float(s))))
-    every = parts[0]
-    for p in parts[1:]:
-        every = every.unionByName(p)
+    widths = {f"s{i}": (s, s) for i, s in enumerate(sigmas)}
+    long = train.unpivot(["grow", "gcol", "p"], ["k", "t", "rate"], "_what", "value")
+    smooth = grids.nan_aware_gaussians(long, ["p", "_what"], widths)
+    each = smooth.unpivot(["p", "_what", "grow", "gcol"], list(widths), "_width", "value").groupBy("p", "grow", "gcol", "_width").agg(
+        *[F.max(F.when(F.col("_what") == c, F.col("value"))).alias(f"_{c}") for c in ("k", "t", "rate")]
+    )
+    width = F.create_map(*[x for n, (s, _) in widths.items() for x in (F.lit(n), F.lit(float(s)))])
+    every = held.join(each, ["p", "grow", "gcol"]).withColumn("sigma", width[F.col("_width")])
     lam = F.greatest(F.col("_rate"), floor) * F.col("to")
     alpha, share = F.col("_k") + 0.5, F.col("_t") / (F.col("_t") + F.col("to"))
     nb = lgamma(F.col("ko") + alpha) - lgamma(alpha) - lgamma(F.col("ko") + 1.0) + alpha * F.ln(share) + F.col("ko") * F.log1p(-share)

@@ -55,7 +55,7 @@ def build_layer(annual: DataFrame, spec: LayerSpec, mask: DataFrame | None = Non
     """Panels of every scenario and decade: central value, interval, rank, slopes, ensemble depth.
 
     Central values and depth come from one shuffle on (scenario, decade, cell); slopes from another
-    over the expanding stack; the baseline panel is one row per cell and is shared by all scenarios.
+    of the series on (scenario, cell); the baseline panel is one row per cell and is shared by all scenarios.
     With `spec.by`, all of it happens within each layer.
 
     The prepared series feeds four branches and the small panels feed the ranks several times, so
@@ -88,7 +88,8 @@ def build_layer(annual: DataFrame, spec: LayerSpec, mask: DataFrame | None = Non
     else:
         ranked = ranks.two_tier_percentile(panels, base, "median", spec.rank_side, spec.higher_is_better, by)
 
-    trend = decadal.slopes(rows, spec.decades, spec.baseline, spec.window, spec.value, stack_keys)
+    axis = decadal.trend_axis(rows.where(F.col("year") >= spec.baseline))
+    trend = decadal.slopes(rows, spec.decades, spec.baseline, spec.window, spec.value, stack_keys, axis)
     trend = trend.withColumns({s: F.col(s) * spec.slope_scale for s in ("ols_slope", "sen_slope")})
     joined = ranked.join(trend, keys, "left").join(depth, keys, "left")
     published = filters.clip_ci(filters.mask_slopes_to_panel(joined), spec.ci_floor, spec.ci_cap)

@@ -24,7 +24,7 @@ def rules_sql(pairs, head=""):
     ("grid_on_globe", "SELECT count(*) FROM grid WHERE abs(lat) > 90 OR abs(lon) > 180"),
     ("scenarios_share_one_grid", "SELECT count(*) FROM (SELECT cell_id FROM built_layer GROUP BY 1 HAVING count(DISTINCT scenario) < (SELECT count(DISTINCT scenario) FROM built_layer)) x"),
     ("baseline_shared", "SELECT count(*) FROM (SELECT cell_id FROM built_layer WHERE decade = 1995 GROUP BY 1 HAVING count(DISTINCT median) > 1 OR count(DISTINCT percentile) > 1 OR count(DISTINCT lower_ci) > 1) x"),
-    ("last_decade_differs", "SELECT CASE WHEN max(n) > 1 THEN 0 ELSE 1 END FROM (SELECT count(DISTINCT median) AS n FROM built_layer WHERE decade = 1999 GROUP BY cell_id) x"),
+    ("last_decade_differs", "SELECT CASE WHEN max(n) > 1 THEN 0 ELSE 1 END FROM (SELECT count(DISTINCT median) AS n FROM built_layer WHERE decade = 2001 GROUP BY cell_id) x"),
     ("interval_ordered", "SELECT count(*) FROM built_layer WHERE lower_ci > median + 1e-5 OR median > upper_ci + 1e-5"),
     ("percentile_in_range", "SELECT count(*) FROM built_layer WHERE percentile < 1 OR percentile > 100"),
     ("percentile_orientation", "SELECT CASE WHEN corr(median, percentile) > 0 THEN 0 ELSE 1 END FROM built_layer WHERE decade = 1995"),

@@ -9,10 +9,10 @@ from cellcast.plans import hazards, layer, models
 from querybook.common import rounded
 from querybook.layers import LAYER_FLOATS
 from querybook.registry import query
-from querybook.standins import SQL, base, table
+from querybook.standins import DECADES, SQL, base, table
 from querybook.statistics import exposure
 
-SPEC = layer.LayerSpec(decades=[1995, 1997, 1999], baseline=1995, window=2)
+SPEC = layer.LayerSpec(decades=DECADES, baseline=1995, window=2)
 
 
 def layer_sql(src, central="median", mode="pool_all", rank="two_tier", side="<=", higher=False, by="", extra="", scale=10, value="value"):
@@ -42,12 +42,12 @@ def layer_sql(src, central="median", mode="pool_all", rank="two_tier", side="<="
         pct = f"greatest(1, least(100, 101 - ({pct})))"
     return f"""
     WITH {extra} la AS (SELECT *, {value} AS v FROM {src}),
-    lp AS (SELECT *, CAST(CASE WHEN year BETWEEN 1995 AND 1996 THEN 1995 WHEN year BETWEEN 1997 AND 1998 THEN 1997 ELSE 1999 END AS INT) AS decade FROM la WHERE year BETWEEN 1995 AND 2000),
+    lp AS (SELECT *, CAST(CASE WHEN year BETWEEN 1995 AND 1996 THEN 1995 WHEN year BETWEEN 1997 AND 1998 THEN 1997 WHEN year BETWEEN 1999 AND 2000 THEN 1999 ELSE 2001 END AS INT) AS decade FROM la WHERE year BETWEEN 1995 AND 2002),
     lb AS (SELECT {b}cell_id, {stats} FROM {base_src} GROUP BY {b}cell_id),
     lq AS (SELECT {b}scenario, decade, cell_id, {stats} FROM lp WHERE decade > 1995 GROUP BY {b}scenario, decade, cell_id
            UNION ALL SELECT {"s." + by + ", " if by else ""}s.scenario, 1995, b.cell_id, b.median, b.lower_ci, b.upper_ci FROM lb b JOIN (SELECT DISTINCT {b}scenario FROM la) s ON true{on('s', 'b')}),
     lt AS (SELECT {b}count(median) AS n, count(CASE WHEN median <= 0 THEN 1 END) AS z, count(CASE WHEN median = 0 THEN 1 END) AS zero FROM lb {"GROUP BY " + by if by else ""}),
-    ls AS (SELECT a.*, d.d AS sdec FROM la a JOIN (VALUES (1997), (1999)) d(d) ON a.year BETWEEN 1995 AND d.d + 1 WHERE a.v IS NOT NULL),
+    ls AS (SELECT a.*, d.d AS sdec FROM la a JOIN (VALUES (1997), (1999), (2001)) d(d) ON a.year BETWEEN 1995 AND d.d + 1 WHERE a.v IS NOT NULL),
     lo AS (SELECT {b}scenario, sdec AS decade, cell_id, CASE WHEN count(*) >= 3 AND min(year) < max(year) THEN {scale} * regr_slope(v, year) END AS ols_slope, count(*) AS n FROM ls GROUP BY {b}scenario, sdec, cell_id),
     ln AS (SELECT {"a." + by + ", " if by else ""}a.scenario, a.sdec AS decade, a.cell_id, {scale} * quantile_cont((c.v - a.v) / (c.year - a.year), 0.5) AS sen FROM ls a JOIN ls c ON a.scenario = c.scenario AND a.cell_id = c.cell_id AND a.sdec = c.sdec AND a.year < c.year{on('a', 'c')}
            GROUP BY {"a." + by + ", " if by else ""}a.scenario, a.sdec, a.cell_id),
@@ -194,7 +194,7 @@ SQL["deltas"] = """
 CONSENSUS = """WITH RECURSIVE oc AS (SELECT DISTINCT grow, gcol, grow * 720 + gcol AS num FROM sealevel),
     e AS (SELECT a.num AS a, b.num AS b FROM oc a JOIN oc b ON abs(a.grow - b.grow) <= 1 AND least((a.gcol - b.gcol + 720) % 720, (b.gcol - a.gcol + 720) % 720) <= 1),
     rc AS (SELECT num AS a, num AS b FROM oc UNION SELECT rc.a, e.b FROM rc JOIN e ON rc.b = e.a), comp AS (SELECT oc.grow, oc.gcol, min(rc.b) AS component FROM rc JOIN oc ON oc.num = rc.a GROUP BY 1, 2),
-    pn AS (SELECT scenario, decade, member, grow, gcol, avg(delta) AS v FROM deltas WHERE decade <= 1999 GROUP BY ALL), md AS (SELECT scenario, decade, grow, gcol, quantile_cont(v, 0.5) AS m, count(*) AS n FROM pn GROUP BY ALL),
+    pn AS (SELECT scenario, decade, member, grow, gcol, avg(delta) AS v FROM deltas GROUP BY ALL), md AS (SELECT scenario, decade, grow, gcol, quantile_cont(v, 0.5) AS m, count(*) AS n FROM pn GROUP BY ALL),
     fl AS (SELECT pn.member, pn.grow, pn.gcol, bool_or(n >= 3) AS judged, bool_or(n >= 3 AND abs(v - m) > 0.5) AS failed FROM pn JOIN md USING (scenario, decade, grow, gcol) GROUP BY 1, 2, 3),
     bd AS (SELECT member, component, count(CASE WHEN failed THEN 1 END) / nullif(count(CASE WHEN judged THEN 1 END), 0) AS share FROM fl JOIN comp USING (grow, gcol) GROUP BY 1, 2),
     us AS (SELECT fl.member, fl.grow, fl.gcol, judged, NOT failed AND coalesce(share, 0) <= {limit} AS keep FROM fl LEFT JOIN comp USING (grow, gcol) LEFT JOIN bd ON bd.member = fl.member AND bd.component = comp.component)"""
@@ -206,7 +206,7 @@ def h10(spark, sf):
 
     d = table(spark, sf, "deltas").withColumn("value", F.col("delta")).drop("decade")
     ocean = table(spark, sf, "sealevel").select("grow", "gcol").distinct()
-    return hazards.consensus_members(d, [1995, 1997, 1999], 2, connected_components(ocean))
+    return hazards.consensus_members(d, DECADES, 2, connected_components(ocean))
 
 
 KM = """2 * 6371.0088e0 * asin(sqrt(greatest(0, least(1, pow(sin(radians(s.lat - d.lat) / 2), 2) + cos(radians(d.lat)) * cos(radians(s.lat)) * pow(sin(radians((((s.lon - d.lon) + 540) % 360) - 180) / 2), 2)))))"""
@@ -219,20 +219,20 @@ KM = """2 * 6371.0088e0 * asin(sqrt(greatest(0, least(1, pow(sin(radians(s.lat -
 def h10_delta(spark, sf):
     levels = table(spark, sf, "sealevel")
     ocean = levels.select("grow", "gcol").distinct()
-    out = hazards.sea_level_delta(levels, ocean, table(spark, sf, "drydland"), 1995, 2, [1995, 1997, 1999], 1.4567, 150.0)
+    out = hazards.sea_level_delta(levels, ocean, table(spark, sf, "drydland"), 1995, 2, DECADES, 1.4567, 150.0)
     return rounded(out, "value")
 
 
 @query("h11_coastal_panels", """
     WITH x AS (SELECT e.*, 'ssp585' AS scenario, CAST(1995 + 2 * floor((year - 1995) / 2e0) AS INT) AS decade FROM exposure e),
-    p AS (SELECT scenario, cell_id, decade, avg(exposed) AS m, stddev_pop(exposed) AS s, avg(percentile) AS pct FROM x WHERE decade <= 1999 GROUP BY 1, 2, 3),
-    k AS (SELECT x.*, d.d AS sdec FROM x JOIN (VALUES (1997), (1999)) d(d) ON x.year BETWEEN 1995 AND d.d + 1),
+    p AS (SELECT scenario, cell_id, decade, avg(exposed) AS m, stddev_pop(exposed) AS s, avg(percentile) AS pct FROM x GROUP BY 1, 2, 3),
+    k AS (SELECT x.*, d.d AS sdec FROM x JOIN (VALUES (1997), (1999), (2001)) d(d) ON x.year BETWEEN 1995 AND d.d + 1),
     o AS (SELECT cell_id, sdec, regr_slope(exposed, year) AS ols FROM k GROUP BY 1, 2), n AS (SELECT a.cell_id, a.sdec, quantile_cont((b.exposed - a.exposed) / (b.year - a.year), 0.5) AS sen FROM k a JOIN k b ON a.cell_id = b.cell_id AND a.sdec = b.sdec AND a.year < b.year GROUP BY 1, 2)
     SELECT p.scenario, p.cell_id, p.decade, round(m, 6) AS median, round(greatest(m - s, 0), 6) AS lower_ci, round(least(m + s, 1), 6) AS upper_ci, round(pct, 5) AS percentile, round(ols, 6) AS ols_slope, round(sen, 6) AS sen_slope
     FROM p LEFT JOIN o ON o.cell_id = p.cell_id AND o.sdec = p.decade LEFT JOIN n ON n.cell_id = p.cell_id AND n.sdec = p.decade""")
 def h11(spark, sf):
     e = exposure(spark, sf).withColumn("scenario", F.lit("ssp585"))
-    out = hazards.coastal_panels(e, [1995, 1997, 1999], 1995, 2)
+    out = hazards.coastal_panels(e, DECADES, 1995, 2)
     return rounded(rounded(out, "median", "lower_ci", "upper_ci", "ols_slope", "sen_slope"), "percentile", n=5)
 
 
@@ -369,8 +369,8 @@ def h18(spark, sf):
 
 
 @query("h18_blend_counts", """
-    WITH r AS (SELECT site_id, count(*) AS n FROM sites JOIN (SELECT unnest(range(0, 360)) AS g) a ON abs(8975e-2 - 5e-1 * g - lat) <= 5e-1 GROUP BY 1),
-    c AS (SELECT site_id, count(*) AS n FROM sites JOIN (SELECT unnest(range(0, 720)) AS g) b ON least(abs(-17975e-2 + 5e-1 * g - lon), 360 - abs(-17975e-2 + 5e-1 * g - lon)) <= 5e-1 GROUP BY 1)
+    WITH r AS (SELECT site_id, count(*) AS n FROM sites JOIN (SELECT unnest(range(0, 360)) AS g) a ON abs(89.75e0 - 5e-1 * g - lat) <= 5e-1 GROUP BY 1),
+    c AS (SELECT site_id, count(*) AS n FROM sites JOIN (SELECT unnest(range(0, 720)) AS g) b ON least(abs(-179.75e0 + 5e-1 * g - lon), 360 - abs(-179.75e0 + 5e-1 * g - lon)) <= 5e-1 GROUP BY 1)
     SELECT r.n * c.n AS n_cells, count(*) AS n_sites FROM r JOIN c ON r.site_id = c.site_id GROUP BY 1""")
 def h18_blend(spark, sf):
     return hazards.blend_counts(table(spark, sf, "sites"))

@@ -15,10 +15,10 @@ from querybook.standins import BASELINE, DECADES, SQL, WINDOW, base, table
 
 SQL["pool"] = """
     SELECT *, CAST(CASE WHEN year BETWEEN 1995 AND 1996 THEN 1995 WHEN year BETWEEN 1997 AND 1998 THEN 1997
-                        WHEN year BETWEEN 1999 AND 2000 THEN 1999 END AS INT) AS decade
-    FROM annual WHERE year BETWEEN 1995 AND 2000"""
+                        WHEN year BETWEEN 1999 AND 2000 THEN 1999 WHEN year BETWEEN 2001 AND 2002 THEN 2001 END AS INT) AS decade
+    FROM annual WHERE year BETWEEN 1995 AND 2002"""
 SQL["stack"] = """
-    SELECT a.*, d.decade FROM annual a JOIN (VALUES (1997), (1999)) d(decade) ON a.year BETWEEN 1995 AND d.decade + 1"""
+    SELECT a.*, d.decade FROM annual a JOIN (VALUES (1997), (1999), (2001)) d(decade) ON a.year BETWEEN 1995 AND d.decade + 1"""
 SQL["base_median"] = """
     SELECT cell_id, quantile_cont(value, 0.5) AS median, quantile_cont(value, 0.25) AS lower_ci,
            quantile_cont(value, 0.75) AS upper_ci

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 BASELINE = 1995
 WINDOW = 2
-DECADES = [1995, 1997, 1999]
+#: The last one holds 2001, the last year of the tables, and a year without rows.
+DECADES = [1995, 1997, 1999, 2001]
 
 #: Cells of the 240 x 720 band of the half-degree grid that stand-in cell ids fold into.
 GRID_CELLS = 172800
@@ -33,7 +34,7 @@ SQL: dict[str, str] = {
         GROUP BY 1, 2, 3, 4, 5, 6""",
     # cells of one decade-less panel with zeros, used as a map
     "grid": f"""
-        SELECT cell_id, grow, gcol, 8975e-2 - 5e-1 * grow AS lat, -17975e-2 + 5e-1 * gcol AS lon, acctbal
+        SELECT cell_id, grow, gcol, 89.75e0 - 5e-1 * grow AS lat, -179.75e0 + 5e-1 * gcol AS lon, acctbal
         FROM (SELECT CAST(s_suppkey % {GRID_CELLS} AS BIGINT) AS cell_id,
                      CAST(60 + floor((s_suppkey % {GRID_CELLS}) / 10e0) % 240 AS INT) AS grow,
                      CAST((716 + s_suppkey % {GRID_CELLS} % 10 + 10 * floor((s_suppkey % {GRID_CELLS}) / 24e2)) % 720
@@ -55,9 +56,9 @@ SQL: dict[str, str] = {
                asset_value, country, home_region
         FROM (SELECT c_custkey AS site_id, c_mktsegment AS asset_type, c_acctbal AS asset_value,
                      n_name AS country, r_name AS home_region,
-                     round(8975e-2 - 5e-1 * (60 + floor((floor(c_custkey / 15e0) % {GRID_CELLS}) / 10e0) % 240)
+                     round(89.75e0 - 5e-1 * (60 + floor((floor(c_custkey / 15e0) % {GRID_CELLS}) / 10e0) % 240)
                        + 13e-3 * (c_custkey % 37) - 2e-1 + CASE WHEN c_custkey % 29 = 0 THEN 20e0 ELSE 0e0 END, 6) AS lat,
-                     round(-17975e-2 + 5e-1 * ((716 + floor(c_custkey / 15e0) % {GRID_CELLS} % 10
+                     round(-179.75e0 + 5e-1 * ((716 + floor(c_custkey / 15e0) % {GRID_CELLS} % 10
                        + 10 * floor((floor(c_custkey / 15e0) % {GRID_CELLS}) / 24e2)) % 720)
                        + 107e-3 * (c_custkey % 13) - 6e-1, 6) AS rawlon
               FROM {{customer}} JOIN {{nation}} ON c_nationkey = n_nationkey

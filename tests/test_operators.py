@@ -11,9 +11,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from cellcast.functions import scalar
-from cellcast.functions.vectorized import _median_pair_slope, clip_area, gamma_ppf, regularized_gamma
-from cellcast.operators import decadal, delivery, events, filters, graph, portfolio, ranks, spatial
+from cellcast.functions.vectorized import _bracketed_median, clip_area, gamma_ppf, pair_slope_medians, regularized_gamma
+from cellcast.operators import decadal, delivery, events, filters, graph, grids, portfolio, ranks, spatial
 from cellcast.operators.ranking import cumulative_counts, exact_quantiles
+from cellcast.operators.tiles import Tiling
 from cellcast.plans.layer import LayerSpec, build_layer
 from cellcast.plans.models import kendall_p, pearson3_parameters
 from cellcast.streaming import incremental
@@ -80,13 +81,43 @@ def test_constant_series_has_exactly_zero_slopes_and_two_points_have_none(spark)
     assert one(df, "ols_slope", "sen_slope") == (None, None)
 
 
-def test_pair_slope_selection_equals_brute_force():
+def test_pair_slope_medians_equal_brute_force_at_every_end():
     rng = np.random.default_rng(3)
-    for n in (5, 60, 301):
-        x = rng.integers(0, 9, n).astype(float)
-        y = np.round(rng.normal(size=n), 1)
-        brute = np.median([(y[j] - y[i]) / (x[j] - x[i]) for i, j in itertools.combinations(range(n), 2) if x[i] != x[j]])
-        assert _median_pair_slope(x, y) == pytest.approx(brute, abs=1e-12)
+    for n in (1, 5, 60, 301):
+        x = np.sort(rng.integers(0, 9, n).astype(float))
+        y = np.round(rng.normal(size=(3, n)), 1)
+        y[1] = 4.25
+        ends = np.array([-1.0, 2.0, 5.0, 20.0])
+        got = pair_slope_medians(x, y, ends)
+        for row, values in zip(got, y):
+            for k, end in enumerate(ends):
+                pairs = [(values[j] - values[i]) / (x[j] - x[i]) for i, j in itertools.combinations(range(n), 2) if x[i] != x[j] and x[j] <= end]
+                assert np.isnan(row[k]) if not pairs else row[k] == pytest.approx(np.median(pairs), abs=1e-12)
+
+
+def test_bracketed_median_is_exact_on_ties_gaps_and_odd_and_even_lengths():
+    rng = np.random.default_rng(8)
+    for x in (rng.normal(size=40_001), rng.integers(0, 3, 40_000).astype(float), np.repeat([1.0, 5.0], 20_000), np.append(np.zeros(30_000), rng.normal(size=30_001)), np.arange(50_000.0)):
+        assert _bracketed_median(x.copy()) == np.median(x)
+
+
+def test_slopes_of_many_decades_come_from_one_shuffle(spark):
+    rng = np.random.default_rng(5)
+    rows = [("s", m, f"m{m}", c, 2000 + t, None if rng.random() < 0.2 else float(np.round(rng.normal(), 2)) if c else 7.5) for c in range(6) for m in "abc" for t in range(40) if c != 5 or t >= 25]
+    df = spark.createDataFrame(rows, "scenario STRING, member STRING, model STRING, cell_id BIGINT, year INT, value DOUBLE")
+    decades = [2000, 2010, 2020, 2030]
+    got = {(r["cell_id"], r["decade"]): r for r in decadal.slopes(df, decades, 2000).collect()}
+    assert set(got) == {(c, d) for c in range(6) for d in decades[1:] if c != 5 or d >= 2020}
+    alone = {name: {(r["cell_id"], r["decade"]): r[name] for r in f(df, decades, 2000).collect()} for name, f in (("ols_slope", decadal.ols_slope), ("sen_slope", decadal.sen_slope))}
+    for (c, d), r in got.items():
+        pts = [(y, v) for _, _, _, cell, y, v in rows if cell == c and v is not None and y <= d + 9]
+        x, y = (np.array(z, float) for z in zip(*pts))
+        ols = 0.0 if c == 0 else np.polyfit(x, y, 1)[0]
+        sen = np.median([(q[1] - p[1]) / (q[0] - p[0]) for p, q in itertools.combinations(pts, 2) if p[0] != q[0]])
+        assert r["ols_slope"] == pytest.approx(ols, abs=1e-9) and r["sen_slope"] == pytest.approx(sen, abs=1e-12)
+        assert r["ols_slope"] == pytest.approx(alone["ols_slope"][c, d], abs=1e-12) and r["sen_slope"] == alone["sen_slope"][c, d]
+    plan = decadal.slopes(df, decades, 2000)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "Join" not in plan
 
 
 def test_baseline_modes_differ(spark):
@@ -216,6 +247,94 @@ def test_chain_accumulates_and_cycles_are_refused(spark):
         graph.accumulate_downstream(ring, ring.select("cell_id", F.lit(1).alias("payload")))
 
 
+def test_longest_paths_of_a_long_chain_and_of_random_trees(spark):
+    n = 10_000
+    chain = spark.range(n).select(F.col("id").alias("cell_id"), F.when(F.col("id") > 0, F.col("id") - 1).alias("next_id"))
+    got = graph.peel_rounds(chain)
+    assert got.where(F.col("peel") != n - 1 - F.col("cell_id")).isEmpty() and got.count() == n
+    rng = random.Random(4)
+    down = {i: rng.randrange(max(0, i - 3), i) if i % 17 else None for i in range(300)}
+    want = {i: 0 for i in down}
+    for i in sorted(down, reverse=True):
+        if down[i] is not None:
+            want[down[i]] = max(want[down[i]], want[i] + 1)
+    edges = spark.createDataFrame(list(down.items()), "cell_id BIGINT, next_id BIGINT")
+    assert {r["cell_id"]: r["peel"] for r in graph.peel_rounds(edges).collect()} == want
+
+
+def flood(cells, n_cols, eight):
+    left, out = set(cells), {}
+    for start in sorted(cells):
+        front, seen = [start], set()
+        while front:
+            r, c = front.pop()
+            if (r, c) in left:
+                left.remove((r, c))
+                seen.add((r, c))
+                front += [(r + a, (c + b) % n_cols) for a in (-1, 0, 1) for b in (-1, 0, 1) if eight or not (a and b)]
+        least = min((a * n_cols + b for a, b in seen), default=None)
+        out.update(dict.fromkeys(seen, least))
+    return out
+
+
+@pytest.mark.parametrize("eight", [True, False])
+def test_components_over_many_tiles_equal_a_flood_fill(spark, eight):
+    rng = np.random.default_rng(9)
+    n_cols = 300
+    cells = {(r, c) for r, c in zip(*np.nonzero(rng.random((200, n_cols)) < 0.45))}
+    # a snake that winds through all tiles
+    cells |= {(300 + r, c) for r in range(0, 160, 2) for c in range(200)} | {(301 + r, 199 * (r // 2 % 2 == 0)) for r in range(0, 158, 2)}
+    frame = spark.createDataFrame([(int(r), int(c)) for r, c in cells], "grow INT, gcol INT")
+    got = {(r["grow"], r["gcol"]): r["component"] for r in graph.connected_components(frame, n_cols, eight).collect()}
+    assert got == flood({(int(r), int(c)) for r, c in cells}, n_cols, eight)
+
+
+def plain_smooth(points, weight, n_cols, by_mask):
+    """{cell: sum(w v) / sum(w)} over all other cells, the weight given (row of the target, di, dj)."""
+    out = {}
+    for (r, c), v in points.items():
+        if v is None and not by_mask:
+            continue
+        total = norm = 0.0
+        for (r2, c2), u in points.items():
+            for turn in (-1, 0, 1) if n_cols else (0,):
+                w = weight(r, r - r2, c - c2 + turn * (n_cols or 0))
+                total += w * (u or 0.0)
+                norm += w if by_mask or u is not None else 0.0
+        out[r, c] = total / norm
+    return out
+
+
+def test_tiled_kernels_equal_plain_sums(spark):
+    rng = random.Random(6)
+    for n_cols, rows, cols in ((720, range(28, 40), [*range(0, 12), *range(28, 38), *range(700, 720)]), (40, range(0, 70, 3), range(40))):
+        points = {(r, c): None if rng.random() < 0.3 else rng.random() for r in rows for c in cols if rng.random() < 0.6}
+        frame = spark.createDataFrame([("m", r, c, v) for (r, c), v in points.items()], "member STRING, grow INT, gcol INT, value DOUBLE").repartition(3)
+
+        def latitude(row, di, dj):
+            if abs(di) > 2 or abs(dj) > 2:
+                return 0.0
+            return math.exp(-math.hypot(di, dj * math.cos(math.radians(89.75 - 0.5 * row))) / 2.5)
+
+        def gauss(row, di, dj, s=(1.0, 0.8)):
+            if abs(di) > int(4 * s[0] + 0.5) or abs(dj) > int(4 * s[1] + 0.5):
+                return 0.0
+            return math.exp(-di * di / (2 * s[0] ** 2) - dj * dj / (2 * s[1] ** 2))
+
+        index = lambda row, di, dj: math.exp(-math.hypot(di, dj) / 2.5) if max(abs(di), abs(dj)) <= 2 else 0.0
+        shown = lambda df, col="value": {(r["grow"], r["gcol"]): r[col] for r in df.collect()}
+        assert shown(grids.smooth_exp(frame, ["member"], n_cols=n_cols)) == pytest.approx(plain_smooth(points, latitude, n_cols, True))
+        assert shown(grids.smooth_exp_index(frame, ["member"], n_cols=n_cols)) == pytest.approx(plain_smooth(points, index, n_cols, False))
+        both = grids.nan_aware_gaussians(frame, ["member"], {"a": (1.0, 0.8), "b": (0.0, 0.0)}).cache()
+        assert shown(both, "a") == pytest.approx(plain_smooth(points, gauss, None, False))
+        assert shown(both, "b") == {k: v for k, v in points.items() if v is not None}
+
+
+def test_tiles_shuffle_little_more_than_the_cells(spark):
+    frame = spark.range(200 * 720).select((F.col("id") % 200).cast("int").alias("grow"), F.floor(F.col("id") / 200).cast("int").alias("gcol"), F.lit(1.0).alias("value"))
+    assert Tiling.around(2, 2, 720).deal(frame, "grow", "gcol").count() < 1.35 * 200 * 720
+
+
 def test_components_join_across_the_antimeridian(spark):
     cells = spark.createDataFrame([(5, 719), (5, 0), (6, 1), (9, 9), (20, 300), (21, 301)], "grow INT, gcol INT")
     got = graph.connected_components(cells).groupBy("component").agg(F.count("*").alias("n")).collect()
