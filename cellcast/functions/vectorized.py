@@ -199,40 +199,6 @@ def theil_sen(points: str | Column) -> Column:
     return theil_sen_at([1_000_000])(points)[0]
 
 
-def clip_area(ring: np.ndarray, west: float, south: float, east: float, north: float) -> float:
-    """Area of a polygon ring cut to a rectangle, one half-plane at a time."""
-    pts = ring
-    for axis, bound, keep_above in ((0, west, True), (0, east, False), (1, south, True), (1, north, False)):
-        if len(pts) == 0:
-            return 0.0
-        side = (pts[:, axis] >= bound) if keep_above else (pts[:, axis] <= bound)
-        out = []
-        for k in range(len(pts)):
-            p, q = pts[k - 1], pts[k]
-            if side[k - 1] != side[k]:
-                t = (bound - p[axis]) / (q[axis] - p[axis])
-                out.append(p + t * (q - p))
-            if side[k]:
-                out.append(q)
-        pts = np.array(out)
-    if len(pts) < 3:
-        return 0.0
-    x, y = pts[:, 0], pts[:, 1]
-    return 0.5 * abs(float(np.dot(x, np.roll(y, -1)) - np.dot(y, np.roll(x, -1))))
-
-
-@F.pandas_udf(DoubleType())
-def ring_share_of_cell(xs: pd.Series, ys: pd.Series, lon: pd.Series, lat: pd.Series, size: pd.Series) -> pd.Series:
-    """Share of a square cell covered by a polygon ring given as coordinate arrays."""
-    out = np.zeros(len(xs))
-    for k in range(len(xs)):
-        h = size.iloc[k] / 2
-        x, y = lon.iloc[k], lat.iloc[k]
-        ring = np.column_stack([xs.iloc[k], ys.iloc[k]])
-        out[k] = clip_area(ring, x - h, y - h, x + h, y + h) / (size.iloc[k] ** 2)
-    return pd.Series(out)
-
-
 def pearson3_exceedance(skew: float, z: float) -> float:
     """P(Z > z) for a standardized Pearson III variate of the given skew."""
     if abs(skew) < 1e-6:

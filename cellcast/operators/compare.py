@@ -104,14 +104,55 @@ def anomalous_differences(pairs: DataFrame, n_sigma: float = 3.0, a: str = "old_
     )
 
 
+#: Up to this product of the sample sizes the p-value is exact.
+EXACT_KS = 10_000
+_KS_TERMS = 100
+
+
+def kolmogorov_p(d: Column, n: Column, m: Column) -> Column:
+    """P(D >= d) of two samples of n and m values without a difference, by Kolmogorov's series."""
+    square = d * d * n * m / (n + m)
+    k = F.sequence(F.lit(1), F.lit(_KS_TERMS))
+    series = F.aggregate(F.transform(k, lambda i: F.when(i % 2 == 1, 1.0).otherwise(-1.0) * F.exp(-2.0 * i * i * square)), F.lit(0.0), lambda a, t: a + t)
+    # below this the series has not settled and the chance is 1 to ten digits
+    return F.when(square < 0.04, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), 2 * series)))
+
+
+def exact_ks_p(d: Column, n: Column, m: Column) -> Column:
+    """P(D >= d) by counting: of all orders in which n and m values can come, the share that strays d or more.
+
+    A row of the lattice holds, per number of values of the second sample, the share of orders so far that have
+    kept within; each row follows from the one before.
+    """
+    limit = F.round(d * n * m)
+    inside = lambda i, j: F.abs(i * m - j * n) < limit
+
+    def next_row(row: Column, i: Column) -> Column:
+        def add(done: Column, j: Column) -> Column:
+            from_a = F.when(i > 0, F.get(row, j.cast("int")) * i / (i + j)).otherwise(0.0)
+            from_b = F.when(j > 0, F.get(done, (j - 1).cast("int")) * j / (i + j)).otherwise(0.0)
+            share = F.when((i == 0) & (j == 0), F.lit(1.0)).otherwise(from_a + from_b)
+            return F.concat(done, F.array(F.when(inside(i, j), share).otherwise(0.0)))
+
+        return F.aggregate(F.sequence(F.lit(0).cast("long"), m), F.array().cast("array<double>"), add)
+
+    first = F.array_repeat(F.lit(0.0), (m + 1).cast("int"))
+    last = F.aggregate(F.sequence(F.lit(0).cast("long"), n), first, next_row)
+    return F.when(limit <= 0, F.lit(1.0)).otherwise(1 - F.element_at(last, -1))
+
+
 def ks_statistic(pairs: DataFrame, a: str = "old_value", b: str = "new_value") -> DataFrame:
-    """Largest distance between the two empirical distributions, over all values of both sides; NULL below ten values on a side."""
+    """Largest distance between the two empirical distributions, over all values of both sides, and its
+    p-value; NULL below ten values on a side. Exact up to `EXACT_KS`, else by the limiting series."""
     x, y = pairs.select(F.col(a).alias("v")), pairs.select(F.col(b).alias("v"))
     every = x.unionByName(y)
     fx = counts_at(every, x, "v").select("v", (F.col("n_upto") / F.col("n_total")).alias("_x"), F.col("n_total").alias("_nx"))
     fy = counts_at(every, y, "v").select("v", (F.col("n_upto") / F.col("n_total")).alias("_y"), F.col("n_total").alias("_ny"))
-    enough = (F.max("_nx") >= 10) & (F.max("_ny") >= 10)
-    return fx.join(fy, "v").agg(F.when(enough, F.max(F.abs(F.col("_x") - F.col("_y")))).alias("ks_statistic"))
+    found = fx.join(fy, "v").agg(F.max(F.abs(F.col("_x") - F.col("_y"))).alias("d"), F.max("_nx").cast("long").alias("n"), F.max("_ny").cast("long").alias("m"))
+    d, n, m = F.col("d"), F.col("n"), F.col("m")
+    enough = (n >= 10) & (m >= 10)
+    p = F.when(n * m <= EXACT_KS, exact_ks_p(d, n, m)).otherwise(kolmogorov_p(d, n, m))
+    return found.select(F.when(enough, d).alias("ks_statistic"), F.when(enough, p).alias("p_value"))
 
 
 SUMMARY_LEVELS = [0.05, 0.25, 0.5, 0.75, 0.95]

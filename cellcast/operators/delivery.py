@@ -84,34 +84,75 @@ def uncovered_locations(locations: DataFrame, matches: DataFrame) -> DataFrame:
     return locations.join(matches.select("location_id").distinct(), "location_id", "left_anti")
 
 
-def _tokens(text: Column) -> Column:
-    """Letter pairs with end marks, and single letters for one-letter queries."""
+def _marked_pairs(text: Column) -> Column:
+    """Letter pairs with end marks; a pair's second occurrence is another token, so that sets count like multisets."""
     marked = F.concat(F.lit("\u0002"), text, F.lit("\u0003"))
     pairs = F.transform(F.sequence(F.lit(1), F.length(marked) - 1), lambda i: F.substring(marked, i, F.lit(2)))
-    return F.array_distinct(pairs)
+    nth = lambda g, i: F.size(F.filter(F.slice(pairs, 1, i + 1), lambda h: h == g)).cast("string")
+    return F.transform(pairs, lambda g, i: F.struct(F.concat(g, nth(g, i)).alias("g"), i.alias("pos")))
 
 
-def fuzzy_match(names: DataFrame, dictionary: DataFrame, threshold: float = 0.6) -> DataFrame:
-    """Best dictionary entry per distinct name: exact 1.0, contained text at least 0.8, else 1 - edits/length.
+def _inner_grams(text: Column) -> Column:
+    """All stretches of up to three letters."""
+    n = F.length(text)
+    at = lambda k: F.when(n >= k, F.transform(F.sequence(F.lit(1), F.greatest(n - k + 1, F.lit(1))), lambda i: F.substring(text, i, F.lit(k)))).otherwise(F.array().cast("array<string>"))
+    return F.array_distinct(F.concat(at(1), at(2), at(3)))
+
+
+def fuzzy_candidates(queries: DataFrame, entries: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (query, low) that may reach the threshold: no other pair does.
 
-    Candidates share a letter pair (ends marked). An edit breaks two pairs at most, so from a
-    threshold of 0.5 on every qualifying entry shares one and none is missed; one-letter queries
-    are matched on letters. The dictionary is the bounded side.
+    Near texts: at most k = (1 - threshold) x the longer length edits, each of which breaks two letter pairs,
+    so of each side's pairs in one global order, rarest first, the first 2k + 1 must share one, at most k
+    places apart, and all of them share all but 2k. Entries are keyed by (pair, length), and a query asks for
+    the lengths that can match.
+    Contained texts: an entry that holds the query holds the query's rarest stretch of three letters.
     """
+    e_pairs = entries.select("low", F.length("low").alias("n"), F.explode(_marked_pairs(F.col("low"))).alias("_p")).select("low", "n", "_p.g", "_p.pos")
+    rarity = e_pairs.groupBy("g").agg(F.count("*").alias("often"))
+
+    def in_order(df: DataFrame, name: str) -> DataFrame:
+        ranked = df.join(rarity, "g", "left").groupBy(name, "n").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("often", F.lit(0)).alias("often"), "g", "pos"))).alias("_all"))
+        return ranked.select(name, "n", F.posexplode("_all").alias("rank", "_p")).select(name, "n", "rank", "_p.g", "_p.pos")
+
+    q_pairs = queries.select("query", F.length("query").alias("n"), F.explode(_marked_pairs(F.col("query"))).alias("_p")).select("query", "n", "_p.g", "_p.pos")
+    edits = lambda a, b: F.floor((1 - threshold) * F.greatest(a, b) + 1e-9)
+    asked = in_order(q_pairs, "query").withColumnsRenamed({"n": "_qn", "rank": "_qr", "pos": "_qp"})
+    span = F.sequence(F.ceil(F.col("_qn") * threshold - 1e-9).cast("int"), F.floor(F.col("_qn") / threshold + 1e-9).cast("int"))
+    asked = asked.withColumn("n", F.explode(span)).where(F.col("_qr") < 2 * edits(F.col("_qn"), F.col("n")) + 1)
+    k = edits(F.col("_qn"), F.col("n"))
+    met = asked.join(in_order(e_pairs, "low"), ["g", "n"]).where((F.col("rank") < 2 * k + 1) & (F.abs(F.col("_qp") - F.col("pos")) <= k))
+    met = met.select("query", "low").distinct()
+    # and of all their pairs, all but two per edit
+    tags = lambda c: F.transform(_marked_pairs(F.col(c)), lambda p: p["g"])
+    n, m = F.length("query"), F.length("low")
+    near = met.where(F.size(F.array_intersect(tags("query"), tags("low"))) >= F.greatest(n, m) + 1 - 2 * edits(n, m))
+    if threshold > CONTAINED:
+        return near
+    e_grams = entries.select("low", F.explode(_inner_grams(F.col("low"))).alias("g"))
+    seen = e_grams.groupBy("g").agg(F.count("*").alias("often"))
+    whole = F.filter(_inner_grams(F.col("query")), lambda g: F.length(g) == F.least(F.length("query"), F.lit(3)))
+    rarest = queries.select("query", F.explode(whole).alias("g")).join(seen, "g", "left").groupBy("query").agg(F.min(F.struct(F.coalesce("often", F.lit(0)).alias("often"), "g")).alias("_r"))
+    held = rarest.select("query", F.col("_r.g").alias("g")).join(e_grams, "g").where(F.contains(F.col("low"), F.col("query"))).select("query", "low")
+    return near.unionByName(held).distinct()
+
+
+#: Least score of an entry that contains the query.
+CONTAINED = 0.8
+
+
+def fuzzy_match(names: DataFrame, dictionary: DataFrame, threshold: float = 0.6) -> DataFrame:
+    """Best dictionary entry per distinct name: exact 1.0, contained text at least 0.8, else 1 - edits/length."""
     if threshold < 0.5:
         raise ValueError("letter-pair candidates are complete only for thresholds from 0.5")
     q = names.select(F.lower(F.trim("name")).alias("query")).distinct().where(F.length("query") > 0)
-    d = dictionary.select("entry", F.lower(F.trim("entry")).alias("_low")).distinct()
-    letters = lambda c: F.transform(F.array_distinct(F.split(c, "")), lambda x: F.concat(F.lit("\u0004"), x))
-    q_tokens = F.when(F.length("query") == 1, F.array_union(_tokens(F.col("query")), letters(F.col("query")))).otherwise(_tokens(F.col("query")))
-    q_rows = q.withColumn("_t", F.explode(q_tokens))
-    d_rows = d.withColumn("_t", F.explode(F.array_union(_tokens(F.col("_low")), letters(F.col("_low")))))
-    pairs = q_rows.join(d_rows, "_t").select("query", "entry", "_low").distinct()
-    longest = F.greatest(F.length("query"), F.length("_low"))
-    similar = 1 - F.levenshtein("query", "_low") / longest
-    inside = F.contains(F.col("_low"), F.col("query"))
-    score = F.when(F.col("query") == F.col("_low"), 1.0).when(inside, F.greatest(similar, F.lit(0.8))).otherwise(similar)
-    scored = pairs.withColumn("score", score).where(F.col("score") >= threshold)
+    d = dictionary.select("entry", F.lower(F.trim("entry")).alias("low")).distinct()
+    pairs = fuzzy_candidates(q, d.select("low").distinct().where(F.length("low") > 0), threshold)
+    longest = F.greatest(F.length("query"), F.length("low"))
+    similar = 1 - F.levenshtein("query", "low") / longest
+    inside = F.contains(F.col("low"), F.col("query"))
+    score = F.when(F.col("query") == F.col("low"), 1.0).when(inside, F.greatest(similar, F.lit(CONTAINED))).otherwise(similar)
+    scored = pairs.withColumn("score", score).where(F.col("score") >= threshold).join(d, "low")
     best = scored.groupBy("query").agg(F.min(F.struct((-F.col("score")).alias("s"), F.col("entry").alias("e"))).alias("_b"))
     return q.join(best, "query", "left").select("query", F.col("_b.e").alias("entry"), (-F.col("_b.s")).alias("score"))
 

@@ -7,6 +7,7 @@ optimizer to broadcast after it has checked their size.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -257,11 +258,14 @@ def trend_table(values: DataFrame, layers: DataFrame, decade: int) -> DataFrame:
 
 
 def caveat_rules(
-    layers: DataFrame, values: DataFrame, scores: DataFrame, vulnerability_frame: DataFrame, locations: DataFrame
-) -> DataFrame:
+    layers: DataFrame, values: DataFrame, scores: DataFrame, vulnerability_frame: DataFrame, locations: DataFrame,
+    assets: DataFrame, taxonomy: DataFrame, config: DataFrame,
+) -> DataFrame:
     """(rule, severity, subject, n): one row per triggered disclosure rule.
 
-    `layers` carries saturation_share, zero_share, n_models, smoothing and relative_baseline.
+    `layers` carries saturation_share, zero_share, n_models, smoothing, relative_baseline, reviewed_on and
+    is_hazard; `assets` asset_type, layer_source and asset_value; `taxonomy` (family, layer_id) of all families,
+    with NULL where none covers one; `config` (item, source) of the report's settings.
     """
 
     def of_layer(rule: str, severity: str, cond: Column) -> DataFrame:
@@ -272,22 +276,33 @@ def caveat_rules(
         return counted.where("n > 0").select(F.lit(rule).alias("rule"), F.lit(severity).alias("severity"), "subject", "n")
 
     everything = F.lit("delivery")
+    delivered = values.select("layer_id").distinct()
+    seen = taxonomy.join(delivered.withColumn("_seen", F.lit(True)), "layer_id", "left").groupBy("family").agg(F.max("_seen").alias("_seen"))
+    scored = scores.select(F.explode(split_list("layers")).alias("layer_id")).distinct()
+    mixed = layers.where(~F.col("is_hazard")).join(scored, "layer_id", "left_semi").join(delivered, "layer_id", "left_semi")
     parts = [
+        # what the delivery covers, who has looked at it, and what it was asked to do
+        of_rows("HAZARD-COVERAGE", "must", seen.where("_seen IS NULL"), F.col("family")),
+        of_rows("QA-UNREVIEWED", "must", layers.where("reviewed_on IS NULL").join(delivered, "layer_id", "left_semi"), F.col("layer_id")),
+        of_rows("CATALOG-UNCONFIRMED", "must", assets.where("layer_source = 'catalog'"), F.col("asset_type")),
+        of_rows("HORIZONS-DEFAULT", "must", config.where("item = 'horizons' AND lower(source) = 'default'"), everything),
+        of_rows("ASSET-VALUES-ABSENT", "must", assets.where("asset_value IS NULL"), everything),
+        # how the numbers were made
         of_layer("RELATIVE-BASELINE", "must", F.col("relative_baseline")),
         of_layer("SATURATION", "must", F.col("saturation_share") > 0.05),
         of_layer("SPARSITY", "should", F.col("zero_share") > 0.5),
         of_layer("SINGLE-MODEL", "must", F.col("n_models") == 1),
         of_layer("SMOOTHED", "should", F.col("smoothing").isNotNull()),
+        # sites and assets
         of_rows("UNASSESSED-ASSET", "must", vulnerability_frame.where("status = 'NOT_ASSESSED'"), F.col("asset_id")),
         of_rows("DERIVED-COORDINATE", "must", locations.where("coord_source <> 'supplied'"), F.col("location_id")),
+        # the score
+        of_rows("SCORE-MIXED-AXES", "must", mixed, F.col("layer_id")),
         of_rows("SCORE-OBSERVED-CONSTANT", "must", scores.where(F.array_contains(split_list("scenarios"), "observed")), everything),
         of_rows("SCORE-INCOMPLETE-ROWS", "should", scores.where("n_hazards < n_hazards_expected"), everything),
         of_rows("PANEL-UNBALANCED", "should", tier_gaps(values), F.col("layer_id")),
     ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 def legacy_decade_columns(values: DataFrame, assets: DataFrame, key: str, decades: Sequence[int]) -> DataFrame:

@@ -7,11 +7,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cellcast.functions.scalar import parse_number
 from cellcast.operators.ranking import exact_quantiles
+from cellcast.session import cut_lineage
 
 CI_TOLERANCE = 1e-5
 
@@ -32,7 +33,10 @@ def verify_panel(panel: DataFrame, grid: DataFrame, baseline: int, step: float =
     early = F.col("decade") <= baseline
     slope = have("ols_slope") | have("sen_slope")
     bad_order = (F.col("lower_ci") > F.col("median") + CI_TOLERANCE) | (F.col("median") > F.col("upper_ci") + CI_TOLERANCE)
-    own = panel.agg(
+    # every counter that needs one row at a time is taken while the panel is staged, so its plan runs once
+    seen = Observation()
+    panel = cut_lineage(panel.observe(
+        seen,
         F.count_if(ordered & bad_order).alias("ci"),
         F.count_if((F.col("percentile") < 1 - 1e-4) | (F.col("percentile") > 100 + 1e-4)).alias("range"),
         F.count_if(early & slope).alias("early"),
@@ -41,28 +45,32 @@ def verify_panel(panel: DataFrame, grid: DataFrame, baseline: int, step: float =
         F.count_if(F.col("n_models") > F.col("n_members")).alias("depth"),
         F.count_if(F.col("n_members") < 1).alias("members"),
         F.corr(F.when(F.col("decade") == baseline, F.col("median")), F.col("percentile")).alias("orient"),
+        F.max("decade").alias("last"),
+        F.collect_set("scenario").alias("scenarios"),
+    ))
+    counted = dict(seen.get)
+    last, n_scenarios = counted.pop("last"), len(counted.pop("scenarios") or [])
+    # one pass per cell: the baseline must be the same in every scenario, the last decade must not
+    at_base = F.col("decade") == baseline
+    varies = lambda c: (F.min(F.when(at_base, F.col(c))) != F.max(F.when(at_base, F.col(c)))) | (
+        (F.count(F.when(at_base, F.col(c))) > 0) & (F.count(F.when(at_base, F.col(c))) < F.count_if(at_base))
+    )
+    unlike = [F.coalesce(varies(c), F.lit(False)) for c in ("median", "lower_ci", "upper_ci", "percentile")]
+    final = F.when(F.col("decade") == F.lit(last), F.col("median"))
+    cells = panel.groupBy("cell_id").agg(
+        (unlike[0] | unlike[1] | unlike[2] | unlike[3]).alias("_unlike"),
+        F.coalesce(F.min(final) != F.max(final), F.lit(False)).alias("_differs"),
+        (F.size(F.collect_set("scenario")) < n_scenarios).alias("_short"),
     )
-    # the baseline must be the same in every scenario: one distinct row per cell
-    varies = lambda c: (F.min(c) != F.max(c)) | ((F.count(c) > 0) & (F.count(c) < F.count("*")))
-    unlike = [F.coalesce(varies(c), F.lit(False)).alias(c) for c in ("median", "lower_ci", "upper_ci", "percentile")]
-    same = panel.where(F.col("decade") == baseline).groupBy("cell_id").agg(*unlike)
-    shared = same.agg(F.count_if(F.col("median") | F.col("lower_ci") | F.col("upper_ci") | F.col("percentile")).alias("shared"))
-    last = panel.select(F.max("decade")).scalar()
-    finals = panel.where(F.col("decade") == last).groupBy("cell_id").agg(F.count_distinct("median").alias("_n"))
-    differs = finals.agg((1 - F.max((F.col("_n") > 1).cast("int"))).alias("differs"))
-    cells = panel.groupBy("cell_id").agg(F.collect_set("scenario").alias("_s"))
-    n_scen = panel.select(F.count_distinct("scenario")).scalar()
-    one_grid = cells.agg(F.count_if(F.size("_s") < n_scen).alias("one_grid"))
+    per_cell = cells.agg(F.count_if("_unlike").alias("shared"), (1 - F.max(F.col("_differs").cast("int"))).alias("differs"), F.count_if("_short").alias("one_grid"))
     regular = grid.agg(
         F.count_if(F.abs(F.col("lat") - (90 - step / 2 - step * F.col("grow"))) > 1e-6).alias("lat"),
         F.count_if(F.abs(F.col("lon") - (-180 + step / 2 + step * F.col("gcol"))) > 1e-6).alias("lon"),
         F.count_if((F.abs("lat") > 90) | (F.abs("lon") > 180)).alias("globe"),
     )
-    row = own
-    for other in (shared, differs, one_grid, regular):
-        names = other.columns
-        packed = other.select(F.struct(*names)).scalar()
-        row = row.withColumn("_o", packed).select(*row.columns, *[F.col(f"_o.{n}").alias(n) for n in names])
+    names = regular.columns
+    row = per_cell.withColumn("_o", regular.select(F.struct(*names)).scalar())
+    row = row.select(*per_cell.columns, *[F.col(f"_o.{n}").alias(n) for n in names], *[F.lit(v).cast("double" if n == "orient" else "long").alias(n) for n, v in counted.items()])
     want = F.col("orient") < 0 if higher_is_better else F.col("orient") > 0
     return _report(row, {
         "grid_rows_regular": F.col("lat"), "grid_columns_regular": F.col("lon"), "grid_on_globe": F.col("globe"),
@@ -207,6 +215,7 @@ def cluster_separation(annual: DataFrame, value: str = "value") -> DataFrame:
 def layer_report(panel: DataFrame, baseline: int) -> DataFrame:
     """Per scenario and decade: cells, level, spread, mean slopes, mean change against the baseline."""
     keys = ["scenario", "decade"]
+    panel = cut_lineage(panel.select(*keys, "cell_id", "median", "lower_ci", "upper_ci", "ols_slope", "sen_slope"))
     base = panel.where(F.col("decade") == baseline).select("scenario", "cell_id", F.col("median").alias("_b"))
     joined = panel.join(base, ["scenario", "cell_id"], "left").withColumn("_w", F.col("upper_ci") - F.col("lower_ci"))
     main = joined.where("median IS NOT NULL").groupBy(*keys).agg(

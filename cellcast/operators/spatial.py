@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellcast.functions.scalar import haversine_km, lon_gap, normalize_lon
-from cellcast.functions.vectorized import ring_share_of_cell
+from cellcast.functions.scalar import EARTH_RADIUS_KM, haversine_km, lon_gap, normalize_lon
 from cellcast.operators.ranking import key_lookup
+from cellcast.operators.rings import edge_shares, ring_edges
+from cellcast.session import cut_lineage
 
 
 def grid_row(lat: Column, size: float = 0.5, lat0: float = 89.75) -> Column:
@@ -94,20 +95,7 @@ def ring_shares(polygons: DataFrame, size: float = 0.5) -> DataFrame:
 
     A polygon may have several rings (rows of one box_id); those with `hole` true are taken off.
     """
-    lat0, lon0 = 90 - size / 2, -180 + size / 2
-    rows = polygons.withColumn("grow", F.explode(F.sequence(
-        F.floor((90 - F.array_max("ys")) / size).cast("int"), F.floor((90 - F.array_min("ys")) / size).cast("int")
-    )))
-    cells = rows.withColumn("gcol", F.explode(F.sequence(
-        F.floor((F.array_min("xs") + 180) / size).cast("int"), F.floor((F.array_max("xs") + 180) / size).cast("int")
-    )))
-    share = ring_share_of_cell(
-        "xs", "ys", (lon0 + size * F.col("gcol")).cast("double"), (lat0 - size * F.col("grow")).cast("double"), F.lit(float(size))
-    )
-    if "hole" in polygons.columns:
-        share = F.when(F.coalesce("hole", F.lit(False)), -share).otherwise(share)
-    parts = cells.select("box_id", "grow", _wrapped_col(size), share.alias("w"))
-    return parts.groupBy("box_id", "grow", "gcol").agg(F.sum("w").alias("w")).where("w > 1e-12")
+    return edge_shares(ring_edges(polygons), size)
 
 
 def extract_polygons(shares: DataFrame, panel: DataFrame, metrics: Sequence[str], by: Sequence[str]) -> DataFrame:
@@ -127,37 +115,6 @@ def extract_regions(names: DataFrame, dictionary: DataFrame, boxes: DataFrame, p
     return found.select("query", "entry", "box_id").join(values, "box_id").drop("box_id")
 
 
-def points_in_polygons(points: DataFrame, edges: DataFrame, size: float = 0.5) -> DataFrame:
-    """(point_id, polygon_id) by ray crossing.
-
-    Points first meet the polygons whose bounding box covers their block, then only the edges of
-    those polygons on the point's own row: inside means an odd number of them pass to the east.
-    """
-    block = lambda c: F.floor(c / size).cast("int")
-    boxes = edges.groupBy("polygon_id").agg(
-        F.min(F.least("x0", "x1")).alias("_w"), F.max(F.greatest("x0", "x1")).alias("_e"),
-        F.min(F.least("y0", "y1")).alias("_s"), F.max(F.greatest("y0", "y1")).alias("_n"),
-    )
-    covered = boxes.withColumn("_row", F.explode(F.sequence(block(F.col("_s")), block(F.col("_n")))))
-    covered = covered.withColumn("_over", F.explode(F.sequence(block(F.col("_w")), block(F.col("_e")))))
-    # polygons may run past the antimeridian: blocks meet modulo 360 degrees, the point moves to the polygon's side
-    round_earth = F.lit(int(round(360 / size)))
-    covered = covered.withColumn("_col", F.pmod(F.col("_over"), round_earth))
-    placed = points.withColumns({"_row": block(F.col("lat")), "_at": block(F.col("lon"))}).withColumn("_col", F.pmod(F.col("_at"), round_earth))
-    in_box = F.col("lat").between(F.col("_s"), F.col("_n")) & F.col("lon").between(F.col("_w"), F.col("_e"))
-    met = placed.join(covered, ["_row", "_col"]).withColumn("lon", F.col("lon") + (F.col("_over") - F.col("_at")) * size)
-    candidates = met.where(in_box).select("point_id", "lat", "lon", "_row", "polygon_id")
-    top, low = F.greatest("y0", "y1"), F.least("y0", "y1")
-    spans = edges.withColumn("_row", F.explode(F.sequence(block(low), block(top))))
-    y = F.col("lat")
-    crosses = ((F.col("y0") > y) != (F.col("y1") > y)) & (
-        F.col("lon") < F.col("x0") + (y - F.col("y0")) * (F.col("x1") - F.col("x0")) / F.nullif(F.col("y1") - F.col("y0"), F.lit(0.0))
-    )
-    hits = candidates.join(spans, ["polygon_id", "_row"]).where(crosses)
-    counted = hits.groupBy("point_id", "polygon_id").agg(F.count("*").alias("_k"))
-    return counted.where(F.col("_k") % 2 == 1).drop("_k")
-
-
 def nearest_cell(sites: DataFrame, size: float = 0.5) -> DataFrame:
     """Row and column of the nearest centre, each axis on its own, longitude wrapped."""
     return sites.withColumns(
@@ -203,45 +160,82 @@ def nearest_valid(
     return targets.select(key).join(best, key, "left").select(key, F.col("_b.source_id").alias("source_id"), F.col("_b.km").alias("km"))
 
 
+#: Fine blocks along a side of a coarse one.
+COARSE = 8
+
+
+def _block_midpoint(side: int, size: float) -> dict[str, Column]:
+    """Centre of the block of `side` cells that a cell lies in."""
+    middle = lambda c: F.floor(F.col(c) / side) * side + (side - 1) / 2.0
+    return {"_mla": 90 - size / 2 - size * middle("grow"), "_mlo": -180 + size / 2 + size * middle("gcol")}
+
+
+def _summaries(cells: DataFrame, side: int, size: float, key: Sequence[str]) -> DataFrame:
+    """Midpoint of each block and the distance of its farthest river cell from there."""
+    placed = cells.withColumns(_block_midpoint(side, size))
+    radius = F.max(haversine_km("_mla", "_mlo", "lat", "lon")).alias("_radius")
+    return placed.groupBy("basin_id", *key).agg(F.first("_mla").alias("_mla"), F.first("_mlo").alias("_mlo"), radius)
+
+
+def _not_ruled_out(met: DataFrame) -> DataFrame:
+    """Blocks that may hold a site's nearest cell, by the triangle inequality."""
+    far = met.withColumn("_mid", haversine_km("lat", "lon", "_mla", "_mlo"))
+    bound = far.groupBy("site_id").agg(F.min(F.col("_mid") + F.col("_radius")).alias("_bound"))
+    return far.join(bound, "site_id").where(F.col("_mid") - F.col("_radius") <= F.col("_bound") + 1e-6).drop("_mla", "_mlo", "_radius", "_mid", "_bound")
+
+
+def _km_to_edge(block: int, size: float) -> Column:
+    """At least this far from a site is whatever lies outside the 3 x 3 blocks around it."""
+    u, v = (normalize_lon("lon") + 180) / size, (90 - F.col("lat")) / size
+    dlat = size * F.least(v - (F.col("_br") - 1) * block, (F.col("_br") + 2) * block - v)
+    dlon = size * F.least(u - (F.col("_bc") - 1) * block, (F.col("_bc") + 2) * block - u)
+    to_meridian = F.asin(F.cos(F.radians("lat")) * F.sin(F.radians(F.least(dlon, F.lit(90.0)))))
+    return EARTH_RADIUS_KM * F.least(F.radians(dlat), to_meridian)
+
+
 def snap_to_river(
     sites: DataFrame, basins: DataFrame, rivers: DataFrame, max_km: float = 50.0, block_rows: int = 5, size: float = 0.5,
     north: float = 83.75, south: float = -55.75,
 ) -> DataFrame:
     """Nearest river cell inside the site's own basin, with a status.
 
-    A basin may hold most river cells, so sites are not paired with all of them: river cells are
-    summarised per (basin, block) by a midpoint and a radius, blocks that cannot hold the nearest
-    cell are ruled out by the triangle inequality, and only the cells of the rest are measured.
+    A basin may hold most river cells and most sites, so a site first meets the cells of the 3 x 3 small
+    blocks around it, keyed by basin and block. It is settled if what it finds is nearer than the edge of
+    these blocks. The others meet their basin's coarse blocks (162 at most on the globe), then the small
+    blocks of those that may hold the nearest cell, then the cells of those that still may.
     `basins` has grow, gcol, basin_id; `rivers` adds upstream and coordinates.
     """
+    n_cols = int(round(360 / size))
+    if n_cols % (block_rows * COARSE):
+        raise ValueError("coarse blocks must tile the circle")
     lat0, lon0 = 90 - size / 2, -180 + size / 2
     located = sites.select("site_id", "lat", "lon").withColumns(
         {"grow": grid_row(F.col("lat"), size, lat0), "gcol": grid_col(F.col("lon"), size, lon0)}
     )
     inside = F.col("lat").between(south - size / 2, north + size / 2)
     placed = located.withColumn("inside", inside).join(basins.select("grow", "gcol", "basin_id"), ["grow", "gcol"], "left")
-    cells = rivers.withColumns(
-        {"_br": F.floor(F.col("grow") / block_rows).cast("int"), "_bc": F.floor(F.col("gcol") / block_rows).cast("int")}
-    ).withColumns(
-        {
-            "_mla": lat0 - size * (F.col("_br") * block_rows + (block_rows - 1) / 2.0),
-            "_mlo": lon0 + size * (F.col("_bc") * block_rows + (block_rows - 1) / 2.0),
-        }
-    )
-    blocks = cells.groupBy("basin_id", "_br", "_bc").agg(
-        F.first("_mla").alias("_mla"), F.first("_mlo").alias("_mlo"),
-        F.max(haversine_km("_mla", "_mlo", "lat", "lon")).alias("_radius"),
-    )
-    ask = placed.where("inside AND basin_id IS NOT NULL").select("site_id", "lat", "lon", "basin_id")
-    far = ask.join(blocks, "basin_id").withColumn("_mid", haversine_km("lat", "lon", "_mla", "_mlo"))
-    bound = far.groupBy("site_id").agg(F.min(F.col("_mid") + F.col("_radius")).alias("_bound"))
-    open_blocks = far.join(bound, "site_id").where(F.col("_mid") - F.col("_radius") <= F.col("_bound") + 1e-6)
-    stock = cells.select(
-        "basin_id", "_br", "_bc", F.col("cell_id").alias("river_id"), F.col("lat").alias("_la"), F.col("lon").alias("_lo"), "upstream"
+    block = lambda c, side: F.floor(F.col(c) / side).cast("int")
+    cells = cut_lineage(rivers.select("basin_id", "cell_id", "grow", "gcol", "lat", "lon", "upstream").withColumns({
+        "_br": block("grow", block_rows), "_bc": block("gcol", block_rows),
+        "_cr": block("grow", block_rows * COARSE), "_cc": block("gcol", block_rows * COARSE),
+    }))
+    ask = placed.where("inside AND basin_id IS NOT NULL").select("site_id", "lat", "lon", "basin_id", block("grow", block_rows).alias("_br"), block("gcol", block_rows).alias("_bc"))
+    stock = cells.select("basin_id", "_br", "_bc", F.col("cell_id").alias("river_id"), F.col("lat").alias("_la"), F.col("lon").alias("_lo"), "upstream")
+
+    def nearest(pairs: DataFrame) -> DataFrame:
+        measured = pairs.join(stock, ["basin_id", "_br", "_bc"]).withColumn("km", F.round(haversine_km("lat", "lon", "_la", "_lo"), 6))
+        return measured.groupBy("site_id").agg(F.min(F.struct("km", "river_id", "upstream")).alias("_b"))
+
+    ring = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
+    around = ask.withColumn("_o", ring).select(
+        "site_id", "lat", "lon", "basin_id", (F.col("_br") + F.col("_o.i")).alias("_br"), F.pmod(F.col("_bc") + F.col("_o.j"), F.lit(n_cols // block_rows)).alias("_bc")
     )
-    measured = open_blocks.select("site_id", "lat", "lon", "basin_id", "_br", "_bc").join(stock, ["basin_id", "_br", "_bc"])
-    km = haversine_km("lat", "lon", "_la", "_lo")
-    best = measured.withColumn("km", F.round(km, 6)).groupBy("site_id").agg(F.min(F.struct("km", "river_id", "upstream")).alias("_b"))
+    tried = cut_lineage(ask.withColumn("_edge", _km_to_edge(block_rows, size)).join(nearest(around), "site_id", "left"))
+    done = F.coalesce(F.col("_b.km") < F.col("_edge"), F.lit(False))
+    left = tried.where(~done).select("site_id", "lat", "lon", "basin_id")
+    coarse = _not_ruled_out(left.join(_summaries(cells, block_rows * COARSE, size, ["_cr", "_cc"]), "basin_id"))
+    fine = _not_ruled_out(coarse.join(_summaries(cells, block_rows, size, ["_cr", "_cc", "_br", "_bc"]), ["basin_id", "_cr", "_cc"]))
+    best = tried.where(done).select("site_id", "_b").unionByName(nearest(fine))
     joined = placed.join(best, "site_id", "left")
     status = (
         F.when(~F.col("inside"), "OUTSIDE_ROUTING_DOMAIN")

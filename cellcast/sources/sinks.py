@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import hashlib
+from collections.abc import Iterator, Mapping, Sequence
+from urllib.parse import quote
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,14 +48,37 @@ def write_star_schema(tables: Mapping[str, DataFrame], path: str, fmt: str = "pa
             df.write.mode("overwrite").parquet(f"{path}/{name}")
 
 
+#: Bytes of a source file that are held at once.
+_PIECE = 1 << 20
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The files' digests, each read piece by piece from the file system that its path names."""
+    from pyarrow import fs
+
+    for batch in batches:
+        found = []
+        for uri in batch.column("path").to_pylist():
+            system, path = fs.FileSystem.from_uri(quote(uri, safe=":/"))
+            digest = hashlib.sha256()
+            with system.open_input_stream(path) as stream:
+                while piece := stream.read(_PIECE):
+                    digest.update(piece)
+            found.append(digest.hexdigest())
+        yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(found, pa.string())], names=["path", "sha256"])
+
+
 def provenance(spark: SparkSession, path: str) -> DataFrame:
-    """Size, modification time and sha256 of every source file."""
-    files = spark.read.format("binaryFile").load(path)
-    return files.select(
-        F.element_at(F.split("path", "/"), -1).alias("file"),
-        F.col("length").alias("bytes"),
-        "modificationTime",
-        F.sha2("content", 256).alias("sha256"),
+    """Size, modification time and sha256 of every source file, of any size.
+
+    The listing reads no content; a task then streams its files in pieces of a megabyte. Executors need an
+    Arrow driver for the paths' scheme.
+    """
+    files = spark.read.format("binaryFile").load(path).select("path", "length", "modificationTime")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    digests = files.select("path").repartition(tasks, "path").mapInArrow(_digests, "path STRING, sha256 STRING")
+    return files.join(digests, "path").select(
+        F.element_at(F.split("path", "/"), -1).alias("file"), F.col("length").alias("bytes"), "modificationTime", "sha256"
     )
 
 

@@ -10,7 +10,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -47,25 +47,42 @@ def latest(spark: SparkSession, output: str, keys: Sequence[str]) -> DataFrame:
     return newest.select(*keys, "_r.*")
 
 
+def _chunk_key() -> Column:
+    """A folder name for any chunk id."""
+    return F.hex(F.xxhash64("chunk_id"))
+
+
 def ingest_once(stream: DataFrame, output: str, checkpoint: str, keys: Sequence[str] = ("member", "cell_id", "day")) -> None:
     """Append the rows of arriving chunks, each (chunk_id, *keys) once, however late a chunk is or often it comes.
 
-    The output is its own ledger, partitioned by chunk: a micro-batch is compared with the rows that
-    earlier batches wrote for its chunks, and with nothing else. Every batch has a folder of its own,
-    which a retried batch overwrites and does not read.
+    The output is its own ledger: a chunk's rows lie in a folder of the chunk, by the batch that wrote them.
+    A micro-batch opens the folders of its own chunks only (their names, at most one per file of the batch,
+    go to the driver), so what it reads does not grow with the batches before. A retried batch overwrites
+    its own folders and does not read them.
     """
-    spark, schema = stream.sparkSession, stream.schema.add("batch", "long")
+    spark, schema = stream.sparkSession, f"{_ddl(stream)}, chunk_key STRING, batch BIGINT"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.dropDuplicates(["chunk_id", *keys])
-        if batch_id > 0:
-            before = spark.read.schema(schema).parquet(output).where(F.col("batch") < batch_id)
+        rows = batch.dropDuplicates(["chunk_id", *keys]).withColumn("chunk_key", _chunk_key())
+        known = [f for f in (f"{output}/chunk_key={r[0]}" for r in rows.select("chunk_key").distinct().collect()) if _exists(spark, f)]
+        if known:
+            before = spark.read.schema(schema).option("basePath", output).parquet(*known).where(F.col("batch") < batch_id)
             rows = rows.join(before.select("chunk_id", *keys), ["chunk_id", *keys], "left_anti")
-        rows.write.mode("overwrite").partitionBy("chunk_id").parquet(f"{output}/batch={batch_id}")
+        written = rows.withColumn("batch", F.lit(batch_id).cast("long"))
+        written.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("chunk_key", "batch").parquet(output)
 
     stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def ingested(spark: SparkSession, output: str, schema: str = CHUNK_SCHEMA) -> DataFrame:
     """All rows that `ingest_once` has kept."""
     return spark.read.schema(schema).parquet(output)

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cellcast.operators import quality, spatial
+from cellcast.operators import portfolio, quality, recompute, spatial
 from querybook.common import rounded
 from querybook.layers import built_layer
 from querybook.registry import query
-from querybook.sources import status_values
+from querybook.spatial import grid_panel
 from querybook.standins import SQL, base, table
 
 RULE = "SELECT '{n}' AS check_name, ({v}) = 0 AS passed, CAST(({v}) AS BIGINT) AS detail"
@@ -79,35 +79,73 @@ def q2(spark, sf):
     return quality.verify_observed(_observed(spark, sf), table(spark, sf, "land"), ["cell_id"])
 
 
+# a delivery with some of everything broken
+SQL["brokenvalues"] = """
+    SELECT asset_id, layer_id, scenario, decade, value, CASE WHEN (value IS NOT NULL) = (asset_id % 41 <> 3) THEN 'OK' ELSE 'OFF_LAYER_MASK' END AS data_status FROM layer_values WHERE asset_id % 23 <> 6 OR decade <> 1997
+    UNION ALL SELECT asset_id, 'L9', scenario, decade, value, CASE WHEN value IS NOT NULL THEN 'OK' ELSE 'OFF_LAYER_MASK' END FROM layer_values WHERE layer_id = 'L0' AND asset_id % 59 = 2
+    UNION ALL SELECT asset_id, layer_id, scenario, decade, value, CASE WHEN value IS NOT NULL THEN 'OK' ELSE 'OFF_LAYER_MASK' END FROM layer_values WHERE layer_id = 'L1' AND asset_id % 47 = 5 AND decade = 1995"""
+SQL["brokenassets"] = """
+    SELECT asset_id, location_id, layer_ids, asset_value FROM assets WHERE asset_id % 37 <> 11 UNION ALL SELECT asset_id, location_id, layer_ids, asset_value FROM assets WHERE asset_id % 61 = 1"""
+SQL["brokenlocations"] = """
+    SELECT DISTINCT location_id FROM assets WHERE asset_value IS NOT NULL UNION ALL SELECT DISTINCT location_id FROM assets WHERE location_id % 17 = 0 AND asset_value IS NOT NULL"""
 SQL["layerlist"] = "SELECT DISTINCT layer_id, scenario, decade FROM layer_values"
-SQL["wantedkeys"] = "SELECT a.asset_id, l.layer_id, s.scenario, d.decade FROM assets a, (SELECT DISTINCT layer_id FROM layerlist) l, (SELECT DISTINCT layer_id, scenario FROM layerlist) s, (SELECT DISTINCT layer_id, decade FROM layerlist) d WHERE s.layer_id = l.layer_id AND d.layer_id = l.layer_id"
+SQL["wantedkeys"] = "SELECT a.asset_id, l.layer_id, s.scenario, d.decade FROM brokenassets a, (SELECT DISTINCT layer_id FROM layerlist) l, (SELECT DISTINCT layer_id, scenario FROM layerlist) s, (SELECT DISTINCT layer_id, decade FROM layerlist) d WHERE s.layer_id = l.layer_id AND d.layer_id = l.layer_id"
 
 
 @query("q3_verify_delivery", rules_sql([
-    ("assets_have_locations", "SELECT count(*) FROM assets WHERE location_id NOT IN (SELECT location_id FROM assets WHERE asset_value IS NOT NULL)"),
-    ("values_have_assets", "SELECT count(*) FROM layer_values WHERE asset_id NOT IN (SELECT asset_id FROM assets)"),
-    ("values_have_layers", "SELECT 0"),
-    ("location_ids_unique", "SELECT 0"),
-    ("asset_ids_unique", "SELECT 0"),
-    ("value_keys_unique", "SELECT count(*) FROM (SELECT 1 FROM layer_values GROUP BY asset_id, layer_id, scenario, decade HAVING count(*) > 1) x"),
-    ("no_missing_rows", "SELECT count(*) FROM wantedkeys w WHERE NOT EXISTS (SELECT 1 FROM layer_values v WHERE v.asset_id = w.asset_id AND v.layer_id = w.layer_id AND v.scenario = w.scenario AND v.decade = w.decade)"),
-    ("no_extra_rows", "SELECT count(*) FROM layer_values v WHERE NOT EXISTS (SELECT 1 FROM wantedkeys w WHERE v.asset_id = w.asset_id AND v.layer_id = w.layer_id AND v.scenario = w.scenario AND v.decade = w.decade)"),
-    ("status_matches_value", "SELECT 0"),
+    ("assets_have_locations", "SELECT count(*) FROM brokenassets WHERE location_id NOT IN (SELECT location_id FROM brokenlocations)"),
+    ("values_have_assets", "SELECT count(*) FROM brokenvalues WHERE asset_id NOT IN (SELECT asset_id FROM brokenassets)"),
+    ("values_have_layers", "SELECT count(*) FROM brokenvalues WHERE layer_id NOT IN (SELECT layer_id FROM layerlist)"),
+    ("location_ids_unique", "SELECT count(*) FROM (SELECT 1 FROM brokenlocations GROUP BY location_id HAVING count(*) > 1) x"),
+    ("asset_ids_unique", "SELECT count(*) FROM (SELECT 1 FROM brokenassets GROUP BY asset_id HAVING count(*) > 1) x"),
+    ("value_keys_unique", "SELECT count(*) FROM (SELECT 1 FROM brokenvalues GROUP BY asset_id, layer_id, scenario, decade HAVING count(*) > 1) x"),
+    ("no_missing_rows", "SELECT count(*) FROM wantedkeys w WHERE NOT EXISTS (SELECT 1 FROM brokenvalues v WHERE v.asset_id = w.asset_id AND v.layer_id = w.layer_id AND v.scenario = w.scenario AND v.decade = w.decade)"),
+    ("no_extra_rows", "SELECT count(*) FROM brokenvalues v WHERE NOT EXISTS (SELECT 1 FROM wantedkeys w WHERE v.asset_id = w.asset_id AND v.layer_id = w.layer_id AND v.scenario = w.scenario AND v.decade = w.decade)"),
+    ("status_matches_value", "SELECT count(*) FROM brokenvalues WHERE (data_status = 'OK') <> (value IS NOT NULL)"),
 ]))
 def q3(spark, sf):
-    v, a = status_values(spark, sf), table(spark, sf, "assets")
-    layers = v.groupBy("layer_id").agg(F.collect_set("scenario").alias("scenarios"), F.collect_set("decade").alias("decades"))
-    locations = a.where("asset_value IS NOT NULL").select("location_id").distinct()
-    return quality.verify_delivery(v, a, locations, layers)
+    sound = table(spark, sf, "layer_values")
+    layers = sound.groupBy("layer_id").agg(F.collect_set("scenario").alias("scenarios"), F.collect_set("decade").alias("decades"))
+    return quality.verify_delivery(table(spark, sf, "brokenvalues"), table(spark, sf, "brokenassets"), table(spark, sf, "brokenlocations"), layers)
 
 
 @query("q3_recomputed_values", """
-    SELECT asset_id, layer_id, scenario, decade FROM layer_values WHERE value > 28.123 AND n_members > 4""")
+    WITH d AS (SELECT c.site_id, p.scenario, p.decade, sum(w * median) / sum(CASE WHEN median IS NOT NULL THEN w END) AS median, sum(w * slope) / sum(CASE WHEN slope IS NOT NULL THEN w END) AS slope
+               FROM site_cells c JOIN gridpanel p ON c.cell_id = p.cell_id GROUP BY 1, 2, 3)
+    SELECT site_id, scenario, decade, '*' AS item, 'missing' AS problem FROM d WHERE site_id % 89 = 8
+    UNION ALL SELECT site_id, scenario, decade, 'median', 'differs' FROM d WHERE site_id % 89 <> 8 AND site_id % 97 = 5 AND median IS NOT NULL
+    UNION ALL SELECT site_id, scenario, decade, 'slope', 'absent' FROM d WHERE site_id % 89 <> 8 AND site_id % 83 = 4 AND slope IS NOT NULL
+    UNION ALL SELECT site_id, scenario, decade, 'slope', 'invented' FROM d WHERE site_id % 89 <> 8 AND site_id % 83 = 7 AND slope IS NULL""")
 def q3_recompute(spark, sf):
-    v = table(spark, sf, "layer_values")
-    wrong = F.when((F.col("value") > 28.123) & (F.col("n_members") > 4), F.col("value") + 1e-6).otherwise(F.col("value"))
-    keys = ["asset_id", "layer_id", "scenario", "decade"]
-    return quality.mismatches(v.withColumn("value", wrong), v, keys, ["value", "percentile"])
+    """Blends as delivered, some of them altered, against blends by another path."""
+    panel, sites = grid_panel(spark, sf), table(spark, sf, "sites")
+    made = spatial.extract_points(sites, panel, ["median", "slope"], ["scenario", "decade"]).where("site_id % 89 <> 8")
+    altered = made.withColumns({
+        "median": F.when(F.col("site_id") % 97 == 5, F.col("median") + 1e-6).otherwise(F.col("median")),
+        "slope": F.when(F.col("site_id") % 83 == 4, F.lit(None)).when(F.col("site_id") % 83 == 7, F.coalesce("slope", F.lit(0.5))).otherwise(F.col("slope")),
+    })
+    again = recompute.extraction_again(sites, panel, ["median", "slope"], ["scenario", "decade"])
+    return recompute.differences(altered, again, ["site_id", "scenario", "decade"], ["median", "slope"])
+
+
+@query("q3_recomputed_scores", """
+    SELECT asset_id, scenario_tier, decade, 'climate_score' AS item, 'differs' AS problem FROM scores WHERE asset_id % 13 = 4
+    UNION ALL SELECT asset_id, scenario_tier, 2099, '*', 'extra' FROM scores WHERE asset_id % 31 = 9 AND decade = 1995""")
+def q3_scores(spark, sf):
+    """Scores as delivered, some of them altered or invented, against scores from one weight a row."""
+    t = lambda n: table(spark, sf, n)
+    made = portfolio.climate_score(t("layer_values"), t("assets"), t("families"), t("weights")).select("asset_id", "scenario_tier", "decade", "climate_score")
+    altered = made.withColumn("climate_score", F.col("climate_score") + F.when(F.col("asset_id") % 13 == 4, 0.01).otherwise(0.0))
+    invented = made.where("asset_id % 31 = 9 AND decade = 1995").withColumn("decade", F.lit(2099))
+    again = recompute.scores_again(t("layer_values"), t("assets"), t("families"), t("weights"))
+    return recompute.differences(altered.unionByName(invented), again, ["asset_id", "scenario_tier", "decade"], ["climate_score"])
+
+
+@query("q3_recomputed_vulnerable", """
+    SELECT scenario_tier, decade, count(CASE WHEN status <> 'NOT_ASSESSED' THEN 1 END) AS n_assessed, count(CASE WHEN status = 'VULNERABLE' THEN 1 END) AS n_vulnerable
+    FROM vuln GROUP BY 1, 2 HAVING count(CASE WHEN status <> 'NOT_ASSESSED' THEN 1 END) > 0""")
+def q3_vulnerable(spark, sf):
+    return recompute.vulnerable_again(table(spark, sf, "layer_values"), table(spark, sf, "hazard_layers"), 70.0)
 
 
 SQL["waterindex"] = """

@@ -179,12 +179,24 @@ def r13(spark, sf):
     return rounded(portfolio.trend_table(table(spark, sf, "layer_values"), layers, 1999), "slope")
 
 
+# the families that a report must name, two of them without a layer, and where its settings come from
+SQL["taxonomy"] = """
+    SELECT family, layer_id FROM families UNION ALL SELECT * FROM (VALUES ('drought', 'L7'), ('frost', NULL)) f(family, layer_id)"""
+SQL["reportconfig"] = "SELECT DISTINCT CASE WHEN r_regionkey % 2 = 0 THEN 'horizons' ELSE 'threshold' END AS item, 'default' AS source FROM {region}"
+
+
 @query("r14_caveat_rules", f"""
     WITH ly AS (SELECT layer_id, avg(CASE WHEN percentile >= 99 THEN 1e0 ELSE 0e0 END) AS sat, avg(CASE WHEN percentile IS NULL THEN 1e0 ELSE 0e0 END) AS gap, min(n_models) AS m FROM layer_values GROUP BY 1),
     loc AS (SELECT location_id, CASE WHEN min(asset_value) IS NULL THEN 'derived' ELSE 'supplied' END AS src FROM assets GROUP BY 1),
     g AS (SELECT l.layer_id, count(*) AS n FROM (SELECT DISTINCT layer_id FROM layer_values) l, (VALUES ('low'), ('medium'), ('high')) t(t)
           WHERE NOT EXISTS (SELECT 1 FROM layer_values v WHERE v.layer_id = l.layer_id AND {TIER} = t.t) GROUP BY 1)
-    SELECT 'RELATIVE-BASELINE' AS rule, 'must' AS severity, layer_id AS subject, 1 AS n FROM ly WHERE layer_id <> 'L4'
+    SELECT 'HAZARD-COVERAGE' AS rule, 'must' AS severity, family AS subject, 1 AS n FROM (SELECT family FROM taxonomy GROUP BY 1 HAVING count(CASE WHEN layer_id IN (SELECT layer_id FROM layer_values) THEN 1 END) = 0) f
+    UNION ALL SELECT 'QA-UNREVIEWED', 'must', layer_id, 1 FROM ly WHERE layer_id IN ('L1', 'L3')
+    UNION ALL SELECT 'CATALOG-UNCONFIRMED', 'must', asset_type, count(*) FROM assets WHERE asset_id % 3 = 0 GROUP BY 3
+    UNION ALL SELECT 'HORIZONS-DEFAULT', 'must', 'delivery', count(*) FROM reportconfig WHERE item = 'horizons' AND source = 'default' HAVING count(*) > 0
+    UNION ALL SELECT 'ASSET-VALUES-ABSENT', 'must', 'delivery', count(*) FROM assets WHERE asset_value IS NULL HAVING count(*) > 0
+    UNION ALL SELECT 'SCORE-MIXED-AXES', 'must', layer_id, 1 FROM ly WHERE layer_id = 'L3' AND EXISTS (SELECT 1 FROM scores WHERE layers LIKE '%L3%')
+    UNION ALL SELECT 'RELATIVE-BASELINE' AS rule, 'must' AS severity, layer_id AS subject, 1 AS n FROM ly WHERE layer_id <> 'L4'
     UNION ALL SELECT 'SATURATION', 'must', layer_id, 1 FROM ly WHERE sat > 0.05
     UNION ALL SELECT 'SPARSITY', 'should', layer_id, 1 FROM ly WHERE gap > 0.5
     UNION ALL SELECT 'SINGLE-MODEL', 'must', layer_id, 1 FROM ly WHERE m = 1
@@ -200,9 +212,13 @@ def r14(spark, sf):
         F.avg(F.when(F.col("percentile") >= 99, 1.0).otherwise(0.0)).alias("saturation_share"),
         F.avg(F.when(F.col("percentile").isNull(), 1.0).otherwise(0.0)).alias("zero_share"),
         F.min("n_models").alias("n_models"),
-    ).withColumns({"smoothing": F.when(F.col("layer_id") == "L2", "5x5"), "relative_baseline": F.col("layer_id") != "L4"})
+    ).withColumns({
+        "smoothing": F.when(F.col("layer_id") == "L2", "5x5"), "relative_baseline": F.col("layer_id") != "L4",
+        "reviewed_on": F.when(~F.col("layer_id").isin("L1", "L3"), "2026-01-01"), "is_hazard": F.col("layer_id") != "L3",
+    })
     locations = a.groupBy("location_id").agg(F.when(F.min("asset_value").isNull(), "derived").otherwise("supplied").alias("coord_source"))
-    return portfolio.caveat_rules(layers, v, scores(spark, sf), vuln(spark, sf), locations)
+    mapped = a.withColumn("layer_source", F.when(F.col("asset_id") % 3 == 0, "catalog").otherwise("row-override"))
+    return portfolio.caveat_rules(layers, v, scores(spark, sf), vuln(spark, sf), locations, mapped, table(spark, sf, "taxonomy"), table(spark, sf, "reportconfig"))
 
 
 @query("r15_legacy_decade_columns", """

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cellcast.functions.scalar import cell_area_km2
-from cellcast.operators import grids, spatial
+from cellcast.operators import grids, rings, spatial
 from querybook.common import rounded
 from querybook.layers import annual_panel
 from querybook.registry import query
@@ -58,8 +58,8 @@ def j2(spark, sf):
     SELECT w.box_id, round(sum(w * s.value) / sum(w), 6) AS value FROM w JOIN surface s ON w.cell_id = s.cell_id GROUP BY 1""")
 def j2_rings(spark, sf):
     b = table(spark, sf, "boxes")
-    rings = b.select("box_id", F.array("west", "east", "east", "west").alias("xs"), F.array("south", "south", "north", "north").alias("ys"))
-    return rounded(spatial.extract_polygons(spatial.ring_shares(rings), table(spark, sf, "surface"), ["value"], []), "value")
+    frames = b.select("box_id", F.array("west", "east", "east", "west").alias("xs"), F.array("south", "south", "north", "north").alias("ys"))
+    return rounded(spatial.extract_polygons(spatial.ring_shares(frames), table(spark, sf, "surface"), ["value"], []), "value")
 
 
 SQL["edges"] = """
@@ -75,7 +75,7 @@ SQL["edges"] = """
     GROUP BY 1, 2 HAVING count(*) % 2 = 1""")
 def j4(spark, sf):
     pts = table(spark, sf, "sites").select(F.col("site_id").alias("point_id"), "lat", "lon")
-    return spatial.points_in_polygons(pts, table(spark, sf, "edges"))
+    return rings.points_in_polygons(pts, table(spark, sf, "edges"))
 
 
 @query("j5_nearest_cell", """

@@ -146,10 +146,12 @@ def a23_outliers(spark, sf):
 
 
 @query("a23_ks_statistic", """
-    WITH v AS (SELECT old_value AS v FROM index_pair WHERE old_value IS NOT NULL UNION SELECT new_value FROM index_pair WHERE new_value IS NOT NULL)
-    SELECT round(max(abs((SELECT count(*) FROM index_pair WHERE old_value <= v) / (SELECT count(old_value) FROM index_pair) - (SELECT count(*) FROM index_pair WHERE new_value <= v) / (SELECT count(new_value) FROM index_pair))), 6) AS ks_statistic FROM v""")
+    WITH v AS (SELECT old_value AS v FROM index_pair WHERE old_value IS NOT NULL UNION SELECT new_value FROM index_pair WHERE new_value IS NOT NULL),
+    k AS (SELECT max(abs((SELECT count(*) FROM index_pair WHERE old_value <= v) / (SELECT count(old_value) FROM index_pair) - (SELECT count(*) FROM index_pair WHERE new_value <= v) / (SELECT count(new_value) FROM index_pair))) AS d FROM v),
+    s AS (SELECT d, d * d * count(old_value) * count(new_value) / (count(old_value) + count(new_value)) AS q FROM k, index_pair GROUP BY d)
+    SELECT round(d, 6) AS ks_statistic, round(CASE WHEN q < 0.04 THEN 1e0 ELSE least(1, greatest(0, 2 * (SELECT sum(CASE WHEN i % 2 = 1 THEN 1e0 ELSE -1e0 END * exp(-2 * i * i * q)) FROM range(1, 101) t(i)))) END, 6) AS p_value FROM s""")
 def a23_ks(spark, sf):
-    return rounded(compare.ks_statistic(pair(spark, sf)), "ks_statistic")
+    return rounded(compare.ks_statistic(pair(spark, sf)), "ks_statistic", "p_value")
 
 
 SUMMARY = """round(avg({v}), 6) AS mean, round(stddev_pop({v}), 6) AS std, round(min({v}), 6) AS low, round(max({v}), 6) AS high, count({v}) AS n_valid, round(100.0 * count({v}) / count(*), 6) AS coverage_pct,

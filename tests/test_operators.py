@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+import hashlib
 import itertools
 import math
 import random
@@ -11,12 +13,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from cellcast.functions import scalar
-from cellcast.functions.vectorized import _bracketed_median, clip_area, gamma_ppf, pair_slope_medians, regularized_gamma
-from cellcast.operators import decadal, delivery, events, filters, graph, grids, portfolio, ranks, spatial
+from cellcast.functions.vectorized import _bracketed_median, gamma_ppf, pair_slope_medians, regularized_gamma
+from cellcast.operators import compare, decadal, delivery, events, filters, graph, grids, portfolio, ranks, recompute, rings, spatial
 from cellcast.operators.ranking import cumulative_counts, exact_quantiles
 from cellcast.operators.tiles import Tiling
 from cellcast.plans.layer import LayerSpec, build_layer
 from cellcast.plans.models import kendall_p, pearson3_parameters
+from cellcast.sources import sinks
 from cellcast.streaming import incremental
 
 ANNUAL = "scenario STRING, model STRING, member STRING, cell_id BIGINT, year INT, value DOUBLE"
@@ -207,6 +210,28 @@ def test_poisson_interval_is_ordered_and_positive_at_zero_count(spark):
     assert mle[0]["median"] == 0.0 == mle[0]["lower_ci"] and mle[7]["median"] == 3.5
 
 
+def clip_area(ring: np.ndarray, west: float, south: float, east: float, north: float) -> float:
+    """Area of a polygon ring cut to a rectangle, one half-plane at a time."""
+    pts = ring
+    for axis, bound, keep_above in ((0, west, True), (0, east, False), (1, south, True), (1, north, False)):
+        if len(pts) == 0:
+            return 0.0
+        side = (pts[:, axis] >= bound) if keep_above else (pts[:, axis] <= bound)
+        out = []
+        for k in range(len(pts)):
+            p, q = pts[k - 1], pts[k]
+            if side[k - 1] != side[k]:
+                t = (bound - p[axis]) / (q[axis] - p[axis])
+                out.append(p + t * (q - p))
+            if side[k]:
+                out.append(q)
+        pts = np.array(out)
+    if len(pts) < 3:
+        return 0.0
+    x, y = pts[:, 0], pts[:, 1]
+    return 0.5 * abs(float(np.dot(x, np.roll(y, -1)) - np.dot(y, np.roll(x, -1))))
+
+
 def test_clip_area_of_triangle():
     tri = np.array([[0, 0], [2, 0], [0, 2.0]])
     assert clip_area(tri, 0, 0, 1, 1) == pytest.approx(1.0)
@@ -360,19 +385,20 @@ def test_score_rounds_half_even(spark):
     assert [r["r"] for r in got.collect()] == [0.12, 0.38, 2.5]
 
 
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        prev, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            prev, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, prev + (x != y))
+    return row[-1]
+
+
 def test_fuzzy_match_equals_brute_force(spark):
     rng = random.Random(8)
     words = ["".join(rng.choice("abcde") for _ in range(rng.randrange(1, 9))) for _ in range(60)]
     queries = ["".join(rng.choice("abcde") for _ in range(rng.randrange(1, 8))) for _ in range(80)]
 
-    def edits(a, b):
-        row = list(range(len(b) + 1))
-        for i, x in enumerate(a, 1):
-            prev, row[0] = row[0], i
-            for j, y in enumerate(b, 1):
-                prev, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, prev + (x != y))
-        return row[-1]
-
     def score(q, w):
         s = 1.0 if q == w else 1 - edits(q, w) / max(len(q), len(w))
         return max(s, 0.8) if q in w and q != w else s
@@ -385,6 +411,25 @@ def test_fuzzy_match_equals_brute_force(spark):
         assert (r["score"] or 0.0) == pytest.approx(best if best >= 0.6 else 0.0)
 
 
+def test_fuzzy_candidates_are_few_and_complete(spark):
+    rng = random.Random(11)
+    entries = list({"".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(4, 13))) for _ in range(400)})
+    queries = []
+    for w in entries[:150]:
+        x = list(w)
+        for _ in range(rng.randrange(0, 3)):
+            x[rng.randrange(len(x))] = rng.choice("abcdefghij")
+        queries.append("".join(x[rng.randrange(0, 2) :]))
+    q, e = (spark.createDataFrame([(x,) for x in set(xs)], f"{n} STRING") for xs, n in ((queries, "query"), (entries, "low")))
+    pairs = delivery.fuzzy_candidates(q, e, 0.6).collect()
+    assert len(pairs) < 0.01 * len(set(queries)) * len(entries)
+    got = {(r["query"], r["low"]) for r in pairs}
+    for a in set(queries):
+        for b in entries:
+            if a in b or (abs(len(a) - len(b)) <= 0.4 * max(len(a), len(b)) and edits(a, b) <= 0.4 * max(len(a), len(b)) + 1e-9):
+                assert (a, b) in got
+
+
 def test_kendall_p_counts_pairs_like_brute_force():
     rng = np.random.default_rng(2)
     x, y = rng.integers(0, 6, 50).astype(float), rng.integers(0, 6, 50).astype(float)
@@ -415,7 +460,7 @@ def test_boxes_rings_and_polygons_past_the_antimeridian(spark):
     edges = [(1, 170.0, -5.0, 190.0, -5.0), (1, 190.0, -5.0, 190.0, 5.0), (1, 190.0, 5.0, 170.0, 5.0), (1, 170.0, 5.0, 170.0, -5.0)]
     polygon = spark.createDataFrame(edges, "polygon_id BIGINT, x0 DOUBLE, y0 DOUBLE, x1 DOUBLE, y1 DOUBLE")
     points = spark.createDataFrame([(1, 0.2, 175.0), (2, 0.2, -175.0), (3, 0.2, -165.0)], "point_id BIGINT, lat DOUBLE, lon DOUBLE")
-    assert {r["point_id"] for r in spatial.points_in_polygons(points, polygon).collect()} == {1, 2}
+    assert {r["point_id"] for r in rings.points_in_polygons(points, polygon).collect()} == {1, 2}
 
 
 def test_a_hole_is_taken_off(spark):
@@ -448,3 +493,141 @@ def test_five_day_sums_of_chunks_in_any_order(spark, tmp_path):
     got = {r["day_number"]: r["sum5"] for r in spark.read.parquet(f"{tmp_path}/out").collect()}
     assert got == {d: float(sum((d - k) % 7 for k in range(5))) for d in range(105, 140)}
     assert spark.read.parquet(f"{tmp_path}/out").count() == 35
+
+
+def star(n, cx, cy, big, small, seed, snap=7):
+    """A ring of n corners around (cx, cy), every `snap`-th on grid lines."""
+    rng = np.random.default_rng(seed)
+    angle = np.linspace(0, 2 * np.pi, n, endpoint=False)
+    far = rng.uniform(small, big, n)
+    ring = np.column_stack([cx + far * np.cos(angle), cy + far * np.sin(angle)])
+    ring[::snap] = np.round(ring[::snap] * 2) / 2
+    return ring
+
+
+def test_edge_shares_equal_clipping_with_holes_and_any_turn(spark):
+    outer, hole, other = star(60, 178.0, 12.0, 6.0, 3.0, 1), star(20, 178.2, 12.1, 2.0, 1.0, 2)[::-1], star(9, 100.3, -40.0, 1.5, 0.5, 3)[::-1]
+    polygons = [(1, outer, False), (1, hole, True), (2, other, None)]
+    frame = spark.createDataFrame([(i, r[:, 0].tolist(), r[:, 1].tolist(), h) for i, r, h in polygons], "box_id BIGINT, xs ARRAY<DOUBLE>, ys ARRAY<DOUBLE>, hole BOOLEAN")
+    want = {}
+    for i, ring, h in polygons:
+        for r in range(0, 360):
+            for c in range(520, 760):
+                w, n = -180 + c / 2, 90 - r / 2
+                if ring[:, 0].max() < w or ring[:, 0].min() > w + 0.5 or ring[:, 1].min() > n or ring[:, 1].max() < n - 0.5:
+                    continue
+                share = clip_area(ring, w, n - 0.5, w + 0.5, n) / 0.25 * (-1 if h else 1)
+                want[i, r, c % 720] = want.get((i, r, c % 720), 0.0) + share
+    want = {k: v for k, v in want.items() if v > 1e-9}
+    got = {(r["box_id"], r["grow"], r["gcol"]): r["w"] for r in spatial.ring_shares(frame).collect()}
+    assert set(got) == set(want) and all(got[k] == pytest.approx(want[k], abs=1e-9) for k in want)
+    corners = [(i, k, h, *map(float, ring[j]), *map(float, ring[(j + 1) % len(ring)])) for k, (i, ring, h) in enumerate(polygons) for j in range(len(ring))]
+    edges = spark.createDataFrame(corners, "box_id BIGINT, ring_id INT, hole BOOLEAN, x0 DOUBLE, y0 DOUBLE, x1 DOUBLE, y1 DOUBLE")
+    again = {(r["box_id"], r["grow"], r["gcol"]): r["w"] for r in rings.edge_shares(rings.signed_edges(edges)).collect()}
+    assert again == pytest.approx(got, abs=1e-12)
+
+
+def test_a_ring_of_100_000_corners_covers_its_area(spark):
+    ring = star(100_000, 10.0, 20.0, 5.0, 4.99, 4, 100_000)
+    frame = spark.createDataFrame([(1, ring[:, 0].tolist(), ring[:, 1].tolist())], "box_id BIGINT, xs ARRAY<DOUBLE>, ys ARRAY<DOUBLE>")
+    x, y = ring.T
+    area = 0.5 * abs(np.dot(x, np.roll(y, -1)) - np.dot(y, np.roll(x, -1)))
+    shares = spatial.ring_shares(frame).agg(F.sum("w"), F.max("w")).first()
+    assert shares[0] * 0.25 == pytest.approx(area, rel=1e-9) and shares[1] == pytest.approx(1.0, abs=1e-9)
+
+
+def test_points_in_polygons_equal_ray_casting(spark):
+    rng = np.random.default_rng(7)
+    shapes = {1: [star(40, 179.0, 3.0, 4.0, 1.0, 5), star(12, 179.0, 3.0, 0.9, 0.4, 6)], 2: [star(30, 178.0, 4.0, 2.0, 1.0, 8)]}
+    edges = [(p, *map(float, r[j]), *map(float, r[(j + 1) % len(r)])) for p, rs in shapes.items() for r in rs for j in range(len(r))]
+    points = [(i, float(a), float(b)) for i, (a, b) in enumerate(zip(rng.uniform(-2, 9, 600), rng.uniform(174, 184, 600)))]
+    points += [(600 + i, a, b) for i, (a, b) in enumerate(itertools.product(np.arange(0, 6, 0.5).tolist(), np.arange(176, 182, 0.5).tolist()))]
+
+    def inside(p, y, x):
+        return sum((y0 > y) != (y1 > y) and x < x0 + (y - y0) * (x1 - x0) / (y1 - y0) for q, x0, y0, x1, y1 in edges if q == p) % 2
+
+    want = {(i, p) for i, y, x in points for p in shapes if inside(p, y, x)}
+    frame = spark.createDataFrame([(i, y, x - 360 if x >= 180 else x) for i, y, x in points], "point_id BIGINT, lat DOUBLE, lon DOUBLE")
+    got = rings.points_in_polygons(frame, spark.createDataFrame(edges, "polygon_id BIGINT, x0 DOUBLE, y0 DOUBLE, x1 DOUBLE, y1 DOUBLE")).collect()
+    assert len(got) == len(want) and {(r["point_id"], r["polygon_id"]) for r in got} == want
+
+
+def test_digest_of_a_file_above_two_gigabytes(spark, tmp_path):
+    big, small = tmp_path / "big.bin", tmp_path / "with space.bin"
+    with big.open("wb") as f:
+        f.truncate((2 << 30) + 5)  # takes no disk
+    small.write_bytes(b"abc")
+    got = {r["file"]: (r["bytes"], r["sha256"]) for r in sinks.provenance(spark, str(tmp_path)).collect()}
+    plain = hashlib.sha256()
+    for _ in range(2 << 10):
+        plain.update(bytes(1 << 20))
+    plain.update(bytes(5))
+    assert got == {"big.bin": ((2 << 30) + 5, plain.hexdigest()), "with space.bin": (3, hashlib.sha256(b"abc").hexdigest())}
+
+
+def test_exact_ks_p_counts_orders(spark):
+    for n, m in ((3, 4), (5, 5), (6, 2)):
+        strays = []
+        for chosen in itertools.combinations(range(n + m), n):
+            i = j = 0
+            far = 0.0
+            for k in range(n + m):
+                i, j = (i + 1, j) if k in chosen else (i, j + 1)
+                far = max(far, abs(i / n - j / m))
+            strays.append(far)
+        ds = sorted(set(strays))
+        frame = spark.createDataFrame([(d, n, m) for d in ds], "d DOUBLE, n BIGINT, m BIGINT")
+        got = [r[0] for r in frame.select(compare.exact_ks_p(F.col("d"), F.col("n"), F.col("m"))).collect()]
+        assert got == pytest.approx([sum(s >= d - 1e-9 for s in strays) / len(strays) for d in ds])
+    near = spark.createDataFrame([(0.14, 99, 101)], "d DOUBLE, n BIGINT, m BIGINT").select(*[f(F.col("d"), F.col("n"), F.col("m")) for f in (compare.exact_ks_p, compare.kolmogorov_p)]).first()
+    assert near[0] == pytest.approx(near[1], abs=0.05)
+
+
+def test_a_batch_opens_the_folders_of_its_own_chunks_only(spark, tmp_path):
+    schema = "chunk_id STRING, member STRING, cell_id BIGINT, day DATE, value DOUBLE"
+    day = datetime.date(2024, 1, 1)
+    for i in range(4):
+        rows = [(f"c/{i}:x", "m", c, day, 1.0) for c in range(3)] + ([("c/0:x", "m", 9, day, 2.0), ("c/0:x", "m", 1, day, 1.0)] if i == 3 else [])
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    opened = []
+    real = type(spark.read).parquet
+    reader = type(spark.read)
+    try:
+        reader.parquet = lambda self, *paths, **k: (opened.append(paths), real(self, *paths, **k))[1]
+        incremental.ingest_once(incremental.read_chunks(spark, f"{tmp_path}/in", schema=schema), f"{tmp_path}/out", f"{tmp_path}/cp")
+    finally:
+        reader.parquet = real
+    kept = incremental.ingested(spark, f"{tmp_path}/out", schema)
+    assert kept.count() == 13 and kept.where("chunk_id = 'c/0:x'").count() == 4
+    assert sum(len(paths) for paths in opened) <= 2  # only the chunk that came again
+
+
+def test_differences_name_every_altered_number(spark):
+    schema = "k INT, a DOUBLE, b DOUBLE"
+    made = spark.createDataFrame([(1, 1.0, 2.0), (2, 1.0, None), (3, None, 4.0), (5, 1.0, 1.0)], schema)
+    again = spark.createDataFrame([(1, 1.0, 2.0 + 1e-12), (2, 1.5, 3.0), (3, 0.0, 4.0), (4, 1.0, 1.0)], schema)
+    got = {(r["k"], r["item"], r["problem"]) for r in recompute.differences(made, again, ["k"], ["a", "b"]).collect()}
+    assert got == {(2, "a", "differs"), (2, "b", "absent"), (3, "a", "absent"), (4, "*", "missing"), (5, "*", "extra")}
+    invented = recompute.differences(again, made, ["k"], ["a", "b"]).where("problem = 'invented'").collect()
+    assert {(r["k"], r["item"]) for r in invented} == {(2, "b"), (3, "a")}
+
+
+def test_far_and_near_sites_snap_like_brute_force(spark):
+    rng = random.Random(12)
+    grid_rows = [(r, c, 90 - 0.25 - 0.5 * r, -180 + 0.25 + 0.5 * c) for r in range(40, 140) for c in [*range(0, 60), *range(690, 720)]]
+    cells = [(i, r, c, la, lo, (r // 50) * 10 + (c > 300)) for i, (r, c, la, lo) in enumerate(grid_rows)]
+    basins = spark.createDataFrame([(r, c, b) for _, r, c, _, _, b in cells], "grow INT, gcol INT, basin_id INT")
+    river = [x for x in cells if rng.random() < 0.002]
+    rivers = spark.createDataFrame([(b, i, r, c, la, lo, i) for i, r, c, la, lo, b in river], "basin_id INT, cell_id BIGINT, grow INT, gcol INT, lat DOUBLE, lon DOUBLE, upstream BIGINT")
+    sites = [(i, la + rng.uniform(-0.2, 0.2), lo + rng.uniform(-0.2, 0.2), b) for i, (_, _, _, la, lo, b) in enumerate(rng.sample(cells, 200))]
+    got = spatial.snap_to_river(spark.createDataFrame([s[:3] for s in sites], "site_id BIGINT, lat DOUBLE, lon DOUBLE"), basins, rivers, 200.0).collect()
+    found = {r["site_id"]: r["snap_km"] for r in got}
+
+    def km(a, b, c, d):
+        p, q = math.radians(a), math.radians(c)
+        h = math.sin((q - p) / 2) ** 2 + math.cos(p) * math.cos(q) * math.sin(math.radians(d - b) / 2) ** 2
+        return 2 * 6371.0088 * math.asin(math.sqrt(h))
+
+    for i, la, lo, b in sites:
+        near = min((km(la, lo, y, x) for _, _, _, y, x, basin in river if basin == b), default=None)
+        assert found[i] == (pytest.approx(near, abs=1e-5) if near is not None else None)
