@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,6 +56,14 @@ def current_stages() -> list[DataFrame]:
     return [df for df, _ in _stages.values()]
 
 
+def settled(build: Callable[[], DataFrame]) -> DataFrame:
+    """A stage table of what `build` returns; the stage tables made on the way are dropped, as nothing needs them any more."""
+    before = {id(df) for df in current_stages()}
+    out = cut_lineage(build())
+    drop_stages(*[df for df in current_stages() if id(df) not in before and df is not out])
+    return out
+
+
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder for intermediate tables, on the storage the cluster shares for checkpoints."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
