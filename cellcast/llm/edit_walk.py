@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellcast.llm.rows import documents, text_chunks
+from cellcast.llm.rows import documents, named, numbered, text_chunks
 from cellcast.llm.words import LOWER, Words, find_words, gram_starts, grams, mix
 
 #: Everything ASCII but letters and digits parts the words that are compared.
@@ -302,12 +302,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     return out.groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", "b.*")
 
 
-def _mark(shared):
+def _mark(shared, text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = shared.value
         for b in batches:
             leaked = np.zeros(b.num_rows, bool)
-            for row, *_ in batch_leaks(b.column("text"), items):
+            for row, *_ in batch_leaks(b.column(text), items):
                 leaked[row] = True
             yield b.filter(pa.array(~leaked))
 
@@ -317,7 +317,7 @@ def _mark(shared):
 def drop_leaked(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """The rows of `docs`, all columns, in which no benchmark item is found. Nothing is shuffled."""
     spark = docs.sparkSession
-    work = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)], F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    work, text = numbered(docs, text_col)
     for items in item_blocks(benchmark, item_id, item_text):
-        work = work.mapInArrow(_mark(spark.sparkContext.broadcast(items)), work.schema)
-    return work.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
+        work = work.mapInArrow(_mark(spark.sparkContext.broadcast(items), text), work.schema)
+    return named(work, docs)

@@ -103,6 +103,11 @@ def encoder(path: str) -> WordEncoder:
     return _encoders[path]
 
 
+def forget() -> None:
+    """Drop the worker's encoders: kernels that need none call this first, as workers go from stage to stage."""
+    _encoders.clear()
+
+
 def text_runs(column, limit: int = 2_000_000):
     """(first row, texts) of runs of about `limit` characters."""
     texts = column.to_pylist()

@@ -19,6 +19,24 @@ def documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return df.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
 
 
+def numbered(df: DataFrame, text_col: str = "text") -> tuple[DataFrame, str]:
+    """(`df` with its columns named c0, c1, ..., the one that holds the text).
+
+    Whatever the columns' names, they do not clash with an operator's own. A string column is the text as it
+    is (array kernels take nulls as empty), so that texts go to Python once; another type is added as text.
+    """
+    work = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(df.columns)])
+    at = df.columns.index(text_col)
+    if df.schema[at].dataType.simpleString() == "string":
+        return work, f"c{at}"
+    return work.withColumn("text", F.coalesce(F.col(f"c{at}").cast("string"), F.lit(""))), "text"
+
+
+def named(work: DataFrame, like: DataFrame, *more: Column) -> DataFrame:
+    """The columns of a numbered frame under their names again, and more columns."""
+    return work.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(like.columns)], *more)
+
+
 def fold(id_col: str | Column, folds: int) -> Column:
     """crc32 of the id as text, modulo `folds`; null for a null id."""
     c = F.col(id_col) if isinstance(id_col, str) else id_col

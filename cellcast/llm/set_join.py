@@ -33,9 +33,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cellcast.llm.components import components, relabel
+from cellcast.llm.encoding import forget
 from cellcast.llm.rows import documents, text_chunks
 from cellcast.llm.words import LOWER, find_words, gram_starts, grams, mix
-from cellcast.session import cut_lineage, drop_stages
+from cellcast.session import cut_lineage, drop_stages, settled
 
 _U = np.uint64
 #: Shingles whose counts travel to the tasks. They only order a set's elements: any order gives the same links.
@@ -82,6 +83,7 @@ def shingle_sets(raw: np.ndarray, border: np.ndarray, words: int) -> tuple[np.nd
 def _frequent(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """(shingle, documents with it) of the task's repeated shingles."""
+        forget()
         held, size = [], 0
 
         def out() -> pa.RecordBatch:
@@ -389,12 +391,16 @@ def keep_representatives(docs: DataFrame, sim: Similarity = Similarity(), id_col
 
     Texts without words link with nothing and stay. Of rows equal in id and text one stays.
     """
-    joined = _joined(docs, sim, id_col, text_col, False)
     # no null in a join key: null ids are told apart from the smallest id by the text's hash
     key = lambda c: F.coalesce(c, F.lit(-(1 << 63)))
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "f")
-    lead = joined.where("component IS NOT NULL").groupBy("component").agg(F.min(order).alias("r")).select("r.doc_id", "r.f")
-    kept = lead.unionByName(joined.where("component IS NULL").select("doc_id", "f")).select(key(F.col("doc_id")).alias("_k"), F.col("f").alias("_f")).distinct()
+
+    def representatives() -> DataFrame:
+        joined = _joined(docs, sim, id_col, text_col, False)
+        order = F.struct(F.col("doc_id").isNull(), "doc_id", "f")
+        lead = joined.where("component IS NOT NULL").groupBy("component").agg(F.min(order).alias("r")).select("r.doc_id", "r.f")
+        return lead.unionByName(joined.where("component IS NULL").select("doc_id", "f")).select(key(F.col("doc_id")).alias("_k"), F.col("f").alias("_f")).distinct()
+
+    kept = settled(representatives)
     own = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     work = docs.select(*own, key(F.col(id_col).cast("long")).alias("_k"), F.xxhash64(text).alias("_f"))

@@ -20,9 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cellcast.llm.encoding import forget
 from cellcast.llm.rows import documents, text_chunks
 from cellcast.llm.words import LOWER, Words, _power_tables, find_words, gram_starts, grams, mix
-from cellcast.session import cut_lineage
+from cellcast.session import cut_lineage, settled
 
 GRAM = 20
 _U = np.uint64
@@ -58,6 +59,7 @@ def _stretch_hashes(h: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
 
 def _retained(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for b in batches:
             for i, j, raw, border in text_chunks(b.column("text")):
                 words = find_words(raw, border, LOWER)
@@ -187,9 +189,13 @@ def drop_repeats(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id", t
 
     The first copy stays. Rows of which no word is left are dropped; all others stay, with all columns.
     """
-    spans = repeated_spans(docs, min_words, id_col, text_col).where("copy")
-    by_doc = spans.groupBy("doc_id", "f").agg(F.collect_list(F.struct("start_word", "end_word")).alias("spans"))
-    by_doc = by_doc.select(F.col("doc_id").alias("_id"), F.col("f").alias("_f"), "spans")
+
+    def later_copies() -> DataFrame:
+        spans = repeated_spans(docs, min_words, id_col, text_col).where("copy")
+        by_doc = spans.groupBy("doc_id", "f").agg(F.collect_list(F.struct("start_word", "end_word")).alias("spans"))
+        return by_doc.select(F.col("doc_id").alias("_id"), F.col("f").alias("_f"), "spans")
+
+    by_doc = settled(later_copies)
     inner = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns) if c != text_col]
     kinds = [f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(docs.columns) if c != text_col]
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))

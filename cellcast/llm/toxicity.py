@@ -17,7 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellcast.llm.rows import bounded_sample, documents, text_chunks
+from cellcast.llm.encoding import forget
+from cellcast.llm.rows import bounded_sample, documents, named, numbered, text_chunks
 from cellcast.llm.words import LOWER, find_words, mix, span_hashes
 from cellcast.session import cut_lineage
 
@@ -172,13 +173,14 @@ def fit_toxicity(
     return ToxicityModel(bins, weights, intercept)
 
 
-def _score(model: ToxicityModel):
+def _score(model: ToxicityModel, text: str):
     number = np.full(BINS, -1, np.int32)
     number[model.bins] = np.arange(len(model.bins))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for b in batches:
-            for i, j, raw, border in text_chunks(b.column("text")):
+            for i, j, raw, border in text_chunks(b.column(text)):
                 bins, rows = features(raw, border)
                 used = np.flatnonzero(number[bins] >= 0)
                 bins, rows = _distinct(bins[used], rows[used])
@@ -191,7 +193,7 @@ def _score(model: ToxicityModel):
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFrame:
     """`docs` with a column toxicity_score (0 to 1); null texts are scored as empty. One row per input row, all columns kept."""
-    work = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)], F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    kinds = [f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(docs.schema)]
-    out = work.mapInArrow(_score(model), ", ".join([*kinds, "text string", "score double"]))
-    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)], F.col("score").alias("toxicity_score"))
+    work, text = numbered(docs, text_col)
+    kinds = [f"{f.name} {f.dataType.simpleString()}" for f in work.schema]
+    out = work.mapInArrow(_score(model, text), ", ".join([*kinds, "score double"]))
+    return named(out, docs, F.col("score").alias("toxicity_score"))
