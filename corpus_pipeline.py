@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cellcast.llm import edit_walk, packing, set_join, suffixes, toxicity
 from cellcast.llm.queries import word_bpe
 from cellcast.llm.rows import fold
-from cellcast.session import current_stages, drop_stages, scratch_folder
+from cellcast.session import scratch_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -43,28 +43,12 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, word_bpe(), end_id=1)
 
 
-_left: list[DataFrame] = []
-
-
-def _cleaned(stage: Stage) -> Stage:
-    """The stage, which first drops the intermediate tables of the stage before it: that one's result is written by now."""
-
-    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        drop_stages(*_left)
-        before = {id(df) for df in current_stages()}
-        out = stage(spark, docs, sf_dir)
-        _left[:] = [df for df in current_stages() if id(df) not in before]
-        return out
-
-    return run_stage
-
-
 STAGES = [
-    ("toxicity", _cleaned(drop_toxic)),
-    ("near_duplicates", _cleaned(drop_near_duplicates)),
-    ("repeated_passages", _cleaned(cut_repeats)),
-    ("benchmark_leaks", _cleaned(drop_leaks)),
-    ("packing", _cleaned(pack)),
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("repeated_passages", cut_repeats),
+    ("benchmark_leaks", drop_leaks),
+    ("packing", pack),
 ]
 #: SQL cannot express the stages; tests/llm holds them against plain versions.
 ORACLE_SQL = None
