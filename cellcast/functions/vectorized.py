@@ -13,8 +13,26 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 
-def _gammln(a: np.ndarray) -> np.ndarray:
-    return np.array([math.lgamma(x) for x in a])
+# Lanczos coefficients for g = 7.
+_LANCZOS = (
+    0.99999999999980993, 676.5203681218851, -1259.1392167224028, 771.32342877765313, -176.61502916214059, 12.507343278686905,
+    -0.13857109526572012, 9.9843695780195716e-6, 1.5056327351493116e-7,
+)
+
+
+def log_gamma(a: np.ndarray) -> np.ndarray:
+    """Logarithm of the gamma function of positive numbers; below a half by reflection."""
+    a = np.asarray(a, float)
+    small = a < 0.5
+    x = np.where(small, 1 - a, a) - 1
+    t = x + 7.5
+    series = _LANCZOS[0] + sum(c / (x + i) for i, c in enumerate(_LANCZOS[1:], 1))
+    # beyond this the series' terms no longer matter, and Stirling's formula keeps more digits
+    far = np.maximum(x + 1, 1.0)
+    stirling = (far - 0.5) * np.log(far) - far + 0.5 * math.log(2 * math.pi) + 1 / (12 * far) - 1 / (360 * far**3)
+    whole = np.where(x > 50, stirling, 0.5 * math.log(2 * math.pi) + (x + 0.5) * np.log(t) - t + np.log(series))
+    with np.errstate(divide="ignore"):
+        return np.where(small, np.log(math.pi / np.sin(math.pi * np.where(small, a, 0.5))) - whole, whole)
 
 
 def _terms(a: np.ndarray) -> int:
@@ -26,7 +44,7 @@ def regularized_gamma(a: np.ndarray, x: np.ndarray) -> np.ndarray:
     """P(a, x) by its power series below a+1 and by the continued fraction above."""
     a, x = np.broadcast_arrays(np.asarray(a, float), np.asarray(x, float))
     out = np.zeros(a.shape)
-    front = np.exp(a * np.log(np.maximum(x, 1e-300)) - x - _gammln(a.ravel()).reshape(a.shape))
+    front = np.exp(a * np.log(np.maximum(x, 1e-300)) - x - log_gamma(a))
     small = (x < a + 1) & (x > 0)
     if small.any():
         aa, xx = a[small], x[small]
@@ -71,7 +89,7 @@ def gamma_ppf(q: float, a: np.ndarray) -> np.ndarray:
     """Quantile of Gamma(shape a, rate 1): Newton steps, kept in a bracket that surely holds it."""
     a = np.asarray(a, float)
     lo, hi = np.zeros_like(a), a + 20 * np.sqrt(a) + 50
-    x, log_norm = np.clip(a, 1e-3, None), _gammln(a.ravel()).reshape(a.shape)
+    x, log_norm = np.clip(a, 1e-3, None), log_gamma(a)
     for _ in range(200):
         over = regularized_gamma(a, x) - q
         lo, hi = np.where(over < 0, x, lo), np.where(over < 0, hi, x)
@@ -98,7 +116,7 @@ def gamma_quantile(q: float):
 
 @F.pandas_udf(DoubleType())
 def lgamma(x: pd.Series) -> pd.Series:
-    return x.map(math.lgamma)
+    return pd.Series(log_gamma(x.to_numpy(float)))
 
 
 #: Pair slopes held at once by the kernel: cells whose years are the same are worked on together up to this size.
@@ -199,13 +217,32 @@ def theil_sen(points: str | Column) -> Column:
     return theil_sen_at([1_000_000])(points)[0]
 
 
-def pearson3_exceedance(skew: float, z: float) -> float:
-    """P(Z > z) for a standardized Pearson III variate of the given skew."""
-    if abs(skew) < 1e-6:
-        return 0.5 * math.erfc(z / math.sqrt(2))
-    a = 4 / skew**2
-    x = a + z * math.sqrt(a) * (1 if skew > 0 else -1)
-    if x <= 0:
-        return 1.0 if skew > 0 else 0.0
-    below = float(regularized_gamma(np.array([a]), np.array([x]))[0])
-    return 1 - below if skew > 0 else below
+def normal_upper(z: np.ndarray) -> np.ndarray:
+    """P(Z > z) of a standard normal variate, from the incomplete gamma function at shape 1/2."""
+    z = np.asarray(z, float)
+    half = 0.5 * (1 - regularized_gamma(np.full(z.shape, 0.5), z * z / 2))
+    return np.where(z > 0, half, 1 - half)
+
+
+def pearson3_exceedance(skew: np.ndarray, z: np.ndarray) -> np.ndarray:
+    """P(Z > z) for standardized Pearson III variates of the given skews."""
+    skew, z = np.broadcast_arrays(np.asarray(skew, float), np.asarray(z, float))
+    plain = np.abs(skew) < 1e-6
+    a = 4 / np.where(plain, 1.0, skew) ** 2
+    x = a + z * np.sqrt(a) * np.where(skew > 0, 1, -1)
+    below = regularized_gamma(a, np.maximum(x, 0.0))
+    beyond = np.where(skew > 0, 1 - below, below)
+    return np.where(plain, normal_upper(z), beyond)
+
+
+def pearson3_quantile(q: float, skew: np.ndarray) -> np.ndarray:
+    """The standardized value that a share `q` stays below."""
+    skew = np.asarray(skew, float)
+    plain = np.abs(skew) < 1e-6
+    a = 4 / np.where(plain, 1.0, skew) ** 2
+    up, down = (gamma_ppf(p, a) for p in (q, 1 - q))
+    z = np.where(skew > 0, up - a, a - down) / np.sqrt(a)
+    if plain.any():  # the square of a normal variate is gamma of shape 1/2
+        tail = abs(2 * q - 1)
+        z = np.where(plain, math.copysign(math.sqrt(2 * float(gamma_ppf(tail, np.array([0.5]))[0])), q - 0.5), z)
+    return z

@@ -65,11 +65,22 @@ def robust_model_stats(monthly: DataFrame, ref_years: tuple[int, int], value: st
     return q.groupBy("model").agg(at(0.5).alias("median"), (at(0.75) - at(0.25)).alias("iqr"))
 
 
+def per_model(stats: DataFrame, key: str, value: Column) -> Column:
+    """The row's own model's value from a table of one row per model.
+
+    An ensemble has some tens of models, each with very many rows: the few values travel as one map, and
+    no row is shuffled by its model.
+    """
+    values = stats.where(F.col(key).isNotNull()).select(F.map_from_entries(F.collect_list(F.struct(F.col(key), value))))
+    return F.try_element_at(values.scalar(), F.col(key))
+
+
 def robust_normalize(
     df: DataFrame, stats: DataFrame, target_mean: float, target_sd: float, value: str = "value"
 ) -> DataFrame:
     """target_mean + (v - median) / IQR * target_sd; unchanged where the IQR is not positive."""
-    joined = df.join(stats.select("model", F.col("median").alias("_m"), F.col("iqr").alias("_i")), "model", "left")
+    joined = df.withColumn("_s", per_model(stats, "model", F.struct(F.col("median").alias("m"), F.col("iqr").alias("i"))))
+    joined = joined.withColumns({"_m": F.col("_s.m"), "_i": F.col("_s.i")}).drop("_s")
     scaled = target_mean + (F.col(value) - F.col("_m")) / F.nullif(F.col("_i"), F.lit(0.0)) * target_sd
     return joined.withColumn(value, F.when(F.col("_i") > 0, scaled).otherwise(F.col(value))).drop("_m", "_i")
 
@@ -87,12 +98,16 @@ def threshold_counts(daily: DataFrame, ladder: Sequence[tuple[str, str, float]],
 
 def precip_intensity(daily: DataFrame, keys: Sequence[str] = KEYS, value: str = "value") -> DataFrame:
     """Wet-day total, wet days and largest daily amount per year."""
+    return daily.groupBy(*keys, F.year("day").alias("year")).agg(*intensity_columns(value))
+
+
+def intensity_columns(value: str = "value") -> list[Column]:
     wet = F.col(value) >= WET_DAY_MM
-    return daily.groupBy(*keys, F.year("day").alias("year")).agg(
+    return [
         F.coalesce(F.sum(F.when(wet, F.col(value))), F.lit(0.0)).alias("prcptot"),
         F.count_if(wet).alias("wetdays"),
         F.max(value).alias("rx1day"),
-    )
+    ]
 
 
 def log_bin(value: str = "value") -> Column:
@@ -130,10 +145,18 @@ def relative_threshold_counts(
     daily: DataFrame, thresholds: DataFrame, min_wet_days: int, keys: Sequence[str] = KEYS, value: str = "value"
 ) -> DataFrame:
     """Days per year at or above the cell's own percentile; NULL where the pool is too small."""
+    met = with_own_threshold(daily, thresholds, min_wet_days)
+    return met.groupBy(*keys, F.year("day").alias("year")).agg(relative_column(value).alias("n_days"))
+
+
+def with_own_threshold(daily: DataFrame, thresholds: DataFrame, min_wet_days: int) -> DataFrame:
+    """`daily` with its cell's percentile as `_t`, NULL where the pool is too small."""
     usable = thresholds.select("cell_id", F.when(F.col("n_wet") >= min_wet_days, F.col("threshold")).alias("_t"))
-    met = daily.join(usable, "cell_id", "left")
-    n = F.count_if(F.col(value) >= F.col("_t"))
-    return met.groupBy(*keys, F.year("day").alias("year")).agg(F.when(F.max("_t").isNotNull(), n).alias("n_days"))
+    return daily.join(usable, "cell_id", "left")
+
+
+def relative_column(value: str = "value") -> Column:
+    return F.when(F.max("_t").isNotNull(), F.count_if(F.col(value) >= F.col("_t")))
 
 
 def day_number(day: str = "day") -> Column:
@@ -142,9 +165,12 @@ def day_number(day: str = "day") -> Column:
 
 def five_day_sums(daily: DataFrame, keys: Sequence[str] = KEYS, value: str = "value") -> DataFrame:
     """Sum of each day and the four before it; absent unless all five days are."""
+    return daily.select(*keys, "day", five_day_sum(keys, value).alias("sum5")).where("sum5 IS NOT NULL")
+
+
+def five_day_sum(keys: Sequence[str] = KEYS, value: str = "value") -> Column:
     w = W.partitionBy(*keys).orderBy(day_number()).rangeBetween(-4, 0)
-    summed = daily.select(*keys, "day", F.sum(value).over(w).alias("sum5"), F.count(value).over(w).alias("_n"))
-    return summed.where("_n = 5").drop("_n")
+    return F.when(F.count(value).over(w) == 5, F.sum(value).over(w))
 
 
 def rx5day(daily: DataFrame, keys: Sequence[str] = KEYS, value: str = "value") -> DataFrame:

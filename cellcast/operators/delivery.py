@@ -257,8 +257,3 @@ def key_differences(values: DataFrame, expected: DataFrame, keys: Sequence[str])
     have, want = values.select(*keys), expected.select(*keys)
     missing = want.exceptAll(have).withColumn("side", F.lit("missing"))
     return missing.unionByName(have.exceptAll(want).withColumn("side", F.lit("extra")))
-
-
-def lagged(df: DataFrame, keys: Sequence[str], order: str, value: str, lags: Sequence[int]) -> DataFrame:
-    w = W.partitionBy(*keys).orderBy(order)
-    return df.withColumns({f"lag_{n}": F.col(value) - F.lag(value, n).over(w) for n in lags})

@@ -37,7 +37,7 @@ def smoothed_layer(annual: DataFrame, grid: DataFrame, spec: LayerSpec, kernel:
 def model_capacities(annual: DataFrame, value: str = "value", q: float = 0.99) -> DataFrame:
     """(model, cap): the mode, at 4 decimals, of each model's values from its q-quantile up."""
     cut = exact_quantiles(annual, value, [q], ["model"]).select("model", F.col("quantile").alias("_cut"))
-    tail = annual.join(cut, "model").where(F.col(value) >= F.col("_cut"))
+    tail = annual.where(F.col(value) >= daily.per_model(cut, "model", F.col("_cut")))
     counted = tail.groupBy("model", F.round(value, 4).alias("_r")).agg(F.count("*").alias("_n"))
     return counted.groupBy("model").agg(F.max_by("_r", F.struct(F.col("_n"), -F.col("_r"))).alias("cap"))
 
@@ -45,8 +45,9 @@ def model_capacities(annual: DataFrame, value: str = "value", q: float = 0.99) -
 def permafrost_layer(annual: DataFrame, spec: LayerSpec, min_models: int, rtol: float = 1e-4) -> DataFrame:
     """Thaw depth as a share of each model's soil column, where the baseline still has frozen ground."""
     caps = model_capacities(annual, spec.value)
-    share = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col(spec.value) / F.col("cap")))
-    scaled = annual.join(caps, "model").withColumn(spec.value, share).drop("cap")
+    share = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col(spec.value) / F.col("_cap")))
+    capped = annual.withColumn("_cap", daily.per_model(caps, "model", F.col("cap"))).where("_cap IS NOT NULL")
+    scaled = capped.withColumn(spec.value, share).drop("_cap")
     subject = filters.baseline_subjects(scaled, spec.baseline, spec.window, 1.0, spec.value, rtol=rtol)
     frozen = scaled.join(subject, ["member", "cell_id"], "left_semi")
     return build_layer(frozen, replace(spec, central="mean", min_models=min_models))
@@ -72,15 +73,17 @@ def ladder_layers(days: DataFrame, ladder: Sequence[tuple[str, str, float]], spe
 
 
 def precipitation_metrics(days: DataFrame, ladder: Sequence[tuple[str, str, float]], q: float, min_wet_days: int, baseline: tuple[int, int]) -> DataFrame:
-    """Long (layer, member keys, year, value) of counts, intensity, five-day maximum and relative days."""
-    counts = daily.threshold_counts(days, ladder, MEMBER_KEYS)
-    intensity = daily.precip_intensity(days, MEMBER_KEYS)
+    """Long (layer, member keys, year, value) of counts, intensity, five-day maximum and relative days.
+
+    One pass makes the cells' percentiles; then the days are dealt out once, by cell, and one window and one
+    grouping give every metric.
+    """
     pooled = days.where(F.year("day").between(*baseline))
     cut = daily.hist_percentile(daily.wet_histogram(pooled), q)
-    relative = daily.relative_threshold_counts(days, cut, min_wet_days, MEMBER_KEYS).withColumnRenamed("n_days", "relative")
-    five = daily.rx5day(days, MEMBER_KEYS)
-    wide = counts.join(intensity, [*MEMBER_KEYS, "year"]).join(relative, [*MEMBER_KEYS, "year"])
-    wide = wide.join(five, [*MEMBER_KEYS, "year"], "left")
+    met = daily.with_own_threshold(days, cut, min_wet_days).withColumn("_five", daily.five_day_sum(MEMBER_KEYS))
+    wide = met.groupBy(*MEMBER_KEYS, F.year("day").alias("year")).agg(
+        *daily.threshold_columns(ladder), *daily.intensity_columns(), F.max("_five").alias("rx5day"), daily.relative_column().alias("relative")
+    )
     metrics = [n for n, _, _ in ladder] + ["prcptot", "wetdays", "rx1day", "rx5day", "relative"]
     doubles = wide.withColumns({m: F.col(m).cast("double") for m in metrics})
     return doubles.unpivot([*MEMBER_KEYS, "year"], metrics, "layer", "value")

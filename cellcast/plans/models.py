@@ -7,65 +7,86 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from cellcast.functions.vectorized import pearson3_exceedance
+from cellcast.functions.vectorized import log_gamma, pearson3_exceedance, pearson3_quantile
 from cellcast.session import cut_lineage
 
 
-def _swaps(values: np.ndarray) -> int:
-    """Pairs out of order, counted by merging sorted runs."""
-    runs = [values[i : i + 1] for i in range(len(values))]
-    total = 0
-    while len(runs) > 1:
-        merged = []
-        for k in range(0, len(runs) - 1, 2):
-            a, b = runs[k], runs[k + 1]
-            total += len(a) * len(b) - int(np.searchsorted(a, b, side="right").sum())
-            merged.append(np.sort(np.concatenate([a, b]), kind="stable"))
-        if len(runs) % 2:
-            merged.append(runs[-1])
-        runs = merged
-    return total
+def _inversions(row: np.ndarray, rank: np.ndarray, n_rows: int) -> np.ndarray:
+    """Per row the pairs whose later element ranks lower. `row` rises; ranks start at 0.
+
+    Merge counting for all rows at once: on each level, blocks of twice the width are put in order, and every
+    element of a right half counts the elements of its left half that lie above it.
+    """
+    place = np.arange(len(row)) - np.searchsorted(row, row)
+    top = int(rank.max(initial=0)) + 1
+    out, width = np.zeros(n_rows), 1
+    while width <= place.max(initial=0):
+        block, right = place // (2 * width), place // width % 2
+        key = ((row * (place.max() // (2 * width) + 1) + block) * top + rank) * 2 + right
+        order = np.argsort(key, kind="stable")
+        of = (key[order] // (2 * top))  # the block, over all rows
+        is_left = right[order] == 0
+        seen = np.cumsum(is_left)
+        first = np.searchsorted(of, of, "left")
+        last = np.searchsorted(of, of, "right") - 1
+        above = seen[last] - seen  # left elements of the block that come after
+        out += np.bincount(row[order], np.where(is_left, 0, above), n_rows)
+        width *= 2
+    return out
+
+
+def _tie_sums(row: np.ndarray, *keys: np.ndarray, n_rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per row the sums over groups of t equal keys of t(t-1)/2, t(t-1)(2t+5) and t(t-1)(t-2)."""
+    order = np.lexsort((*keys, row))
+    new = np.ones(len(row), bool)
+    if len(row):
+        new[1:] = np.logical_or.reduce([k[order][1:] != k[order][:-1] for k in (row, *keys)])
+    first = np.flatnonzero(new)
+    t = np.diff(np.append(first, len(row))).astype(float)
+    of = row[order][first]
+    return tuple(np.bincount(of, v, n_rows) for v in (t * (t - 1) / 2, t * (t - 1) * (2 * t + 5), t * (t - 1) * (t - 2)))
+
+
+def kendall(row: np.ndarray, x: np.ndarray, y: np.ndarray, n_rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """(concordant less discordant pairs, their variance without a relation, ties allowed for) of each row."""
+    order = np.lexsort((y, x, row))
+    row, x, y = row[order], x[order], y[order]
+    n = np.bincount(row, minlength=n_rows).astype(float)
+    rank = np.unique(y, return_inverse=True)[1]
+    (px, vx, wx), (py, vy, wy), (pxy, _, _) = (_tie_sums(row, *k, n_rows=n_rows) for k in ((x,), (y,), (x, y)))
+    s = n * (n - 1) / 2 - px - py + pxy - 2 * _inversions(row, rank, n_rows)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        var = (n * (n - 1) * (2 * n + 5) - vx - vy) / 18 + px * py * 2 / (n * (n - 1)) + wx * wy / (9 * n * (n - 1) * (n - 2))
+    return s, np.where(n >= 3, var, np.nan)
 
 
 def kendall_p(x: np.ndarray, y: np.ndarray) -> float | None:
     """Two-sided p-value of Kendall's tau by the normal approximation with ties."""
-    n = len(x)
-    if n < 3:
-        return None
-    order = np.lexsort((y, x))
-    x, y = x[order], y[order]
-
-    def ties(*cols: np.ndarray) -> np.ndarray:
-        return np.unique(np.column_stack(cols), axis=0, return_counts=True)[1].astype(float)
-
-    tx, ty, txy = ties(x), ties(y), ties(x, y)
-    pairs = lambda t: float((t * (t - 1) / 2).sum())
-    n0 = n * (n - 1) / 2
-    s = n0 - pairs(tx) - pairs(ty) + pairs(txy) - 2 * _swaps(y)
-    v = lambda t: float((t * (t - 1) * (2 * t + 5)).sum())
-    var = (n * (n - 1) * (2 * n + 5) - v(tx) - v(ty)) / 18
-    var += pairs(tx) * pairs(ty) * 2 / (n * (n - 1))
-    if n > 2:
-        w = lambda t: float((t * (t - 1) * (t - 2)).sum())
-        var += w(tx) * w(ty) / (9 * n * (n - 1) * (n - 2))
-    if var <= 0:
-        return None
-    return math.erfc(abs(s) / math.sqrt(var) / math.sqrt(2))
-
-
-@F.pandas_udf(DoubleType())
-def kendall_p_value(x: pd.Series, y: pd.Series) -> pd.Series:
-    out = [kendall_p(np.asarray(a, float), np.asarray(b, float)) for a, b in zip(x, y)]
-    return pd.Series(out, dtype="object").astype("float64")
+    s, var = kendall(np.zeros(len(x), np.int64), np.asarray(x, float), np.asarray(y, float), 1)
+    return math.erfc(abs(s[0]) / math.sqrt(2 * var[0])) if var[0] > 0 else None
 
 
-def best_lag(df: DataFrame, keys: Sequence[str], order: str, feature: str, target: str, lags: Sequence[int]) -> DataFrame:
-    """Per station the lag whose differenced feature has the smallest Kendall p-value against the target.
+@F.arrow_udf(StructType([StructField(c, DoubleType()) for c in ("s", "z", "p")]))
+def kendall_test(pairs: pa.Array) -> pa.Array:
+    """Kendall's S, its standard score and p-value of arrays of (x, y), all arrays of a batch together; NULL below three pairs or without variation."""
+    flat = pairs.flatten()
+    x, y = (flat.field(c).to_numpy(zero_copy_only=False).astype(float) for c in ("x", "y"))
+    row = np.repeat(np.arange(len(pairs)), pairs.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+    s, var = kendall(row, x, y, len(pairs))
+    ok = var > 0
+    z = np.where(ok, s / np.sqrt(np.where(ok, var, 1.0)), np.nan)
+    p = np.array([math.erfc(abs(v) / math.sqrt(2)) if k else np.nan for v, k in zip(z, ok)])
+    return pa.StructArray.from_arrays([pa.array(np.where(ok, v, np.nan), from_pandas=True) for v in (s, z, p)], names=["s", "z", "p"])
+
+
+def lag_scores(df: DataFrame, keys: Sequence[str], order: str, feature: str, target: str, lags: Sequence[int]) -> DataFrame:
+    """(keys, lag, n, s, z, p): Kendall's test of the feature's change over each lag against the target.
 
     Each (station, lag) is one array row, bounded by the length of the record.
     """
@@ -73,10 +94,16 @@ def best_lag(df: DataFrame, keys: Sequence[str], order: str, feature: str, targe
     table = F.array(*[F.struct(F.lit(int(n)).alias("lag"), (F.col(feature) - F.lag(feature, n).over(w)).alias("x")) for n in lags])
     rows = df.withColumn("_l", table).select(*keys, F.col(target).alias("_y"), F.explode("_l").alias("_l"))
     both = rows.where(F.col("_y").isNotNull() & F.col("_l.x").isNotNull())
-    series = both.groupBy(*keys, F.col("_l.lag").alias("lag")).agg(F.collect_list(F.struct(F.col("_l.x").alias("x"), F.col("_y").alias("y"))).alias("_s"))
-    scored = series.select(*keys, "lag", kendall_p_value(F.transform("_s", lambda s: s["x"]), F.transform("_s", lambda s: s["y"])).alias("p_value"))
-    best = F.min(F.struct("p_value", "lag"))
-    return scored.where("p_value IS NOT NULL").groupBy(*keys).agg(best.alias("_b")).select(*keys, F.col("_b.lag").alias("lag"), F.col("_b.p_value").alias("p_value"))
+    pair = F.struct(F.col("_l.x").cast("double").alias("x"), F.col("_y").cast("double").alias("y"))
+    series = both.groupBy(*keys, F.col("_l.lag").alias("lag")).agg(F.collect_list(pair).alias("_s"))
+    return series.select(*keys, "lag", F.size("_s").cast("long").alias("n"), kendall_test("_s").alias("_k")).select(*keys, "lag", "n", "_k.s", "_k.z", "_k.p")
+
+
+def best_lag(df: DataFrame, keys: Sequence[str], order: str, feature: str, target: str, lags: Sequence[int]) -> DataFrame:
+    """Per station the lag whose differenced feature has the smallest Kendall p-value against the target."""
+    scored = lag_scores(df, keys, order, feature, target, lags).where("p IS NOT NULL")
+    best = scored.groupBy(*keys).agg(F.min(F.struct("p", "lag")).alias("_b"))
+    return best.select(*keys, F.col("_b.lag").alias("lag"), F.col("_b.p").alias("p_value"))
 
 
 def price_model(
@@ -122,37 +149,30 @@ def l_moments(series: DataFrame, keys: Sequence[str], value: str = "value") -> D
     return b.select(*keys, "n", F.col("b0").alias("l1"), l2.alias("l2"), (l3 / F.nullif(l2, F.lit(0.0))).alias("t3"), "top", "low")
 
 
-def pearson3_parameters(l1: float, l2: float, t3: float) -> tuple[float, float, float]:
-    """Mean, standard deviation and skew of a Pearson III distribution with the given L-moments."""
-    a = abs(t3)
-    if a < 1e-6:
-        return l1, l2 * math.sqrt(math.pi), 0.0
+def pearson3_parameters(l1, l2, t3):
+    """Mean, standard deviation and skew of Pearson III distributions with the given L-moments (arrays or numbers)."""
+    l1, l2, t3 = (np.asarray(x, float) for x in (l1, l2, t3))
+    a = np.abs(t3)
+    near = np.maximum(np.minimum(a, 1 / 3), 1e-6)
     # Rational approximation of the shape parameter from the L-skewness.
-    if a <= 1 / 3:
-        z = 3 * math.pi * a * a
-        shape = (1 + 0.2906 * z) / (z + 0.1882 * z**2 + 0.0442 * z**3)
-    else:
-        z = 1 - a
-        shape = (0.36067 * z - 0.59567 * z**2 + 0.25361 * z**3) / (1 - 2.78861 * z + 2.56096 * z**2 - 0.77045 * z**3)
-    spread = l2 * math.sqrt(math.pi * shape) * math.exp(math.lgamma(shape) - math.lgamma(shape + 0.5))
-    return l1, spread, math.copysign(2 / math.sqrt(shape), t3)
-
-
-def _shifted_period(old: tuple, new: tuple, period: float) -> float | None:
-    m, s, g = pearson3_parameters(*old)
-    m2, s2, g2 = pearson3_parameters(*new)
-    if not (s > 0 and s2 > 0):
-        return None
-    lo, hi = -50.0, 50.0
-    for _ in range(100):
-        mid = 0.5 * (lo + hi)
-        if pearson3_exceedance(g, mid) > 1 / period:
-            lo = mid
-        else:
-            hi = mid
-    volume = m + s * 0.5 * (lo + hi)
-    p = pearson3_exceedance(g2, (volume - m2) / s2)
-    return 1 / p if p > 0 else math.inf
+    z = 3 * math.pi * near * near
+    low = (1 + 0.2906 * z) / (z + 0.1882 * z**2 + 0.0442 * z**3)
+    z = 1 - np.maximum(a, 1 / 3)
+    high = (0.36067 * z - 0.59567 * z**2 + 0.25361 * z**3) / (1 - 2.78861 * z + 2.56096 * z**2 - 0.77045 * z**3)
+    shape = np.where(a <= 1 / 3, low, high)
+    spread = l2 * np.sqrt(math.pi * shape) * np.exp(log_gamma(shape) - log_gamma(shape + 0.5))
+    plain = a < 1e-6
+    return l1, np.where(plain, l2 * math.sqrt(math.pi), spread), np.where(plain, 0.0, np.copysign(2 / np.sqrt(shape), t3))
+
+
+def shifted_periods(old: Sequence[np.ndarray], new: Sequence[np.ndarray], period: float) -> np.ndarray:
+    """Period, under the new L-moments, of the event of the given period under the old ones; NaN without spread."""
+    (m, s, g), (m2, s2, g2) = pearson3_parameters(*old), pearson3_parameters(*new)
+    ok = (s > 0) & (s2 > 0)
+    volume = m + s * pearson3_quantile(1 - 1 / period, g)
+    p = pearson3_exceedance(g2, (volume - m2) / np.where(ok, s2, 1.0))
+    with np.errstate(divide="ignore"):
+        return np.where(ok, 1 / p, np.nan)
 
 
 def flood_frequency_shift(hist: DataFrame, fut: DataFrame, keys: Sequence[str], period: float, value: str = "value") -> DataFrame:
@@ -163,8 +183,12 @@ def flood_frequency_shift(hist: DataFrame, fut: DataFrame, keys: Sequence[str],
 
     @F.pandas_udf(DoubleType())
     def shift(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series, e: pd.Series, g: pd.Series) -> pd.Series:
-        rows = zip(a, b, c, d, e, g)
-        out = [None if any(pd.isna(v) for v in r) else _shifted_period(r[:3], r[3:], period) for r in rows]
-        return pd.Series(out, dtype="object").astype("float64")
+        moments = [x.to_numpy(float, na_value=np.nan) for x in (a, b, c, d, e, g)]
+        known = ~np.isnan(np.array(moments)).any(axis=0)
+        out = np.full(len(a), np.nan)
+        if known.any():
+            given = [x[known] for x in moments]
+            out[known] = shifted_periods(given[:3], given[3:], period)
+        return pd.Series(out).astype(object).where(~np.isnan(out), None)
 
     return both.select(*keys, shift(*[F.col(f"{s}_{n}") for s in ("h", "f") for n in names]).alias("new_period"))

@@ -64,7 +64,7 @@ SQL["observedlayer"] = """
 
 
 @query("q2_verify_observed", rules_sql([
-    ("decadal_columns_absent", "SELECT 0"),
+    ("decadal_columns_absent", "SELECT count(*) FROM (VALUES ('trend'), ('n_models')) c(c)"),
     ("interval_ordered", "SELECT count(*) FROM observedlayer WHERE lower_ci > median OR (lower_ci IS NOT NULL AND median > upper_ci)"),
     ("one_missingness_pattern", "SELECT count(*) FROM observedlayer WHERE (median IS NULL) <> (lower_ci IS NULL) OR (median IS NULL) <> (upper_ci IS NULL)"),
     ("percentile_in_range", "SELECT count(*) FROM observedlayer WHERE percentile < 1 OR percentile > 100"),
@@ -76,7 +76,8 @@ SQL["observedlayer"] = """
     ("nothing_outside_mask", "SELECT count(*) FROM observedlayer WHERE cell_id NOT IN (SELECT cell_id FROM land)"),
 ]))
 def q2(spark, sf):
-    return quality.verify_observed(_observed(spark, sf), table(spark, sf, "land"), ["cell_id"])
+    with_more = _observed(spark, sf).withColumns({"trend": F.lit(0.5), "n_models": F.lit(3)})  # columns that no observed layer may have
+    return quality.verify_observed(with_more, table(spark, sf, "land"), ["cell_id"])
 
 
 # a delivery with some of everything broken
@@ -148,14 +149,20 @@ def q3_vulnerable(spark, sf):
     return recompute.vulnerable_again(table(spark, sf, "layer_values"), table(spark, sf, "hazard_layers"), 70.0)
 
 
+SQL["watermonthly"] = "SELECT scenario, cell_id, CASE WHEN year <= 1996 THEN 1995 ELSE 1997 END AS decade, month, avg(value) AS v FROM monthly GROUP BY 1, 2, 3, 4"
+# some annual values do not fit their months, some quantiles are out of order
 SQL["waterindex"] = """
-    SELECT scenario, cell_id, decade, month - 1 AS value_type, v AS value FROM (SELECT scenario, cell_id, CASE WHEN year <= 1996 THEN 1995 ELSE 1997 END AS decade, month, avg(value) AS v FROM monthly GROUP BY 1, 2, 3, 4) x
-    UNION ALL SELECT scenario, cell_id, decade, 12, avg(v) + CASE WHEN cell_id % 7 = 3 THEN 0.5 ELSE 0 END FROM (SELECT scenario, cell_id, CASE WHEN year <= 1996 THEN 1995 ELSE 1997 END AS decade, month, avg(value) AS v FROM monthly GROUP BY 1, 2, 3, 4) y GROUP BY 1, 2, 3"""
+    SELECT scenario, cell_id, decade, month - 1 AS value_type, v AS value FROM watermonthly
+    UNION ALL SELECT scenario, cell_id, decade, 12, avg(v) + CASE WHEN cell_id % 7 = 3 THEN 0.5 ELSE 0 END FROM watermonthly GROUP BY 1, 2, 3
+    UNION ALL SELECT scenario, cell_id, decade, 13 + i, low + i / 10e0 + CASE WHEN cell_id % 5 = 2 AND i = 3 THEN 9e-1 ELSE 0e0 END
+    FROM (SELECT scenario, cell_id, decade, min(v) AS low FROM watermonthly GROUP BY 1, 2, 3) a, (VALUES (0), (1), (2), (3), (4), (5), (6)) q(i)"""
 
 
 @query("q4_verify_water_index", """
-    WITH w AS (SELECT scenario, decade, cell_id, max(CASE WHEN value_type = 12 THEN value END) AS a, avg(CASE WHEN value_type < 12 THEN value END) AS m, stddev_pop(CASE WHEN value_type < 12 THEN value END) AS s FROM waterindex GROUP BY 1, 2, 3)
-    SELECT scenario, decade, count(*) AS n_cells, count(CASE WHEN abs(a - m) >= 1e-3 THEN 1 END) AS annual_mismatches, 0 AS quantile_violations, round(avg(s / abs(m)), 6) AS seasonal_cv, round(min(a), 6) AS low, round(max(a), 6) AS high FROM w GROUP BY 1, 2""")
+    WITH w AS (SELECT scenario, decade, cell_id, max(CASE WHEN value_type = 12 THEN value END) AS a, avg(CASE WHEN value_type < 12 THEN value END) AS m, stddev_pop(CASE WHEN value_type < 12 THEN value END) AS s FROM waterindex GROUP BY 1, 2, 3),
+    o AS (SELECT scenario, decade, cell_id, bool_or(value > ahead) AS bad FROM (SELECT *, lead(value) OVER (PARTITION BY scenario, decade, cell_id ORDER BY value_type) AS ahead FROM waterindex WHERE value_type >= 13) x GROUP BY 1, 2, 3)
+    SELECT w.scenario, w.decade, count(*) AS n_cells, count(CASE WHEN abs(a - m) >= 1e-3 THEN 1 END) AS annual_mismatches, count(CASE WHEN bad THEN 1 END) AS quantile_violations, round(avg(s / abs(m)), 6) AS seasonal_cv, round(min(a), 6) AS low, round(max(a), 6) AS high
+    FROM w JOIN o ON w.scenario = o.scenario AND w.decade = o.decade AND w.cell_id = o.cell_id GROUP BY 1, 2""")
 def q4(spark, sf):
     return rounded(quality.verify_water_index(table(spark, sf, "waterindex")), "seasonal_cv", "low", "high")
 

@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from cellcast.functions.scalar import cell_area_km2
 from cellcast.plans import hazards, layer, models
-from querybook.common import rounded
+from querybook.common import gamma_below_sql, gamma_quantiles_sql, rounded
 from querybook.layers import LAYER_FLOATS
 from querybook.registry import query
 from querybook.standins import DECADES, SQL, base, table
-from querybook.statistics import exposure
+from querybook.spatial import crossings
+from querybook.statistics import QUARTILES, RATE_QUARTILES, exposure
 
 SPEC = layer.LayerSpec(decades=DECADES, baseline=1995, window=2)
 
@@ -236,14 +237,18 @@ def h11(spark, sf):
     return rounded(rounded(out, "median", "lower_ci", "upper_ci", "ols_slope", "sen_slope"), "percentile", n=5)
 
 
-SQL["box40"] = "SELECT CAST(r.r AS INT) AS grow, CAST(c.c AS INT) AS gcol FROM (SELECT unnest(generate_series(8, 33)) AS r) r, (SELECT unnest(generate_series(8, 33)) AS c) c"
+# the rectangle of grid cells that the tracks' bounding box covers
+SQL["box40"] = """
+    SELECT CAST(r.r AS INT) AS grow, CAST(c.c AS INT) AS gcol
+    FROM (SELECT unnest(generate_series(CAST((SELECT min(grow) FROM crossings) AS BIGINT), CAST((SELECT max(grow) FROM crossings) AS BIGINT))) AS r) r,
+         (SELECT unnest(generate_series(CAST((SELECT min(gcol) FROM crossings) AS BIGINT), CAST((SELECT max(gcol) FROM crossings) AS BIGINT))) AS c) c"""
 
 
 def domain_cells(spark, sf):
     """The rectangle of grid cells that the tracks' bounding box covers."""
-    t = table(spark, sf, "tracks")
-    rows = t.agg(F.sequence(F.lit(8), F.lit(33)).alias("r")).select(F.explode("r").alias("grow"))
-    return rows.withColumn("gcol", F.explode(F.sequence(F.lit(8), F.lit(33))))
+    box = crossings(spark, sf).agg(*[f(c).alias(f"{n}_{c}") for c in ("grow", "gcol") for n, f in (("low", F.min), ("high", F.max))])
+    rows = box.withColumn("grow", F.explode(F.sequence("low_grow", "high_grow")))
+    return rows.withColumn("gcol", F.explode(F.sequence("low_gcol", "high_gcol"))).select("grow", "gcol")
 
 
 @query("h12_tornado_layer", """
@@ -256,10 +261,18 @@ def h12(spark, sf):
     return rounded(out, "median", "percentile").select("grow", "gcol", "n_events", "median", "percentile")
 
 
-@query("h12_tornado_posterior")
+@query("h12_tornado_posterior", f"""
+    WITH RECURSIVE e AS (SELECT d.grow, d.gcol, coalesce(t.n, 0) AS n_events, 6371.0088e0 * 6371.0088e0 * radians(5e-1) * (sin(radians(25 + (d.grow + 0.5) * 0.5 + 0.25)) - sin(radians(25 + (d.grow + 0.5) * 0.5 - 0.25))) / 1e4 * 7 AS exposure
+        FROM box40 d LEFT JOIN (SELECT grow, gcol, count(*) AS n FROM crossings GROUP BY 1, 2) t ON t.grow = d.grow AND t.gcol = d.gcol),
+    {gamma_quantiles_sql("SELECT DISTINCT n_events + 0.5 AS a FROM e", QUARTILES)},
+    x AS (SELECT grow, gcol, n_events, exposure, max(CASE WHEN q = 0.5 THEN x END) / exposure AS rate, {RATE_QUARTILES} FROM e JOIN gammaquant ON a = n_events + 0.5 GROUP BY 1, 2, 3, 4),
+    r AS (SELECT grow, gcol, rank() OVER (ORDER BY round(rate, 12)) + (count(*) OVER (PARTITION BY round(rate, 12)) - 1) / 2e0 AS rk, count(*) OVER () AS n FROM x WHERE n_events > 0)
+    SELECT x.grow, x.gcol, x.n_events, round(exposure, 6) AS exposure, median, lower_ci, upper_ci, round(CASE WHEN n_events = 0 THEN 1 WHEN n = 1 THEN 100 ELSE 2 + 98.0 * (rk - 1) / (n - 1) END, 6) AS percentile
+    FROM x LEFT JOIN r ON r.grow = x.grow AND r.gcol = x.gcol""")
 def h12_posterior(spark, sf):
     out = hazards.tornado_layer(table(spark, sf, "tracks"), 7, 0.5, 25.0, -105.0, 40, 60, domain_cells(spark, sf))
-    return rounded(out, "median", "lower_ci", "upper_ci", "percentile", "exposure")
+    shown = rounded(out, "median", "lower_ci", "upper_ci", "percentile", "exposure")
+    return shown.select("grow", "gcol", "n_events", "exposure", "median", "lower_ci", "upper_ci", "percentile")
 
 
 @query("h12_hail_layer", """
@@ -323,7 +336,18 @@ def h15(spark, sf):
     return rounded(hazards.compare_indices(pairs), "pearson_r", "rmsd", "bias", "spearman_r")
 
 
-@query("h16_split_half_smoothing")
+@query("h16_split_half_smoothing", """
+    WITH c AS (SELECT d.grow, d.gcol, 6371.0088e0 * 6371.0088e0 * radians(5e-1) * (sin(radians(25 + (d.grow + 0.5) * 0.5 + 0.25)) - sin(radians(25 + (d.grow + 0.5) * 0.5 - 0.25))) / 1e4 AS area,
+               count(CASE WHEN t.year % 2 = 1 THEN 1 END) AS odd, count(CASE WHEN t.year % 2 = 0 THEN 1 END) AS even
+        FROM box40 d LEFT JOIN crossings t ON t.grow = d.grow AND t.gcol = d.gcol GROUP BY 1, 2, 3),
+    tr AS (SELECT grow, gcol, 1 AS p, odd AS k, area * 4 AS t, even AS ko, area * 3 AS ot FROM c UNION ALL SELECT grow, gcol, 0, even, area * 3, odd, area * 4 FROM c),
+    fl AS (SELECT avg(k / t) / 1000 AS f FROM tr WHERE p = 1),
+    w AS (SELECT s.sigma, a.p, a.grow, a.gcol, a.ko, a.ot, b.k, b.t, CASE WHEN s.sigma = 0 THEN 1e0 ELSE exp(-(pow(a.grow - b.grow, 2) + pow(a.gcol - b.gcol, 2)) / (2 * s.sigma * s.sigma)) END AS w
+          FROM (VALUES (0e0), (7e-1), (15e-1)) s(sigma), tr a, tr b WHERE a.p = b.p AND abs(a.grow - b.grow) <= floor(4 * s.sigma + 0.5) AND abs(a.gcol - b.gcol) <= floor(4 * s.sigma + 0.5)),
+    sm AS (SELECT sigma, p, grow, gcol, ko, ot, sum(w * k) / sum(w) AS k, sum(w * t) / sum(w) AS t, sum(w * (k / t)) / sum(w) AS rate FROM w GROUP BY ALL),
+    sc AS (SELECT sigma, count(*) AS n_cells, avg(lgamma(ko + k + 0.5) - lgamma(k + 0.5) - lgamma(ko + 1) + (k + 0.5) * ln(t / (t + ot)) + ko * ln(1 - t / (t + ot))) AS nb,
+                  avg(ko * ln(greatest(rate, f) * ot) - greatest(rate, f) * ot) AS po FROM sm, fl GROUP BY 1)
+    SELECT sigma, n_cells, round(nb, 6) AS nb_loglik, round(po, 6) AS poisson_loglik, sigma = (SELECT sigma FROM sc ORDER BY nb DESC, sigma LIMIT 1) AS best FROM sc""")
 def h16(spark, sf):
     from cellcast.operators.grids import track_cells
 
@@ -384,10 +408,28 @@ def _peaks(spark, sf):
     return yearly.where(early), yearly.where(~early)
 
 
-@query("h19_flood_frequency_shift")
+# L-moments of both periods and what they make of a Pearson III distribution
+SQL["pearson"] = """
+    SELECT cell_id, late, l1 AS m, l2 * sqrt(pi() * shape) * exp(lgamma(shape) - lgamma(shape + 0.5)) AS s, sign(t3) AS sgn, shape AS a FROM (
+        SELECT *, CASE WHEN abs(t3) <= 1 / 3e0 THEN (1 + 0.2906 * z) / (z + 0.1882 * z * z + 0.0442 * z * z * z)
+                       ELSE (0.36067 * y - 0.59567 * y * y + 0.25361 * y * y * y) / (1 - 2.78861 * y + 2.56096 * y * y - 0.77045 * y * y * y) END AS shape FROM (
+            SELECT cell_id, late, b0 AS l1, 2 * b1 - b0 AS l2, (6 * b2 - 6 * b1 + b0) / (2 * b1 - b0) AS t3, 3 * pi() * pow((6 * b2 - 6 * b1 + b0) / (2 * b1 - b0), 2) AS z, 1 - abs((6 * b2 - 6 * b1 + b0) / (2 * b1 - b0)) AS y FROM (
+                SELECT cell_id, late, avg(v) AS b0, sum(v * i) / max(n * (n - 1)) AS b1, sum(v * i * (i - 1)) / max(n * (n - 1) * (n - 2)) AS b2 FROM (
+                    SELECT cell_id, late, v, row_number() OVER (PARTITION BY cell_id, late ORDER BY v) - 1 AS i, count(*) OVER (PARTITION BY cell_id, late) AS n FROM (
+                        SELECT c_nationkey AS cell_id, date_trunc('month', o_orderdate) AS period, year(o_orderdate) > 1997 AS late, max(o_totalprice) AS v FROM {orders} JOIN {customer} ON o_custkey = c_custkey GROUP BY 1, 2, 3) p1) p2
+                GROUP BY 1, 2) p3) p4) p5"""
+
+
+@query("h19_flood_frequency_shift", f"""
+    WITH RECURSIVE {gamma_quantiles_sql("SELECT DISTINCT a FROM pearson WHERE NOT late", "(0.05), (0.95)", 3000)},
+    v AS (SELECT h.cell_id, h.m + h.s * h.sgn * (g.x - h.a) / sqrt(h.a) AS volume FROM pearson h JOIN gammaquant g ON g.a = h.a AND g.q = CASE WHEN h.sgn > 0 THEN 0.95 ELSE 0.05 END WHERE NOT late),
+    z AS (SELECT f.cell_id, f.sgn, f.a, greatest(f.a + (v.volume - f.m) / f.s * sqrt(f.a) * f.sgn, 1e-300) AS x FROM pearson f JOIN v ON v.cell_id = f.cell_id WHERE late)
+    SELECT cell_id, round(1 / greatest(CASE WHEN sgn > 0 THEN 1 - {gamma_below_sql("a", "x", 3000)} ELSE {gamma_below_sql("a", "x", 3000)} END, 1e-4), 4) AS new_period FROM z""")
 def h19(spark, sf):
+    """Periods beyond 10,000 are shown as that."""
     h, f = _peaks(spark, sf)
-    return rounded(models.flood_frequency_shift(h, f, ["cell_id"], 20.0), "new_period", n=4)
+    shift = models.flood_frequency_shift(h, f, ["cell_id"], 20.0)
+    return rounded(shift.withColumn("new_period", F.least("new_period", F.lit(1e4))), "new_period", n=4)
 
 
 @query("h19_l_moments", """
@@ -412,6 +454,21 @@ def _prices(spark, sf):
     return lagged_feature(filled, 5, ["cell_id"]).withColumn("month", F.month("day").cast("double"))
 
 
+@query("h20_price_features", """
+    WITH o AS (SELECT c_nationkey AS cell_id, CAST(o_orderdate AS DATE) AS day, avg(o_totalprice) AS value FROM {orders} JOIN {customer} ON o_custkey = c_custkey GROUP BY 1, 2),
+    d AS (SELECT k.cell_id, s.day, o.value FROM (SELECT DISTINCT cell_id FROM o) k CROSS JOIN (SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day FROM o) s LEFT JOIN o ON o.cell_id = k.cell_id AND o.day = s.day),
+    k AS (SELECT *, last_value(CASE WHEN value IS NOT NULL THEN day END IGNORE NULLS) OVER a AS da, last_value(value IGNORE NULLS) OVER a AS va,
+                 first_value(CASE WHEN value IS NOT NULL THEN day END IGNORE NULLS) OVER b AS db, first_value(value IGNORE NULLS) OVER b AS vb FROM d
+          WINDOW a AS (PARTITION BY cell_id ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), b AS (PARTITION BY cell_id ORDER BY day ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+    f AS (SELECT cell_id, day, coalesce(value, va + (vb - va) / (db - da) * (day - da)) AS value FROM k),
+    w AS (SELECT *, value - lag(value, 5) OVER o AS lag_difference, (lead(value, 5) OVER o - value) / nullif(value, 0) AS ahead_change FROM f WINDOW o AS (PARTITION BY cell_id ORDER BY day))
+    SELECT cell_id, day, round(value, 7) AS value, round(lag_difference, 7) AS lag_difference, round(ahead_change, 9) AS ahead_change, CAST(month(day) AS DOUBLE) AS month, year(day) <= 1999 AS train, year(day) >= 2000 AS holdout FROM w""")
+def h20_features(spark, sf):
+    """What the price model learns from and is held against."""
+    p = _prices(spark, sf).select("cell_id", "day", "value", "lag_difference", "ahead_change", "month", (F.year("day") <= 1999).alias("train"), (F.year("day") >= 2000).alias("holdout"))
+    return rounded(rounded(p, "value", "lag_difference", n=7), "ahead_change", n=9)
+
+
 @query("h20_price_model")
 def h20(spark, sf):
     p = _prices(spark, sf)
@@ -420,6 +477,28 @@ def h20(spark, sf):
     ).select("n_holdout", F.round("holdout_r2", 4).alias("holdout_r2"))
 
 
+SQL["monthprice"] = """
+    SELECT cell_id, month, value, value - lag(value, 1) OVER (PARTITION BY cell_id ORDER BY month) AS x1, value - lag(value, 3) OVER (PARTITION BY cell_id ORDER BY month) AS x3, value - lag(value, 6) OVER (PARTITION BY cell_id ORDER BY month) AS x6,
+           lead(value, 2) OVER (PARTITION BY cell_id ORDER BY month) - value AS ahead
+    FROM (SELECT c_nationkey AS cell_id, date_trunc('month', o_orderdate) AS month, floor(avg(o_totalprice) / 500) AS value FROM {orders} JOIN {customer} ON o_custkey = c_custkey GROUP BY 1, 2) m"""
+
+
+@query("t4_lag_scores", """
+    WITH l AS (SELECT cell_id, lag, x, ahead AS y FROM (SELECT cell_id, month, 1 AS lag, x1 AS x, ahead FROM monthprice UNION ALL SELECT cell_id, month, 3, x3, ahead FROM monthprice UNION ALL SELECT cell_id, month, 6, x6, ahead FROM monthprice) u
+               WHERE x IS NOT NULL AND ahead IS NOT NULL),
+    i AS (SELECT *, row_number() OVER (PARTITION BY cell_id, lag ORDER BY x, y) AS k FROM l),
+    s AS (SELECT a.cell_id, a.lag, sum(sign(b.x - a.x) * sign(b.y - a.y)) AS s FROM i a JOIN i b ON a.cell_id = b.cell_id AND a.lag = b.lag AND a.k < b.k GROUP BY 1, 2),
+    tx AS (SELECT cell_id, lag, sum(t * (t - 1) / 2) AS p, sum(t * (t - 1) * (2 * t + 5)) AS v, sum(t * (t - 1) * (t - 2)) AS w FROM (SELECT cell_id, lag, x, CAST(count(*) AS DOUBLE) AS t FROM l GROUP BY 1, 2, 3) q GROUP BY 1, 2),
+    ty AS (SELECT cell_id, lag, sum(t * (t - 1) / 2) AS p, sum(t * (t - 1) * (2 * t + 5)) AS v, sum(t * (t - 1) * (t - 2)) AS w FROM (SELECT cell_id, lag, y, CAST(count(*) AS DOUBLE) AS t FROM l GROUP BY 1, 2, 3) q GROUP BY 1, 2),
+    n AS (SELECT cell_id, lag, CAST(count(*) AS DOUBLE) AS n FROM l GROUP BY 1, 2)
+    SELECT n.cell_id, n.lag, CAST(n.n AS BIGINT) AS n, CAST(s.s AS DOUBLE) AS s,
+           round(s.s / sqrt((n.n * (n.n - 1) * (2 * n.n + 5) - tx.v - ty.v) / 18 + 2 * tx.p * ty.p / (n.n * (n.n - 1)) + tx.w * ty.w / (9 * n.n * (n.n - 1) * (n.n - 2))), 6) AS z
+    FROM n JOIN s USING (cell_id, lag) JOIN tx USING (cell_id, lag) JOIN ty USING (cell_id, lag)""")
+def t4_scores(spark, sf):
+    m = table(spark, sf, "monthprice").select("cell_id", "month", "value", "ahead")
+    return rounded(models.lag_scores(m, ["cell_id"], "month", "value", "ahead", [1, 3, 6]).drop("p"), "z")
+
+
 @query("t4_best_lag")
 def t4(spark, sf):
     p = _prices(spark, sf)

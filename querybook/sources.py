@@ -141,12 +141,14 @@ def s10(spark, sf):
     return readers.list_scenarios(spark.read.parquet(folder))
 
 
-@query("s11_write_panel", f"SELECT {LAYER_ROUNDED}, n_members, n_models FROM built_layer WHERE scenario = 'ssp585'")
+@query("s11_write_panel", f"""
+    SELECT 'yield' AS layer, {LAYER_ROUNDED}, n_members, n_models FROM built_layer
+    UNION ALL SELECT 'late', {LAYER_ROUNDED}, n_members, n_models FROM built_layer WHERE decade >= 1999""")
 def s11(spark, sf):
     folder = scratch_folder(spark, "layer")
-    sinks.write_panel(built_layer(spark, sf).withColumn("layer", F.lit("yield")), folder, {"units": "t", "window_years": "2"})
-    back = spark.read.parquet(f"{folder}/panel").where("layer = 'yield' AND scenario = 'ssp585'")
-    return rounded(back, *LAYER_FLOATS).drop("layer")
+    made = built_layer(spark, sf).withColumn("layer", F.explode(F.when(F.col("decade") >= 1999, F.array(F.lit("yield"), F.lit("late"))).otherwise(F.array(F.lit("yield")))))
+    sinks.write_panel(made, folder, {"units": "t", "window_years": "2"})
+    return rounded(spark.read.parquet(f"{folder}/panel"), *LAYER_FLOATS)
 
 
 SQL["status_values"] = """

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cellcast.functions.scalar import cell_area_km2
 from cellcast.operators import compare, events, graph, hydrology
-from querybook.common import rounded
+from querybook.common import gamma_quantiles_sql, rounded
 from querybook.registry import query
 from querybook.standins import SQL, base, daily, table
 
@@ -53,9 +53,17 @@ def _rates(spark, sf):
     return k.join(g, "cell_id")
 
 
-@query("a20_poisson_rate_posterior")
+QUARTILES = "(0.25), (0.5), (0.75)"
+RATE_QUARTILES = """round(max(CASE WHEN q = 0.5 THEN x END) / max(exposure), 6) AS median, round(max(CASE WHEN q = 0.25 THEN x END) / max(exposure), 6) AS lower_ci, round(max(CASE WHEN q = 0.75 THEN x END) / max(exposure), 6) AS upper_ci"""
+
+
+@query("a20_poisson_rate_posterior", f"""
+    WITH RECURSIVE k AS (SELECT l_suppkey AS cell_id, count(CASE WHEN l_discount >= 0.095 AND l_quantity > 42 THEN 1 END) AS n_events FROM {{lineitem}} GROUP BY 1),
+    e AS (SELECT k.cell_id, n_events, 6371.0088e0 * 6371.0088e0 * radians(5e-1) * (sin(radians(lat + 25e-2)) - sin(radians(lat - 25e-2))) / 1e4 * 7 AS exposure FROM k JOIN grid g ON g.cell_id = k.cell_id),
+    {gamma_quantiles_sql("SELECT DISTINCT n_events + 0.5 AS a FROM e", QUARTILES)}
+    SELECT cell_id, n_events, round(exposure, 6) AS exposure, {RATE_QUARTILES} FROM e JOIN gammaquant ON a = n_events + 0.5 GROUP BY 1, 2, 3""")
 def a20(spark, sf):
-    return rounded(events.poisson_rate_interval(_rates(spark, sf), "n_events", "exposure"), "median", "lower_ci", "upper_ci")
+    return rounded(events.poisson_rate_interval(_rates(spark, sf), "n_events", "exposure"), "exposure", "median", "lower_ci", "upper_ci")
 
 
 @query("a20_poisson_rate_mle", """

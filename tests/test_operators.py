@@ -13,12 +13,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from cellcast.functions import scalar
-from cellcast.functions.vectorized import _bracketed_median, gamma_ppf, pair_slope_medians, regularized_gamma
+from cellcast.functions.vectorized import _bracketed_median, gamma_ppf, log_gamma, pair_slope_medians, pearson3_exceedance, pearson3_quantile, regularized_gamma
 from cellcast.operators import compare, decadal, delivery, events, filters, graph, grids, portfolio, ranks, recompute, rings, spatial
 from cellcast.operators.ranking import cumulative_counts, exact_quantiles
 from cellcast.operators.tiles import Tiling
 from cellcast.plans.layer import LayerSpec, build_layer
-from cellcast.plans.models import kendall_p, pearson3_parameters
+from cellcast.plans.models import kendall, kendall_p, pearson3_parameters, shifted_periods
 from cellcast.sources import sinks
 from cellcast.streaming import incremental
 
@@ -438,6 +438,29 @@ def test_kendall_p_counts_pairs_like_brute_force():
     assert kendall_p(np.arange(30.0), np.ones(30)) is None
 
 
+def test_kendall_of_many_arrays_at_once_equals_brute_force():
+    rng = np.random.default_rng(13)
+    sizes = [0, 1, 2, 3, 17, 64, 65, 200]
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    x, y = rng.integers(0, 9, len(row)).astype(float), rng.integers(0, 5, len(row)).astype(float)
+    s, var = kendall(row, x, y, len(sizes))
+    for k, n in enumerate(sizes):
+        a, b = x[row == k], y[row == k]
+        assert s[k] == sum(np.sign(a[j] - a[i]) * np.sign(b[j] - b[i]) for i in range(n) for j in range(i + 1, n))
+        assert np.isnan(var[k]) if n < 3 else var[k] >= 0
+
+
+def test_log_gamma_and_pearson3_quantiles():
+    a = np.array([0.01, 0.3, 0.5, 1.0, 1.5, 7.2, 50.0, 52.0, 171.3, 1e5])
+    assert log_gamma(a) == pytest.approx([math.lgamma(x) for x in a], rel=1e-13, abs=1e-13)
+    skew = np.array([0.0, 0.4, -0.4, 1.7, -2.2])
+    for q in (0.05, 0.5, 0.95):
+        assert pearson3_exceedance(skew, pearson3_quantile(q, skew)) == pytest.approx(np.full(5, 1 - q), abs=1e-9)
+    assert pearson3_quantile(0.975, np.array([0.0]))[0] == pytest.approx(1.959963984540054)
+    same = [np.array([10.0, 12.0]), np.array([2.0, 1.0]), np.array([0.1, -0.2])]
+    assert shifted_periods(same, same, 20.0) == pytest.approx([20.0, 20.0])
+
+
 def test_pearson3_of_symmetric_moments_is_normal():
     m, s, g = pearson3_parameters(3.0, 1.0, 0.0)
     assert (m, g) == (3.0, 0.0) and s == pytest.approx(math.sqrt(math.pi))
