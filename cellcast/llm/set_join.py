@@ -194,14 +194,17 @@ def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.withColumns({"o": F.size(F.array_intersect("_s", "_t")), "sa": F.size("_s"), "sb": F.size("_t")}).drop("_s", "_t")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, sim: Similarity) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, sim: Similarity, one_each: bool = False) -> DataFrame:
     """The linked pairs. Parity bits differ at no more places than the sets do: that bounds the overlap from
-    above, and only pairs that pass it are compared by their elements."""
+    above, and only pairs that pass it are compared by their elements. With `one_each`, only the nearest by
+    its bits of each set's later partners is compared: enough to merge components, and a set travels once."""
     left = sets.select(F.col("c").alias("a"), F.col("bits").alias("_x"), F.size("s").alias("_sa"))
     right = sets.select(F.col("c").alias("b"), F.col("bits").alias("_y"), F.size("s").alias("_sb"))
     apart = F.aggregate(F.zip_with("_x", "_y", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, k: n + k)
     most = (F.col("_sa") + F.col("_sb") - apart) / 2
     near = pairs.join(left, "a").join(right, "b").where(100 * most >= sim.share * (F.col("_sa") + F.col("_sb") - most))
+    if one_each:
+        near = near.groupBy("a").agg(F.min(F.struct(apart.alias("apart"), "b")).alias("_m")).select("a", F.col("_m.b").alias("b"))
     near = cut_lineage(near.select("a", "b"))
     o = _overlaps(near, sets)
     return o.where(100 * F.col("o") >= sim.share * (F.col("sa") + F.col("sb") - F.col("o"))).select("a", "b")
@@ -363,7 +366,7 @@ def _joined(docs: DataFrame, sim: Similarity, id_col: str, text_col: str, counte
     labels = None
     for turn, probe in enumerate([*PROBES, None]):
         pairs = _probe_pairs(postings, sim, turn, *probe) if probe else _remaining_pairs(postings, full, sim)
-        links = _verified(pairs, full, sim)
+        links = _verified(pairs, full, sim, one_each=bool(probe))
         if counted and not probe:
             links = cut_lineage(links)
             n_links = _link_counts(classes, full, labels, links, sim)
