@@ -18,7 +18,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cellcast.llm.encoding import encoder, text_runs
@@ -224,9 +223,9 @@ def decode_chunk(n_ids: int, blocks: list[bytes], crcs: list[int]) -> np.ndarray
     return np.concatenate(parts)
 
 
-FILE_SCHEMA = "part int, chunk int, n_ids int, first long, doc_ids array<long>, doc_sizes array<int>, opens boolean, closes boolean, block_bytes array<int>, block_crcs array<long>, payload binary"
+FILE_SCHEMA = "part int, chunk int, n_ids int, before long, first long, doc_ids array<long>, doc_sizes array<int>, opens boolean, closes boolean, block_bytes array<int>, block_crcs array<long>, payload binary"
 _FILE_ARROW = pa.schema(
-    [("part", pa.int32()), ("chunk", pa.int32()), ("n_ids", pa.int32()), ("first", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("doc_sizes", pa.list_(pa.int32())),
+    [("part", pa.int32()), ("chunk", pa.int32()), ("n_ids", pa.int32()), ("before", pa.int64()), ("first", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("doc_sizes", pa.list_(pa.int32())),
      ("opens", pa.bool_()), ("closes", pa.bool_()), ("block_bytes", pa.list_(pa.int32())), ("block_crcs", pa.list_(pa.int64())), ("payload", pa.binary())]
 )
 
@@ -234,15 +233,15 @@ _FILE_ARROW = pa.schema(
 def _write(tokenizer: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part, chunk = encoder(tokenizer).encode, TaskContext.get().partitionId(), 0
-        held, n, docs, sizes, opens, first = [], 0, [], [], True, 0
+        held, n, docs, sizes, opens, first, before = [], 0, [], [], True, 0, 0
 
         def row(closes: bool) -> pa.RecordBatch:
-            nonlocal chunk, held, n, docs, sizes, opens, first
+            nonlocal chunk, held, n, docs, sizes, opens, first, before
             ids = np.concatenate(held) if held else np.zeros(0, np.int32)
             blocks, crcs = encode_chunk(ids)
-            values = (part, chunk, n, first, docs, sizes, opens, closes, [len(b) for b in blocks], crcs, b"".join(blocks))
+            values = (part, chunk, n, before, first, docs, sizes, opens, closes, [len(b) for b in blocks], crcs, b"".join(blocks))
             # `first` numbers the part's documents; one that a border cuts keeps its number
-            first += len(docs) - (not closes)
+            first, before = first + len(docs) - (not closes), before + n
             chunk, held, n, docs, sizes, opens = chunk + 1, [], 0, [], [], closes
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, _FILE_ARROW)], schema=_FILE_ARROW)
 
@@ -254,6 +253,8 @@ def _write(tokenizer: str, end_id: int):
                 for k, m in enumerate(counts.tolist()):
                     rest = np.append(ids[a : a + m], np.int32(end_id))
                     a += m
+                    if n and n + len(rest) > CHUNK:  # only a document longer than a chunk is cut
+                        yield row(closes=True)
                     while len(rest):
                         take = min(len(rest), CHUNK - n)
                         held.append(rest[:take])
@@ -280,44 +281,50 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int, parts:
     ordered.mapInArrow(_write(tokenizer, end_id), FILE_SCHEMA).write.parquet(folder)
 
 
-PIECE_SCHEMA = "part int, chunk int, nth long, doc_id long, offset long, n_tokens long, whole boolean, ids binary"
+PIECE_SCHEMA = "part int, chunk int, nth long, doc_id long, start long, n_tokens long, ids binary"
 _PIECE_ARROW = pa.schema(
-    [("part", pa.int32()), ("chunk", pa.int32()), ("nth", pa.int64()), ("doc_id", pa.int64()), ("offset", pa.int64()), ("n_tokens", pa.int64()), ("whole", pa.bool_()), ("ids", pa.binary())]
+    [("part", pa.int32()), ("chunk", pa.int32()), ("nth", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())]
 )
 
 
-def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for r in (x for b in batches for i in range(b.num_rows) for x in b.slice(i, 1).to_pylist()):
-        at = np.concatenate([[0], np.cumsum(r["block_bytes"])]).astype(int).tolist()
-        ids = decode_chunk(r["n_ids"], [r["payload"][i:j] for i, j in zip(at[:-1], at[1:])], r["block_crcs"]).astype("<u4")
-        n, border = len(r["doc_ids"]), np.concatenate([[0], np.cumsum(r["doc_sizes"])]).astype(int).tolist()
-        whole = [True] * n
-        whole[0] = r["opens"]
-        whole[-1] = whole[-1] and r["closes"]
-        for i in range(0, n, 2000):
-            k = range(i, min(i + 2000, n))
-            columns = [[r["part"]] * len(k), [r["chunk"]] * len(k), [r["first"] + j for j in k], r["doc_ids"][i : i + 2000], border[i : k.stop],
-                       r["doc_sizes"][i : i + 2000], whole[i : i + 2000], [ids[border[j] : border[j + 1]].tobytes() for j in k]]
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _PIECE_ARROW)], schema=_PIECE_ARROW)
+def _read(bases: dict[int, int], cut: bool):
+    """Decode chunks; hand out their whole documents, or the pieces of those that a border cuts. `bases`: ids before each part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for r in (x for b in batches for i in range(b.num_rows) for x in b.slice(i, 1).to_pylist()):
+            at = np.concatenate([[0], np.cumsum(r["block_bytes"])]).astype(int).tolist()
+            ids = decode_chunk(r["n_ids"], [r["payload"][i:j] for i, j in zip(at[:-1], at[1:])], r["block_crcs"]).astype("<u4")
+            n, border = len(r["doc_ids"]), np.concatenate([[0], np.cumsum(r["doc_sizes"])]).astype(int).tolist()
+            whole = [True] * n
+            whole[0] = r["opens"]
+            whole[-1] = whole[-1] and r["closes"]
+            base = bases[r["part"]] + r["before"]
+            wanted = [j for j in range(n) if whole[j] != cut]
+            for i in range(0, len(wanted), 2000):
+                k = wanted[i : i + 2000]
+                columns = [[r["part"]] * len(k), [r["chunk"]] * len(k), [r["first"] + j for j in k], [r["doc_ids"][j] for j in k], [base + border[j] for j in k],
+                           [r["doc_sizes"][j] for j in k], [ids[border[j] : border[j + 1]].tobytes() for j in k]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _PIECE_ARROW)], schema=_PIECE_ARROW)
+
+    return run
 
 
 def read_ids(spark: SparkSession, folder: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids binary) per document from the files, every block checked.
 
-    `start` counts the ids of all documents before it. Only a document that a chunk's border cuts is
-    put together in a shuffle.
+    `start` counts the ids of all documents before it. A chunk is decoded once; the chunks of a document
+    longer than a chunk are decoded once more, and its pieces alone are put together in a shuffle.
     """
     files = spark.read.schema(FILE_SCHEMA).parquet(folder)
-    chunks = files.select("part", "chunk", F.col("n_ids").cast("long").alias("n"))
-    parts = chunks.groupBy("part").agg(F.sum("n").alias("n"))  # one row per file
-    before = parts.select("part", (F.sum("n").over(W.orderBy("part")) - F.col("n")).alias("_parts"))
-    inside = chunks.select("part", "chunk", (F.sum("n").over(W.partitionBy("part").orderBy("chunk")) - F.col("n")).alias("_chunks"))
-    base = inside.join(before, "part").select("part", "chunk", (F.col("_parts") + F.col("_chunks")).alias("_base"))
-    pieces = files.mapInArrow(_read, PIECE_SCHEMA).join(base, ["part", "chunk"]).withColumn("start", F.col("_base") + F.col("offset"))
-    cut = pieces.where(~F.col("whole")).groupBy("part", "nth").agg(
+    bases, total = {}, 0
+    for r in files.groupBy("part").agg(F.sum("n_ids").alias("n")).orderBy("part").collect():  # one row per file
+        bases[r["part"]] = total
+        total += r["n"]
+    whole = files.mapInArrow(_read(bases, cut=False), PIECE_SCHEMA).select("doc_id", "start", "n_tokens", "ids")
+    pieces = files.where(~F.col("opens") | ~F.col("closes")).mapInArrow(_read(bases, cut=True), PIECE_SCHEMA)
+    cut = pieces.groupBy("part", "nth").agg(
         F.first("doc_id").alias("doc_id"), F.min("start").alias("start"), F.sum("n_tokens").alias("n_tokens"),
         F.array_sort(F.collect_list(F.struct("chunk", "ids"))).alias("p"),
     )
     joined = F.aggregate("p", F.lit(b""), lambda a, x: F.concat(a, x["ids"]))
-    whole = pieces.where("whole").select("doc_id", "start", "n_tokens", "ids")
     return whole.unionByName(cut.select("doc_id", "start", "n_tokens", joined.alias("ids")))

@@ -95,7 +95,7 @@ def test_documents_cut_by_chunk_borders_are_joined(spark, tmp_path, monkeypatch)
     pieces = [(0, 0, 0, 1, 0, 4000, False, ids[:4000]), (0, 1, 0, 1, 0, 4000, False, ids[4000:8000]), (0, 2, 0, 1, 0, 2000, False, ids[8000:])]
     blocks = [range_coder.encode_chunk(p[-1].astype(np.int32)) for p in pieces]
     rows = [
-        (0, c, len(p[-1]), 0, [1], [len(p[-1])], c == 0, c == 2, [len(b) for b in blocks[c][0]], blocks[c][1], b"".join(blocks[c][0]))
+        (0, c, len(p[-1]), 4000 * c, 0, [1], [len(p[-1])], c == 0, c == 2, [len(b) for b in blocks[c][0]], blocks[c][1], b"".join(blocks[c][0]))
         for c, p in enumerate(pieces)
     ]
     spark.createDataFrame(rows, range_coder.FILE_SCHEMA).write.parquet(f"{tmp_path}/ids")
@@ -103,6 +103,23 @@ def test_documents_cut_by_chunk_borders_are_joined(spark, tmp_path, monkeypatch)
     assert (r["start"], r["n_tokens"], zlib.crc32(r["ids"])) == (0, 10_000, zlib.crc32(ids.astype("<u4").tobytes()))
 
 
+def test_only_documents_longer_than_a_chunk_are_cut(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(range_coder, "CHUNK", 1000)
+    docs = spark.createDataFrame([(i, f"w{i} " * n, "x", 1) for i, n in enumerate((300, 300, 900, 20, 2500, 5))], DOCS)
+    batches = docs.select("doc_id", "text").coalesce(1).toArrow().to_batches()
+
+    class Task:
+        partitionId = staticmethod(lambda: 0)
+
+    monkeypatch.setattr(range_coder, "TaskContext", type("C", (), {"get": staticmethod(lambda: Task)}))
+    files = [r for b in range_coder._write(word_bpe(), 2)(iter(batches)) for r in b.to_pylist()]
+    assert all(sum(r["doc_sizes"]) == r["n_ids"] <= 1000 for r in files)
+    assert [r["before"] for r in files] == np.cumsum([0, *[r["n_ids"] for r in files]])[:-1].tolist()
+    cut = {i for r in files for k, i in enumerate(r["doc_ids"]) if (k == 0 and not r["opens"]) or (k == len(r["doc_ids"]) - 1 and not r["closes"])}
+    sizes = {i: sum(n for r in files for j, n in zip(r["doc_ids"], r["doc_sizes"]) if j == i) for i in range(6)}
+    assert cut == {i for i, n in sizes.items() if n > 1000} and 4 in cut
+
+
 @pytest.mark.parametrize("limits", [packing.Limits(), packing.Limits(64, 3, 40), packing.Limits(16, 1, 16)])
 def test_packing_keeps_every_id_once_within_all_limits(spark, limits):
     rng = np.random.default_rng(0)
