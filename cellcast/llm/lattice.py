@@ -260,7 +260,7 @@ def fit_pieces(words: DataFrame, pieces: Pieces, rounds: int = 4, strength: floa
     return pieces
 
 
-def _word_scores(pieces: Pieces, discount: float, n_tokens: int, n_types: int, base_add: float):
+def _word_scores(pieces: Pieces, discount: float, n_tokens: int, n_types: int, base_add: float, base_total: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(pieces)
         for b in batches:
@@ -287,6 +287,7 @@ class LatticeModel:
     n_tokens: int
     end_base: float
     end_score: float
+    end_known: bool  # whether any text trained
 
 
 def fit_lattice(docs: DataFrame, vocabulary: str, max_hot: int = 200_000, max_word_pieces: int = 50_000, base_add: float = 0.1, rounds: int = 4) -> LatticeModel:
@@ -307,13 +308,14 @@ def fit_lattice(docs: DataFrame, vocabulary: str, max_hot: int = 200_000, max_wo
         common = words.where("n > 0").orderBy(F.desc("n"), "word").limit(max_word_pieces).toArrow()  # at most so many words
         pieces = with_words(pieces, common["word"].to_pylist())
         pieces = fit_pieces(words.where("n > 0"), pieces, rounds)
-    scorer = _word_scores(pieces, discount, max(n_tokens, 1), max(n_types, 1), base_add)
+    base_total = n_tokens + base_add * (n_types + 1)
+    scorer = _word_scores(pieces, discount, max(n_tokens, 1), max(n_types, 1), base_add, base_total)
     table = cut_lineage(words.mapInArrow(scorer, "hash long, n long, base double, score double"))
     common = table.orderBy(F.desc("n"), "hash").limit(max_hot).toArrow().sort_by("hash")  # `max_hot` rows at most
     hot = tuple(common[c].to_numpy() for c in ("hash", "n", "base", "score"))
-    end_base = float(np.log10((ends + base_add) / (max(n_tokens, 1) + base_add * (n_types + 1)))) if n_tokens else 0.0
+    end_base = float(np.log10((ends + base_add) / base_total))
     end_score = float(np.log10(max(ends - discount, 0.1) / n_tokens)) if n_tokens else 0.0
-    return LatticeModel(table, hot, n_tokens, end_base, end_score)
+    return LatticeModel(table, hot, n_tokens, end_base, end_score, ends > 0)
 
 
 _PART = "key long, doc_id long, hash long, times long, again array<double>, n_tokens long, n_known long, base double, score double"
@@ -329,7 +331,7 @@ def _own_odds(j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.log10(1 - share), share / (1 - share) / np.maximum(j, 1)
 
 
-def _partial(shared, end_base: float, end_score: float):
+def _partial(shared, end_base: float, end_score: float, end_known: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot, n, base, score = shared.value
         key = TaskContext.get().partitionId() << 40  # with the row's place: the same in a repeated task
@@ -351,7 +353,7 @@ def _partial(shared, end_base: float, end_score: float):
                 size = np.diff(words.first)
                 a, r = at[known], row[known]
                 sums = np.bincount(r, np.log10(10.0 ** score[a] + odds[known]), minlength=rows) + np.bincount(row, left, minlength=rows)
-                total = [size + 1, np.bincount(r, n[a] > 0, minlength=rows).astype(np.int64) + 1, np.bincount(r, base[a], minlength=rows) + end_base,
+                total = [size + 1, np.bincount(r, n[a] > 0, minlength=rows).astype(np.int64) + end_known, np.bincount(r, base[a], minlength=rows) + end_base,
                          sums + end_score + _own_odds(size.astype(float))[0]]
                 none, empty = np.zeros(rows, np.int64), pa.array([[]] * rows, _KINDS["array<double>"])
                 # a text's own row takes part in no word's sum; its key spreads such rows over the join
@@ -377,7 +379,7 @@ def score_lattice(docs: DataFrame, model: LatticeModel) -> DataFrame:
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model.hot)  # bounded by max_hot
-    parts = docs.select("doc_id", "text").mapInArrow(_partial(shared, model.end_base, model.end_score), _PART)
+    parts = docs.select("doc_id", "text").mapInArrow(_partial(shared, model.end_base, model.end_score, model.end_known), _PART)
     look = model.table.select("hash", F.col("n").alias("w_n"), F.col("base").alias("w_base"), F.col("score").alias("w_score"))
     t = F.col("times")
     once = F.when((t > 0) & F.col("w_n").isNotNull(), F.col("w_score") + F.aggregate("again", F.lit(0.0), lambda a, x: a + F.log10(F.pow(F.lit(10.0), F.col("w_score")) + x)))

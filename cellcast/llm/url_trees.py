@@ -104,20 +104,23 @@ def lexical_features(urls: DataFrame) -> DataFrame:
 
 
 def suffix_statistics(df: DataFrame) -> DataFrame:
-    """(_suffix, log of the number of URLs, smoothed share of blocked ones among the labelled) over all URLs.
+    """(_suffix, log of the number of URLs, number of blocked and of labelled ones) over all URLs.
 
     Counted with map-side sums, so a suffix that holds most URLs costs no more than another.
     """
-    block = F.sum(F.when(F.col("label") == 1.0, 1).otherwise(0))
-    known = F.count("label")
     return df.groupBy("_suffix").agg(
-        F.log1p(F.count(F.lit(1))).alias("suffix_log_count"), ((block + 1.0) / (known + 2.0)).alias("suffix_block_rate")
+        F.log1p(F.count(F.lit(1))).alias("suffix_log_count"), F.count_if(F.col("label") == 1.0).alias("_blocked"), F.count("label").alias("_known")
     )
 
 
 def with_suffixes(df: DataFrame, stats: DataFrame) -> DataFrame:
+    """`df` with its suffix's count and smoothed share of blocked URLs; a labelled row's own label is left out of the share."""
     # suffixes are never null; a hot one is left to adaptive execution, which splits its partition
-    return df.join(stats, "_suffix", "left")
+    joined = df.join(stats, "_suffix", "left")
+    own, mine = (F.col("label").isNotNull(), F.col("label") == 1.0) if "label" in df.columns else (F.lit(False), F.lit(False))
+    number = lambda c: F.when(c, 1).otherwise(0)
+    rate = (F.col("_blocked") - number(mine) + 1.0) / (F.col("_known") - number(own) + 2.0)
+    return joined.withColumn("suffix_block_rate", rate).drop("_blocked", "_known")
 
 
 @dataclass
@@ -136,17 +139,16 @@ class UrlModel:
 
 
 def fit_url_trees(labelled: DataFrame, max_rows: int = 20_000, rounds: int = 20, depth: int = 4, seed: int = 7) -> UrlModel:
-    """Boosted trees on at most about `max_rows` labelled rows (label 1: block), picked by a hash of the key."""
+    """Boosted trees on at most `max_rows` labelled rows (label 1: block), those with the smallest hash of key and URL."""
     n = {r["label"]: r["n"] for r in labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(n.values())
     if len(n) < 2:
         return UrlModel(None, float(next(iter(n), 0.0)))
-    share = min(1.0, max_rows / total)
-    rows = labelled.where(F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
+    rows = labelled.orderBy(F.xxhash64("key", "url")).limit(max_rows)
     # both classes weigh the same: rules or labels rarely have the shares of the URLs they are meant for
     rows = rows.withColumn("_weight", F.when(F.col("label") == 1.0, total / (2.0 * n[1.0])).otherwise(total / (2.0 * n[0.0])))
     ready = VectorAssembler(inputCols=FEATURES, outputCol="_features", handleInvalid="keep").transform(rows).select("_features", "label", "_weight")
-    ready = ready.coalesce(4).cache()
+    ready = ready.repartition(4).cache()
     try:
         if ready.select("label").distinct().count() < 2:
             return UrlModel(None, n.get(1.0, 0) / total)

@@ -249,3 +249,41 @@ def test_word_probabilities_sum_to_at_most_one(spark):
     model = lattice.fit_lattice(docs, public_tokenizers.path("piece_bpe_32k.model"), rounds=1)
     p = [10 ** r["score"] for r in model.table.collect()]
     assert sum(p) + 10**model.end_score < 1
+
+
+def test_lattice_without_training_rows_knows_nothing(spark):
+    import public_tokenizers
+
+    docs = spark.createDataFrame([(1, "the house the", False), (2, "", False)], "doc_id BIGINT, text STRING, train BOOLEAN")
+    model = lattice.fit_lattice(docs.select("text", "train"), public_tokenizers.path("piece_bpe_32k.model"))
+    got = {r["doc_id"]: r for r in lattice.score_lattice(documents(docs), model).collect()}
+    for i, n in ((1, 4), (2, 1)):
+        assert (got[i]["n_tokens"], got[i]["n_known"], got[i]["train_tokens"], got[i]["base_score"]) == (n, 0, 0, 0.0)
+
+
+def test_url_sample_is_bounded_when_keys_are_null_or_equal(spark, monkeypatch):
+    sizes = []
+
+    class Trees:
+        def __init__(self, **_):
+            pass
+
+        def fit(self, ready):
+            sizes.append(ready.count())
+
+    monkeypatch.setattr(url_trees, "GBTClassifier", Trees)
+    urls = [(None if i % 3 else 7, f"http://h{i % 11}.{'com' if i % 2 else 'net'}/{i}") for i in range(900)]
+    rows = url_trees.lexical_features(spark.createDataFrame(urls, "key BIGINT, url STRING")).withColumn("label", (F.col("host").endswith("net")).cast("double"))
+    url_trees.fit_url_trees(url_trees.with_suffixes(rows, url_trees.suffix_statistics(rows)), max_rows=60)
+    assert sizes == [60]
+
+
+def test_a_suffix_seen_once_does_not_reveal_its_label(spark):
+    urls = [(i, f"http://x.one{i}/", float(i % 2)) for i in range(10)] + [(i, "http://x.many/", 1.0) for i in range(10, 30)]
+    frame = spark.createDataFrame(urls, "key BIGINT, url STRING, label DOUBLE")
+    rows = url_trees.lexical_features(frame)
+    stats = url_trees.suffix_statistics(rows)
+    got = {r["key"]: r["suffix_block_rate"] for r in url_trees.with_suffixes(rows, stats).collect()}
+    assert {got[i] for i in range(10)} == {0.5} and got[20] == pytest.approx(20 / 21)
+    plain = {r["key"]: r["suffix_block_rate"] for r in url_trees.with_suffixes(rows.drop("label"), stats).collect()}
+    assert plain[0] == pytest.approx(1 / 3) and plain[1] == pytest.approx(2 / 3) and plain[20] == pytest.approx(21 / 22)
