@@ -654,3 +654,25 @@ def test_far_and_near_sites_snap_like_brute_force(spark):
     for i, la, lo, b in sites:
         near = min((km(la, lo, y, x) for _, _, _, y, x, basin in river if basin == b), default=None)
         assert found[i] == (pytest.approx(near, abs=1e-5) if near is not None else None)
+
+
+def test_empty_tables_give_empty_results(spark):
+    none = lambda schema: spark.createDataFrame([], schema)
+    cells = none("grow INT, gcol INT, value DOUBLE")
+    assert graph.connected_components(cells).count() == 0
+    assert graph.peel_rounds(none("cell_id BIGINT, next_id BIGINT")).count() == 0
+    assert grids.smooth_exp(cells, []).count() == 0 and grids.nan_aware_gaussian(cells, [], 1.0, 1.0).count() == 0
+    assert spatial.ring_shares(none("box_id INT, xs ARRAY<DOUBLE>, ys ARRAY<DOUBLE>")).count() == 0
+    edges = none("polygon_id INT, x0 DOUBLE, y0 DOUBLE, x1 DOUBLE, y1 DOUBLE")
+    assert rings.points_in_polygons(none("point_id INT, lat DOUBLE, lon DOUBLE"), edges).count() == 0
+    rows = none(ANNUAL)
+    assert decadal.slopes(rows, [2020, 2030], 2020).count() == decadal.ols_slope(rows, [2020, 2030], 2020).count() == 0
+    assert delivery.fuzzy_match(none("name STRING"), none("entry STRING")).count() == 0
+    assert compare.ks_statistic(none("old_value DOUBLE, new_value DOUBLE")).collect()[0]["p_value"] is None
+
+
+def test_rings_without_area_or_corners_cover_nothing(spark):
+    flat = [(1, [0.0, 1.0, 2.0], [5.0, 5.0, 5.0]), (2, [3.0], [3.0]), (3, [], []), (4, None, None), (5, [0.0, 1.0, 1.0, 0.0], [0.0, 0.0, 1.0, 1.0])]
+    frame = spark.createDataFrame(flat, "box_id INT, xs ARRAY<DOUBLE>, ys ARRAY<DOUBLE>")
+    got = spatial.ring_shares(frame).groupBy("box_id").agg(F.sum("w").alias("w")).collect()
+    assert [(r["box_id"], r["w"]) for r in got] == [(5, 4.0)]
