@@ -40,7 +40,7 @@ def layer_sql(src, central="median", mode="pool_all", rank="two_tier", side="<="
         pct = f"CASE WHEN t.zero / t.n >= 0.02 THEN {two} ELSE {one} END"
     pct = f"CASE WHEN p.median IS NOT NULL AND t.n > 0 THEN {pct} END"
     if higher:
-        pct = f"greatest(1, least(100, 101 - ({pct})))"
+        pct = f"CASE WHEN p.median IS NOT NULL AND t.n > 0 THEN greatest(1, least(100, 101 - ({pct}))) END"
     return f"""
     WITH {extra} la AS (SELECT *, {value} AS v FROM {src}),
     lp AS (SELECT *, CAST(CASE WHEN year BETWEEN 1995 AND 1996 THEN 1995 WHEN year BETWEEN 1997 AND 1998 THEN 1997 WHEN year BETWEEN 1999 AND 2000 THEN 1999 ELSE 2001 END AS INT) AS decade FROM la WHERE year BETWEEN 1995 AND 2002),
@@ -421,10 +421,10 @@ SQL["pearson"] = """
 
 
 @query("h19_flood_frequency_shift", f"""
-    WITH RECURSIVE {gamma_quantiles_sql("SELECT DISTINCT a FROM pearson WHERE NOT late", "(0.05), (0.95)", 3000)},
+    WITH RECURSIVE {gamma_quantiles_sql("SELECT DISTINCT a FROM pearson WHERE NOT late", "(0.05), (0.95)", 20_000)},
     v AS (SELECT h.cell_id, h.m + h.s * h.sgn * (g.x - h.a) / sqrt(h.a) AS volume FROM pearson h JOIN gammaquant g ON g.a = h.a AND g.q = CASE WHEN h.sgn > 0 THEN 0.95 ELSE 0.05 END WHERE NOT late),
     z AS (SELECT f.cell_id, f.sgn, f.a, greatest(f.a + (v.volume - f.m) / f.s * sqrt(f.a) * f.sgn, 1e-300) AS x FROM pearson f JOIN v ON v.cell_id = f.cell_id WHERE late)
-    SELECT cell_id, round(1 / greatest(CASE WHEN sgn > 0 THEN 1 - {gamma_below_sql("a", "x", 3000)} ELSE {gamma_below_sql("a", "x", 3000)} END, 1e-4), 4) AS new_period FROM z""")
+    SELECT cell_id, round(1 / greatest(CASE WHEN sgn > 0 THEN 1 - {gamma_below_sql("a", "x", 20_000)} ELSE {gamma_below_sql("a", "x", 20_000)} END, 1e-4), 4) AS new_period FROM z""")
 def h19(spark, sf):
     """Periods beyond 10,000 are shown as that."""
     h, f = _peaks(spark, sf)
@@ -462,11 +462,13 @@ def _prices(spark, sf):
           WINDOW a AS (PARTITION BY cell_id ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), b AS (PARTITION BY cell_id ORDER BY day ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
     f AS (SELECT cell_id, day, coalesce(value, va + (vb - va) / (db - da) * (day - da)) AS value FROM k),
     w AS (SELECT *, value - lag(value, 5) OVER o AS lag_difference, (lead(value, 5) OVER o - value) / nullif(value, 0) AS ahead_change FROM f WINDOW o AS (PARTITION BY cell_id ORDER BY day))
-    SELECT cell_id, day, round(value, 7) AS value, round(lag_difference, 7) AS lag_difference, round(ahead_change, 9) AS ahead_change, CAST(month(day) AS DOUBLE) AS month, year(day) <= 1999 AS train, year(day) >= 2000 AS holdout FROM w""")
+    SELECT cell_id, day, round(value + 1.234567e-5, 4) AS value, round(lag_difference + 1.234567e-5, 4) AS lag_difference, round(ahead_change, 9) AS ahead_change, CAST(month(day) AS DOUBLE) AS month, year(day) <= 1999 AS train, year(day) >= 2000 AS holdout FROM w""")
 def h20_features(spark, sf):
     """What the price model learns from and is held against."""
-    p = _prices(spark, sf).select("cell_id", "day", "value", "lag_difference", "ahead_change", "month", (F.year("day") <= 1999).alias("train"), (F.year("day") >= 2000).alias("holdout"))
-    return rounded(rounded(p, "value", "lag_difference", n=7), "ahead_change", n=9)
+    # means of cents often end in a tie; a shift keeps them off the rounding's edge
+    off = {c: F.col(c) + 1.234567e-5 for c in ("value", "lag_difference")}
+    p = _prices(spark, sf).withColumns(off).select("cell_id", "day", "value", "lag_difference", "ahead_change", "month", (F.year("day") <= 1999).alias("train"), (F.year("day") >= 2000).alias("holdout"))
+    return rounded(rounded(p, "value", "lag_difference", n=4), "ahead_change", n=9)
 
 
 @query("h20_price_model")

@@ -154,10 +154,19 @@ def a23_outliers(spark, sf):
 
 
 @query("a23_ks_statistic", """
-    WITH v AS (SELECT old_value AS v FROM index_pair WHERE old_value IS NOT NULL UNION SELECT new_value FROM index_pair WHERE new_value IS NOT NULL),
-    k AS (SELECT max(abs((SELECT count(*) FROM index_pair WHERE old_value <= v) / (SELECT count(old_value) FROM index_pair) - (SELECT count(*) FROM index_pair WHERE new_value <= v) / (SELECT count(new_value) FROM index_pair))) AS d FROM v),
-    s AS (SELECT d, d * d * count(old_value) * count(new_value) / (count(old_value) + count(new_value)) AS q FROM k, index_pair GROUP BY d)
-    SELECT round(d, 6) AS ks_statistic, round(CASE WHEN q < 0.04 THEN 1e0 ELSE least(1, greatest(0, 2 * (SELECT sum(CASE WHEN i % 2 = 1 THEN 1e0 ELSE -1e0 END * exp(-2 * i * i * q)) FROM range(1, 101) t(i)))) END, 6) AS p_value FROM s""")
+    WITH RECURSIVE v AS (SELECT old_value AS v FROM index_pair WHERE old_value IS NOT NULL UNION SELECT new_value FROM index_pair WHERE new_value IS NOT NULL),
+    c AS (SELECT CAST(count(old_value) AS BIGINT) AS n, CAST(count(new_value) AS BIGINT) AS m FROM index_pair),
+    k AS (SELECT n, m, max(abs((SELECT count(*) FROM index_pair WHERE old_value <= v) / n - (SELECT count(*) FROM index_pair WHERE new_value <= v) / m)) AS d FROM v, c GROUP BY 1, 2),
+    s AS (SELECT *, d * d * n * m / (n + m) AS q, round(d * n * m) AS far FROM k),
+    -- share of the orders of i and j values that have kept within the distance
+    lattice AS (
+        SELECT 0 AS i, 0 AS j, 1e0 AS p, n, m, far FROM s WHERE n * m <= 10000
+        UNION ALL
+        SELECT i, j, sum(p) AS p, n, m, far FROM (
+            SELECT i + 1 AS i, j, p * (i + 1) / (i + 1 + j) AS p, n, m, far FROM lattice UNION ALL SELECT i, j + 1, p * (j + 1) / (i + j + 1), n, m, far FROM lattice) l
+        WHERE i <= n AND j <= m AND abs(i * m - j * n) < far GROUP BY i, j, n, m, far)
+    SELECT round(d, 6) AS ks_statistic, round(CASE WHEN n * m <= 10000 THEN 1 - coalesce((SELECT max(p) FROM lattice l WHERE l.i = s.n AND l.j = s.m), 0)
+        WHEN q < 0.04 THEN 1e0 ELSE least(1, greatest(0, 2 * (SELECT sum(CASE WHEN i % 2 = 1 THEN 1e0 ELSE -1e0 END * exp(-2 * i * i * q)) FROM range(1, 101) t(i)))) END, 6) AS p_value FROM s""")
 def a23_ks(spark, sf):
     return rounded(compare.ks_statistic(pair(spark, sf)), "ks_statistic", "p_value")
 
