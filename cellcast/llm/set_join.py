@@ -208,16 +208,21 @@ def _verified(pairs: DataFrame, sets: DataFrame, sim: Similarity) -> DataFrame:
 
 
 def _still_open(postings: DataFrame) -> DataFrame:
-    """Rows of the lists in which more than one component meets."""
-    mixed = postings.groupBy("token").agg(F.min("label").alias("_x"), F.max("label").alias("_y")).where("_x <> _y").select("token")
-    return postings.join(mixed, "token", "left_semi")
+    """Rows of the lists in which more than one component meets. Only lists beyond SUBLIST rows are reduced first and then met again."""
+    least, most = F.min("label"), F.max("label")
+    whole = W.partitionBy("token")
+    short = postings.where(F.col("n") <= SUBLIST).withColumn("_open", least.over(whole) != most.over(whole)).where("_open").drop("_open")
+    long = postings.where(F.col("n") > SUBLIST)
+    mixed = long.groupBy("token").agg(least.alias("_x"), most.alias("_y")).where("_x <> _y").select("token")
+    return short.unionByName(long.join(mixed, "token", "left_semi"))
 
 
 def _probe_pairs(postings: DataFrame, sim: Similarity, turn: int, orders: int, reach: int) -> DataFrame:
-    """A few pairs of each list: every row with the next ones in a random order, in sublists of bounded size."""
-    n = F.count(F.lit(1)).alias("_n")
-    sizes = postings.groupBy("token").agg(n)
-    cut = postings.join(sizes, "token").withColumn("_sub", F.pmod(F.xxhash64(F.lit(turn), "c"), F.ceil(F.col("_n") / SUBLIST)))
+    """A few pairs of each list: every row with the next ones in a random order, in sublists of bounded size.
+
+    `n` is the list's length at first, so the sublists of a list only become shorter.
+    """
+    cut = postings.withColumn("_sub", F.pmod(F.xxhash64(F.lit(turn), "c"), F.ceil(F.col("n") / SUBLIST)))
     order = W.partitionBy("token", "_sub").orderBy(F.xxhash64(F.lit(turn), F.pmod("token", F.lit(orders)), "c"), "c")
     me = F.struct("c", "size", "pos", "label")
     seen = cut.select("token", me.alias("x"), *[F.lead(me, k).over(order).alias(f"y{k}") for k in range(1, reach + 1)])
@@ -241,7 +246,7 @@ def _with_partners(postings: DataFrame, sim: Similarity) -> DataFrame:
     earlier = F.max("_most").over(order.rowsBetween(W.unboundedPreceding, -1)) >= F.col("size")
     later = F.lead("size").over(order) <= F.col("_most")
     short = rows.where(F.col("n") <= SUBLIST).withColumn("_any", F.coalesce(earlier, F.lit(False)) | F.coalesce(later, F.lit(False)))
-    return short.where("_any").drop("_any", "_most", "n").unionByName(rows.where(F.col("n") > SUBLIST).drop("_most", "n"))
+    return short.where("_any").drop("_any", "_most").unionByName(rows.where(F.col("n") > SUBLIST).drop("_most"))
 
 
 def _remaining_pairs(postings: DataFrame, sets: DataFrame, sim: Similarity) -> DataFrame:
@@ -360,6 +365,7 @@ def _joined(docs: DataFrame, sim: Similarity, id_col: str, text_col: str, counte
     found = _texts_of(rows, wanted)
     full = cut_lineage(found.mapInArrow(_full_sets(sim.words), "c long, s array<long>, bits array<long>").dropDuplicates(["c"]))
     drop_stages(wanted)
+    staged, postings = postings, postings.select("token", "c", "size", "pos", "label", "n")  # ids and hashes do not travel with the rounds
     labels = None
     for turn, probe in enumerate([*PROBES, None]):
         pairs = _probe_pairs(postings, sim, turn, *probe) if probe else _remaining_pairs(postings, full, sim)
@@ -373,7 +379,7 @@ def _joined(docs: DataFrame, sim: Similarity, id_col: str, text_col: str, counte
         labels = merged if before is None else cut_lineage(relabel(before, "label", merged).unionByName(merged.join(before, "node", "left_anti")))
         if probe:
             postings = cut_lineage(_still_open(relabel(lists, "label", merged)))
-        drop_stages(pairs, before, lists, merged if before is not None else None)
+        drop_stages(pairs, before, lists, staged, merged if before is not None else None)
     drop_stages(full)
     named = relabel(classes.withColumn("label", F.col("c")), "label", labels)
     smallest = named.groupBy("label").agg(F.min("least_id").alias("component_id"))
