@@ -272,7 +272,7 @@ def _word_scores(pieces: Pieces, discount: float, n_tokens: int, n_types: int, b
             with np.errstate(divide="ignore"):
                 own = np.log(np.maximum(n - discount, 0) / n_tokens)
             score = np.logaddexp(own, np.log(discount * n_types / n_tokens) + log_p) / np.log(10)
-            base = np.log10((n + base_add) / (n_tokens + base_add * (n_types + 1)))
+            base = np.log10((n + base_add) / base_total)
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n), pa.array(base), pa.array(score)], names=["hash", "n", "base", "score"])
 
     return run
