@@ -6,6 +6,7 @@ import collections
 import itertools
 import math
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -152,6 +153,32 @@ def test_quality_counts_and_verdicts(spark):
     assert all(r["in_target"] for r in target_ratio.score_ratio(docs, nothing).collect())
 
 
+def test_every_trusted_document_counts_and_sets_the_threshold(spark):
+    rng = np.random.default_rng(5)
+    texts = {i: " ".join(f"w{k}" for k in rng.integers(0, 30 if i % 3 else 60, 12)) for i in range(90)}
+    ids = [i for i in texts if i % 3]
+    docs = spark.createDataFrame([*texts.items(), (None, "w1 w2"), (900, "")], "doc_id BIGINT, text STRING").repartition(5)
+    trusted = spark.createDataFrame([(i,) for i in [*ids, 1, None, 900, 901]], "doc_id BIGINT")
+    model = target_ratio.fit_ratio(docs, trusted, bins=32)
+
+    def bins_of(text):
+        raw = np.frombuffer(text.encode(), np.uint8)
+        return target_ratio._bins(target_ratio.find_words(raw, np.array([0, len(raw)])), 32)[0]
+
+    count = lambda some: sum((np.bincount(bins_of(t), minlength=32) for t in some), np.zeros(32))
+    raw = count([*texts.values(), "w1 w2"])
+    prior = (raw + 1) / (raw.sum() + 32)
+
+    def weights(some):
+        n = count(some)
+        return np.log((n + 32 * prior) / (n.sum() + 32)) - np.log(prior)
+
+    assert model.weights == pytest.approx(weights([texts[i] for i in ids]))
+    part = {i: zlib.crc32(str(i).encode()) % 5 for i in ids}
+    scores = [weights([texts[k] for k in ids if part[k] != part[i]])[bins_of(texts[i])].mean() for i in ids]
+    assert model.threshold == pytest.approx(np.mean(scores) - 3 * np.std(scores))
+
+
 # Toxicity -----------------------------------------------------------------------------------
 
 
