@@ -98,11 +98,19 @@ def stream_histogram(stream: DataFrame, key: Sequence[str] = ("cell_id",)) -> Da
     return stream.where(F.col("value") >= WET_DAY_MM).groupBy(*key, log_bin().alias("bin")).agg(F.count("*").alias("n"))
 
 
+#: Cells of one member whose series share a state and a call, as a power of two; and the days between two of them.
+_CELL_BITS, _APART = 6, 1 << 40
+
+
 def _five_day_sums(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Sums completed by the new days. State: borders of the stretches seen so far, and the days within four of a border."""
+    """Sums completed by the new days. State: borders of the stretches seen so far, and the days within four of a border.
+
+    The series of a block of cells lie one after the other on one axis of days, too far apart to touch.
+    """
     starts, ends, kept, held = (np.array(x, t) for x, t in zip(state.get if state.exists else ([],) * 4, ("int64",) * 3 + ("float64",)))
-    new = pd.concat([f[["day_number", "value"]] for f in frames]).drop_duplicates("day_number").sort_values("day_number")
-    day, value = new["day_number"].to_numpy("int64"), new["value"].to_numpy("float64")
+    new = pd.concat([f[["place", "day_number", "value"]] for f in frames])
+    day, first = np.unique(new["place"].to_numpy("int64") * _APART + new["day_number"].to_numpy("int64"), return_index=True)
+    value = new["value"].to_numpy("float64")[first]
     if len(starts):
         at = np.searchsorted(starts, day, side="right") - 1
         unseen = (at < 0) | (day > ends[np.maximum(at, 0)])
@@ -113,24 +121,23 @@ def _five_day_sums(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState
     i = np.arange(4, len(days))
     full = i[(days[i] - days[i - 4] == 4) & np.logical_or.reduce([fresh[i - k] for k in range(5)])] if len(i) else i
     sums = sum(values[full - k] for k in range(5)) if len(full) else np.zeros(0)
-    # the stretches seen, merged where they touch
-    edges = sorted([*zip(starts.tolist(), ends.tolist()), *((d, d) for d in day.tolist())])
-    merged: list[list[int]] = []
-    for a, z in edges:
-        if merged and a <= merged[-1][1] + 1:
-            merged[-1][1] = max(merged[-1][1], z)
-        else:
-            merged.append([a, z])
-    if merged:
-        starts, ends = np.array(merged, "int64").T
+    # the stretches seen, merged where they touch: none overlap, as the new days are unseen
+    begin, end = np.concatenate([starts, day]), np.concatenate([ends, day])
+    if len(begin):
+        order = np.argsort(begin)
+        begin, end = begin[order], end[order]
+        gap = np.flatnonzero(begin[1:] > end[:-1] + 1)
+        starts, ends = begin[np.concatenate([[0], gap + 1])], end[np.concatenate([gap, [len(end) - 1]])]
         at = np.searchsorted(starts, days, side="right") - 1
         near = (days < starts[at] + 4) | (days > ends[at] - 4)
         state.update((starts.tolist(), ends.tolist(), days[near].tolist(), values[near].tolist()))
+    place = (days[full] + _APART // 2) // _APART  # days before 1970 are negative
     yield pd.DataFrame(
         {
             "member": np.full(len(full), key[0], dtype=object),
-            "cell_id": np.full(len(full), key[1], dtype="int64"),
-            "day_number": days[full],
+            "block": pd.array(np.full(len(full), key[1], dtype=object), dtype="Int64"),
+            "place": place,
+            "day_number": days[full] - place * _APART,
             "sum5": sums,
         }
     )
@@ -141,15 +148,21 @@ def stream_five_day_sums(stream: DataFrame) -> DataFrame:
 
     A sum is emitted once, when the last of its five days arrives. The state keeps the four days on
     either side of every border of the stretches seen, so it is small while the series has few gaps.
+    Neighbouring cells share a state and a call, whose overhead would else outweigh a cell's few days.
     """
-    keyed = stream.select("member", "cell_id", F.unix_date("day").cast("long").alias("day_number"), "value")
-    return keyed.groupBy("member", "cell_id").applyInPandasWithState(
+    cell = F.col("cell_id").cast("long")
+    place = F.coalesce(cell.bitwiseAND((1 << _CELL_BITS) - 1), F.lit(0))
+    keyed = stream.select(
+        "member", F.shiftright(cell, _CELL_BITS).alias("block"), place.alias("place"), F.unix_date("day").cast("long").alias("day_number"), "value"
+    )
+    sums = keyed.groupBy("member", "block").applyInPandasWithState(
         _five_day_sums,
-        "member STRING, cell_id BIGINT, day_number BIGINT, sum5 DOUBLE",
+        "member STRING, block BIGINT, place BIGINT, day_number BIGINT, sum5 DOUBLE",
         "starts ARRAY<BIGINT>, ends ARRAY<BIGINT>, days ARRAY<BIGINT>, day_values ARRAY<DOUBLE>",
         "append",
         GroupStateTimeout.NoTimeout,
     )
+    return sums.select("member", (F.shiftleft("block", _CELL_BITS) + F.col("place")).alias("cell_id"), "day_number", "sum5")
 
 
 def rx5day_from_sums(sums: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cellcast.operators import daily as D
-from cellcast.session import scratch_folder
+from cellcast.session import cut_lineage, scratch_folder
 from cellcast.streaming import incremental
 from querybook.common import rounded
 from querybook.layers import annual_panel
@@ -206,19 +206,22 @@ def q5(spark, sf):
 
 
 def _chunks(spark, sf, repeated=False):
-    """The daily series written as one file per third of the month, in time order; optionally twice."""
+    """The daily series written as a set of files per third of the month, in time order; optionally twice.
+
+    A micro-batch takes as many files as a third has, whatever the number of tasks that wrote them.
+    """
     folder = scratch_folder(spark, "chunks")
     d = daily(spark, sf).select(
         F.concat(F.lit("c"), F.floor((F.dayofmonth("day") - 1) / 10).cast("string")).alias("chunk_id"),
         "member", "cell_id", "day", "value",
     )
+    d = cut_lineage(d)
     # file modification times order the chunks, so each is written in turn
-    for name in ("c0", "c1", "c2"):
-        part = d.where(F.col("chunk_id") == name)
-        part.write.mode("append").parquet(folder)
-        if repeated:
-            part.write.mode("append").parquet(folder)
-    return incremental.read_chunks(spark, folder, files_per_trigger=8)
+    names = [name for name in ("c0", "c1", "c2") for _ in range(2 if repeated else 1)]
+    for name in names:
+        d.where(F.col("chunk_id") == name).write.mode("append").parquet(folder)
+    files = len(spark.read.schema(incremental.CHUNK_SCHEMA).parquet(folder).inputFiles())
+    return incremental.read_chunks(spark, folder, files_per_trigger=max(1, -(-files // len(names))))
 
 
 def _run(spark, stream, mode="update"):

@@ -7,16 +7,20 @@ import hashlib
 import itertools
 import math
 import random
+import tracemalloc
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from cellcast.functions import scalar
 from cellcast.functions.vectorized import _bracketed_median, gamma_ppf, log_gamma, pair_slope_medians, pearson3_exceedance, pearson3_quantile, regularized_gamma
-from cellcast.operators import compare, decadal, delivery, events, filters, graph, grids, portfolio, ranks, recompute, rings, spatial
+from cellcast.operators import compare, decadal, delivery, events, filters, graph, grids, portfolio, ranks, recompute, rings, spatial, tiles
 from cellcast.operators.ranking import cumulative_counts, exact_quantiles
 from cellcast.operators.tiles import Tiling
+from cellcast.plans import hazards
 from cellcast.plans.layer import LayerSpec, build_layer
 from cellcast.plans.models import kendall, kendall_p, pearson3_parameters, shifted_periods
 from cellcast.sources import sinks
@@ -518,6 +522,34 @@ def test_five_day_sums_of_chunks_in_any_order(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/out").count() == 35
 
 
+def test_cells_of_a_block_share_a_state_and_keep_their_own_series(spark, tmp_path):
+    cells = [None, -70, -1, 0, 1, 63, 64, 4_000_000_000_000]
+    rows = [(f"c{d // 4}", m, c, datetime.date(1970, 1, 1) + datetime.timedelta(days=d - 6), float(d * d + i)) for m in ("m", "n") for i, c in enumerate(cells) for d in range(12) if d != i]
+    for name in ("c2", "c0", "c1"):
+        spark.createDataFrame([r for r in rows if r[0] == name], incremental.CHUNK_SCHEMA).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = incremental.stream_five_day_sums(incremental.read_chunks(spark, f"{tmp_path}/in"))
+    incremental.run_to_end(stream, f"{tmp_path}/out", f"{tmp_path}/cp", "append")
+    got = [(r["member"], r["cell_id"], r["day_number"], r["sum5"]) for r in spark.read.parquet(f"{tmp_path}/out").collect()]
+    full = [(m, c, i, d) for m in ("m", "n") for i, c in enumerate(cells) for d in range(4, 12) if not d - 4 <= i <= d]
+    assert sorted(got, key=str) == sorted([(m, c, d - 6, float(sum((d - k) ** 2 + i for k in range(5)))) for m, c, i, d in full], key=str)
+
+
+def test_a_micro_batch_takes_a_chunk_whatever_its_files(spark, tmp_path):
+    from querybook.daily_metrics import st2
+
+    start = datetime.datetime(2024, 1, 1)
+    events_ = [(u, "view", start + datetime.timedelta(days=d), float(u + d)) for u in range(40) for d in range(30)]
+    spark.createDataFrame(events_, "user_id BIGINT, event_type STRING, ts TIMESTAMP, value DOUBLE").write.parquet(f"{tmp_path}/events.parquet")
+    made = []
+    real = incremental.run_to_end
+    try:
+        incremental.run_to_end = lambda stream, output, *rest: (made.append(output), real(stream, output, *rest))[1]
+        assert st2(spark, str(tmp_path)).count() == 14
+    finally:
+        incremental.run_to_end = real
+    assert len(list(Path(made[0].removeprefix("file:")).glob("batch=*"))) == 3
+
+
 def star(n, cx, cy, big, small, seed, snap=7):
     """A ring of n corners around (cx, cy), every `snap`-th on grid lines."""
     rng = np.random.default_rng(seed)
