@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Array elements of one stack of tiles.
-_STACK = 1 << 20
+_STACK = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -74,13 +74,7 @@ Kernel = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], list[np.ndar
 def _stacks(batch: pa.RecordBatch, tiling: Tiling) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """(first tile, tile rows, sums, existing rows, values) for stacks of a batch's tiles, halo included."""
     points = batch.column("_points")
-    flat = points.flatten()
-    r, c = (flat.field(n).to_numpy(zero_copy_only=False).astype(np.int64) for n in ("r", "c"))
-    value = flat.field("v")
-    have = value.is_valid().to_numpy(zero_copy_only=False)
-    v = np.where(have, value.fill_null(0.0).to_numpy(zero_copy_only=False), 0.0)
     tr, tc = (batch.column(n).to_numpy().astype(np.int64) for n in ("_tr", "_tc"))
-    border = np.concatenate([[0], np.cumsum(points.value_lengths().to_numpy())])
     high, wide = tiling.height + 2 * tiling.halo_rows, tiling.full_width + 2 * tiling.halo_cols
     step = max(1, _STACK // (high * wide))
     turns = [0]
@@ -89,19 +83,25 @@ def _stacks(batch: pa.RecordBatch, tiling: Tiling) -> Iterator[tuple[np.ndarray,
         turns = list(range(-most, most + 1))
     for i in range(0, len(points), step):
         j = min(len(points), i + step)
-        here = slice(border[i], border[j])
-        tile = np.repeat(np.arange(i, j), np.diff(border[i : j + 1]))
-        y = r[here] - tr[tile] * tiling.height + tiling.halo_rows
+        # only a stack's points are ever unpacked, however many tiles a batch brings
+        some = points.slice(i, j - i)
+        flat = some.flatten()
+        r, c = (flat.field(n).to_numpy(zero_copy_only=False).astype(np.int64) for n in ("r", "c"))
+        value = flat.field("v")
+        have = value.is_valid().to_numpy(zero_copy_only=False)
+        v = np.where(have, value.fill_null(0.0).to_numpy(zero_copy_only=False), 0.0)
+        tile = np.repeat(np.arange(i, j), some.value_lengths().to_numpy())
+        y = r - tr[tile] * tiling.height + tiling.halo_rows
         left = tiling.first_col(tc[tile]) - tiling.halo_cols
         room = tiling.last_col(tc[tile]) - left + tiling.halo_cols
         sums, rows, values = (np.zeros((j - i, high, wide)) for _ in range(3))
         for turn in turns:
-            x = c[here] - left + turn * (tiling.n_cols or 0)
+            x = c - left + turn * (tiling.n_cols or 0)
             ok = (x >= 0) & (x < room) & (y >= 0) & (y < high)
             at = (tile[ok] - i, y[ok], x[ok])
-            np.add.at(sums, at, v[here][ok])
+            np.add.at(sums, at, v[ok])
             np.add.at(rows, at, 1.0)
-            np.add.at(values, at, have[here][ok].astype(float))
+            np.add.at(values, at, have[ok].astype(float))
         yield i, tr[i:j], sums, rows, values
 
 

@@ -550,6 +550,20 @@ def test_a_micro_batch_takes_a_chunk_whatever_its_files(spark, tmp_path):
     assert len(list(Path(made[0].removeprefix("file:")).glob("batch=*"))) == 3
 
 
+def test_points_of_a_batch_of_tiles_are_unpacked_a_stack_at_a_time():
+    n, per = 2000, 36 * 36
+    r, c = (x.ravel().astype(np.int32) for x in np.mgrid[-2:34, -2:34])
+    flat = pa.StructArray.from_arrays([pa.array(np.tile(r, n)), pa.array(np.tile(c, n)), pa.array(np.arange(n * per) % 11, pa.float64())], ["r", "c", "v"])
+    points = pa.ListArray.from_arrays(np.arange(0, n * per + 1, per, dtype=np.int32), flat)
+    zeros = pa.array(np.zeros(n, np.int32))
+    batch = pa.RecordBatch.from_arrays([zeros, zeros, points], names=["_tr", "_tc", "_points"])
+    tracemalloc.start()
+    total = sum(float(sums.sum()) for _, _, sums, _, _ in tiles._stacks(batch, tiles.Tiling(32, 32, 2, 2)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert total == float((np.arange(n * per) % 11).sum()) and peak < 60e6
+
+
 def star(n, cx, cy, big, small, seed, snap=7):
     """A ring of n corners around (cx, cy), every `snap`-th on grid lines."""
     rng = np.random.default_rng(seed)
