@@ -175,18 +175,20 @@ def coastal_exposure(hist: DataFrame, totals: DataFrame, curve: DataFrame, level
     """Exposed share and area-weighted percentile per cell and water level.
 
     `levels` has rows (cell, level_id..., level); bins at or below the level are exposed. A cell's
-    histogram is one array of at most 800 bins, so a level meets its cell as one row.
+    histogram is one array of at most 800 bins, so a level meets its cell as one row; its bins are unfolded
+    where they are summed, in order.
     """
     ordered = F.array_sort(F.collect_list(F.struct("bin", "p")))
     knots = curve.select(F.transform(ordered, lambda k: k["p"])).scalar()
     ids = [c for c in levels.columns if c != cell]
     bins = hist.groupBy(cell).agg(F.array_sort(F.collect_list(F.struct("bin", "n", "n_expo"))).alias("_h"))
-    met = levels.select(cell, "level").distinct().join(bins, cell, "left").withColumn("_k", knots)
-    relative = lambda h: F.round(bin_centre(h["bin"]) - F.col("level"), 9)
-    flooded = F.aggregate("_h", F.lit(0).cast("long"), lambda a, h: a + F.when(relative(h) <= 0, h["n_expo"]).otherwise(0))
-    weighted = F.aggregate("_h", F.lit(0.0), lambda a, h: a + h["n"] * relative_percentile(relative(h), F.col("_k")))
-    sums = met.select(
-        cell, "level", F.coalesce(flooded, F.lit(0)).alias("_expo"), F.when(F.col("_h").isNull(), 0.0).otherwise(weighted).alias("_num")
+    met = levels.select(cell, "level").distinct().join(bins, cell, "left").select(cell, "level", F.explode_outer("_h").alias("_b"))
+    per_bin = met.select(cell, "level", F.round(bin_centre(F.col("_b.bin")) - F.col("level"), 9).alias("_r"), "_b.n", "_b.n_expo")
+    term = F.col("n") * relative_percentile(F.col("_r"), knots)
+    # without a curve a bin inside the band has no percentile, and so its cell has none
+    sums = per_bin.groupBy(cell, "level").agg(
+        F.coalesce(F.sum(F.when(F.col("_r") <= 0, F.col("n_expo"))), F.lit(0)).alias("_expo"),
+        F.when(F.count(term) == F.count("n"), F.coalesce(F.sum(term), F.lit(0.0))).alias("_num"),
     )
     land = F.nullif(F.col("n_land"), F.lit(0))
     out = sums.join(totals, cell).select(

@@ -12,6 +12,7 @@ from cellcast.functions.scalar import cell_area_km2, monthly_ratio
 from cellcast.operators import compare, daily, decadal, events, filters, graph, grids, ranks, spatial
 from cellcast.operators.ranking import exact_quantiles
 from cellcast.plans.layer import LayerSpec, build_layer
+from cellcast.session import cut_lineage
 
 
 MEMBER_KEYS = ("scenario", "model", "member", "cell_id")
@@ -184,12 +185,16 @@ def sea_level_delta(levels: DataFrame, ocean: DataFrame, land: DataFrame, baseli
 
 
 def coastal_panels(exposure: DataFrame, decades: Sequence[int], baseline: int, window: int) -> DataFrame:
-    """Exposed share per decade with interval and slopes; the percentile is the pooled mean of its own axis."""
+    """Exposed share per decade with interval and slopes; the percentile is the pooled mean of its own axis.
+
+    The exposure feeds the panels, the slopes and their axis, so it is written once.
+    """
     keys = ["scenario", "cell_id"]
-    shares = decadal.pooled_decadal_stat(exposure, decades, window, "mean", "exposed", keys)
-    score = decadal.pooled_decadal_stat(exposure, decades, window, "mean", "percentile", keys).select(*keys, "decade", F.col("median").alias("percentile"))
-    trend = decadal.slopes(exposure, decades, baseline, window, "exposed", keys)
-    joined = shares.join(score, [*keys, "decade"]).join(trend, [*keys, "decade"], "left")
+    rows = cut_lineage(exposure.select(*keys, "year", "exposed", "percentile").dropna(subset=keys))
+    stats = [c.alias(n) for n, c in decadal.central_columns("exposed", "mean").items()]
+    panels = decadal.assign_decades(rows, decades, window).groupBy(*keys, "decade").agg(*stats, F.avg("percentile").alias("percentile"))
+    trend = decadal.slopes(rows, decades, baseline, window, "exposed", keys)
+    joined = panels.join(trend, [*keys, "decade"], "left")
     return filters.clip_ci(filters.mask_slopes_to_panel(joined), 0.0, 1.0)
 
 

@@ -564,6 +564,26 @@ def test_points_of_a_batch_of_tiles_are_unpacked_a_stack_at_a_time():
     assert total == float((np.arange(n * per) % 11).sum()) and peak < 60e6
 
 
+def test_coastal_panels_read_the_exposure_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+    mark = F.udf(lambda x: (seen.add(1), x)[1], "double")
+    rows = [("s", c, y, 0.1 * (y - 1990) + c, float(c)) for c in range(5) for y in range(1995, 2001)] + [("s", None, 1995, 1.0, 1.0)]
+    plain = spark.createDataFrame(rows, "scenario STRING, cell_id BIGINT, year INT, share DOUBLE, percentile DOUBLE")
+    exposure = plain.withColumn("exposed", mark(F.col("share"))).drop("share")
+    got = {(r["cell_id"], r["decade"]): r for r in hazards.coastal_panels(exposure, [1995, 1997, 1999], 1995, 2).collect()}
+    assert len(got) == 15 and got[(3, 1997)]["median"] == pytest.approx(3.75) and got[(3, 1997)]["percentile"] == 3.0
+    assert got[(3, 1999)]["ols_slope"] == pytest.approx(0.1) and got[(3, 1995)]["sen_slope"] is None
+    assert seen.value <= len(rows)
+
+
+def test_a_cell_in_the_band_has_no_percentile_without_a_curve(spark):
+    px = spark.createDataFrame([(1, -1.0, True, True), (2, -20.0, True, True)], "cell_id BIGINT, elevation DOUBLE, wide BOOLEAN, near BOOLEAN")
+    hist, totals = events.hypsometry(px)
+    levels = spark.createDataFrame([(1, -5.0), (1, 0.0), (2, 0.0), (3, 0.0)], "cell_id BIGINT, level DOUBLE")
+    got = {(r["cell_id"], r["level"]): (r["exposed"], r["percentile"]) for r in events.coastal_exposure(hist, totals, events.calibration_curve(hist), levels).collect()}
+    assert got == {(1, -5.0): (0.0, None), (1, 0.0): (1.0, 100.0), (2, 0.0): (1.0, 100.0)}
+
+
 def star(n, cx, cy, big, small, seed, snap=7):
     """A ring of n corners around (cx, cy), every `snap`-th on grid lines."""
     rng = np.random.default_rng(seed)
