@@ -58,16 +58,18 @@ def ingest_once(stream: DataFrame, output: str, checkpoint: str, keys: Sequence[
     The output is its own ledger: a chunk's rows lie in a folder of the chunk, by the batch that wrote them.
     A micro-batch opens the folders of its own chunks only (their names, at most one per file of the batch,
     go to the driver), so what it reads does not grow with the batches before. A retried batch overwrites
-    its own folders and does not read them.
+    its own folders and does not read them. Both sides of the comparison are shuffled: sorted keys take so
+    little room in files that Spark would send the rows of whole chunks through the driver.
     """
     spark, schema = stream.sparkSession, f"{_ddl(stream)}, chunk_key STRING, batch BIGINT"
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch.dropDuplicates(["chunk_id", *keys]).withColumn("chunk_key", _chunk_key())
-        known = [f for f in (f"{output}/chunk_key={r[0]}" for r in rows.select("chunk_key").distinct().collect()) if _exists(spark, f)]
+        names = batch.select(_chunk_key().alias("chunk_key")).distinct().collect()
+        known = [f for f in (f"{output}/chunk_key={r[0]}" for r in names) if _exists(spark, f)]
         if known:
             before = spark.read.schema(schema).option("basePath", output).parquet(*known).where(F.col("batch") < batch_id)
-            rows = rows.join(before.select("chunk_id", *keys), ["chunk_id", *keys], "left_anti")
+            rows = rows.join(before.select("chunk_id", *keys).hint("merge"), ["chunk_id", *keys], "left_anti")
         written = rows.withColumn("batch", F.lit(batch_id).cast("long"))
         written.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("chunk_key", "batch").parquet(output)
 

@@ -550,6 +550,16 @@ def test_a_micro_batch_takes_a_chunk_whatever_its_files(spark, tmp_path):
     assert len(list(Path(made[0].removeprefix("file:")).glob("batch=*"))) == 3
 
 
+def test_rows_ingested_before_are_not_sent_to_the_driver(spark, tmp_path):
+    path = _chunk_files(spark, tmp_path / "in", [("c", 12000, 12400), ("c", 12000, 12400)])
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    incremental.ingest_once(incremental.read_chunks(spark, path), f"{tmp_path}/out", f"{tmp_path}/cp")
+    runs = store.executionsList(before, 1000)
+    plans = [runs.apply(i).physicalPlanDescription() for i in range(runs.size())]
+    assert any("SortMergeJoin" in p for p in plans) and not any("BroadcastHashJoin" in p for p in plans)
+
+
 def test_points_of_a_batch_of_tiles_are_unpacked_a_stack_at_a_time():
     n, per = 2000, 36 * 36
     r, c = (x.ravel().astype(np.int32) for x in np.mgrid[-2:34, -2:34])
