@@ -7,6 +7,8 @@ overwrites, so a restart neither loses nor doubles rows. `latest` reads the newe
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pandas as pd
@@ -69,7 +71,8 @@ def ingest_once(stream: DataFrame, output: str, checkpoint: str, keys: Sequence[
         known = [f for f in (f"{output}/chunk_key={r[0]}" for r in names) if _exists(spark, f)]
         if known:
             before = spark.read.schema(schema).option("basePath", output).parquet(*known).where(F.col("batch") < batch_id)
-            rows = rows.join(before.select("chunk_id", *keys).hint("merge"), ["chunk_id", *keys], "left_anti")
+            seen = before.select(*[F.col(c).alias(f"_{c}") for c in ("chunk_id", *keys)]).hint("merge")
+            rows = rows.join(seen, reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ("chunk_id", *keys)]), "left_anti")
         written = rows.withColumn("batch", F.lit(batch_id).cast("long"))
         written.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("chunk_key", "batch").parquet(output)
 
@@ -100,6 +103,9 @@ def stream_histogram(stream: DataFrame, key: Sequence[str] = ("cell_id",)) -> Da
     return stream.where(F.col("value") >= WET_DAY_MM).groupBy(*key, log_bin().alias("bin")).agg(F.count("*").alias("n"))
 
 
+#: The id that sums of rows without a cell bear.
+NO_CELL = -(1 << 63)
+
 #: Cells of one member whose series share a state and a call, as a power of two; and the days between two of them.
 _CELL_BITS, _APART = 6, 1 << 40
 
@@ -164,7 +170,8 @@ def stream_five_day_sums(stream: DataFrame) -> DataFrame:
         "append",
         GroupStateTimeout.NoTimeout,
     )
-    return sums.select("member", (F.shiftleft("block", _CELL_BITS) + F.col("place")).alias("cell_id"), "day_number", "sum5")
+    cell_id = F.coalesce(F.shiftleft("block", _CELL_BITS) + F.col("place"), F.lit(NO_CELL))
+    return sums.select("member", cell_id.alias("cell_id"), "day_number", "sum5")
 
 
 def rx5day_from_sums(sums: DataFrame) -> DataFrame:
