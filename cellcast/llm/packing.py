@@ -84,7 +84,8 @@ class Packer:
         free, chosen = self.cap.copy(), []
         while self.pool:
             d = self.demand[: len(self.pool)]
-            score = np.where((d <= free).all(axis=1), d @ (free / self.cap**2), -1.0)
+            fits = (d[:, 0] <= free[0]) & (d[:, 1] <= free[1]) & (d[:, 2] <= free[2])
+            score = np.where(fits, d @ (free / self.cap**2), -1.0)
             best = int(score.argmax())
             if score[best] < 0:
                 break
@@ -126,7 +127,7 @@ _ARROW = pa.schema([(c.split()[0], pa.binary() if c.endswith("binary") else pa.i
 
 def _pack(tokenizer: str, end_id: int, limits: Limits):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer, encode = Packer(limits), encoder(tokenizer).encode
+        packer, encode, end = Packer(limits), encoder(tokenizer).encode, np.array([end_id], np.int32)
         # numbered by partition, so that a task run again gives the same numbers
         sequence = TaskContext.get().partitionId() << 40
         rows, held = [], 0
@@ -144,7 +145,7 @@ def _pack(tokenizer: str, end_id: int, limits: Limits):
                     ids, sizes = encode(texts)
                     a = c = 0
                     for k, (n, m) in enumerate(zip(sizes.tolist(), free[1].tolist())):
-                        yield from packer.add(doc[i + k], np.concatenate([free[0][c : c + m], ids[a : a + n], [end_id]]), m)
+                        yield from packer.add(doc[i + k], np.concatenate([free[0][c : c + m], ids[a : a + n], end]), m)
                         a, c = a + n, c + m
             yield from packer.finish()
 

@@ -143,3 +143,34 @@ def test_packing_keeps_every_id_once_within_all_limits(spark, limits):
         padding = by_sequence.length.sum().map(lambda n: 0 if n & (n - 1) == 0 else limits.tokens - n)
         assert padding.sum() < 0.01 * got.length.sum()
     assert packing.pack_documents(docs.where("false"), word_bpe(), 1).count() == 0
+
+
+def test_a_word_is_looked_up_once_and_keeps_no_place_without_ids():
+    import public_tokenizers
+
+    from cellcast.llm.encoding import WordEncoder
+
+    looked = []
+
+    class Word(str):
+        def __hash__(self):
+            looked.append(self)
+            return super().__hash__()
+
+    class Text(str):
+        def isascii(self):
+            return False
+
+        def split(self):
+            return [Word(w) for w in str.split(self)]
+
+    e = WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    ids, sizes = e.encode(["the old house", "", "house 42!"])
+    looked.clear()
+    again, _ = e.encode([Text("the old house"), Text(""), Text("house 42!")])
+    assert again.tolist() == ids.tolist() and sizes.tolist()[1] == 0 and len(looked) == 5
+    real, e._learn = e._learn, lambda words: (_ for _ in ()).throw(ValueError("broken"))
+    with pytest.raises(ValueError):
+        e.encode(["unheard words"])
+    e._learn = real
+    assert e.encode(["unheard words", "the"])[0].tolist() == e.tokenizer.encode("unheard words the", add_special_tokens=False).ids
