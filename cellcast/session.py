@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -38,8 +39,27 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return out
 
 
+def cut_by(df: DataFrame, key: str) -> DataFrame:
+    """A stage table in buckets by `key`, as many as there are shuffle partitions.
+
+    Joins and groupings by `key` read it where it lies: its rows travel once, however often it is joined. The
+    session's catalog holds its name until the stage is dropped. One key's rows are one bucket, which no
+    skew handling parts: use it where the other side of a join has no very common key.
+    """
+    spark = df.sparkSession
+    path, n = scratch_folder(spark, "stage"), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"stage_{path.rsplit('-', 1)[1]}"
+    df.repartition(n, key).write.bucketBy(n, key).format("parquet").option("path", path).saveAsTable(name)
+    out = spark.table(name)
+    _stages[id(out)] = (out, path)
+    _tables[path] = name
+    return out
+
+
 #: Stage tables of this driver that have not been dropped, with the DataFrame that reads each.
 _stages: dict[int, tuple[DataFrame, str]] = {}
+#: Of those in buckets, the names in the session's catalog, by path.
+_tables: dict[str, str] = {}
 
 
 def drop_stages(*frames: DataFrame | None) -> None:
@@ -47,10 +67,22 @@ def drop_stages(*frames: DataFrame | None) -> None:
     for df in frames:
         if df is not None and id(df) in _stages:
             _, path = _stages.pop(id(df))
+            if path in _tables:
+                df.sparkSession.sql(f"DROP TABLE IF EXISTS {_tables.pop(path)}")
             target = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
             target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of jobs that have ended.
+
+    It does so when the driver's garbage collector finds that nothing refers to them: in a job of many rounds
+    they would lie on the executors' disks until the driver's heap is full.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def current_stages() -> list[DataFrame]:
     """The stage tables not yet dropped, oldest first. A job that ends drops those that it has added."""
     return [df for df, _ in _stages.values()]
