@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,6 +49,32 @@ def bounded_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
     return df.orderBy(F.xxhash64(key), F.col(key)).limit(rows)
 
 
+#: Bits of a filter of keys: 8 MB, however many keys there are.
+FILTER_BITS = 1 << 26
+
+
+def may_be_in(keys: DataFrame, columns: Sequence[str], bits: int = FILTER_BITS) -> Callable[..., Column]:
+    """A test of rows before a join: false where the values given are surely in no row of `keys` (its `columns`).
+
+    It keeps rows that meet nothing out of the join's shuffle. A set of `bits` bits, by the values' hash, goes through
+    the driver to the tasks; the more keys, the more rows pass that meet nothing, so the join must follow all the same.
+    """
+    spark = keys.sparkSession
+    place = F.pmod(F.xxhash64(*columns), F.lit(bits))
+    words = keys.select(F.shiftright(place, 6).alias("w"), F.expr("1L").alias("one"), F.pmod(place, F.lit(64)).cast("int").alias("k"))
+    words = words.groupBy("w").agg(F.bit_or(F.expr("shiftleft(one, k)")).alias("set")).toArrow()  # bits / 64 rows at most
+    table = np.zeros(bits // 64, np.int64)
+    table[words["w"].to_numpy()] = words["set"].to_numpy()
+    shared = spark.sparkContext.broadcast(table.view(np.uint8))
+
+    @F.pandas_udf("boolean")
+    def test(hashed: pd.Series) -> pd.Series:
+        at = hashed.to_numpy().view(np.uint64) & np.uint64(bits - 1)
+        return pd.Series((shared.value[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1)
+
+    return lambda *values: test(F.xxhash64(*values))
+
+
 def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, row borders within the bytes) for runs of rows of about `limit` bytes.
 

@@ -34,9 +34,9 @@ from pyspark.sql import functions as F
 
 from cellcast.llm.components import components, relabel
 from cellcast.llm.encoding import forget
-from cellcast.llm.rows import documents, text_chunks
+from cellcast.llm.rows import documents, may_be_in, text_chunks
 from cellcast.llm.words import LOWER, find_words, gram_starts, grams, mix
-from cellcast.session import cut_lineage, drop_stages, settled
+from cellcast.session import cut_by, cut_lineage, drop_stages, release_shuffles, settled
 
 _U = np.uint64
 #: Shingles whose counts travel to the tasks. They only order a set's elements: any order gives the same links.
@@ -172,7 +172,9 @@ def _texts_of(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     Classes have different texts, so a row is that of one class at most, however many rows share its id.
     """
     ids = [F.coalesce("doc_id", F.lit(-(1 << 63))).alias("_k"), "f"]  # no null in a join key; the hash tells texts apart
-    return rows.select(*ids, "text").join(wanted.select(*ids, "c", "f1"), ["_k", "f"]).select("c", "f1", "text")
+    wanted = wanted.select(*ids, "c", "f1")
+    texts = rows.select(*ids, "text").where(may_be_in(wanted, ["_k", "f"])("_k", "f"))
+    return texts.join(wanted, ["_k", "f"]).select("c", "f1", "text")
 
 
 def _needed(sim: Similarity, a: Column, b: Column) -> Column:
@@ -186,27 +188,52 @@ def _possible(sim: Similarity, a: str, b: str) -> Column:
     return (100 * F.least(s1, s2) >= sim.share * F.greatest(s1, s2)) & (F.least(s1 - p1, s2 - p2) >= _needed(sim, s1, s2))
 
 
-def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """`pairs` (a, b, ...) with the overlap, and both sizes, of their sets."""
+def _overlaps(pairs: DataFrame, sets: DataFrame, others: DataFrame | None = None) -> DataFrame:
+    """`pairs` (a, b, ...) with the overlap, and both sizes, of their sets; those of b are among `others`, if given."""
     left = sets.select(F.col("c").alias("a"), F.col("s").alias("_s"))
-    right = sets.select(F.col("c").alias("b"), F.col("s").alias("_t"))
+    right = (others or sets).select(F.col("c").alias("b"), F.col("s").alias("_t"))
     joined = pairs.join(left, "a").join(right, "b")
     return joined.withColumns({"o": F.size(F.array_intersect("_s", "_t")), "sa": F.size("_s"), "sb": F.size("_t")}).drop("_s", "_t")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, sim: Similarity) -> DataFrame:
-    """The linked pairs. Parity bits differ at no more places than the sets do: that bounds the overlap from
-    above, and only pairs that pass it are compared by their elements."""
+def _near(pairs: DataFrame, sets: DataFrame, sim: Similarity) -> DataFrame:
+    """Without pairs that cannot link: parity bits differ at no more places than the sets do, which bounds the overlap from above."""
     left = sets.select(F.col("c").alias("a"), F.col("bits").alias("_x"), F.size("s").alias("_sa"))
     right = sets.select(F.col("c").alias("b"), F.col("bits").alias("_y"), F.size("s").alias("_sb"))
     apart = F.aggregate(F.zip_with("_x", "_y", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, k: n + k)
     most = (F.col("_sa") + F.col("_sb") - apart) / 2
     near = pairs.join(left, "a").join(right, "b").where(100 * most >= sim.share * (F.col("_sa") + F.col("_sb") - most))
-    near = cut_lineage(near.select("a", "b"))
-    o = _overlaps(near, sets)
+    return cut_lineage(near.select("a", "b"))
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, sim: Similarity) -> DataFrame:
+    """The linked pairs, compared by their elements."""
+    o = _overlaps(pairs, sets)
     return o.where(100 * F.col("o") >= sim.share * (F.col("sa") + F.col("sb") - F.col("o"))).select("a", "b")
 
 
+def _verified(pairs: DataFrame, sets: DataFrame, sim: Similarity) -> DataFrame:
+    """The linked pairs; only near ones are compared by their elements."""
+    return _linked(_near(pairs, sets, sim), sets, sim)
+
+
+def _hooks(near: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Of the pairs of different components, for each component one with its smallest neighbour.
+
+    Whole sets travel for a pair, and most near pairs link: as many pairs as there are components join them.
+    """
+    pairs = _apart(near, labels)
+    ends = pairs.select(F.col("x").alias("node"), F.struct(F.col("y").alias("to"), "a", "b").alias("p"))
+    ends = ends.unionByName(pairs.select(F.col("y").alias("node"), F.struct(F.col("x").alias("to"), "a", "b").alias("p")))
+    return cut_lineage(ends.groupBy("node").agg(F.min("p").alias("p")).select("p.a", "p.b").distinct())
+
+
+def _apart(pairs: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """(a, b, x, y): the pairs of different components, x and y."""
+    named = pairs.withColumns({"x": F.col("a"), "y": F.col("b")})
+    return (named if labels is None else relabel(relabel(named, "x", labels), "y", labels)).where("x <> y")
+
+
 def _still_open(postings: DataFrame) -> DataFrame:
     """Rows of the lists in which more than one component meets."""
     mixed = postings.groupBy("token").agg(F.min("label").alias("_x"), F.max("label").alias("_y")).where("_x <> _y").select("token")
@@ -248,8 +275,10 @@ def _remaining_pairs(postings: DataFrame, sets: DataFrame, sim: Similarity) -> D
     """All pairs of different components that the leaders' answers leave open."""
     block = F.floor(F.log("size") / F.lit(float(np.log(100 / sim.share))))
     members = postings.select("c", "label").distinct()
-    # the label is a member: the leader
-    extra = _overlaps(members.where("c <> label").select(F.col("c").alias("a"), F.col("label").alias("b")), sets)
+    # the label is a member: the leader. One may lead very many, so the leaders' sets are a table that may be dealt out anew
+    led = members.where("c <> label").select(F.col("c").alias("a"), F.col("label").alias("b"))
+    leading = cut_lineage(sets.select("c", "s").join(led.select(F.col("b").alias("c")).distinct(), "c", "left_semi"))
+    extra = _overlaps(led, sets, leading)
     extra = extra.select(F.col("a").alias("_c"), (F.col("sa") - F.col("o")).alias("extra"))
     rows = postings.join(extra, F.col("c") == F.col("_c"), "left").withColumn("extra", F.coalesce("extra", F.lit(0))).drop("_c")
     rows = cut_lineage(rows.withColumn("block", block))
@@ -265,7 +294,7 @@ def _remaining_pairs(postings: DataFrame, sets: DataFrame, sim: Similarity) -> D
     leaders = _overlaps(meet.select("a", "b").distinct(), sets).select("a", "b", "o")
     open_pairs = meet.join(leaders, ["a", "b"]).where("o >= least")
     out = cut_lineage(open_pairs.select(F.col("c").alias("a"), F.col("d").alias("b")))
-    drop_stages(rows, meet)
+    drop_stages(rows, meet, leading)
     return out
 
 
@@ -350,20 +379,31 @@ def _joined(docs: DataFrame, sim: Similarity, id_col: str, text_col: str, counte
     shared = spark.sparkContext.broadcast((h[order], n[order]))
     sets = cut_lineage(rows.mapInArrow(_sets(sim, shared), _SETS))
     classes = cut_lineage(sets.where("size > 0").groupBy("f1", "f2").agg(F.min("key").alias("c"), F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("w")))
-    first = sets.where("size > 0").join(classes.select(F.col("c").alias("key")), "key", "left_semi")
-    postings = first.select(F.col("key").alias("c"), "doc_id", "f", "f1", "size", F.posexplode("prefix").alias("pos", "token"))
+    several = may_be_in(classes.where("w > 1"), ["f1", "f2"])("f1", "f2")  # only such rows must meet their class
+    first = sets.where("size > 0").select("key", "size", "prefix", several.alias("several"))
+    first = first.where("NOT several").unionByName(first.where("several").join(classes.where("w > 1").select(F.col("c").alias("key")), "key", "left_semi"))
+    postings = first.select(F.col("key").alias("c"), "size", F.posexplode("prefix").alias("pos", "token"))
     shared_tokens = postings.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     postings = cut_lineage(postings.join(shared_tokens, "token").withColumn("label", F.col("c")))
     whole, postings = postings, cut_lineage(_with_partners(postings, sim))
     drop_stages(whole)
-    wanted = cut_lineage(postings.groupBy("c").agg(F.first("doc_id").alias("doc_id"), F.first("f").alias("f"), F.first("f1").alias("f1")))
+    wanted = cut_lineage(sets.select(F.col("key").alias("c"), "doc_id", "f", "f1").join(postings.select("c").distinct(), "c"))
     found = _texts_of(rows, wanted)
-    full = cut_lineage(found.mapInArrow(_full_sets(sim.words), "c long, s array<long>, bits array<long>").dropDuplicates(["c"]))
+    # every round joins the sets to both ends of its pairs: they travel once, to their buckets
+    full = cut_by(found.mapInArrow(_full_sets(sim.words), "c long, s array<long>, bits array<long>").dropDuplicates(["c"]), "c")
     drop_stages(wanted)
-    labels = None
+    release_shuffles(spark)
+    labels = left = None
     for turn, probe in enumerate([*PROBES, None]):
         pairs = _probe_pairs(postings, sim, turn, *probe) if probe else _remaining_pairs(postings, full, sim)
-        links = _verified(pairs, full, sim)
+        near = _near(pairs, full, sim)
+        done = left
+        if probe:  # pairs left over wait for the next round, unless others join their components; the last round needs none
+            every = near if left is None else cut_lineage(near.unionByName(left).distinct())
+            near = _hooks(every, labels)
+            left = cut_lineage(every.join(near, ["a", "b"], "left_anti"))
+            drop_stages(every)
+        links = _linked(near, full, sim)
         if counted and not probe:
             links = cut_lineage(links)
             n_links = _link_counts(classes, full, labels, links, sim)
@@ -373,7 +413,8 @@ def _joined(docs: DataFrame, sim: Similarity, id_col: str, text_col: str, counte
         labels = merged if before is None else cut_lineage(relabel(before, "label", merged).unionByName(merged.join(before, "node", "left_anti")))
         if probe:
             postings = cut_lineage(_still_open(relabel(lists, "label", merged)))
-        drop_stages(pairs, before, lists, merged if before is not None else None)
+        drop_stages(pairs, near, done, before, lists, merged if before is not None else None)
+        release_shuffles(spark)
     drop_stages(full)
     named = relabel(classes.withColumn("label", F.col("c")), "label", labels)
     smallest = named.groupBy("label").agg(F.min("least_id").alias("component_id"))

@@ -11,7 +11,9 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from cellcast import session
 from cellcast.llm import components, edit_walk, set_join, suffixes
+from cellcast.llm.rows import may_be_in
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOW = {c: c + 32 for c in range(65, 91)}
@@ -299,3 +301,40 @@ def test_pipeline_catches_planted_documents_and_keeps_clean_ones(spark, tmp_path
     assert set(left["near_duplicates"]) == ids(clean + repeats + leaks)
     assert set(left["repeated_passages"]) == ids(clean + repeats + leaks)
     assert set(left["benchmark_leaks"]) == set(left["packing"]) == ids(clean + repeats)
+
+
+def test_sets_in_buckets_are_joined_where_they_lie(spark):
+    before = set(map(id, session.current_stages()))
+    sets = spark.range(1000).select(F.col("id").alias("c"), F.array("id", F.col("id") + 1).alias("s"))
+    held = session.cut_by(sets, "c")
+    small = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        pairs = spark.range(999).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+        found = set_join._overlaps(pairs, held)
+        assert sorted((r["a"], r["b"], r["o"]) for r in found.collect()) == [(k, k + 1, 1) for k in range(999)]
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        plan = plan.split("== Initial Plan ==")[-1]
+        # both ends of the pairs travel, the sets do not
+        assert plan.count("Exchange hashpartitioning") == 2 and plan.count("Bucketed: true") == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", small)
+    name = session._tables[dict((id(d), p) for d, p in session._stages.values())[id(held)]]
+    session.drop_stages(held)
+    assert not spark.catalog.tableExists(name) and set(map(id, session.current_stages())) == before
+
+
+def test_one_pair_for_each_component_and_its_smallest_neighbour_is_compared(spark):
+    near = spark.createDataFrame([(a, b) for a in range(30) for b in range(a + 1, 30)], "a BIGINT, b BIGINT")
+    assert sorted(map(tuple, set_join._hooks(near, None).collect())) == [(0, b) for b in range(1, 30)]
+    labels = spark.createDataFrame([(k, k % 3) for k in range(30)], "node BIGINT, label BIGINT")
+    got = [tuple(r) for r in set_join._hooks(near, labels).collect()]
+    assert len(got) == 2 and all(a % 3 != b % 3 for a, b in got)
+
+
+def test_keys_pass_their_filter_and_few_others_do(spark):
+    keys = spark.createDataFrame([(None, 3), (7, None)] + [(k, k * k) for k in range(500)], "i BIGINT, f BIGINT")
+    rows = keys.unionByName(spark.range(1000, 6000).select(F.col("id").alias("i"), F.col("id").alias("f")))
+    got = rows.where(may_be_in(keys, ["i", "f"])("i", "f"))
+    assert got.join(keys, got["i"].eqNullSafe(keys["i"]) & got["f"].eqNullSafe(keys["f"])).count() == 502 and got.count() < 520
+    assert got.where("false").count() == 0 and rows.where(may_be_in(keys.where("false"), ["i", "f"])("i", "f")).count() == 0
