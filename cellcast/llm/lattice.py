@@ -100,16 +100,20 @@ class Lattice:
         if len(left):
             raise ValueError("pieces collide")
 
-    def _find(self, h: np.ndarray) -> np.ndarray:
-        """Piece number per hash, -1 if there is none."""
+    def _find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places in h of the hashes of pieces, the pieces' numbers)."""
+        # every piece fills its slot of the first table: most hashes meet an empty one
+        at = np.flatnonzero(self.slots[0][1][(h & _U((1 << _TABLE) - 1)).astype(np.int64)] >= 0)
+        h = h[at]
         out = np.full(len(h), -1, np.int32)
         for shift, table in self.slots:
-            at = table[((h >> _U(shift)) & _U((1 << _TABLE) - 1)).astype(np.int64)]
-            np.copyto(out, at, where=(out < 0) & (at >= 0) & (self.hash[at] == h))
-        return out
+            piece = table[((h >> _U(shift)) & _U((1 << _TABLE) - 1)).astype(np.int64)]
+            np.copyto(out, piece, where=(out < 0) & (piece >= 0) & (self.hash[piece] == h))
+        found = out >= 0
+        return at[found], out[found]
 
-    def _arcs(self, raw: np.ndarray, end_of: np.ndarray) -> tuple[list[int], np.ndarray]:
-        """Lengths that occur, and per length and start position the piece number or -1."""
+    def _arcs(self, raw: np.ndarray, end_of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, length, piece) of all arcs, by length and start."""
         n = len(raw)
         up, down = _power_tables(n + 1)
         total = np.zeros(n + 1, np.uint64)
@@ -117,13 +121,16 @@ class Lattice:
 
         np.cumsum(_VALUES[raw] * up[:n], out=total[1:])
         left = end_of - np.arange(n)
-        lengths = [k for k in self.lengths if k <= left.max()]
-        arcs = np.full((len(lengths), n), -1, np.int32)
-        for row, k in enumerate(lengths):
+        most, starts, sizes, pieces = left.max(), [], [], []
+        for k in self.lengths:
+            if k > most:
+                break
             at = np.flatnonzero(left >= k)
-            arcs[row, at] = self._find(mix((total[at + k] - total[at]) * down[at]))
-        used = np.flatnonzero((arcs >= 0).any(axis=1))
-        return [lengths[r] for r in used], arcs[used]
+            found, piece = self._find(mix((total[at + k] - total[at]) * down[at]))
+            starts.append(at[found])
+            sizes.append(np.full(len(found), k))
+            pieces.append(piece)
+        return np.concatenate(starts), np.concatenate(sizes), np.concatenate(pieces)
 
     def run(self, words: list[bytes], expect: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
         """(log probability of each word, expected number of each piece over all words if asked)."""
@@ -133,15 +140,18 @@ class Lattice:
         raw = np.frombuffer(b"".join(b" " + words[i] for i in order), np.uint8)
         end = np.cumsum(size)
         start = end - size
-        lengths, arcs = self._arcs(raw, np.repeat(end, size))
-        weight = np.where(arcs >= 0, self.log_p[arcs], -np.inf)
+        begin, length, piece = self._arcs(raw, np.repeat(end, size))
+        own = np.repeat(np.arange(len(size)), size)[begin]
+        weight = self.log_p[piece]
         node = start + np.arange(len(size))  # a word of n bytes has n + 1 nodes
+        source = begin + own
+        target = source + length
+        place = begin - start[own]  # bytes of the word before the arc
         alpha = np.full(len(raw) + len(size), -np.inf)
         alpha[node] = 0.0
-        for j in range(1, int(size[0]) + 1):
-            n = int(np.searchsorted(-size, -j, "right"))  # words that reach this far
-            terms = np.stack([alpha[node[:n] + j - k] + weight[r, start[:n] + j - k] for r, k in enumerate(lengths) if k <= j])
-            alpha[node[:n] + j] = _log_sum(terms)
+        for arcs, first in _steps(place + length, target):
+            terms = alpha[source[arcs]] + weight[arcs]
+            alpha[target[arcs[first]]] = _log_sum(terms, first)
         whole = alpha[node + size]
         out = np.empty(len(words))
         out[order] = whole
@@ -149,27 +159,31 @@ class Lattice:
             return out, None
         beta = np.full(len(raw) + len(size), -np.inf)
         beta[node + size] = 0.0
-        counts = np.zeros(len(self.log_p))
-        for j in range(int(size[0]) - 1, -1, -1):
-            n = int(np.searchsorted(-size, -(j + 1), "right"))
-            rows = [(r, k) for r, k in enumerate(lengths) if j + k <= size[0]]
-            terms = np.full((len(rows), n), -np.inf)
-            for t, (r, k) in enumerate(rows):
-                m = int(np.searchsorted(-size, -(j + k), "right"))
-                terms[t, :m] = beta[node[:m] + j + k] + weight[r, start[:m] + j]
-            beta[node[:n] + j] = _log_sum(terms)
-            share = np.exp(terms + (alpha[node[:n] + j] - whole[:n]))
-            for t, (r, _) in enumerate(rows):
-                use = np.flatnonzero(share[t] > 0)
-                counts += np.bincount(arcs[r, start[use] + j], share[t, use], minlength=len(counts))
-        return out, counts
-
-
-def _log_sum(terms: np.ndarray) -> np.ndarray:
-    top = terms.max(axis=0)
+        for arcs, first in reversed(_steps(place, source)):
+            beta[source[arcs[first]]] = _log_sum(beta[target[arcs]] + weight[arcs], first)
+        use = np.isfinite(whole)[own]  # a word that the pieces cannot make expects none
+        share = np.exp(beta[target[use]] + weight[use] + (alpha[source[use]] - whole[own[use]]))
+        return out, np.bincount(piece[use], share, minlength=len(self.log_p))
+
+
+def _steps(step: np.ndarray, node: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per step, in ascending order: its arcs, by node, and where among them each node begins."""
+    if not len(step):
+        return []
+    order = np.lexsort((node, step))
+    node, step = node[order], step[order]
+    border = np.append(np.flatnonzero(np.append(True, step[1:] != step[:-1])), len(step))
+    first = np.flatnonzero(np.append(True, (node[1:] != node[:-1]) | (step[1:] != step[:-1])))
+    cut = np.searchsorted(first, border)
+    return [(order[a:b], first[i:j] - a) for a, b, i, j in zip(border[:-1], border[1:], cut[:-1], cut[1:])]
+
+
+def _log_sum(terms: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Per group, which begins at `first`, the logarithm of the sum of the exponentials."""
+    top = np.maximum.reduceat(terms, first)
     safe = np.where(np.isfinite(top), top, 0.0)
     with np.errstate(divide="ignore"):
-        return np.log(np.exp(terms - safe).sum(axis=0)) + safe
+        return np.log(np.add.reduceat(np.exp(terms - np.repeat(safe, np.diff(np.append(first, len(terms))))), first)) + safe
 
 
 def _runs(words: list[bytes], limit: int = 400_000) -> Iterator[list[bytes]]:

@@ -246,6 +246,17 @@ def test_lattice_sums_all_segmentations_and_expects_pieces():
     assert lattice.Lattice(pieces).run([b"ab" * 3000])[0][0] < -1000
 
 
+def test_lattice_holds_only_arcs_that_are_pieces():
+    texts = (b" ", b" a", b"a", b"b", b"ab", b"aba")
+    own = lattice.Lattice(lattice.Pieces(texts, np.log(np.full(len(texts), 1 / len(texts)))))
+    start, length, piece = own._arcs(np.frombuffer(b" ab xab", np.uint8), np.repeat([3, 7], [3, 4]))
+    got = sorted((int(a), texts[p]) for a, n, p in zip(start, length, piece) if n == len(texts[p]))
+    assert got == [(0, b" "), (0, b" a"), (1, b"a"), (1, b"ab"), (2, b"b"), (3, b" "), (5, b"a"), (5, b"ab"), (6, b"b")]
+    # a word that the pieces cannot make has no probability and expects none of them
+    got, expected = own.run([b"x", b"ab", b"axb"], expect=True)
+    assert got[0] == got[2] == -np.inf and expected == pytest.approx(own.run([b"ab"], expect=True)[1])
+
+
 def test_lattice_scores_documents(spark):
     import public_tokenizers
 
