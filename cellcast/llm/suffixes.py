@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellcast.llm.encoding import forget
-from cellcast.llm.rows import documents, text_chunks
+from cellcast.llm.rows import documents, may_be_in, text_chunks
 from cellcast.llm.words import LOWER, Words, _power_tables, find_words, gram_starts, grams, mix
 from cellcast.session import cut_lineage, settled
 
@@ -200,7 +200,10 @@ def drop_repeats(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id", t
     kinds = [f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(docs.columns) if c != text_col]
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     work = docs.select(*inner, F.col(id_col).cast("long").alias("_doc"), text.alias("text")).withColumn("_hash", F.xxhash64("text"))
-    joined = work.join(by_doc, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_f")), "left")
+    # rows without spans stay where they are: only those that may have some meet them
+    work = work.withColumn("_may", may_be_in(by_doc, ["_id", "_f"])("_doc", "_hash"))
+    joined = work.where("_may").join(by_doc, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_f")), "left")
     names = [k.split()[0] for k in kinds]
-    out = joined.select(*names, "text", "spans").mapInArrow(_cut, ", ".join([*kinds, "text string", "left boolean"])).where("left")
+    out = joined.select(*names, "text", "spans").mapInArrow(_cut, ", ".join([*kinds, "text string", "left boolean"])).where("left").drop("left")
+    out = out.unionByName(work.where("NOT _may").select(*out.columns))
     return out.select(*[F.col("text" if c == text_col else f"c{i}").alias(c) for i, c in enumerate(docs.columns)])

@@ -338,3 +338,10 @@ def test_keys_pass_their_filter_and_few_others_do(spark):
     got = rows.where(may_be_in(keys, ["i", "f"])("i", "f"))
     assert got.join(keys, got["i"].eqNullSafe(keys["i"]) & got["f"].eqNullSafe(keys["f"])).count() == 502 and got.count() < 520
     assert got.where("false").count() == 0 and rows.where(may_be_in(keys.where("false"), ["i", "f"])("i", "f")).count() == 0
+
+
+def test_rows_without_repeats_stay_out_of_the_join_with_spans(spark, passages):
+    df = frame(spark, passages + [(9000 + k, f"alone {k}") for k in range(50)])
+    got = suffixes.drop_repeats(df)
+    assert got.where("doc_id >= 9000").count() == 50
+    assert "test(xxhash64" in got._jdf.queryExecution().optimizedPlan().toString()
