@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cellcast.llm.encoding import forget
 from cellcast.llm.rows import documents, named, numbered, text_chunks
 from cellcast.llm.words import LOWER, Words, find_words, gram_starts, grams, mix
 
@@ -273,6 +274,7 @@ def item_blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[It
 
 def _find(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         items = shared.value
         for b in batches:
             for row, piece, start, distance in batch_leaks(b.column("text"), items):
@@ -304,6 +306,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
 def _mark(shared, text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         items = shared.value
         for b in batches:
             leaked = np.zeros(b.num_rows, bool)

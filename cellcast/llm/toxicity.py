@@ -84,6 +84,7 @@ def counterfactuals(text: str, groups: Sequence[Sequence[str]] = IDENTITY_TERMS,
 
 def _class_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(bin, toxic documents with it, other documents with it), summed over the task."""
+    forget()
     n = np.zeros((2, BINS), np.int32)
     for b in batches:
         toxic = np.asarray(b.column("toxic").to_numpy(zero_copy_only=False), np.int64)
@@ -104,8 +105,9 @@ def _rows_of(selected: np.ndarray, groups: Sequence[Sequence[str]]):
         return np.intersect1d(text_features(text), selected)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for b in batches:
-            for text, toxic in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist()):
+            for text, toxic in zip((x.as_py() for x in b.column("text")), b.column("toxic").to_pylist()):
                 change = [(np.setdiff1d(a, c), np.setdiff1d(c, a)) for a, c in ((pick(x), pick(y)) for x, y in counterfactuals(text, groups))]
                 changes = [{"gone": g.tolist(), "come": c.tolist()} for g, c in change if len(g) or len(c)]
                 columns = [pa.array([toxic], pa.int32()), pa.array([pick(text).tolist()], pa.list_(pa.int64())),

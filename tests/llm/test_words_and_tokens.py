@@ -174,3 +174,36 @@ def test_a_word_is_looked_up_once_and_keeps_no_place_without_ids():
         e.encode(["unheard words"])
     e._learn = real
     assert e.encode(["unheard words", "the"])[0].tolist() == e.tokenizer.encode("unheard words the", add_special_tokens=False).ids
+
+
+def test_toxicity_kernels_free_the_encoder_and_texts_become_strings_run_by_run():
+    from cellcast.llm import encoding, toxicity
+
+    rows = pa.RecordBatch.from_arrays([pa.array(["good old day", "bad women"]), pa.array([0, 1], pa.int32())], names=["text", "toxic"])
+    for kernel in (toxicity._class_counts, toxicity._rows_of(np.arange(10), toxicity.IDENTITY_TERMS)):
+        encoding.encoder(word_bpe())
+        assert sum(b.num_rows for b in kernel(iter([rows])))
+        assert not encoding._encoders
+
+    taken = []
+
+    class Column:
+        def __init__(self, texts):
+            self.texts = texts
+
+        def __len__(self):
+            return len(self.texts)
+
+        def slice(self, i, n):
+            return Column(self.texts[i : i + n])
+
+        def to_pylist(self):
+            taken.append(len(self.texts))
+            return self.texts
+
+    texts = [str(i) * (i % 7) for i in range(1000)]
+    runs = list(encoding.text_runs(Column(texts), 50))
+    assert [t for _, part in runs for t in part] == texts and max(taken) < len(texts)
+    assert [i for i, _ in runs] == np.cumsum([0] + [len(p) for _, p in runs[:-1]]).tolist()
+    # a run ends with the text that reaches the limit
+    assert all(sum(map(len, p)) >= 50 > sum(map(len, p[:-1])) for _, p in runs[:-1])
