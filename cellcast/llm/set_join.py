@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -103,7 +104,7 @@ def _frequent(words: int):
     return run
 
 
-_SETS = "key long, doc_id long, f long, f1 long, f2 long, size int, prefix array<long>"
+_SETS = "key long, doc_id long, f long, f1 long, f2 long, size int, prefix array<long>, bits array<long>"
 
 
 def _sets(sim: Similarity, shared):
@@ -133,24 +134,30 @@ def _sets(sim: Similarity, shared):
                     prints.append(pa.array((total[at[1:]] - total[at[:-1]]).view(np.int64)))
                 lists = pa.ListArray.from_arrays(pa.array(borders), pa.array(prefix.view(np.int64)))
                 columns = [pa.array(key + np.arange(j - i)), b.column("doc_id").slice(i, j - i), b.column("f").slice(i, j - i), *prints, pa.array(size.astype(np.int32)), lists]
-                yield pa.RecordBatch.from_arrays(columns, names=["key", "doc_id", "f", "f1", "f2", "size", "prefix"])
+                bits = pa.ListArray.from_arrays(pa.array(np.arange(j - i + 1, dtype=np.int32) * (BITS // 64)), pa.array(parity_words(h, at).ravel()))
+                yield pa.RecordBatch.from_arrays([*columns, bits], names=["key", "doc_id", "f", "f1", "f2", "size", "prefix", "bits"])
                 key += j - i
 
     return run
 
 
-def parity_words(h: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Per set BITS parity bits as longs: bit k says whether an odd number of elements hash to k."""
-    rows = len(at) - 1
-    row = np.repeat(np.arange(rows), np.diff(at))
+def parity_words(h: np.ndarray, at: np.ndarray, most: int = 512) -> np.ndarray:
+    """Per set BITS parity bits as longs: bit k says whether an odd number of elements hash to k. Works on `most` sets at a time."""
     place = (mix(h + _U(3)) % _U(BITS)).astype(np.int64)
-    odd = np.bincount(row * BITS + place, minlength=rows * BITS).astype(np.uint8) & 1
-    return np.packbits(odd.reshape(rows, BITS), axis=1).view(np.int64)
+    out = np.zeros((len(at) - 1, BITS // 64), np.int64)
+    for i in range(0, len(out), most):
+        border = at[i : i + most + 1]
+        rows = len(border) - 1
+        row = np.repeat(np.arange(rows), np.diff(border))
+        odd = np.bincount(row * BITS + place[border[0] : border[-1]], minlength=rows * BITS).astype(np.uint8) & 1
+        out[i : i + rows] = np.packbits(odd.reshape(rows, BITS), axis=1).view(np.int64)
+    return out
 
 
 def _full_sets(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(c, all shingles, their parity bits) of the rows whose set is that of their class."""
+        """(c, all shingles) of the rows whose set is that of their class."""
+        forget()
         for b in batches:
             wanted = b.column("f1").to_numpy()
             for i, j, raw, border in text_chunks(b.column("text")):
@@ -159,8 +166,7 @@ def _full_sets(words: int):
                 np.cumsum(mix(h + _U(1)), out=total[1:])
                 same = (total[at[1:]] - total[at[:-1]]).view(np.int64) == wanted[i:j]
                 lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(h.view(np.int64)))
-                bits = pa.ListArray.from_arrays(pa.array(np.arange(j - i + 1, dtype=np.int32) * (BITS // 64)), pa.array(parity_words(h, at).ravel()))
-                out = pa.RecordBatch.from_arrays([b.column("c").slice(i, j - i), lists, bits], names=["c", "s", "bits"])
+                out = pa.RecordBatch.from_arrays([b.column("c").slice(i, j - i), lists], names=["c", "s"])
                 yield out.filter(pa.array(same))
 
     return run
@@ -196,14 +202,47 @@ def _overlaps(pairs: DataFrame, sets: DataFrame, others: DataFrame | None = None
     return joined.withColumns({"o": F.size(F.array_intersect("_s", "_t")), "sa": F.size("_s"), "sb": F.size("_t")}).drop("_s", "_t")
 
 
-def _near(pairs: DataFrame, sets: DataFrame, sim: Similarity) -> DataFrame:
-    """Without pairs that cannot link: parity bits differ at no more places than the sets do, which bounds the overlap from above."""
-    left = sets.select(F.col("c").alias("a"), F.col("bits").alias("_x"), F.size("s").alias("_sa"))
-    right = sets.select(F.col("c").alias("b"), F.col("bits").alias("_y"), F.size("s").alias("_sb"))
-    apart = F.aggregate(F.zip_with("_x", "_y", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, k: n + k)
-    most = (F.col("_sa") + F.col("_sb") - apart) / 2
-    near = pairs.join(left, "a").join(right, "b").where(100 * most >= sim.share * (F.col("_sa") + F.col("_sb") - most))
-    return cut_lineage(near.select("a", "b"))
+class _Sets:
+    """What is known of the classes that meet another in a list: parity bits of each, and the sets of those asked for so far.
+
+    Whole sets come from the texts, which travel once, and then lie in buckets by class. Most classes that meet
+    another have no pair that its parity bits leave open: neither their texts nor their sets travel.
+    """
+
+    def __init__(self, rows: DataFrame, classes: DataFrame, sim: Similarity):
+        self.rows, self.sim, self.parts = rows, sim, []
+        self.classes = cut_by(classes, "c")  # c, doc_id, f, f1, size, bits
+
+    def bounded(self, pairs: DataFrame) -> DataFrame:
+        """`pairs` (a, b, ...) with `most`: parity bits differ at no more places than the sets do, which bounds the overlap."""
+        left = self.classes.select(F.col("c").alias("a"), F.col("bits").alias("_x"), F.col("size").alias("sa"))
+        right = self.classes.select(F.col("c").alias("b"), F.col("bits").alias("_y"), F.col("size").alias("sb"))
+        apart = F.aggregate(F.zip_with("_x", "_y", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, k: n + k)
+        return pairs.join(left, "a").join(right, "b").withColumn("most", (F.col("sa") + F.col("sb") - apart) / 2).drop("_x", "_y")
+
+    def of(self, pairs: DataFrame) -> DataFrame:
+        """(c, s) of all classes of `pairs`, and of those asked for before."""
+        asked = pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct()
+        for p in self.parts:
+            asked = asked.join(p.select("c"), "c", "left_anti")
+        asked = cut_lineage(self.classes.select("c", "doc_id", "f", "f1").join(asked, "c"))
+        if not self.parts or not asked.isEmpty():
+            found = _texts_of(self.rows, asked).mapInArrow(_full_sets(self.sim.words), "c long, s array<long>")
+            self.parts.append(cut_by(found, "c", one_each=True))
+        drop_stages(asked)
+        return self.held()
+
+    def held(self) -> DataFrame:
+        return reduce(DataFrame.unionByName, self.parts)
+
+    def drop(self) -> None:
+        drop_stages(self.classes, *self.parts)
+
+
+def _near(pairs: DataFrame, sets: _Sets) -> DataFrame:
+    """Without pairs that cannot link, by their parity bits."""
+    most, share = F.col("most"), sets.sim.share
+    return cut_lineage(sets.bounded(pairs).where(100 * most >= share * (F.col("sa") + F.col("sb") - most)).select("a", "b"))
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, sim: Similarity) -> DataFrame:
@@ -212,9 +251,12 @@ def _linked(pairs: DataFrame, sets: DataFrame, sim: Similarity) -> DataFrame:
     return o.where(100 * F.col("o") >= sim.share * (F.col("sa") + F.col("sb") - F.col("o"))).select("a", "b")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, sim: Similarity) -> DataFrame:
+def _verified(pairs: DataFrame, sets: _Sets) -> DataFrame:
     """The linked pairs; only near ones are compared by their elements."""
-    return _linked(_near(pairs, sets, sim), sets, sim)
+    near = _near(pairs, sets)
+    links = cut_lineage(_linked(near, sets.of(near), sets.sim))
+    drop_stages(near)
+    return links
 
 
 def _hooks(near: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -271,14 +313,16 @@ def _with_partners(postings: DataFrame, sim: Similarity) -> DataFrame:
     return short.where("_any").drop("_any", "_most", "n").unionByName(rows.where(F.col("n") > SUBLIST).drop("_most", "n"))
 
 
-def _remaining_pairs(postings: DataFrame, sets: DataFrame, sim: Similarity) -> DataFrame:
+def _remaining_pairs(postings: DataFrame, sets: _Sets) -> DataFrame:
     """All pairs of different components that the leaders' answers leave open."""
+    sim = sets.sim
     block = F.floor(F.log("size") / F.lit(float(np.log(100 / sim.share))))
     members = postings.select("c", "label").distinct()
     # the label is a member: the leader. One may lead very many, so the leaders' sets are a table that may be dealt out anew
     led = members.where("c <> label").select(F.col("c").alias("a"), F.col("label").alias("b"))
-    leading = cut_lineage(sets.select("c", "s").join(led.select(F.col("b").alias("c")).distinct(), "c", "left_semi"))
-    extra = _overlaps(led, sets, leading)
+    full = sets.of(led)
+    leading = cut_lineage(full.join(led.select(F.col("b").alias("c")).distinct(), "c", "left_semi"))
+    extra = _overlaps(led, full, leading)
     extra = extra.select(F.col("a").alias("_c"), (F.col("sa") - F.col("o")).alias("extra"))
     rows = postings.join(extra, F.col("c") == F.col("_c"), "left").withColumn("extra", F.coalesce("extra", F.lit(0))).drop("_c")
     rows = cut_lineage(rows.withColumn("block", block))
@@ -291,10 +335,12 @@ def _remaining_pairs(postings: DataFrame, sets: DataFrame, sim: Similarity) -> D
             (_needed(sim, F.col("x.size"), F.col("y.size")) - F.col("x.extra") - F.col("y.extra")).alias("least"),
         ).distinct()
     )
-    leaders = _overlaps(meet.select("a", "b").distinct(), sets).select("a", "b", "o")
+    # leaders whose parity bits rule out the least overlap that any of their members needs are not compared
+    led_pairs = cut_lineage(sets.bounded(meet.groupBy("a", "b").agg(F.min("least").alias("least"))).where("most >= least").select("a", "b"))
+    leaders = _overlaps(led_pairs, sets.of(led_pairs)).select("a", "b", "o")
     open_pairs = meet.join(leaders, ["a", "b"]).where("o >= least")
     out = cut_lineage(open_pairs.select(F.col("c").alias("a"), F.col("d").alias("b")))
-    drop_stages(rows, meet, leading)
+    drop_stages(rows, meet, leading, led_pairs)
     return out
 
 
@@ -337,21 +383,23 @@ def _derived_links(members: DataFrame, sim: Similarity) -> tuple[DataFrame, Data
     return derived, pairs
 
 
-def _link_counts(classes: DataFrame, full: DataFrame, labels: DataFrame, across: DataFrame, sim: Similarity) -> DataFrame:
+def _link_counts(classes: DataFrame, sets: _Sets, labels: DataFrame, across: DataFrame) -> DataFrame:
     """(c, n_links) of every class: links of one of its documents, those to equal sets included.
 
     `labels` are the components before the links `across` (a, b) them, which are all that there are.
     """
     weight = classes.select("c", "w")
-    members = cut_lineage(labels.select(F.col("node").alias("c"), "label").join(full.select("c", "s"), "c").join(weight, "c"))
-    derived, pairs = _derived_links(members, sim)
+    full = sets.of(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))  # linked ones have all been asked for
+    members = cut_lineage(labels.select(F.col("node").alias("c"), "label").join(full, "c").join(weight, "c"))
+    derived, pairs = _derived_links(members, sets.sim)
     drop_stages(members)
-    links = cut_lineage(across.unionByName(_verified(pairs, full, sim)))
+    inside = _verified(pairs, sets)
+    links = cut_lineage(across.unionByName(inside))
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     counts = both.join(weight.withColumnRenamed("c", "b"), "b").select(F.col("a").alias("c"), F.col("w").alias("n"))
     every = counts.unionByName(derived).unionByName(weight.select("c", (F.col("w") - 1).alias("n")))
     out = cut_lineage(every.groupBy("c").agg(F.sum("n").alias("n_links")))
-    drop_stages(derived, pairs, links)
+    drop_stages(derived, pairs, inside, links)
     return out
 
 
@@ -387,41 +435,37 @@ def _joined(docs: DataFrame, sim: Similarity, id_col: str, text_col: str, counte
     postings = cut_lineage(postings.join(shared_tokens, "token").withColumn("label", F.col("c")))
     whole, postings = postings, cut_lineage(_with_partners(postings, sim))
     drop_stages(whole)
-    wanted = cut_lineage(sets.select(F.col("key").alias("c"), "doc_id", "f", "f1").join(postings.select("c").distinct(), "c"))
-    found = _texts_of(rows, wanted)
-    # every round joins the sets to both ends of its pairs: they travel once, to their buckets
-    full = cut_by(found.mapInArrow(_full_sets(sim.words), "c long, s array<long>, bits array<long>").dropDuplicates(["c"]), "c")
-    drop_stages(wanted)
+    meets = may_be_in(postings.select("c").distinct(), ["c"])("key")  # a few that meet none are never asked for
+    known = _Sets(rows, sets.where(meets).select(F.col("key").alias("c"), "doc_id", "f", "f1", "size", "bits"), sim)
     release_shuffles(spark)
     labels = left = None
     for turn, probe in enumerate([*PROBES, None]):
-        pairs = _probe_pairs(postings, sim, turn, *probe) if probe else _remaining_pairs(postings, full, sim)
-        near = _near(pairs, full, sim)
+        pairs = _probe_pairs(postings, sim, turn, *probe) if probe else _remaining_pairs(postings, known)
+        near = _near(pairs, known)
         done = left
         if probe:  # pairs left over wait for the next round, unless others join their components; the last round needs none
             every = near if left is None else cut_lineage(near.unionByName(left).distinct())
             near = _hooks(every, labels)
             left = cut_lineage(every.join(near, ["a", "b"], "left_anti"))
             drop_stages(every)
-        links = _linked(near, full, sim)
+        links = found = cut_lineage(_linked(near, known.of(near), sim))
         if counted and not probe:
-            links = cut_lineage(links)
-            n_links = _link_counts(classes, full, labels, links, sim)
+            n_links = _link_counts(classes, known, labels, links)
         if labels is not None:
             links = relabel(relabel(links, "a", labels), "b", labels)
         merged, before, lists = components(links), labels, postings
         labels = merged if before is None else cut_lineage(relabel(before, "label", merged).unionByName(merged.join(before, "node", "left_anti")))
         if probe:
             postings = cut_lineage(_still_open(relabel(lists, "label", merged)))
-        drop_stages(pairs, near, done, before, lists, merged if before is not None else None)
+        drop_stages(pairs, near, found, done, before, lists, merged if before is not None else None)
         release_shuffles(spark)
-    drop_stages(full)
+    known.drop()
     named = relabel(classes.withColumn("label", F.col("c")), "label", labels)
     smallest = named.groupBy("label").agg(F.min("least_id").alias("component_id"))
     of_class = named.join(smallest, "label").select("f1", "f2", F.col("c").alias("class"), F.col("label").alias("component"), "component_id")
     if counted:
         of_class = of_class.join(n_links.withColumnRenamed("c", "class"), "class")
-    joined = sets.drop("prefix").join(of_class, ["f1", "f2"], "left")
+    joined = sets.drop("prefix", "bits").join(of_class, ["f1", "f2"], "left")
     own = F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     more = [F.coalesce("n_links", F.lit(0)).alias("n_links")] if counted else []
     return joined.select("doc_id", "f", F.col("size").cast("long").alias("n_shingles"), "class", "component", own.alias("component_id"), *more)

@@ -39,8 +39,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return out
 
 
-def cut_by(df: DataFrame, key: str) -> DataFrame:
-    """A stage table in buckets by `key`, as many as there are shuffle partitions.
+def cut_by(df: DataFrame, key: str, one_each: bool = False) -> DataFrame:
+    """A stage table in buckets by `key`, as many as there are shuffle partitions; with `one_each`, one row of each key.
 
     Joins and groupings by `key` read it where it lies: its rows travel once, however often it is joined. The
     session's catalog holds its name until the stage is dropped. One key's rows are one bucket, which no
@@ -49,7 +49,9 @@ def cut_by(df: DataFrame, key: str) -> DataFrame:
     spark = df.sparkSession
     path, n = scratch_folder(spark, "stage"), int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"stage_{path.rsplit('-', 1)[1]}"
-    df.repartition(n, key).write.bucketBy(n, key).format("parquet").option("path", path).saveAsTable(name)
+    dealt = df.repartition(n, key)
+    dealt = dealt.dropDuplicates([key]) if one_each else dealt  # where they lie
+    dealt.write.bucketBy(n, key).format("parquet").option("path", path).saveAsTable(name)
     out = spark.table(name)
     _stages[id(out)] = (out, path)
     _tables[path] = name

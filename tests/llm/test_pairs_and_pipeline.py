@@ -324,6 +324,26 @@ def test_sets_in_buckets_are_joined_where_they_lie(spark):
     assert not spark.catalog.tableExists(name) and set(map(id, session.current_stages())) == before
 
 
+def test_texts_travel_only_for_classes_that_may_link(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = []
+    for k in range(30):  # two texts each share a passage, in the prefixes of some
+        line = random_text(rng, 12, 10**6)
+        rows += [(2 * k + e, random_text(rng, 16, 10**6) + " " + line + " " + random_text(rng, 16, 10**6)) for e in (0, 1)]
+    rows += [(100, rows[0][1] + " more"), (101, rows[1][1] + " more")]
+    monkeypatch.setattr(set_join, "MAX_FREQUENT", 1)  # rare shingles are not told from others
+    texts_of, asked = set_join._texts_of, []
+
+    def counted(rows, wanted):
+        asked.extend(r["c"] for r in wanted.select("c").collect())
+        return texts_of(rows, wanted)
+
+    monkeypatch.setattr(set_join, "_texts_of", counted)
+    got = {r["doc_id"]: (r["component_id"], r["n_links"]) for r in set_join.join_sets(frame(spark, rows), set_join.Similarity(5, 80)).collect()}
+    assert got == {i: (i % 100, 1) if i in (0, 1, 100, 101) else (i, 0) for i, _ in rows}
+    assert len(asked) == len(set(asked)) == 4
+
+
 def test_one_pair_for_each_component_and_its_smallest_neighbour_is_compared(spark):
     near = spark.createDataFrame([(a, b) for a in range(30) for b in range(a + 1, 30)], "a BIGINT, b BIGINT")
     assert sorted(map(tuple, set_join._hooks(near, None).collect())) == [(0, b) for b in range(1, 30)]
