@@ -339,7 +339,7 @@ def _remaining_pairs(postings: DataFrame, sets: _Sets) -> DataFrame:
     led_pairs = cut_lineage(sets.bounded(meet.groupBy("a", "b").agg(F.min("least").alias("least"))).where("most >= least").select("a", "b"))
     leaders = _overlaps(led_pairs, sets.of(led_pairs)).select("a", "b", "o")
     open_pairs = meet.join(leaders, ["a", "b"]).where("o >= least")
-    out = cut_lineage(open_pairs.select(F.col("c").alias("a"), F.col("d").alias("b")))
+    out = cut_lineage(open_pairs.select(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b")))
     drop_stages(rows, meet, leading, led_pairs)
     return out
 
@@ -438,16 +438,21 @@ def _joined(docs: DataFrame, sim: Similarity, id_col: str, text_col: str, counte
     meets = may_be_in(postings.select("c").distinct(), ["c"])("key")  # a few that meet none are never asked for
     known = _Sets(rows, sets.where(meets).select(F.col("key").alias("c"), "doc_id", "f", "f1", "size", "bits"), sim)
     release_shuffles(spark)
-    labels = left = None
+    labels = left = tried = None
     for turn, probe in enumerate([*PROBES, None]):
         pairs = _probe_pairs(postings, sim, turn, *probe) if probe else _remaining_pairs(postings, known)
-        near = _near(pairs, known)
+        near = first_near = _near(pairs, known)
+        if tried is not None:  # pairs compared before: the linked ones are inside components, the others are no links
+            near = cut_lineage(near.join(tried, ["a", "b"], "left_anti"))
+            drop_stages(first_near)
         done = left
         if probe:  # pairs left over wait for the next round, unless others join their components; the last round needs none
             every = near if left is None else cut_lineage(near.unionByName(left).distinct())
             near = _hooks(every, labels)
             left = cut_lineage(every.join(near, ["a", "b"], "left_anti"))
             drop_stages(every)
+            tried, known_before = cut_lineage(near if tried is None else tried.unionByName(near)), tried
+            drop_stages(known_before)
         links = found = cut_lineage(_linked(near, known.of(near), sim))
         if counted and not probe:
             n_links = _link_counts(classes, known, labels, links)

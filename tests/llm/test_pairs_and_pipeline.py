@@ -338,10 +338,18 @@ def test_texts_travel_only_for_classes_that_may_link(spark, monkeypatch):
         asked.extend(r["c"] for r in wanted.select("c").collect())
         return texts_of(rows, wanted)
 
+    linked, compared = set_join._linked, []
+
+    def seen(pairs, sets, sim):
+        compared.extend((r["a"], r["b"]) for r in pairs.collect())
+        return linked(pairs, sets, sim)
+
     monkeypatch.setattr(set_join, "_texts_of", counted)
+    monkeypatch.setattr(set_join, "_linked", seen)
     got = {r["doc_id"]: (r["component_id"], r["n_links"]) for r in set_join.join_sets(frame(spark, rows), set_join.Similarity(5, 80)).collect()}
     assert got == {i: (i % 100, 1) if i in (0, 1, 100, 101) else (i, 0) for i, _ in rows}
     assert len(asked) == len(set(asked)) == 4
+    assert len(compared) == len(set(compared))
 
 
 def test_one_pair_for_each_component_and_its_smallest_neighbour_is_compared(spark):
